@@ -7,11 +7,10 @@ from winback.operators.charts import (
     probability_density,
     probability_histogram,
     probability_stats,
-    roc_chart,
     roc_curve_table,
     top_risk_factors,
 )
-from winback.operators.evaluate import churn_probability, evaluate_models, evaluate_predictions, roc_auc, roc_points
+from winback.operators.evaluate import churn_probability, evaluate_models, evaluate_predictions, roc_auc, roc_chart, roc_points
 from winback.operators.features import FEATURES, build_features
 from winback.operators.labels import churn_rate_report, generate_churn_labels
 from winback.operators.leads import generate_leads, tier_counts, top_leads, with_risk_tier

@@ -1,7 +1,9 @@
-"""Whole days between two timestamps."""
+"""Zone-less moments and the whole days between them."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,3 +18,8 @@ def whole_days(start: Column, end: Column) -> Column:
     elapsed = end - start
     days = F.extract(F.lit("DAY"), elapsed)
     return days - (F.make_dt_interval(days) > elapsed).cast("int")
+
+
+def moment(value: dt.datetime | None) -> Column:
+    """A zone-less timestamp constant, untouched by the time zones of Python and the session."""
+    return F.lit(value and value.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winback.functions import impact_direction
-from winback.operators.evaluate import confusion_matrix, evaluate_predictions, hard_prediction, roc_points, stack_predictions
+from winback.operators.evaluate import confusion_matrix, roc_chart, stack_predictions
 from winback.operators.prepare import TARGET
 
 HISTOGRAM_BINS = 50
@@ -27,23 +28,56 @@ def probability_stats(scored: DataFrame, column: str = "churn_probability") -> D
     )
 
 
-def _bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """0-based equal-width bin; the last one includes the maximum; one bin if all values are equal."""
-    position = F.floor(F.try_divide(value - low, high - low) * bins)
-    return F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
+@dataclass(frozen=True)
+class Spread:
+    """Number of scores, their range and sample deviation."""
 
+    n: int
+    low: float
+    high: float
+    deviation: float
 
-def _binned(scored: DataFrame, column: str, bins: int) -> DataFrame:
-    """Non-empty bins: (bin, people, mean_value, square_sum); low and high ride along."""
-    known = scored.filter(F.col(column).isNotNull())
-    bounds = (
-        known.withColumn("low", known.agg(F.min(column)).scalar())
-        .withColumn("high", known.agg(F.max(column)).scalar())
-        .withColumn("bin", _bin_of(F.col(column), F.col("low"), F.col("high"), bins))
+    @classmethod
+    def of(cls, scored: DataFrame, column: str) -> Spread:
+        row = scored.agg(
+            F.count(column).alias("n"),
+            F.min(column).alias("low"),
+            F.max(column).alias("high"),
+            F.stddev_samp(column).alias("deviation"),
+        ).first()
+        return cls(row["n"], row["low"] or 0.0, row["high"] or 0.0, row["deviation"] or 0.0)
+
+    @property
+    def width(self) -> float:
+        return self.high - self.low
+
+
+def _binned(scored: DataFrame, column: str, spread: Spread, bins: int) -> DataFrame:
+    """Non-empty equal-width bins: (bin, people, mean_value); the last bin includes the maximum.
+
+    All scores go to bin 0 when they are equal.
+    """
+    if spread.width:
+        position = F.floor((F.col(column) - F.lit(spread.low)) / F.lit(spread.width) * bins)
+    else:
+        position = F.lit(0)
+    return (
+        scored.filter(F.col(column).isNotNull())
+        .groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("people"), F.avg(column).alias("mean_value"))
     )
-    return bounds.groupBy("bin", "low", "high").agg(
-        F.count(F.lit(1)).alias("people"),
-        F.avg(column).alias("mean_value"),
+
+
+def _histogram(scored: DataFrame, column: str, spread: Spread, bins: int) -> DataFrame:
+    counts = _binned(scored, column, spread, bins)
+    edge = F.lit(spread.width / bins)
+    # at most one row per bin
+    every_bin = scored.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return every_bin.join(F.broadcast(counts), "bin", "left").select(
+        "bin",
+        (F.lit(spread.low) + F.col("bin") * edge).alias("bin_start"),
+        (F.lit(spread.low) + (F.col("bin") + 1) * edge).alias("bin_end"),
+        F.coalesce("people", F.lit(0).cast("bigint")).alias("people"),
     )
 
 
@@ -51,24 +85,25 @@ def probability_histogram(
     scored: DataFrame, column: str = "churn_probability", bins: int = HISTOGRAM_BINS
 ) -> DataFrame:
     """(bin, bin_start, bin_end, people) for every bin between minimum and maximum, empty ones too."""
-    width = (F.col("high") - F.col("low")) / bins
-    counts = _binned(scored, column, bins)
-    every_bin = (
-        counts.groupBy("low", "high")
-        .agg(F.count(F.lit(1)).alias("used"))
-        .select("low", "high", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-        .withColumn("people", F.lit(0).cast("bigint"))
-    )
+    return _histogram(scored, column, Spread.of(scored, column), bins)
+
+
+def _density(scored: DataFrame, column: str, spread: Spread, points: int, fine_bins: int, bins: int) -> DataFrame:
+    bandwidth = spread.deviation * max(spread.n, 1) ** -0.2
+    if not bandwidth:
+        return scored.sparkSession.createDataFrame([], "point int, x double, density double, curve double")
+    z = (F.col("x") - F.col("mean_value")) / F.lit(bandwidth)
     return (
-        counts.select("low", "high", "bin", "people")
-        .unionByName(every_bin)
-        .groupBy("low", "high", "bin")
-        .agg(F.sum("people").alias("people"))
+        _binned(scored, column, spread, fine_bins)
+        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        .withColumn("x", F.lit(spread.low) + F.col("point") * F.lit(spread.width) / (points - 1))
+        .groupBy("point", "x")
+        .agg(F.sum(F.col("people") * F.exp(z * z * -0.5)).alias("height"))
         .select(
-            "bin",
-            (F.col("low") + F.col("bin") * width).alias("bin_start"),
-            (F.col("low") + (F.col("bin") + 1) * width).alias("bin_end"),
-            "people",
+            "point",
+            "x",
+            (F.col("height") / F.lit(spread.n * bandwidth * math.sqrt(2 * math.pi))).alias("density"),
+            (F.col("height") * F.lit(spread.width / bins / (bandwidth * math.sqrt(2 * math.pi)))).alias("curve"),
         )
     )
 
@@ -84,34 +119,19 @@ def probability_density(
 
     Bandwidth is Scott's rule on the sample deviation. The rows are first counted in fine bins
     and each bin stands at its mean, so the work is ``points x fine_bins`` at most, whatever
-    the number of rows. ``curve`` is the density in units of the histogram's counts.
+    the number of rows. ``curve`` is the density in units of the histogram's counts. Empty when
+    all scores are equal.
     """
-    known = scored.filter(F.col(column).isNotNull())
-    spread = known.agg(F.stddev_samp(column)).scalar()
-    total = known.agg(F.count(F.lit(1))).scalar()
-    low, high, bandwidth = F.col("low"), F.col("high"), F.col("bandwidth")
-    x = low + F.col("point") * (high - low) / (points - 1)
-    z = (F.col("x") - F.col("mean_value")) / bandwidth
-    return (
-        _binned(scored, column, fine_bins)
-        .withColumn("n", total)
-        .withColumn("bandwidth", spread * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-        .filter(bandwidth > 0)
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", x)
-        .groupBy("point", "x", "n", "bandwidth", "low", "high")
-        .agg(F.sum(F.col("people") * F.exp(z * z * -0.5)).alias("height"))
-        .withColumn("density", F.col("height") / (F.col("n") * bandwidth * math.sqrt(2 * math.pi)))
-        .select("point", "x", "density", (F.col("density") * F.col("n") * (high - low) / histogram_bins).alias("curve"))
-    )
+    return _density(scored, column, Spread.of(scored, column), points, fine_bins, histogram_bins)
 
 
 def probability_chart(scored: DataFrame, column: str = "churn_probability") -> DataFrame:
     """Histogram, density curve and threshold mark as one table: (series, x, y)."""
-    bars = probability_histogram(scored, column).select(
+    spread = Spread.of(scored, column)
+    bars = _histogram(scored, column, spread, HISTOGRAM_BINS).select(
         F.lit("histogram").alias("series"), F.col("bin_start").alias("x"), F.col("people").cast("double").alias("y")
     )
-    curve = probability_density(scored, column).select(
+    curve = _density(scored, column, spread, DENSITY_POINTS, DENSITY_BINS, HISTOGRAM_BINS).select(
         F.lit("density").alias("series"), "x", F.col("curve").alias("y")
     )
     mark = scored.sparkSession.createDataFrame(
@@ -128,21 +148,6 @@ def confusion_matrix_table(y: DataFrame, actual: str = TARGET, predicted: str =
     return confusion_matrix(named).drop("model")
 
 
-def chance_diagonal(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("chance", 0.0, 0.0), ("chance", 1.0, 1.0)], "series string, fpr double, tpr double")
-
-
-def roc_chart(predictions: DataFrame, score_steps: int | None = None) -> DataFrame:
-    """(series, fpr, tpr) of every model, the series named with its area, plus the diagonal."""
-    areas = evaluate_predictions(predictions).select(
-        F.col("Model").alias("model"),
-        F.concat(F.col("Model"), F.lit(" (AUC = "), F.format_number("ROC-AUC", 2), F.lit(")")).alias("series"),
-    )
-    # one row per model compared
-    curves = roc_points(predictions, score_steps).join(F.broadcast(areas), "model").select("series", "fpr", "tpr")
-    return curves.unionByName(chance_diagonal(predictions.sparkSession))
-
-
 def roc_curve_table(models: Mapping[str, PipelineModel], test: DataFrame, score_steps: int | None = None) -> DataFrame:
     """ROC chart of fitted models on the test part."""
     return roc_chart(stack_predictions(models, test), score_steps)
@@ -160,18 +165,3 @@ def coefficient_chart(coefficients: DataFrame, top_n: int = 15) -> DataFrame:
 def top_risk_factors(coefficients: DataFrame, n: int = 5) -> DataFrame:
     """The strongest coefficients that raise the risk."""
     return coefficients.filter(F.col("Coefficient") > 0).orderBy(F.desc("Abs_Impact"), "Feature").limit(n)
-
-
-__all__ = [
-    "chance_diagonal",
-    "coefficient_chart",
-    "confusion_matrix_table",
-    "hard_prediction",
-    "probability_chart",
-    "probability_density",
-    "probability_histogram",
-    "probability_stats",
-    "roc_chart",
-    "roc_curve_table",
-    "top_risk_factors",
-]

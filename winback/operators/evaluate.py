@@ -10,8 +10,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from winback.functions import ratio
 from winback.operators.labels import PERSON
 from winback.operators.prepare import TARGET
+from winback.operators.reuse import checkpointed
 from winback.operators.running import running_totals
 
 CUTOFF = 0.5
@@ -47,48 +49,57 @@ def stack_predictions(models: Mapping[str, PipelineModel], frame: DataFrame, tar
     return reduce(DataFrame.unionByName, parts)
 
 
-def _running_classes(predictions: DataFrame) -> DataFrame:
-    """Per model and score: rows of each class with this score and with smaller ones."""
-    classes = predictions.select(
-        "model",
-        "probability",
-        F.when(F.col(TARGET) == 1, 1).otherwise(0).cast("bigint").alias("pos"),
-        F.when(F.col(TARGET) == 0, 1).otherwise(0).cast("bigint").alias("neg"),
+def score_counts(predictions: DataFrame) -> DataFrame:
+    """(model, probability, pos, neg): rows of each class per distinct score.
+
+    Everything below is read off this table, so the rows are scored and shuffled once however
+    many figures are asked for, and a score shared by many rows is one row.
+    """
+    return predictions.groupBy("model", "probability").agg(
+        F.count(F.when(F.col(TARGET) == 1, 1)).alias("pos"),
+        F.count(F.when(F.col(TARGET) == 0, 1)).alias("neg"),
     )
-    return running_totals(classes, "probability", ["pos", "neg"], by="model")
 
 
-def roc_auc(predictions: DataFrame) -> DataFrame:
-    """(model, roc_auc): exact, ties count half; null when a class is missing."""
+def _areas(counts: DataFrame) -> DataFrame:
     won = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2.0)
     pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return _running_classes(predictions).groupBy("model").agg(F.try_divide(F.sum(won), pairs).alias("roc_auc"))
+    curve = running_totals(counts, "probability", ["neg"], by="model")
+    return curve.groupBy("model").agg(F.try_divide(F.sum(won), pairs).alias("roc_auc"))
 
 
-def threshold_metrics(predictions: DataFrame) -> DataFrame:
-    """(model, recall, precision, f1, accuracy) at the fixed cut-off; undefined ratios are 0."""
-    actual, predicted = F.col(TARGET) == 1, F.col("predicted") == 1
+def roc_auc(predictions: DataFrame) -> DataFrame:
+    """(model, roc_auc): exact, ties count half; null when a class is missing."""
+    return _areas(checkpointed(score_counts(predictions)))
 
-    def rows(condition: Column) -> Column:
-        return F.count(F.when(condition, 1))
+
+def _threshold_metrics(counts: DataFrame) -> DataFrame:
+    """(model, recall, precision, f1, accuracy) at the fixed cut-off; undefined ratios are 0."""
+    flagged = F.col("probability") > CUTOFF
 
     def share(part: Column, whole: Column) -> Column:
-        return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
+        return F.coalesce(ratio(part, whole), F.lit(0.0))
 
-    hits, flagged, churned = rows(actual & predicted), rows(predicted), rows(actual)
-    return predictions.groupBy("model").agg(
+    sums = counts.groupBy("model").agg(
+        F.sum(F.when(flagged, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(flagged, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum("pos").alias("p"),
+        F.sum("neg").alias("n"),
+    )
+    hits, false_alarms, churned, stayed = (F.col(name) for name in ("tp", "fp", "p", "n"))
+    return sums.select(
+        "model",
         share(hits, churned).alias("recall"),
-        share(hits, flagged).alias("precision"),
-        share(2 * hits, flagged + churned).alias("f1"),
-        F.avg((F.col(TARGET) == F.col("predicted")).cast("double")).alias("accuracy"),
+        share(hits, hits + false_alarms).alias("precision"),
+        share(2 * hits, hits + false_alarms + churned).alias("f1"),
+        ratio(hits + stayed - false_alarms, churned + stayed).alias("accuracy"),
     )
 
 
-def evaluate_predictions(predictions: DataFrame) -> DataFrame:
-    """Model comparison, best recall first."""
+def _comparison(counts: DataFrame) -> DataFrame:
     return (
-        threshold_metrics(predictions)
-        .join(roc_auc(predictions), "model")
+        _threshold_metrics(counts)
+        .join(_areas(counts), "model")
         .select(
             F.col("model").alias("Model"),
             F.col("roc_auc").alias("ROC-AUC"),
@@ -101,6 +112,11 @@ def evaluate_predictions(predictions: DataFrame) -> DataFrame:
     )
 
 
+def evaluate_predictions(predictions: DataFrame) -> DataFrame:
+    """Model comparison, best recall first."""
+    return _comparison(checkpointed(score_counts(predictions)))
+
+
 def evaluate_models(models: Mapping[str, PipelineModel], test: DataFrame, target: str = TARGET) -> DataFrame:
     """Compare fitted models on the test part."""
     return evaluate_predictions(stack_predictions(models, test, target))
@@ -138,31 +154,46 @@ def confusion_matrix(predictions: DataFrame) -> DataFrame:
     return confusion_counts(predictions).groupBy("model", "actual").agg(cell(0), cell(1))
 
 
-def roc_points(predictions: DataFrame, score_steps: int | None = None) -> DataFrame:
-    """(model, threshold, fpr, tpr): one point per distinct score, after a start at (0, 0).
-
-    A point counts rows scored at or above its threshold. ``score_steps`` rounds scores up to
-    that many steps first, which bounds the number of points for a chart of many rows.
-    """
-    if score_steps:
-        rounded = F.ceil(F.col("probability") * score_steps) / F.lit(float(score_steps))
-        predictions = predictions.withColumn("probability", rounded)
-    curve = _running_classes(predictions)
-    totals = predictions.groupBy("model").agg(
-        F.count(F.when(F.col(TARGET) == 1, 1)).alias("positives"),
-        F.count(F.when(F.col(TARGET) == 0, 1)).alias("negatives"),
-    )
+def _points(counts: DataFrame) -> DataFrame:
     # one row per model compared
-    points = curve.join(F.broadcast(totals), "model").select(
+    totals = F.broadcast(counts.groupBy("model").agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")))
+    points = running_totals(counts, "probability", ["pos", "neg"], by="model").join(totals, "model").select(
         "model",
         F.col("probability").alias("threshold"),
-        F.try_divide((F.col("negatives") - F.col("neg_before")).cast("double"), F.col("negatives").cast("double")).alias("fpr"),
-        F.try_divide((F.col("positives") - F.col("pos_before")).cast("double"), F.col("positives").cast("double")).alias("tpr"),
+        ratio(F.col("negatives") - F.col("neg_before"), F.col("negatives")).alias("fpr"),
+        ratio(F.col("positives") - F.col("pos_before"), F.col("positives")).alias("tpr"),
     )
     start = totals.select(
-        "model",
-        F.lit(float("inf")).alias("threshold"),
-        F.lit(0.0).alias("fpr"),
-        F.lit(0.0).alias("tpr"),
+        "model", F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return start.unionByName(points)
+
+
+def _stepped(counts: DataFrame, score_steps: int | None) -> DataFrame:
+    """Scores rounded up to a number of steps, which bounds the points of a chart."""
+    if not score_steps:
+        return counts
+    step = F.ceil(F.col("probability") * score_steps) / F.lit(float(score_steps))
+    return counts.groupBy("model", step.alias("probability")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def roc_points(predictions: DataFrame, score_steps: int | None = None) -> DataFrame:
+    """(model, threshold, fpr, tpr): one point per distinct score, after a start at (0, 0).
+
+    A point counts rows scored at or above its threshold.
+    """
+    return _points(checkpointed(_stepped(score_counts(predictions), score_steps)))
+
+
+def roc_chart(predictions: DataFrame, score_steps: int | None = None) -> DataFrame:
+    """(series, fpr, tpr) of every model, the series named with its exact area, plus the diagonal."""
+    counts = checkpointed(score_counts(predictions))
+    named = _areas(counts).select(
+        "model", F.concat("model", F.lit(" (AUC = "), F.format_number("roc_auc", 2), F.lit(")")).alias("series")
+    )
+    # one row per model compared
+    curves = _points(_stepped(counts, score_steps)).join(F.broadcast(named), "model")
+    diagonal = predictions.sparkSession.createDataFrame(
+        [("chance", 0.0, 0.0), ("chance", 1.0, 1.0)], "series string, fpr double, tpr double"
+    )
+    return curves.select("series", "fpr", "tpr").unionByName(diagonal)

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winback.functions import ratio, whole_days
+from winback.functions import moment, ratio, whole_days
 from winback.operators.joins import join_to_unique
 from winback.operators.labels import DEFAULT_THRESHOLD_DAYS, PERSON, label_people, orders_until
 from winback.operators.reuse import checkpointed, measured
@@ -188,48 +189,55 @@ def state_delivery_means(logistics: DataFrame) -> DataFrame:
     )
 
 
-def state_summary(people: DataFrame) -> DataFrame:
-    """Per state: newest order, sum and count of known delivery days, people, mean days.
+@dataclass(frozen=True)
+class StateSummary:
+    """What filling and labelling need to know about all people."""
+
+    means: DataFrame
+    overall_days: float | None
+    newest_order: dt.datetime | None
+
+
+def state_summary(people: DataFrame) -> StateSummary:
+    """One grouped pass over the people, then one row of totals.
 
     A row without a person counts for the newest order only; people without a state have no
-    state mean. Small, measured and cached: it serves the snapshot and both fills.
+    state mean. The overall mean is the one after the state fill: it follows from the
+    per-state sums, since each gap of a state adds that state's mean.
     """
     named = F.col(PERSON).isNotNull()
     days = F.when(named, F.col("avg_delivery_days"))
-    return measured(
+    state_mean = F.col("state_delivery_days")
+    filled = F.when(state_mean.isNotNull(), F.col("people")).otherwise(F.col("known"))
+    gaps = F.coalesce((F.col("people") - F.col("known")) * state_mean, F.lit(0.0))
+    states, totals = measured(
         people.groupBy("customer_state").agg(
             F.max("last_order_date").alias("newest"),
             F.sum(days).alias("day_sum"),
             F.count(days).alias("known"),
             F.count(F.when(named, 1)).alias("people"),
             F.when(F.col("customer_state").isNotNull(), F.avg(days)).alias("state_delivery_days"),
-        )
+        ),
+        F.max("newest").alias("newest"),
+        F.try_divide(F.sum(F.coalesce("day_sum", F.lit(0.0)) + gaps), F.sum(filled).cast("double")).alias("overall"),
     )
+    means = states.filter(F.col("customer_state").isNotNull()).select("customer_state", "state_delivery_days")
+    return StateSummary(means, totals["overall"], totals["newest"])
 
 
-def overall_delivery_days(states: DataFrame) -> DataFrame:
-    """One row: the mean over everyone after the state fill.
-
-    It follows from the per-state sums, since each gap of a state adds that state's mean.
-    """
-    state_mean = F.col("state_delivery_days")
-    filled = F.when(state_mean.isNotNull(), F.col("people")).otherwise(F.col("known"))
-    gaps = F.coalesce((F.col("people") - F.col("known")) * state_mean, F.lit(0.0))
-    return states.agg(F.try_divide(F.sum(F.coalesce("day_sum", F.lit(0.0)) + gaps), F.sum(filled).cast("double")))
-
-
-def impute(people: DataFrame, states: DataFrame) -> DataFrame:
+def impute(people: DataFrame, summary: StateSummary) -> DataFrame:
     """Fill gaps: delivery days from the state, then from everyone; flag and fill reviews; zero spend.
 
     Means are taken over all people, before any train/test split.
     """
-    means = states.filter(F.col("customer_state").isNotNull()).select("customer_state", "state_delivery_days")
-    overall = overall_delivery_days(states).scalar()
+    overall = F.lit(summary.overall_days).cast("double")
     return (
-        people.join(means, "customer_state", "left")
+        people.join(summary.means, "customer_state", "left")
         .withColumn("avg_delivery_days", F.coalesce("avg_delivery_days", "state_delivery_days", overall))
         .withColumn("has_review", F.col("avg_review_score").isNotNull().cast("int"))
-        .fillna({"avg_review_score": NEUTRAL_REVIEW, "monetary_value": 0.0, "avg_installments": 0.0})
+        .withColumn("avg_review_score", F.coalesce("avg_review_score", F.lit(NEUTRAL_REVIEW)))
+        .withColumn("monetary_value", F.coalesce("monetary_value", F.lit(0.0)))
+        .withColumn("avg_installments", F.coalesce("avg_installments", F.lit(0.0)))
         .drop("customer_state", "state_delivery_days")
     )
 
@@ -249,10 +257,9 @@ def build_features(
     rollup = person_rollup(orders_until(orders, as_of), customers, payments, reviews)
     people = person_averages(checkpointed(rollup.drop("payment_rows", "review_rows")))
     if labels is None:
-        states = state_summary(people)
-        snapshot = states.agg(F.max("newest")).scalar()
-        labelled = label_people(_named(people), snapshot, threshold_days)
+        summary = state_summary(people)
+        labelled = label_people(_named(people), moment(summary.newest_order), threshold_days)
     else:
         labelled = people.join(labels.select(PERSON, "is_churn", "recency"), PERSON)
-        states = state_summary(labelled)
-    return impute(labelled, states).select(PERSON, *FEATURES[:-1], "is_churn", "recency", "has_review")
+        summary = state_summary(labelled)
+    return impute(labelled, summary).select(PERSON, *FEATURES[:-1], "is_churn", "recency", "has_review")

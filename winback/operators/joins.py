@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# items a task's sketch may hold; the count it can miss is about 3.5 / SKETCH_ITEMS of the rows
+SKETCH_ITEMS = 10_000
 COUNTABLE = (T.StringType, T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
 
 
@@ -49,7 +51,7 @@ def find_hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY)
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(key).alias("known"),
-        F.expr(f"approx_top_k(`{key}`, {min(policy.max_keys, 1000)}, 100000)").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {min(policy.max_keys, 1000)}, {SKETCH_ITEMS})").alias("top"),
     ).first()
     limit = max(policy.share * row["rows"], policy.min_rows)
     keys = tuple(entry["item"] for entry in row["top"] or [] if entry["item"] is not None and entry["count"] > limit)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winback.functions import whole_days
+from winback.functions import moment, whole_days
 from winback.operators.joins import join_to_unique
 
 PERSON = "customer_unique_id"
@@ -18,7 +18,7 @@ def orders_until(orders: DataFrame, as_of: dt.datetime | None) -> DataFrame:
     """Orders bought up to ``as_of``; all of them without one."""
     if as_of is None:
         return orders
-    return orders.filter(F.col("order_purchase_timestamp") <= F.lit(as_of).cast("timestamp_ntz"))
+    return orders.filter(F.col("order_purchase_timestamp") <= moment(as_of))
 
 
 def churn_flag(recency: Column, threshold_days: int) -> Column:

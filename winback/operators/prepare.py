@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.functions import id_hash
+from winback.functions import id_hash, ratio
 from winback.operators.features import FEATURES
 from winback.operators.labels import PERSON
 from winback.operators.quantiles import exact_quantiles
@@ -161,11 +161,15 @@ def class_counts(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def class_weights(train: DataFrame, target: str = TARGET) -> DataFrame:
-    """(class, people, balanced_weight, scale_pos_weight)."""
-    total, positives = train.agg(F.count(F.lit(1))).scalar(), train.agg(F.sum(target)).scalar()
-    return train.groupBy(F.col(target).alias("class")).agg(F.count(F.lit(1)).alias("people")).select(
+    """(class, people, balanced_weight, scale_pos_weight) from one pass over the rows."""
+    counted = class_counts(train, target)
+    classes = F.array(
+        F.struct(F.lit(0).alias("class"), F.col("negatives").alias("people")),
+        F.struct(F.lit(1).alias("class"), F.col("positives").alias("people")),
+    )
+    return counted.select("negatives", "positives", F.inline(classes)).select(
         "class",
         "people",
-        (total / (2 * F.col("people"))).alias("balanced_weight"),
-        F.try_divide((total - positives).cast("double"), positives.cast("double")).alias("scale_pos_weight"),
+        ratio(F.col("negatives") + F.col("positives"), 2 * F.col("people")).alias("balanced_weight"),
+        ratio(F.col("negatives"), F.col("positives")).alias("scale_pos_weight"),
     )

@@ -17,6 +17,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MAX_GROUPS = 1000
+# groups of up to this many rows go through the one-pass exact percentile
+SMALL_GROUP = 500_000
 
 
 def _tall(df: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
@@ -53,6 +55,7 @@ def _brackets(tall: DataFrame, probs: Sequence[float], accuracy: int, widen: flo
                     "grp": row["grp"],
                     "feature": row["feature"],
                     "prob": float(prob),
+                    "rows": row["n"],
                     "rank": math.floor(position),
                     "next_rank": min(math.floor(position) + 1, row["n"] - 1),
                     "part": position - math.floor(position),
@@ -64,7 +67,7 @@ def _brackets(tall: DataFrame, probs: Sequence[float], accuracy: int, widen: flo
 
 
 BRACKET_SCHEMA = (
-    "grp string, feature string, prob double, rank bigint, next_rank bigint, part double, low double, high double"
+    "grp string, feature string, prob double, rows bigint, rank bigint, next_rank bigint, part double, low double, high double"
 )
 
 
@@ -96,12 +99,22 @@ def _resolve(tall: DataFrame, brackets: list[dict]) -> list:
     )
 
 
+def _small(tall: DataFrame, probs: Sequence[float]) -> dict[tuple[str, str, float], float]:
+    rows = tall.groupBy("grp", "feature").agg(F.percentile("value", list(probs)).alias("values")).collect()
+    return {
+        (row["grp"], row["feature"], float(prob)): value
+        for row in rows
+        for prob, value in zip(probs, row["values"], strict=True)
+    }
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     by: str | None = None,
     accuracy: int = 10_000,
+    small_group: int = SMALL_GROUP,
 ) -> dict[tuple[str, str, float], float]:
     """``{(group, column, probability): value}`` with linear interpolation; nulls are skipped.
 
@@ -111,6 +124,8 @@ def exact_quantiles(
     found: dict[tuple[str, str, float], float] = {}
     widen = 1.0
     open_brackets = _brackets(tall, probs, accuracy, widen)
+    if all(bracket["rows"] <= small_group for bracket in open_brackets):
+        return _small(tall, probs)
     while open_brackets:
         for row in _resolve(tall, open_brackets):
             if row["value"] is not None:

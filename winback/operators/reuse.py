@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 
 from winback.session import ensure_checkpoint_dir
 
@@ -17,13 +17,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def measured(df: DataFrame) -> DataFrame:
-    """Cache a result that is expected to be small and count it.
+def measured(df: DataFrame, *totals: Column) -> tuple[DataFrame, Row]:
+    """Cache a result that is expected to be small and read one row of totals from it.
 
-    After the count Spark knows its true size, so a later join broadcasts it only while it is
-    below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides (with adaptive
-    skew handling) beyond that.
+    Reading the totals fills the cache, so Spark knows the true size from then on: a later join
+    broadcasts it only while it is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
+    both sides (with adaptive skew handling) beyond that.
     """
     kept = df.persist()
-    kept.count()
-    return kept
+    return kept, kept.agg(*totals).first()

@@ -31,31 +31,29 @@ def running_totals(
     by: str,
     ranges: int = DEFAULT_RANGES,
 ) -> DataFrame:
-    """Sum ``totals`` per (``by``, ``order``) value and add them up along ``order``.
+    """Add ``<name>_before`` for each name in ``totals``: its sum over all smaller ``order`` values.
 
-    For each name in ``totals`` the result has the sum of rows with exactly this value under
-    the same name and the sum of all smaller values as ``<name>_before``. ``by`` must have few
-    values (the models compared).
+    Expects one row per (``by``, ``order``) value, so a value that many rows share is one row
+    here. ``by`` must have few values (the models compared).
     """
     edges = range_edges(df, order, ranges)
-    in_ranges = Bucketizer(splits=edges, inputCol=order, outputCol="range").transform(
-        df.filter(F.col(order).isNotNull())
-    )
-    per_value = in_ranges.groupBy(by, "range", order).agg(*[F.sum(name).alias(name) for name in totals])
+    in_ranges = Bucketizer(splits=edges, inputCol=order, outputCol="range").transform(df)
     earlier_ranges = W.partitionBy(by).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        per_value.groupBy(by, "range")
+        in_ranges.groupBy(by, "range")
         .agg(*[F.sum(name).alias(name) for name in totals])
-        .select(by, "range", *[F.coalesce(F.sum(name).over(earlier_ranges), F.lit(0)).alias(f"{name}_start") for name in totals])
+        .select(
+            by,
+            "range",
+            *[F.coalesce(F.sum(name).over(earlier_ranges), F.lit(0)).alias(f"{name}_start") for name in totals],
+        )
     )
     earlier_here = W.partitionBy(by, "range").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     # starts holds at most `ranges` rows per value of `by`
-    return per_value.join(F.broadcast(starts), [by, "range"]).select(
-        by,
-        order,
-        *totals,
-        *[
-            (F.col(f"{name}_start") + F.coalesce(F.sum(name).over(earlier_here), F.lit(0))).alias(f"{name}_before")
+    added = in_ranges.join(F.broadcast(starts), [by, "range"]).withColumns(
+        {
+            f"{name}_before": F.col(f"{name}_start") + F.coalesce(F.sum(name).over(earlier_here), F.lit(0))
             for name in totals
-        ],
+        }
     )
+    return added.drop("range", *[f"{name}_start" for name in totals])

@@ -83,7 +83,7 @@ def run_pipeline(
     models = train_baseline_models(model_input.train, names=model_names)
     comparison = evaluate_predictions(stack_predictions(models, model_input.test))
     best = champion(models, champion_name)
-    scored = churn_probability(best, model_input.test)
+    scored = checkpointed(churn_probability(best, model_input.test))
     leads = ranked(high_risk(scored, threshold))
     if leads_path:
         write_leads(leads, leads_path, leads_format)

@@ -225,7 +225,7 @@ def roc_points_fixed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def roc_chart_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(charts.roc_chart(_predictions(spark, folder), score_steps=100))
+    return rounded(evaluate.roc_chart(_predictions(spark, folder), score_steps=100))
 
 
 def confusion_fixed(spark: SparkSession, folder: str) -> DataFrame:

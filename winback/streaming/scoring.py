@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from winback.functions import logistic, risk_tier
 from winback.operators.features import (
     FEATURES,
+    StateSummary,
     build_features,
     impute,
     merge_people,
@@ -40,14 +41,14 @@ ALL_HISTORY = "36500 days"
 class ScoringModel:
     """What a batch run leaves behind for scoring: fill values, scaling, and the score itself."""
 
-    states: DataFrame
+    summary: StateSummary
     scaler: RobustScale
     add_score: Callable[[DataFrame], DataFrame]
 
     def score(self, people: DataFrame) -> DataFrame:
         """Features, probability and tier of repeat buyers among merged person rows."""
         averages = person_averages(people.withColumn("customer_state", F.col("origin.customer_state")))
-        ready = repeat_buyers(impute(averages, self.states))
+        ready = repeat_buyers(impute(averages, self.summary))
         scored = self.add_score(self.scaler.transform(ready))
         return scored.select(PERSON, *FEATURES, "churn_probability").withColumn(
             "risk_tier", risk_tier(F.col("churn_probability"))
