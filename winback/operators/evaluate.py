@@ -124,32 +124,22 @@ def evaluate_models(models: Mapping[str, PipelineModel], test: DataFrame, target
 
 def confusion_counts(predictions: DataFrame) -> DataFrame:
     """(model, actual, predicted, people), always with all four cells per model."""
-    cells = F.array(
-        *[F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted")) for a in (0, 1) for p in (0, 1)]
-    )
-    found = predictions.groupBy("model", F.col(TARGET).alias("actual"), "predicted").agg(
-        F.count(F.lit(1)).alias("people")
-    )
-    # one empty row per cell and model, so that a cell nobody falls into shows up as 0
-    empty = (
-        found.select("model")
-        .distinct()
-        .select("model", F.inline(cells))
-        .withColumn("people", F.lit(0).cast("bigint"))
-    )
-    return (
-        found.unionByName(empty)
-        .groupBy("model", "actual", "predicted")
-        .agg(F.sum("people").alias("people"))
+    cells = [(actual, predicted) for actual in (0, 1) for predicted in (0, 1)]
+    counted = predictions.groupBy("model").agg(
+        *[F.count(F.when((F.col(TARGET) == a) & (F.col("predicted") == p), 1)).alias(f"cell_{a}{p}") for a, p in cells]
     )
+    rows = [
+        F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted"), F.col(f"cell_{a}{p}").alias("people"))
+        for a, p in cells
+    ]
+    return counted.select("model", F.inline(F.array(*rows)))
 
 
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
     """(model, actual, predicted_0, predicted_1): rows are the truth, columns the prediction."""
 
     def cell(predicted: int) -> Column:
-        matches = (F.col("predicted") == predicted).cast("bigint")
-        return F.sum(matches * F.col("people")).alias(f"predicted_{predicted}")
+        return F.sum(F.when(F.col("predicted") == predicted, F.col("people"))).alias(f"predicted_{predicted}")
 
     return confusion_counts(predictions).groupBy("model", "actual").agg(cell(0), cell(1))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,18 +17,23 @@ COUNTABLE = (T.StringType, T.IntegralType, T.DateType, T.TimestampType, T.Timest
 class SkewPolicy:
     """A key is hot when it holds more than ``share`` of the rows and more than ``min_rows``.
 
-    At most ``1 / share`` keys can be hot; that bounds everything that is broadcast.
+    At most ``1 / share`` keys can be hot; that bounds everything that is broadcast. The session
+    settings ``spark.winback.skew.share`` and ``spark.winback.skew.minRows`` override both.
     """
 
     share: float = 0.002
     min_rows: int = 1_000_000
 
+    @classmethod
+    def of(cls, spark: SparkSession) -> SkewPolicy:
+        return cls(
+            share=float(spark.conf.get("spark.winback.skew.share", str(cls.share))),
+            min_rows=int(spark.conf.get("spark.winback.skew.minRows", str(cls.min_rows))),
+        )
+
     @property
     def max_keys(self) -> int:
-        return int(1 / self.share) + 1
-
-
-DEFAULT_POLICY = SkewPolicy()
+        return min(int(1 / self.share) + 1, 1000)
 
 
 @dataclass(frozen=True)
@@ -40,7 +45,7 @@ class HotKeys:
         return bool(self.keys) or self.nulls
 
 
-def find_hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY) -> HotKeys:
+def find_hot_keys(df: DataFrame, key: str) -> HotKeys:
     """Hot keys of one column, from one pass that keeps a frequent-items sketch per task.
 
     The sketch's error is far below ``share``, and a key it should miss only costs time: both
@@ -48,23 +53,18 @@ def find_hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY)
     """
     if not isinstance(df.schema[key].dataType, COUNTABLE):
         return HotKeys((), False)
+    policy = SkewPolicy.of(df.sparkSession)
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(key).alias("known"),
-        F.expr(f"approx_top_k(`{key}`, {min(policy.max_keys, 1000)}, {SKETCH_ITEMS})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {policy.max_keys}, {SKETCH_ITEMS})").alias("top"),
     ).first()
     limit = max(policy.share * row["rows"], policy.min_rows)
     keys = tuple(entry["item"] for entry in row["top"] or [] if entry["item"] is not None and entry["count"] > limit)
     return HotKeys(keys, row["rows"] - row["known"] > limit)
 
 
-def join_to_unique(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "left",
-    policy: SkewPolicy = DEFAULT_POLICY,
-) -> DataFrame:
+def join_to_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """``left`` joined to ``right``, which has at most one row per key (``how``: left or inner).
 
     Without hot keys this is an ordinary join. Otherwise rows of hot keys stay where they are
@@ -73,7 +73,7 @@ def join_to_unique(
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    hot = find_hot_keys(left, key, policy)
+    hot = find_hot_keys(left, key)
     if not hot:
         return left.join(right, key, how)
     is_hot = F.col(key).isin(list(hot.keys)) if hot.keys else F.lit(False)

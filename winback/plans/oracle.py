@@ -195,6 +195,51 @@ density AS (
   GROUP BY g.point, low, high, n, bandwidth)
 """
 
+DESCENT_STEPS = 1500
+
+
+def _fitted() -> str:
+    """Class-balanced, L2-penalised logistic regression by accelerated descent on every row.
+
+    Each coefficient moves by its gradient over a bound of its curvature; the intercept is not
+    penalised. The problem is convex, so any method ends at the same coefficients.
+    """
+    size = len(FEATURES) + 1
+    penalty = [0, *[1] * len(FEATURES)]
+    paces = ", ".join(
+        f"1.0 / ({penalty[j]} + 0.25 * sum(w * abs(x[{j + 1}]) * list_sum(list_transform(x, lambda v: abs(v)))))"
+        for j in range(size)
+    )
+    moves = ", ".join(
+        f"a[{j + 1}] - s[{j + 1}] * (sum(r * x[{j + 1}]) + {penalty[j]} * a[{j + 1}])" for j in range(size)
+    )
+    zeros = ", ".join(["CAST(0 AS DOUBLE)"] * size)
+    return f"""
+observed AS MATERIALIZED (
+  SELECT *, [1.0, {", ".join(f"scaled_{name}" for name in FEATURES)}] AS x FROM scaled),
+train AS MATERIALIZED (
+  SELECT x, is_churn AS y, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY is_churn)) AS w
+  FROM observed WHERE split = 'train'),
+paces AS MATERIALIZED (SELECT [{paces}] AS s FROM train),
+descent(k, b, a) AS (
+  SELECT 0, [{zeros}], [{zeros}]
+  UNION ALL
+  SELECT k + 1, nb, list_transform(list_zip(nb, b), lambda z: z[1] + 0.9 * (z[1] - z[2]))
+  FROM (SELECT k, b, [{moves}] AS nb
+        FROM (SELECT k, b, a, s, x, w * (1.0 / (1.0 + exp(-list_dot_product(a, x))) - y) AS r
+              FROM descent, paces, train WHERE k < {DESCENT_STEPS})
+        GROUP BY k, b, a, s)),
+fitted AS MATERIALIZED (SELECT b FROM descent WHERE k = {DESCENT_STEPS}),
+coefficients AS (
+  SELECT unnest([{", ".join(f"'{name}'" for name in FEATURES)}]) AS feature, unnest(b[2:]) AS c FROM fitted),
+tested AS MATERIALIZED (
+  SELECT observed.*, 1.0 / (1.0 + exp(-list_dot_product(b, x))) AS churn_probability
+  FROM observed, fitted WHERE split = 'test'),
+predictions AS MATERIALIZED (
+  SELECT 'Logistic Regression' AS model, is_churn, churn_probability AS p,
+         CAST(churn_probability > 0.5 AS INTEGER) AS predicted FROM tested)"""
+
+
 TIERED = """
 tiered AS (
   SELECT customer_unique_id, churn_probability,
@@ -250,6 +295,7 @@ def oracle_queries() -> dict[str, str]:
     split = [*features, SPLIT]
     scored = [*split, PARAMETERS, SCALED, SCORED]
     predicted = [*scored, PREDICTIONS]
+    trained = [*split, PARAMETERS, SCALED, _fitted()]
     rounded = [*features, f"rounded AS MATERIALIZED ({ROUNDED_FEATURES} features)"]
     windows = """
 spans AS (
@@ -257,6 +303,11 @@ spans AS (
          count(*) AS deliveries, avg(delivery_days) AS mean_delivery_days
   FROM shop_orders WHERE delivery_days IS NOT NULL GROUP BY 1)"""
     leads = f"SELECT {LEAD_COLUMNS} FROM tested WHERE churn_probability > {LEAD_THRESHOLD}"
+    comparison = """SELECT model AS "Model", round(roc_auc, 6) AS "ROC-AUC",
+  coalesce(round(tp / CAST(churned AS DOUBLE), 6), 0) AS "Recall",
+  CASE WHEN flagged = 0 THEN 0.0 ELSE round(tp / CAST(flagged AS DOUBLE), 6) END AS "Precision",
+  round(2 * tp / CAST(flagged + churned AS DOUBLE), 6) AS "F1-Score", round(accuracy, 6) AS "Accuracy"
+FROM rates JOIN areas USING (model)"""
     sql = {
         "customers_scan": _with(*shop) + "SELECT * FROM customers",
         "payments_scan": _with(*shop) + "SELECT * FROM payments",
@@ -314,12 +365,7 @@ FROM train GROUP BY 1""",
         + f"SELECT customer_unique_id, {SCALED_COLUMNS} FROM scaled WHERE split = 'train' ORDER BY customer_unique_id LIMIT 3",
         "scored_fixed": _with(*scored)
         + "SELECT customer_unique_id, split, is_churn, churn_probability, second_probability FROM scored",
-        "metrics_fixed": _with(*predicted, AREAS, RATES)
-        + """SELECT model AS "Model", round(roc_auc, 6) AS "ROC-AUC",
-  coalesce(round(tp / CAST(churned AS DOUBLE), 6), 0) AS "Recall",
-  CASE WHEN flagged = 0 THEN 0.0 ELSE round(tp / CAST(flagged AS DOUBLE), 6) END AS "Precision",
-  round(2 * tp / CAST(flagged + churned AS DOUBLE), 6) AS "F1-Score", round(accuracy, 6) AS "Accuracy"
-FROM rates JOIN areas USING (model)""",
+        "metrics_fixed": _with(*predicted, AREAS, RATES) + comparison,
         "roc_auc_fixed": _with(*predicted, AREAS) + "SELECT model, round(roc_auc, 6) AS roc_auc FROM areas",
         "roc_points_fixed": _with(*predicted, AREAS)
         + """SELECT model, p AS threshold, round(fp / CAST(all_neg AS DOUBLE), 6) AS fpr,
@@ -351,7 +397,7 @@ LEFT JOIN predictions p ON p.model = m.model AND p.is_churn = a.actual AND p.pre
         + """SELECT count(*) AS people, max(churn_probability) AS max_probability,
   round(avg(churn_probability), 6) AS mean_probability FROM tested""",
         "prob_histogram": _with(*scored, _bins("tested", 50), HISTOGRAM)
-        + "SELECT bin, round(bin_start, 6) AS bin_start, round(bin_end, 6) AS bin_end, people FROM histogram",
+        + "SELECT bin, round(bin_start, 9) AS bin_start, round(bin_end, 9) AS bin_end, people FROM histogram",
         "prob_density": _with(*scored, _bins("tested", 2048), DENSITY)
         + """SELECT point, round(x, 6) AS x, round(density, 6) AS density,
   round(density * n * (high - low) / 50, 6) AS curve FROM density""",
@@ -362,8 +408,8 @@ LEFT JOIN predictions p ON p.model = m.model AND p.is_churn = a.actual AND p.pre
             _bins("tested", 2048).replace("bounds AS", "bounds2 AS").replace("binned AS", "fine AS").replace(", bounds GROUP", ", bounds2 GROUP"),
             DENSITY.replace("bounds, binned", "bounds2, fine"),
         )
-        + f"""SELECT 'histogram' AS series, round(bin_start, 6) AS x, CAST(people AS DOUBLE) AS y FROM histogram
-UNION ALL SELECT 'density', round(x, 6), round(density * n * (high - low) / 50, 6) FROM density
+        + f"""SELECT 'histogram' AS series, round(bin_start, 9) AS x, CAST(people AS DOUBLE) AS y FROM histogram
+UNION ALL SELECT 'density', round(x, 9), round(density * n * (high - low) / 50, 9) FROM density
 UNION ALL SELECT 'threshold', 0.75, NULL""",
         "high_risk_leads": _with(*scored) + leads,
         "top10_leads": _with(*scored) + leads + " ORDER BY churn_probability DESC, customer_unique_id LIMIT 10",
@@ -372,6 +418,18 @@ UNION ALL SELECT 'threshold', 0.75, NULL""",
         "risk_tier_counts": _with(*scored, TIERED)
         + """SELECT risk_tier, strategy, action, count(*) AS people, round(avg(churn_probability), 6) AS mean_probability
 FROM tiered JOIN advice USING (risk_tier) GROUP BY 1, 2, 3""",
+        "lr_coefficients": _with(*trained).replace("WITH", "WITH RECURSIVE", 1)
+        + """SELECT feature AS "Feature", round(c, 4) AS "Coefficient", round(abs(c), 4) AS "Abs_Impact",
+  CASE WHEN c > 0 THEN 'Increases Churn Risk' ELSE 'Increases Loyalty' END AS direction
+FROM coefficients ORDER BY abs(c) DESC LIMIT 10""",
+        "lr_risk_factors": _with(*trained).replace("WITH", "WITH RECURSIVE", 1)
+        + """SELECT feature AS "Feature", round(c, 4) AS "Coefficient", round(abs(c), 4) AS "Abs_Impact"
+FROM coefficients WHERE c > 0 ORDER BY abs(c) DESC LIMIT 5""",
+        "lr_leads": _with(*trained).replace("WITH", "WITH RECURSIVE", 1)
+        + f"""SELECT customer_unique_id, round(churn_probability, 4) AS churn_probability, frequency,
+  round(monetary_value, 4) AS monetary_value, round(avg_delivery_days, 4) AS avg_delivery_days,
+  round(avg_review_score, 4) AS avg_review_score FROM tested WHERE churn_probability > {LEAD_THRESHOLD}""",
+        "lr_metrics": _with(*trained, AREAS, RATES).replace("WITH", "WITH RECURSIVE", 1) + comparison.replace(", 6)", ", 4)"),
         "churn_by_delay": _with(*rounded, f"banded AS (SELECT *, {BEYOND} AS beyond FROM rounded)")
         + f"""SELECT CASE WHEN beyond > 3 THEN 'late by more than the step' WHEN beyond > 0 THEN 'late within the step'
   WHEN beyond >= -3 THEN 'early within the step' ELSE 'early by more than the step' END AS delay_band,

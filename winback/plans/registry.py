@@ -38,10 +38,10 @@ BASELINE_DATE = dt.datetime(1998, 1, 1)
 PLACES = {"monetary_value": 4}
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    """Round every double: spend to 4 places, the rest to 6."""
+def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """Round every double: spend to 4 places, the rest as asked."""
     doubles = [field.name for field in df.schema if field.dataType.simpleString() == "double"]
-    return df.withColumns({name: F.round(name, PLACES.get(name, 6)) for name in doubles})
+    return df.withColumns({name: F.round(name, PLACES.get(name, places)) for name in doubles})
 
 
 # --- sources ------------------------------------------------------------------------------
@@ -241,7 +241,7 @@ def prob_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prob_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(charts.probability_histogram(_scored_test(spark, folder)))
+    return rounded(charts.probability_histogram(_scored_test(spark, folder)), places=9)
 
 
 def prob_density(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,7 +249,7 @@ def prob_density(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prob_chart(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(charts.probability_chart(_scored_test(spark, folder)))
+    return rounded(charts.probability_chart(_scored_test(spark, folder)), places=9)
 
 
 def high_risk_leads(spark: SparkSession, folder: str) -> DataFrame:
@@ -269,7 +269,7 @@ def risk_tier_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(leads.tier_counts(_scored_test(spark, folder)))
 
 
-# --- trained models -----------------------------------------------------------------------
+# --- trained models (4 places: both engines stop a little short of the optimum) ------------
 
 
 def _logistic(spark: SparkSession, folder: str) -> tuple[prepare.ModelInput, dict]:
@@ -279,22 +279,22 @@ def _logistic(spark: SparkSession, folder: str) -> tuple[prepare.ModelInput, dic
 
 def lr_coefficients(spark: SparkSession, folder: str) -> DataFrame:
     _, fitted = _logistic(spark, folder)
-    return rounded(charts.coefficient_chart(models.get_model_coefficients(models.champion(fitted)), top_n=10))
+    return rounded(charts.coefficient_chart(models.get_model_coefficients(models.champion(fitted)), top_n=10), places=4)
 
 
 def lr_risk_factors(spark: SparkSession, folder: str) -> DataFrame:
     _, fitted = _logistic(spark, folder)
-    return rounded(charts.top_risk_factors(models.get_model_coefficients(models.champion(fitted))))
+    return rounded(charts.top_risk_factors(models.get_model_coefficients(models.champion(fitted))), places=4)
 
 
 def lr_leads(spark: SparkSession, folder: str) -> DataFrame:
     ready, fitted = _logistic(spark, folder)
-    return rounded(leads.generate_leads(models.champion(fitted), ready.test, LEAD_THRESHOLD))
+    return rounded(leads.generate_leads(models.champion(fitted), ready.test, LEAD_THRESHOLD), places=4)
 
 
 def lr_metrics(spark: SparkSession, folder: str) -> DataFrame:
     ready, fitted = _logistic(spark, folder)
-    return rounded(evaluate.evaluate_models(fitted, ready.test))
+    return rounded(evaluate.evaluate_models(fitted, ready.test), places=4)
 
 
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
