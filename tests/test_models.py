@@ -10,7 +10,7 @@ from conftest import TABLES
 from pyspark.sql import functions as F
 
 import winback
-from winback import build_features, load_warehouse, run_pipeline, split_and_scale
+from winback import build_features, load_warehouse, run_churn, split_and_scale
 from winback.functions import risk_tier
 from winback.operators import charts, evaluate, leads, models
 
@@ -87,6 +87,19 @@ def test_all_three_models(spark, ready, fitted):
         models.get_model_coefficients(trained[models.FOREST])
 
 
+def test_a_model_without_probabilities_keeps_its_predictions(ready):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.feature import VectorAssembler
+
+    stages = [
+        VectorAssembler(inputCols=ready.scaled_columns, outputCol="features"),
+        LinearSVC(labelCol="is_churn", maxIter=5),
+    ]
+    row = winback.evaluate_models({"svc": Pipeline(stages=stages).fit(ready.train)}, ready.test).first()
+    assert row["ROC-AUC"] == 0.5 and row["Recall"] > 0.5
+
+
 def test_estimator_settings():
     from winback.operators.prepare import ClassWeights
 
@@ -231,7 +244,7 @@ def test_probability_chart(scored):
 
 
 def test_whole_run(spark, tmp_path):
-    run = run_pipeline(
+    run = run_churn(
         load_warehouse(spark, TABLES), model_names=[models.LOGISTIC], leads_path=str(tmp_path / "leads")
     )
     assert run.churn_report.first()["people"] == 131
@@ -245,3 +258,11 @@ def test_whole_run(spark, tmp_path):
     assert run.roc_chart(100).filter("series = 'chance'").count() == 2
     saved = spark.read.csv(str(tmp_path / "leads"), header=True)
     assert saved.columns[0] == "customer_unique_id" and saved.count() == run.leads.count()
+
+
+def test_command_line(spark, capsys):
+    from winback.__main__ import main
+
+    main([TABLES, "--format", "warehouse", "--models", models.LOGISTIC])
+    printed = capsys.readouterr().out
+    assert "Top leads" in printed and models.LOGISTIC in printed

@@ -124,19 +124,19 @@ def test_stream_scores_equal_the_batch_scores(spark, scoring, tmp_path):
     # the same orders arrive again
     shop.orders.coalesce(1).write.mode("append").parquet(incoming)
     stream = spark.readStream.schema(shop.orders.schema).option("maxFilesPerTrigger", 1).parquet(incoming)
-    score_orders(stream, shop, model, store, lateness="3650 days", availableNow=True).awaitTermination()
+    score_orders(stream, shop, model, store, "3650 days", merge_every=2, availableNow=True).awaitTermination()
+    assert (tmp_path / "store/merged/before_4").is_dir()
     assert scores(spark, store) == expected_scores(shop, model)
 
 
 def test_a_repeated_batch_changes_nothing(spark, scoring, tmp_path):
     shop, model = scoring
     store = str(tmp_path / "store")
-    halves = [shop.orders.filter("order_purchase_timestamp < '2018-01-01'"), shop.orders.filter("order_purchase_timestamp >= '2018-01-01'")]
-    for batch_id, half in enumerate(halves):
-        score_batch(half, batch_id, shop, model, store)
-    first = scores(spark, store)
-    score_batch(halves[1], 1, shop, model, store)
-    assert scores(spark, store) == first == expected_scores(shop, model)
+    batches = [shop.orders.filter(F.substring("order_id", 2, 2) == str(n)) for n in range(1, 10)]
+    for batch_id, orders in enumerate(batches):
+        for _ in range(2):
+            score_batch(orders, batch_id, shop, model, store, merge_every=4)
+    assert scores(spark, store) == expected_scores(shop, model)
 
 
 def test_model_input_of_the_small_shop_is_not_needed_for_scoring(spark, scoring):

@@ -16,7 +16,7 @@ from winback.operators.labels import churn_rate_report, generate_churn_labels
 from winback.operators.leads import generate_leads, tier_counts, top_leads, with_risk_tier
 from winback.operators.models import get_model_coefficients, train_baseline_models
 from winback.operators.prepare import ModelInput, RobustScale, split_and_scale
-from winback.plans.pipeline import ChurnRun, run_pipeline
+from winback.plans.churn_run import ChurnRun, run_churn
 from winback.session import build_session
 from winback.sources import ShopTables, load_and_clean_data, load_tables, load_warehouse, save_tables, write_leads
 
@@ -48,7 +48,7 @@ __all__ = [
     "roc_chart",
     "roc_curve_table",
     "roc_points",
-    "run_pipeline",
+    "run_churn",
     "save_tables",
     "split_and_scale",
     "tier_counts",

@@ -20,14 +20,16 @@ CUTOFF = 0.5
 
 
 def churn_probability(model: PipelineModel, frame: DataFrame) -> DataFrame:
-    """The frame with ``churn_probability``; ids and raw columns stay on their rows."""
+    """The frame with ``churn_probability`` and ``churn_predicted``; ids and raw columns stay on their rows.
+
+    A model that gives no probabilities scores 0 everywhere but keeps its own predictions.
+    """
     scored = model.transform(frame)
-    if "probability" in scored.columns:
-        probability = vector_to_array("probability")[1]
-    else:
-        probability = F.lit(0.0)
-    helpers = ["features", "rawPrediction", "probability", "prediction"]
-    return scored.withColumn("churn_probability", probability).drop(*helpers)
+    has_probability = "probability" in scored.columns
+    probability = vector_to_array("probability")[1] if has_probability else F.lit(0.0)
+    return scored.withColumns(
+        {"churn_probability": probability, "churn_predicted": F.col("prediction").cast("int")}
+    ).drop("features", "rawPrediction", "probability", "prediction")
 
 
 def hard_prediction(probability: Column) -> Column:
@@ -42,7 +44,7 @@ def stack_predictions(models: Mapping[str, PipelineModel], frame: DataFrame, tar
             PERSON,
             F.col(target).alias(TARGET),
             F.col("churn_probability").alias("probability"),
-            hard_prediction(F.col("churn_probability")).alias("predicted"),
+            F.col("churn_predicted").alias("predicted"),
         )
         for name, model in models.items()
     ]
@@ -50,14 +52,22 @@ def stack_predictions(models: Mapping[str, PipelineModel], frame: DataFrame, tar
 
 
 def score_counts(predictions: DataFrame) -> DataFrame:
-    """(model, probability, pos, neg): rows of each class per distinct score.
+    """(model, probability, pos, neg, flagged_pos, flagged_neg): rows of each class per distinct score.
 
     Everything below is read off this table, so the rows are scored and shuffled once however
     many figures are asked for, and a score shared by many rows is one row.
     """
-    return predictions.groupBy("model", "probability").agg(
-        F.count(F.when(F.col(TARGET) == 1, 1)).alias("pos"),
-        F.count(F.when(F.col(TARGET) == 0, 1)).alias("neg"),
+    churned, stayed = F.col(TARGET) == 1, F.col(TARGET) == 0
+    flagged = F.col("predicted") == 1 if "predicted" in predictions.columns else F.col("probability") > CUTOFF
+    return (
+        predictions.filter(F.col("probability").isNotNull())
+        .groupBy("model", "probability")
+        .agg(
+            F.count(F.when(churned, 1)).alias("pos"),
+            F.count(F.when(stayed, 1)).alias("neg"),
+            F.count(F.when(churned & flagged, 1)).alias("flagged_pos"),
+            F.count(F.when(stayed & flagged, 1)).alias("flagged_neg"),
+        )
     )
 
 
@@ -74,20 +84,14 @@ def roc_auc(predictions: DataFrame) -> DataFrame:
 
 
 def _threshold_metrics(counts: DataFrame) -> DataFrame:
-    """(model, recall, precision, f1, accuracy) at the fixed cut-off; undefined ratios are 0."""
-    flagged = F.col("probability") > CUTOFF
+    """(model, recall, precision, f1, accuracy) of the hard predictions; undefined ratios are 0."""
 
     def share(part: Column, whole: Column) -> Column:
         return F.coalesce(ratio(part, whole), F.lit(0.0))
 
-    sums = counts.groupBy("model").agg(
-        F.sum(F.when(flagged, F.col("pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(flagged, F.col("neg")).otherwise(0)).alias("fp"),
-        F.sum("pos").alias("p"),
-        F.sum("neg").alias("n"),
-    )
-    hits, false_alarms, churned, stayed = (F.col(name) for name in ("tp", "fp", "p", "n"))
-    return sums.select(
+    names = ["pos", "neg", "flagged_pos", "flagged_neg"]
+    churned, stayed, hits, false_alarms = (F.col(name) for name in names)
+    return counts.groupBy("model").agg(*[F.sum(name).alias(name) for name in names]).select(
         "model",
         share(hits, churned).alias("recall"),
         share(hits, hits + false_alarms).alias("precision"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from winback.operators.features import FEATURES
 from winback.operators.prepare import SCALED, SEED, TARGET, ClassWeights
+from winback.session import ensure_checkpoint_dir
 
 LOGISTIC = "Logistic Regression"
 FOREST = "Random Forest"
@@ -81,6 +82,7 @@ def train_baseline_models(
     names: Sequence[str] | None = None,
 ) -> dict[str, PipelineModel]:
     """Fit the named models (all three by default) on a frame with scaled features."""
+    ensure_checkpoint_dir(train.sparkSession)
     weights = ClassWeights.fit(train, target)
     estimators = baseline_estimators(weights)
     assembler = VectorAssembler(inputCols=[SCALED + name for name in features], outputCol="features")

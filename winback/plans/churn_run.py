@@ -61,7 +61,7 @@ class ChurnRun:
         return charts.roc_curve_table(self.models, self.model_input.test, score_steps)
 
 
-def run_pipeline(
+def run_churn(
     tables: ShopTables,
     threshold_days: int = DEFAULT_THRESHOLD_DAYS,
     test_size: float = 0.2,

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from winback.functions import logistic, risk_tier
 from winback.operators.features import (
@@ -35,6 +36,7 @@ from winback.session import ensure_checkpoint_dir
 from winback.sources import ShopTables, load_warehouse
 
 ALL_HISTORY = "36500 days"
+MERGE_EVERY = 50
 
 
 @dataclass(frozen=True)
@@ -70,18 +72,56 @@ def distinct_orders(orders: DataFrame, lateness: str) -> DataFrame:
     return timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["order_id"]).drop("event_time")
 
 
-def score_batch(batch: DataFrame, batch_id: int, tables: ShopTables, model: ScoringModel, store: str) -> None:
+def _stored(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
+def _between(spark: SparkSession, schema: StructType, store: str, first: int, last: int) -> DataFrame:
+    """Person sums of the batches first..last."""
+    rows = spark.read.schema(schema).option("basePath", f"{store}/people").parquet(f"{store}/people")
+    return rows.filter(F.col("batch_id").between(first, last)).drop("batch_id")
+
+
+def known_people(spark: SparkSession, schema: StructType, store: str, batch_id: int, merge_every: int) -> DataFrame:
+    """Person sums of all batches up to this one.
+
+    Every ``merge_every`` batches the sums of all earlier ones are merged into one table, so a
+    batch reads that table and at most ``merge_every`` small ones. Which table that is follows
+    from the batch number alone; a repeated batch finds or rewrites the same one.
+    """
+    start = batch_id - batch_id % merge_every
+    recent = _between(spark, schema, store, start, batch_id)
+    if start == 0:
+        return recent
+    merged = f"{store}/merged/before_{start}"
+    if batch_id == start:
+        previous = start - merge_every
+        earlier = _between(spark, schema, store, previous, start - 1)
+        if previous:
+            earlier = earlier.unionByName(_stored(spark, schema, f"{store}/merged/before_{previous}"))
+        merge_people(earlier).write.mode("overwrite").parquet(merged)
+    return recent.unionByName(_stored(spark, schema, merged))
+
+
+def score_batch(
+    batch: DataFrame,
+    batch_id: int,
+    tables: ShopTables,
+    model: ScoringModel,
+    store: str,
+    merge_every: int = MERGE_EVERY,
+) -> None:
     """Store one batch of delivered orders and score the people in it."""
     customers, payments, reviews = tables.require("customers", "payments", "reviews")
     spark = batch.sparkSession
+    # the batch is written first: reading it again must not run the stream's state a second time
     batch.write.mode("overwrite").parquet(f"{store}/orders/batch_id={batch_id}")
-    orders = spark.read.schema(batch.schema).parquet(f"{store}/orders/batch_id={batch_id}")
+    orders = _stored(spark, batch.schema, f"{store}/orders/batch_id={batch_id}")
     partials = person_partials(orders, customers, payments, reviews).filter(F.col(PERSON).isNotNull())
     partials.write.mode("overwrite").parquet(f"{store}/people/batch_id={batch_id}")
-    schema = partials.schema
-    touched = spark.read.schema(schema).parquet(f"{store}/people/batch_id={batch_id}").select(PERSON)
-    known = spark.read.schema(schema).option("basePath", f"{store}/people").parquet(f"{store}/people")
-    people = merge_people(known.filter(F.col("batch_id") <= batch_id).join(touched, PERSON, "left_semi"))
+    touched = _stored(spark, partials.schema, f"{store}/people/batch_id={batch_id}").select(PERSON)
+    known = known_people(spark, partials.schema, store, batch_id, merge_every)
+    people = merge_people(known.join(touched, PERSON, "left_semi"))
     model.score(people).write.mode("overwrite").parquet(f"{store}/scores/batch_id={batch_id}")
 
 
@@ -91,12 +131,13 @@ def score_orders(
     model: ScoringModel,
     store: str,
     lateness: str = "30 days",
+    merge_every: int = MERGE_EVERY,
     **trigger,
 ) -> StreamingQuery:
     """Start scoring a stream of delivered orders into ``store``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch, batch_id, tables, model, store)
+        score_batch(batch, batch_id, tables, model, store, merge_every)
 
     writer = distinct_orders(orders, lateness).writeStream.foreachBatch(handle)
     return (
