@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from winback.functions import moment, whole_days
 from winback.operators.joins import join_to_unique
+from winback.operators.reuse import checkpointed
 
 PERSON = "customer_unique_id"
 DEFAULT_THRESHOLD_DAYS = 280
@@ -65,9 +66,8 @@ def generate_churn_labels(
 
     The snapshot is the newest order of any known account, not today's date.
     """
-    people = last_orders(orders_until(orders, as_of), customers)
-    # the scalar subquery and the main query share the person exchange
-    snapshot = people.agg(F.max("last_order_date")).scalar()
+    people = checkpointed(last_orders(orders_until(orders, as_of), customers))
+    snapshot = moment(people.agg(F.max("last_order_date")).first()[0])
     return label_people(people.filter(F.col(PERSON).isNotNull()), snapshot, threshold_days)
 
 

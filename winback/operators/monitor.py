@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winback.functions import id_hash, whole_days
+from winback.functions import id_hash, ratio, whole_days
 from winback.operators.labels import PERSON
 from winback.operators.quantiles import bucket_of, exact_quantiles
 
@@ -88,18 +88,18 @@ def delivery_windows(orders: DataFrame, width: str = "30 days") -> DataFrame:
 
     ``over_average`` is the window's mean over the mean of all deliveries; a sudden rise shows there.
     """
-    rows = delivery_rows(orders)
-    overall = rows.agg(F.avg("delivery_days")).scalar()
-    return (
-        rows.groupBy(F.window("order_purchase_timestamp", width).alias("span"))
-        .agg(F.count(F.lit(1)).alias("deliveries"), F.avg("delivery_days").alias("mean_delivery_days"))
-        .select(
-            F.col("span.start").alias("window_start"),
-            "deliveries",
-            "mean_delivery_days",
-            F.try_divide(F.col("mean_delivery_days"), overall).alias("over_average"),
-        )
+    windows = (
+        delivery_rows(orders)
+        .groupBy(F.window("order_purchase_timestamp", width).alias("span"))
+        .agg(F.count(F.lit(1)).alias("deliveries"), F.sum("delivery_days").alias("days"))
     )
+    # from the windows, not from the orders: both read the same shuffle
+    overall = windows.agg(ratio(F.sum("days"), F.sum("deliveries"))).scalar()
+    return windows.select(
+        F.col("span.start").alias("window_start"),
+        "deliveries",
+        ratio(F.col("days"), F.col("deliveries")).alias("mean_delivery_days"),
+    ).withColumn("over_average", F.try_divide(F.col("mean_delivery_days"), overall))
 
 
 def with_arm(people: DataFrame, experiment: str, treated_share: float = 0.5, id_column: str = PERSON) -> DataFrame:

@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 from winback.sources.schemas import ShopTables
 from winback.sources.shop_csv import SCHEMAS, delivered
 
+# Columns of the star-schema tables that are read.
+WAREHOUSE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double",
+    "events": "event_id bigint",
+}
+
 
 def save_tables(tables: ShopTables, path: str) -> None:
     """Write every loaded table as parquet: one conversion, then splittable and column-pruned scans."""
@@ -31,7 +40,11 @@ def load_tables(spark: SparkSession, path: str) -> ShopTables:
 
 
 def warehouse_orders(spark: SparkSession, directory: str, delivered_only: bool = False) -> DataFrame:
-    return map_warehouse_orders(spark.read.parquet(f"{directory}/orders.parquet"), delivered_only)
+    return map_warehouse_orders(read_warehouse(spark, directory, "orders"), delivered_only)
+
+
+def read_warehouse(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    return spark.read.schema(WAREHOUSE_SCHEMAS[name]).parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
 def map_warehouse_orders(stored: DataFrame, delivered_only: bool = False) -> DataFrame:
@@ -60,27 +73,22 @@ def map_warehouse_orders(stored: DataFrame, delivered_only: bool = False) -> Dat
 
 def load_warehouse(spark: SparkSession, directory: str) -> ShopTables:
     """Map the star-schema tables of ``directory`` onto the shop's tables."""
-    directory = directory.rstrip("/")
-
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{directory}/{name}.parquet")
-
     account = F.col("c_custkey")
     customers = (
-        read("customer")
-        .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        read_warehouse(spark, directory, "customer")
+        .join(read_warehouse(spark, directory, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(
             account.alias("customer_id"),
             F.when(account % 10 == 1, account - 1).otherwise(account).alias("customer_unique_id"),
             F.col("n_name").alias("customer_state"),
         )
     )
-    payments = read("lineitem").select(
+    payments = read_warehouse(spark, directory, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("bigint").alias("payment_installments"),
         F.col("l_extendedprice").alias("payment_value"),
     )
-    reviews = read("events").select(
+    reviews = read_warehouse(spark, directory, "events").select(
         F.col("event_id").alias("order_id"),
         (1 + (F.col("event_id") * 7) % 5).alias("review_score"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from winback.operators.monitor import delivery_rows
 from winback.session import ensure_checkpoint_dir
-from winback.sources.parquet_tables import map_warehouse_orders
+from winback.sources.parquet_tables import WAREHOUSE_SCHEMAS, map_warehouse_orders
 
 
 def delivery_window_stream(orders: DataFrame, width: str = "30 days", lateness: str = "90 days") -> DataFrame:
@@ -47,8 +47,7 @@ def keep_current_windows(windows: DataFrame, table: str, checkpoint: str, **trig
 def replay_delivery_windows(spark: SparkSession, folder: str, width: str = "30 days") -> DataFrame:
     """Stream the stored orders through the windows once and return the table."""
     work = f"{ensure_checkpoint_dir(spark)}/delivery-windows-{uuid.uuid4().hex}"
-    schema = spark.read.parquet(f"{folder}/orders.parquet").schema
-    stored = spark.readStream.schema(schema).parquet(f"{folder}/orders.parquet*")
+    stored = spark.readStream.schema(WAREHOUSE_SCHEMAS["orders"]).parquet(f"{folder}/orders.parquet*")
     orders = map_warehouse_orders(stored, delivered_only=True)
     stream = keep_current_windows(
         delivery_window_stream(orders, width), f"{work}/windows", f"{work}/progress", availableNow=True
