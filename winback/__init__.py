@@ -18,7 +18,14 @@ from winback.operators.models import get_model_coefficients, train_baseline_mode
 from winback.operators.prepare import ModelInput, RobustScale, split_and_scale
 from winback.plans.churn_run import ChurnRun, run_churn
 from winback.session import build_session
-from winback.sources import ShopTables, load_and_clean_data, load_tables, load_warehouse, save_tables, write_leads
+from winback.sources import (
+    ShopTables,
+    load_and_clean_data,
+    load_tables,
+    load_warehouse,
+    save_tables,
+    write_leads,
+)
 
 __all__ = [
     "ChurnRun",

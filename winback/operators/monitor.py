@@ -65,7 +65,7 @@ def feature_drift_psi(
     old_total, new_total = baseline.agg(F.count(F.lit(1))).scalar(), current.agg(F.count(F.lit(1))).scalar()
 
     def share(count: str, total: Column) -> Column:
-        return F.greatest(F.coalesce(F.try_divide(F.col(count).cast("double"), total), F.lit(0.0)), F.lit(SMALLEST_SHARE))
+        return F.greatest(F.coalesce(ratio(F.col(count), total), F.lit(0.0)), F.lit(SMALLEST_SHARE))
 
     return (
         counts.withColumn("p", share("old", old_total))

@@ -67,7 +67,8 @@ def _brackets(tall: DataFrame, probs: Sequence[float], accuracy: int, widen: flo
 
 
 BRACKET_SCHEMA = (
-    "grp string, feature string, prob double, rows bigint, rank bigint, next_rank bigint, part double, low double, high double"
+    "grp string, feature string, prob double, rows bigint, rank bigint, next_rank bigint,"
+    " part double, low double, high double"
 )
 
 

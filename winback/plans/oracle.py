@@ -7,7 +7,14 @@ joined and grouped separately, quantiles and running sums use the other engine's
 from __future__ import annotations
 
 from winback.plans import registry
-from winback.plans.registry import BASELINE_DATE, FIXED_INTERCEPT, FIXED_WEIGHTS, LEAD_THRESHOLD, SECOND_INTERCEPT, SECOND_WEIGHTS
+from winback.plans.registry import (
+    BASELINE_DATE,
+    FIXED_INTERCEPT,
+    FIXED_WEIGHTS,
+    LEAD_THRESHOLD,
+    SECOND_INTERCEPT,
+    SECOND_WEIGHTS,
+)
 
 FEATURES = ["frequency", "avg_delivery_days", "monetary_value", "avg_installments", "avg_review_score", "has_review"]
 DAY = "86400000000.0"
@@ -429,6 +436,9 @@ FROM coefficients WHERE c > 0 ORDER BY abs(c) DESC LIMIT 5""",
         + f"""SELECT customer_unique_id, round(churn_probability, 4) AS churn_probability, frequency,
   round(monetary_value, 4) AS monetary_value, round(avg_delivery_days, 4) AS avg_delivery_days,
   round(avg_review_score, 4) AS avg_review_score FROM tested WHERE churn_probability > {LEAD_THRESHOLD}""",
+        "lr_prob_stats": _with(*trained).replace("WITH", "WITH RECURSIVE", 1)
+        + """SELECT count(*) AS people, round(max(churn_probability), 4) AS max_probability,
+  round(avg(churn_probability), 4) AS mean_probability FROM tested""",
         "lr_metrics": _with(*trained, AREAS, RATES).replace("WITH", "WITH RECURSIVE", 1) + comparison.replace(", 6)", ", 4)"),
         "churn_by_delay": _with(*rounded, f"banded AS (SELECT *, {BEYOND} AS beyond FROM rounded)")
         + f"""SELECT CASE WHEN beyond > 3 THEN 'late by more than the step' WHEN beyond > 0 THEN 'late within the step'
@@ -469,6 +479,8 @@ totals AS (
   round(r_t - r_c, 6) AS uplift, round((r_t - r_c) / sqrt(pooled * (1 - pooled) * (1.0 / n_t + 1.0 / n_c)), 6) AS z_score
 FROM totals""",
     }
+    sql["features_from_csv"] = sql["customer_features"]
+    sql["churn_run_leads"] = sql["lr_leads"]
     unknown = sql.keys() - registry.QUERIES.keys()
     if unknown:
         raise KeyError(f"oracle without a query: {sorted(unknown)}")

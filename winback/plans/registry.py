@@ -8,6 +8,7 @@ they can be checked exactly without training.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from winback.functions import logistic, safe_timestamp, whole_days
 from winback.operators import charts, evaluate, features, insights, labels, leads, models, monitor, prepare
 from winback.operators.labels import PERSON
 from winback.operators.reuse import checkpointed
-from winback.sources import ShopTables, load_warehouse, warehouse_orders
+from winback.plans.churn_run import run_churn
+from winback.session import ensure_checkpoint_dir
+from winback.sources import load_and_clean_data, load_warehouse, warehouse_orders
 from winback.streaming.deliveries import replay_delivery_windows
 from winback.streaming.scoring import replay_scoring
 
@@ -136,6 +139,29 @@ def features_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(features.build_features(load_warehouse(spark, folder), as_of=BASELINE_DATE))
 
 
+def features_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature table by way of CSV files: headers, text dates, words for missing values."""
+    tables = load_warehouse(spark, folder)
+    work = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    arrived = F.date_format("order_delivered_customer_date", "yyyy-MM-dd HH:mm:ss")
+    unknown = F.lit(None).cast("string")
+    orders = warehouse_orders(spark, folder).withColumns(
+        {
+            "order_purchase_timestamp": F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss"),
+            "order_delivered_customer_date": F.coalesce(arrived, F.lit("no date")),
+            "order_approved_at": unknown,
+            "order_delivered_carrier_date": F.lit("NaN"),
+            "order_estimated_delivery_date": F.lit("1998-02-30 00:00:00"),
+        }
+    )
+    reviews = tables.reviews.withColumn("review_comment_message", F.lit('first line\nsecond "line", end'))
+    files = {"customers": tables.customers, "orders": orders, "order_payments": tables.payments, "order_reviews": reviews}
+    for name, table in files.items():
+        table.write.csv(f"{work}/shop_{name}_dataset.csv", header=True, escape='"')
+    built = features.build_features(load_and_clean_data(spark, work))
+    return rounded(built.withColumn(PERSON, F.col(PERSON).cast("bigint")))
+
+
 # --- preparation --------------------------------------------------------------------------
 
 
@@ -297,6 +323,17 @@ def lr_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(evaluate.evaluate_models(fitted, ready.test), places=4)
 
 
+def lr_prob_stats(spark: SparkSession, folder: str) -> DataFrame:
+    ready, fitted = _logistic(spark, folder)
+    return rounded(charts.probability_stats(evaluate.churn_probability(models.champion(fitted), ready.test)), places=4)
+
+
+def churn_run_leads(spark: SparkSession, folder: str) -> DataFrame:
+    """The lead list of the whole run, training the champion alone."""
+    run = run_churn(load_warehouse(spark, folder), model_names=[models.CHAMPION])
+    return rounded(run.leads, places=4)
+
+
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     ready = prepare.split_and_scale(checkpointed(_features(spark, folder)))
     return rounded(evaluate.evaluate_models(models.train_baseline_models(ready.train), ready.test))
@@ -331,7 +368,8 @@ def delivery_windows(spark: SparkSession, folder: str) -> DataFrame:
 def ab_uplift(spark: SparkSession, folder: str) -> DataFrame:
     """Arms among the people at risk; staying active counts as converted."""
     people = _scored(spark, folder).filter(F.col("churn_probability") > 0.5)
-    return rounded(monitor.ab_uplift(monitor.with_arm(people, "winback").withColumn("converted", 1 - F.col("is_churn"))))
+    armed = monitor.with_arm(people, "winback").withColumn("converted", 1 - F.col("is_churn"))
+    return rounded(monitor.ab_uplift(armed))
 
 
 # --- streams, replayed from the stored tables ---------------------------------------------
@@ -363,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         customer_features,
         customer_features_joined_labels,
         features_as_of,
+        features_from_csv,
         repeat_buyers,
         row_counts,
         stratified_split,
@@ -390,6 +429,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lr_risk_factors,
         lr_leads,
         lr_metrics,
+        lr_prob_stats,
+        churn_run_leads,
         model_comparison,
         churn_by_delay,
         churn_by_review,

@@ -12,6 +12,8 @@ from winback.operators.monitor import delivery_rows
 from winback.session import ensure_checkpoint_dir
 from winback.sources.parquet_tables import WAREHOUSE_SCHEMAS, map_warehouse_orders
 
+EVERY_MINUTE = {"processingTime": "1 minute"}
+
 
 def delivery_window_stream(orders: DataFrame, width: str = "30 days", lateness: str = "90 days") -> DataFrame:
     """Windowed mean delivery days of a stream of orders, by purchase date.
@@ -31,7 +33,7 @@ def delivery_window_stream(orders: DataFrame, width: str = "30 days", lateness:
 def watch_deliveries(windows: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append closed windows to a parquet table; the file sink commits each batch once."""
     writer = windows.writeStream.outputMode("append").format("parquet").option("path", table)
-    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})).start()
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY_MINUTE)).start()
 
 
 def keep_current_windows(windows: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -41,7 +43,7 @@ def keep_current_windows(windows: DataFrame, table: str, checkpoint: str, **trig
         batch.write.mode("overwrite").parquet(table)
 
     writer = windows.writeStream.outputMode("complete").foreachBatch(rewrite)
-    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})).start()
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY_MINUTE)).start()
 
 
 def replay_delivery_windows(spark: SparkSession, folder: str, width: str = "30 days") -> DataFrame:

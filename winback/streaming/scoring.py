@@ -34,6 +34,7 @@ from winback.operators.prepare import SCALED, RobustScale, repeat_buyers, split_
 from winback.operators.reuse import checkpointed
 from winback.session import ensure_checkpoint_dir
 from winback.sources import ShopTables, load_warehouse
+from winback.streaming.deliveries import EVERY_MINUTE
 
 ALL_HISTORY = "36500 days"
 MERGE_EVERY = 50
@@ -142,7 +143,7 @@ def score_orders(
     writer = distinct_orders(orders, lateness).writeStream.foreachBatch(handle)
     return (
         writer.option("checkpointLocation", f"{store}/progress")
-        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .trigger(**(trigger or EVERY_MINUTE))
         .start()
     )
 
