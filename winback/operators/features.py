@@ -242,6 +242,30 @@ def impute(people: DataFrame, summary: StateSummary) -> DataFrame:
     )
 
 
+def people_table(tables: ShopTables, as_of: dt.datetime | None = None) -> DataFrame:
+    """Unfilled features, state and last order per person, computed once and stored.
+
+    Includes the null person, who counts for the snapshot only.
+    """
+    orders, customers, payments, reviews = tables.require("orders", "customers", "payments", "reviews")
+    rollup = person_rollup(orders_until(orders, as_of), customers, payments, reviews)
+    return person_averages(checkpointed(rollup.drop("payment_rows", "review_rows")))
+
+
+def labels_of(people: DataFrame, summary: StateSummary, threshold_days: int = DEFAULT_THRESHOLD_DAYS) -> DataFrame:
+    """The people with recency and is_churn, without another pass over the orders."""
+    return label_people(_named(people), moment(summary.newest_order), threshold_days)
+
+
+def _finished(labelled: DataFrame, summary: StateSummary) -> DataFrame:
+    return impute(labelled, summary).select(PERSON, *FEATURES[:-1], "is_churn", "recency", "has_review")
+
+
+def features_of(people: DataFrame, summary: StateSummary, threshold_days: int = DEFAULT_THRESHOLD_DAYS) -> DataFrame:
+    """The feature table of stored people."""
+    return _finished(labels_of(people, summary, threshold_days), summary)
+
+
 def build_features(
     tables: ShopTables,
     labels: DataFrame | None = None,
@@ -251,15 +275,10 @@ def build_features(
     """The feature table.
 
     Without ``labels`` they come from the same pass over the orders; labels made elsewhere are
-    joined on the person and people they leave out disappear.
+    joined on the person, and people they leave out disappear before any mean is taken.
     """
-    orders, customers, payments, reviews = tables.require("orders", "customers", "payments", "reviews")
-    rollup = person_rollup(orders_until(orders, as_of), customers, payments, reviews)
-    people = person_averages(checkpointed(rollup.drop("payment_rows", "review_rows")))
+    people = people_table(tables, as_of)
     if labels is None:
-        summary = state_summary(people)
-        labelled = label_people(_named(people), moment(summary.newest_order), threshold_days)
-    else:
-        labelled = people.join(labels.select(PERSON, "is_churn", "recency"), PERSON)
-        summary = state_summary(labelled)
-    return impute(labelled, summary).select(PERSON, *FEATURES[:-1], "is_churn", "recency", "has_review")
+        return features_of(people, state_summary(people), threshold_days)
+    labelled = people.join(labels.select(PERSON, "is_churn", "recency"), PERSON)
+    return _finished(labelled, state_summary(labelled))

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 
 from winback.operators import charts
 from winback.operators.evaluate import churn_probability, evaluate_predictions, stack_predictions
-from winback.operators.features import build_features
-from winback.operators.labels import DEFAULT_THRESHOLD_DAYS, churn_rate_report, generate_churn_labels
+from winback.operators.features import features_of, labels_of, people_table, state_summary
+from winback.operators.labels import DEFAULT_THRESHOLD_DAYS, PERSON, churn_rate_report
 from winback.operators.leads import high_risk, ranked, top_leads
 from winback.operators.models import CHAMPION, champion, get_model_coefficients, train_baseline_models
 from winback.operators.prepare import ModelInput, row_counts, split_and_scale
@@ -76,9 +76,10 @@ def run_churn(
 
     The lead list is made from the test part, as the stand-in for today's customers.
     """
-    orders, customers = tables.require("orders", "customers")
-    labels = generate_churn_labels(orders, customers, threshold_days, as_of)
-    features = checkpointed(build_features(tables, threshold_days=threshold_days, as_of=as_of))
+    people = people_table(tables, as_of)
+    summary = state_summary(people)
+    labels = labels_of(people, summary, threshold_days).select(PERSON, "last_order_date", "recency", "is_churn")
+    features = checkpointed(features_of(people, summary, threshold_days))
     model_input = split_and_scale(features, test_size=test_size)
     models = train_baseline_models(model_input.train, names=model_names)
     comparison = evaluate_predictions(stack_predictions(models, model_input.test))

@@ -21,12 +21,12 @@ from winback.functions import logistic, risk_tier
 from winback.operators.features import (
     FEATURES,
     StateSummary,
-    build_features,
+    features_of,
     impute,
     merge_people,
+    people_table,
     person_averages,
     person_partials,
-    person_rollup,
     state_summary,
 )
 from winback.operators.labels import PERSON
@@ -36,7 +36,6 @@ from winback.session import ensure_checkpoint_dir
 from winback.sources import ShopTables, load_warehouse
 from winback.streaming.deliveries import EVERY_MINUTE
 
-ALL_HISTORY = "36500 days"
 MERGE_EVERY = 50
 
 
@@ -131,16 +130,21 @@ def score_orders(
     tables: ShopTables,
     model: ScoringModel,
     store: str,
-    lateness: str = "30 days",
+    lateness: str | None = "30 days",
     merge_every: int = MERGE_EVERY,
     **trigger,
 ) -> StreamingQuery:
-    """Start scoring a stream of delivered orders into ``store``."""
+    """Start scoring a stream of delivered orders into ``store``.
+
+    Orders that arrive again inside ``lateness`` are dropped; without it the source is trusted to
+    send each order once and the stream keeps no ids.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         score_batch(batch, batch_id, tables, model, store, merge_every)
 
-    writer = distinct_orders(orders, lateness).writeStream.foreachBatch(handle)
+    once = distinct_orders(orders, lateness) if lateness else orders
+    writer = once.writeStream.foreachBatch(handle)
     return (
         writer.option("checkpointLocation", f"{store}/progress")
         .trigger(**(trigger or EVERY_MINUTE))
@@ -162,14 +166,18 @@ def replay_scoring(
     """Fit on the stored tables, stream their orders in batches by date, return the newest scores."""
     tables = load_warehouse(spark, folder)
     work = f"{ensure_checkpoint_dir(spark)}/scoring-{uuid.uuid4().hex}"
-    ready = split_and_scale(checkpointed(build_features(tables)))
-    people = person_averages(person_rollup(tables.orders, tables.customers, tables.payments, tables.reviews))
-    model = ScoringModel(state_summary(people), ready.scaler, linear_score(weights, intercept))
-    ordered = tables.orders.repartitionByRange(batches, "order_purchase_timestamp")
+    people = people_table(tables)
+    summary = state_summary(people)
+    ready = split_and_scale(checkpointed(features_of(people, summary)))
+    model = ScoringModel(summary, ready.scaler, linear_score(weights, intercept))
+    # files by date, as many as a shuffle has parts; the id splits a crowded moment
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = tables.orders.repartitionByRange(parts, "order_purchase_timestamp", "order_id")
     ordered.write.parquet(f"{work}/incoming")
-    incoming = (
-        spark.readStream.schema(tables.orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/incoming")
+    files = len(spark.read.schema(tables.orders.schema).parquet(f"{work}/incoming").inputFiles())
+    incoming = spark.readStream.schema(tables.orders.schema).option("maxFilesPerTrigger", -(-files // batches))
+    stream = score_orders(
+        incoming.parquet(f"{work}/incoming"), tables, model, f"{work}/store", lateness=None, availableNow=True
     )
-    stream = score_orders(incoming, tables, model, f"{work}/store", lateness=ALL_HISTORY, availableNow=True)
     stream.awaitTermination()
     return latest_scores(spark, f"{work}/store").select(PERSON, "frequency", "churn_probability", "risk_tier")
