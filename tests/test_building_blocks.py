@@ -90,6 +90,7 @@ def test_scaler_interpolates_and_leaves_a_flat_feature_unscaled(spark):
     df = spark.createDataFrame([(float(v), 2.0) for v in (1, 2, 3, 4)], "a double, b double")
     scaler = RobustScale.fit(df, ["a", "b"])
     assert (scaler.medians, scaler.ranges) == ({"a": 2.5, "b": 2.0}, {"a": 1.5, "b": 0.0})
+    assert RobustScale({"a": 1.0}, {"a": 1e-16}).scale_of("a") == 1.0
     scaled = scaler.transform(spark.createDataFrame([(4.0, 9.0)], "a double, b double")).first()
     assert (scaled["scaled_a"], scaled["scaled_b"]) == (1.0, 7.0)
 

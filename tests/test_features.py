@@ -36,6 +36,17 @@ def test_labels_that_leave_people_out_drop_them_before_means(shop):
     assert rows["U3"][1] == pytest.approx((6.5 - 1 + 2.75) / 3)
 
 
+def test_states_too_many_to_broadcast(spark, shop):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = build_features(shop)
+        assert "Broadcast" not in plan_of(df)
+        assert feature_rows(df) == EXPECTED_FEATURES
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("partitions", [1, 7, 50])
 def test_row_order_and_partitions_do_not_matter(spark, partitions):
     tables = shop_tables(spark, CUSTOMERS[::-1], ORDERS[::-1], PAYMENTS[::-1], REVIEWS[::-1])

@@ -49,6 +49,7 @@ def random_forest(seed: int = SEED) -> RandomForestClassifier:
         weightCol=BALANCED_WEIGHT,
         numTrees=100,
         maxDepth=8,
+        maxBins=128,
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
@@ -61,6 +62,7 @@ def boosted_trees(seed: int = SEED) -> GBTClassifier:
         weightCol=POSITIVE_WEIGHT,
         maxIter=100,
         maxDepth=5,
+        maxBins=256,
         stepSize=0.05,
         checkpointInterval=10,
         seed=seed,

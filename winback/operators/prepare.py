@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,8 @@ from winback.operators.quantiles import exact_quantiles
 TARGET = "is_churn"
 SEED = 42
 SCALED = "scaled_"
+# ranges below this are rounding noise
+NO_SPREAD = 10 * sys.float_info.epsilon
 
 
 def repeat_buyers(features: DataFrame, min_orders: int = 2) -> DataFrame:
@@ -68,7 +71,7 @@ class RobustScale:
 
     def scale_of(self, name: str) -> float:
         """What a feature is divided by: its range, or 1 for a feature without spread."""
-        return self.ranges[name] or 1.0
+        return self.ranges[name] if self.ranges[name] >= NO_SPREAD else 1.0
 
     def scaled(self, name: str) -> Column:
         return (F.col(name) - F.lit(self.medians[name])) / F.lit(self.scale_of(name))

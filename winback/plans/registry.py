@@ -74,7 +74,7 @@ def safe_timestamps(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 5 == 0, "not a date")
         .when(key % 11 == 0, "1997-13-45 00:00:00")
         .when(key % 13 == 0, "")
-        .otherwise(F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.col("order_purchase_timestamp").cast("string"))
     )
     return warehouse_orders(spark, folder).select(key, safe_timestamp(text).alias("purchased_at"))
 
@@ -143,11 +143,11 @@ def features_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The feature table by way of CSV files: headers, text dates, words for missing values."""
     tables = load_warehouse(spark, folder)
     work = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
-    arrived = F.date_format("order_delivered_customer_date", "yyyy-MM-dd HH:mm:ss")
+    arrived = F.col("order_delivered_customer_date").cast("string")
     unknown = F.lit(None).cast("string")
     orders = warehouse_orders(spark, folder).withColumns(
         {
-            "order_purchase_timestamp": F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss"),
+            "order_purchase_timestamp": F.col("order_purchase_timestamp").cast("string"),
             "order_delivered_customer_date": F.coalesce(arrived, F.lit("no date")),
             "order_approved_at": unknown,
             "order_delivered_carrier_date": F.lit("NaN"),
