@@ -8,6 +8,8 @@ from compare import connect, difference
 from conftest import TABLES
 
 import __spark_entry__ as driver
+from winback.plans.oracle import oracle_queries
+from winback.plans.registry import QUERIES
 
 SLOW = {"model_comparison"}
 ROWS_ONLY = {"model_comparison"}
@@ -19,12 +21,13 @@ def duck() -> duckdb.DuckDBPyConnection:
 
 
 def test_every_query_but_the_tree_models_has_an_oracle():
-    assert driver.queries().keys() - driver.oracle_sql().keys() == ROWS_ONLY
+    assert QUERIES.keys() - oracle_queries().keys() == ROWS_ONLY
+    assert QUERIES.keys() <= driver.queries().keys() and oracle_queries().keys() <= driver.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries().keys() - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - SLOW))
 def test_query_matches_the_oracle(spark, duck, name):
-    assert difference(driver.queries()[name](spark, TABLES), duck, driver.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, TABLES), duck, oracle_queries()[name]) is None
 
 
 def test_entry(spark):
