@@ -1,0 +1,142 @@
+"""Secret scan and fingerprints against plain versions."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from conftest import TABLES
+
+from winback.llm import fingerprints, secrets
+from winback.llm.queries import QUERIES
+
+DOCS = "doc_id bigint, text string, spans int, fingerprint int, `range` int, is_next int"
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(*row, 1, 2, 3, 4) for row in rows], DOCS).repartition(3)
+
+
+# --- secrets --------------------------------------------------------------------------------
+
+
+def plain_base(text):
+    """The three patterns as they are stated: match, then drop what is too short."""
+    assign = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [("assign", m.start(), m.end()) for m in re.finditer(assign, text) if len(m[2]) >= 6]
+    found += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    return found + [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+
+
+SECRET_TEXTS = [
+    "password=abcdef", "PassWord : 'abc12'", "secret=token: abcdefgh", "api_key=\"x.y/z+1=\"", "toKen=ABCDEF", "ſecret=abcdef",
+    "AKIAAKIA" + "A" * 12, "AKIA" + "Z" * 15, "xAKIA" + "9" * 16 + "a", "a" * 23, "a" * 24, "g" + "0f" * 30 + "G", "é" * 5 + "passwd==abcdefg",
+    "password" + " " * 50_000 + "=abcdef", "", None, "secret=abcdef\x00secret:abcdef", "deadbeef" * 4000,
+]
+
+
+def test_base_spans(spark):
+    random.seed(5)
+    bits = ["password", "token", "=", ":", " ", "'", "AKIA", "A1B2", "abc", "deadbeef0123", "x", "\n", "é", "API_KEY", "apikey", "secret"]
+    texts = SECRET_TEXTS + ["".join(random.choices(bits, k=random.randint(1, 40))) for _ in range(600)]
+    got = {row["doc_id"]: row["spans"] for row in secrets.find_secrets(docs_of(spark, enumerate(texts))).collect()}
+    for i, text in enumerate(texts):
+        base = [tuple(span) for span in got[i] if span["kind"] in secrets.BASE_KINDS]
+        assert base == sorted(plain_base(text or ""), key=lambda s: (s[1], secrets.KIND_ORDER[s[0]])), text
+
+
+def plain_high(text, limit, window):
+    marks = set()
+    for at in range(len(text) - window + 1):
+        part = text[at : at + window]
+        entropy = -sum(part.count(c) / window * math.log2(part.count(c) / window) for c in set(part))
+        if entropy >= limit - 1e-9:
+            marks |= set(range(at, at + window))
+    edges = sorted(marks)
+    return [(a, b + 1) for a, b in zip([x for x in edges if x - 1 not in marks], [x for x in edges if x + 1 not in marks], strict=True)]
+
+
+def test_entropy_windows():
+    random.seed(6)
+    for _ in range(300):
+        text = "".join(random.choices("abcdef0123", k=random.randint(0, 50))) + "z" * random.randint(0, 30) + "".join(random.choices("0123456789abcdef", k=25))
+        mine, plain = secrets.high_windows(text, 3.0), plain_high(text, 3.0, 20)
+        # windows that only touch form one span in both
+        assert set().union(*[range(*span) for span in mine]) == set().union(*[range(*span) for span in plain])
+
+
+def test_entropy_and_allow_list():
+    key = "wJalrXUtnFEMI7K9MDENG8bPxRfi"
+    kinds = lambda text, **allow: [s[0] for s in secrets.find_spans(text, secrets.AllowList(**allow))]
+    assert kinds(f"so {key} it") == ["entropy_alnum"]
+    assert kinds(f"so {key} it", strings=frozenset([key])) == []
+    assert kinds(f"https://x.org/a/{key}") == [] and kinds("1b4e28ba-2fa1-11d2-883f-0016d3cca427") == []
+    assert kinds("thisisaverylongwordwithoutanydigits") == [] and kinds("31-7_" * 12) == [] and kinds("Q1" * 40) == []
+    assert kinds(f"token={key}") == ["assign"]
+    assert kinds("ABCDEF0123456789ABCDEF98") == ["entropy_hex"]
+
+
+# --- fingerprints ---------------------------------------------------------------------------
+
+
+def test_span_equality_and_common_extension():
+    random.seed(7)
+    for _ in range(200):
+        a, b = ("".join(random.choices("abé😀", k=random.randint(0, 40))) for _ in range(2))
+        b = b + a[5:30] + b
+        ha, hb = fingerprints.PrefixHash.of(a), fingerprints.PrefixHash.of(b)
+        i, j = random.randint(0, len(a)), random.randint(0, len(b))
+        plain = next((k for k, (x, y) in enumerate(zip(a[i:], b[j:])) if x != y), min(len(a) - i, len(b) - j))
+        assert fingerprints.common_extension(ha, i, hb, j) == plain
+        joined = fingerprints.PrefixHash.of(a[:i] + b[:j])
+        assert all(np.array_equal(x, y) for x, y in zip(ha.followed_by(hb, i, j).sums, joined.sums, strict=True))
+        assert fingerprints.fingerprint(ha.followed_by(hb, i, j)) == fingerprints.fingerprint(joined)
+
+
+def plain_fingerprints(rows):
+    order = sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0))
+    for at, (doc_id, text) in enumerate(order):
+        text, after = text or "", order[(at + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        prints = [fingerprints.fingerprint(fingerprints.PrefixHash.of(t)) for t in (text, edited, after)]
+        yield (doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), prints[0], prints[1],
+               fingerprints.likeness(prints[0], prints[1]), fingerprints.likeness(prints[0], prints[2]))
+
+
+def by_row(rows):
+    return sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0, row[2]))
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 300])
+def test_edited_texts_against_a_plain_loop(spark, count):
+    random.seed(count)
+    rows = [(i * 7 % 1009, "".join(random.choices("ab é😀\n", k=random.choice([0, 1, 2, 17, 400])))) for i in range(count)]
+    if count == 300:
+        rows += [(2000, "x" * 100_000), (2001, None), (None, "no id"), (-5, "low")]
+    got = [tuple(row) for row in fingerprints.compare_with_next(docs_of(spark, rows)).collect()]
+    assert by_row(got) == by_row(plain_fingerprints(rows))
+
+
+def test_repeated_rows_are_all_told(spark):
+    rows = [(1, "same text here")] * 50 + [(2, "other")]
+    got = fingerprints.compare_with_next(docs_of(spark, rows)).collect()
+    assert len(got) == 51 and len({row["fingerprint"] for row in got}) == 2
+    assert sorted(row["near_next"] for row in got)[2:] == [1.0] * 49
+
+
+def test_likeness_tells_edited_texts_from_others(spark):
+    rows = QUERIES["op3_fingerprints"](spark, TABLES).collect()
+    assert len(rows) == 200
+    halves = [row["near_edited"] for row in rows if row["n_chars"] >= 200]
+    assert min(halves) > 0.4 and sum(halves) / len(halves) < 0.6
+    assert sorted(row["near_next"] for row in rows)[len(rows) * 3 // 4] < 0.1
+    a = " ".join(f"word{i * i % 977}" for i in range(2000))
+    b = a.replace("word16 ", "w ").replace("word900 ", "changed ")
+    prints = [fingerprints.fingerprint(fingerprints.PrefixHash.of(t)) for t in (a, b, a[::-1], "")]
+    assert fingerprints.likeness(prints[0], prints[1]) > 0.8 > 0.1 > fingerprints.likeness(prints[0], prints[2])
+    assert fingerprints.likeness(prints[0], prints[3]) == 0 and fingerprints.likeness(prints[3], prints[3]) == 1

@@ -74,3 +74,8 @@ def bounds_at_or_below(bounds: Sequence[Column], values: Sequence[Column], count
     start = F.struct(F.lit(0).alias("low"), F.lit(count).alias("high"))
     steps = F.sequence(F.lit(1), F.lit(count.bit_length() + 1))
     return F.aggregate(steps, start, step, lambda state: state["low"])
+
+
+def id_and_text() -> list[Column]:
+    """doc_id and text (null: empty), whatever other columns a table has."""
+    return [F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import exact_dedup, sharding, url_filter
+from winback.llm import exact_dedup, fingerprints, secrets, sharding, url_filter
 from winback.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.rule_frame(spark, url_filter.RULES))
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, folder, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     judged = exact_dedup.deduplicate(docs, exact_dedup.DigestIndex.scratch(spark))
@@ -28,8 +32,26 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def spans_of_kinds(*kinds: str) -> Column:
+    return F.filter("spans", lambda span: span["kind"].isin(*kinds))
+
+
+def told(spans: Column) -> Column:
+    """kind:start:end of each span, joined by commas."""
+    return F.concat_ws(",", F.transform(spans, lambda span: F.concat_ws(":", span["kind"], span["start"], span["end"])))
+
+
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    counts = [F.size(spans_of_kinds(kind)).cast("bigint").alias(f"n_{kind}") for kind in secrets.BASE_KINDS]
+    base = F.sha2(told(spans_of_kinds(*secrets.BASE_KINDS)), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, told(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
+    "op3_fingerprints": op3_fingerprints,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_sharding": op9_sharding,
+    "op10_secret_scan": op10_secret_scan,
 }

@@ -22,7 +22,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from winback.llm.common import bounds_at_or_below, lower_ascii
 
@@ -39,7 +38,8 @@ DEFAULT = "allow"
 #: sampled keys per range of the sweep; there are twice as many ranges as shuffle partitions
 KEYS_PER_RANGE = 20
 
-RULE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ("rule_host", "rule_path", "rule_verdict")])
+RULE_COLUMNS = ("rule_host", "rule_path", "rule_verdict")
+RULE_TYPE = "array<struct<" + ",".join(f"{name}:string" for name in RULE_COLUMNS) + ">>"
 
 
 def url_parts(url: str = "url") -> tuple[Column, Column]:
@@ -58,7 +58,8 @@ def host_key(host: Column) -> Column:
 
 
 def rule_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
-    return spark.createDataFrame([tuple(rule) for rule in rules], RULE_SCHEMA)
+    rows = F.array(*[F.struct(*[F.lit(part).alias(name) for name, part in zip(RULE_COLUMNS, rule, strict=True)]) for rule in rules])
+    return spark.range(1).select(F.inline(rows.cast(RULE_TYPE)))
 
 
 def stacks_at(boundaries: DataFrame, rules: DataFrame) -> DataFrame:
@@ -98,13 +99,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> Da
     sample = sorted(row["key"] for row in urls.select("key").sample(min(1.0, wanted / max(total, 1)), seed=7).collect())
     splitters = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
 
-    rules = rules.dropna(subset=["rule_host", "rule_path", "rule_verdict"]).distinct()
+    rules = rules.dropna(subset=list(RULE_COLUMNS)).distinct()
     rules = rules.withColumn("rule_key", host_key(F.col("rule_host")))
     # "/" is the character after "."
     after = F.concat(F.substring("rule_key", F.lit(1), F.length("rule_key") - 1), F.lit("/"))
     keys = rules.select(F.explode(F.array("rule_key", after)).alias("key"))
     if splitters:
-        keys = keys.union(spark.createDataFrame([(key,) for key in splitters], "key string"))
+        keys = keys.union(spark.range(1).select(F.explode(F.array(*map(F.lit, splitters)))))
     boundaries = stacks_at(keys.distinct(), rules)
 
     events = (
