@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import exact_dedup, fingerprints, secrets, sharding, url_filter
+from winback.llm import exact_dedup, fingerprints, packing, secrets, sharding, url_filter
 from winback.llm.common import table
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file lies at the same place on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.rule_frame(spark, url_filter.RULES))
 
@@ -25,6 +32,10 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, folder, "documents"))
     return placed.select(
@@ -52,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_fingerprints": op3_fingerprints,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op9_sharding": op9_sharding,
     "op10_secret_scan": op10_secret_scan,
 }
