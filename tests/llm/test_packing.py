@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import TABLES
 
@@ -35,13 +36,19 @@ def whole(text):
     return [*reference_tokenizer().encode(text or "", add_special_tokens=False).ids, packing.END_ID]
 
 
-def test_units_give_the_ids_of_whole_texts():
+def test_words_give_the_ids_of_whole_texts():
     random.seed(1)
-    bits = [" ", "  ", "\n", "\t", "\x0b", " ", " ", "　", "\x1c", "\x85", "word", "é", "1", "!", "'s", "<|endoftext|>", "᠎", "😀", "​", "﻿"]
-    texts = ["", " ", "a b", " a  b \n c", "x" * 5000] + ["".join(random.choices(bits, k=random.randint(1, 30))) for _ in range(800)]
+    odd = [" ", "  ", "\n", "\t", "\x0b", "\xa0", "\u2003", "\u3000", "\x1c", "\x85", "\u180e", "\u200b", "\ufeff"]
+    bits = ["word", "é", "1", "!", "'s", "'", "<|endoftext|>", "😀", "ſ", "²5", ".", "\x00", "\u0301"]
+    texts = ["", " ", "a b", " a  b \n c", "x" * 5000, "\n", "a\n\nb", "a\nb", "a \nb", "'s\n's 's"]
+    texts += ["".join(random.choices(bits + odd, k=random.randint(1, 30))) for _ in range(500)]
+    texts += ["".join(random.choice(bits) + random.choice([" ", "\n", ""]) for _ in range(random.randint(1, 30))).strip() for _ in range(500)]
     encoder = packing.Encoder(tokenizer_path())
-    for text, ids in zip(texts, encoder.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == whole(text)[:-1], repr(text)
+    ids, counts = encoder.texts(pa.array(texts))
+    ends = np.cumsum(counts)
+    for text, end, count in zip(texts, ends, counts, strict=True):
+        assert ids[end - count : end].tolist() == list(whole(text))[:-1], repr(text)
+    assert [len(part) for part in encoder.texts(pa.array([], pa.string()))] == [0, 0]
 
 
 def plain_best_fit(lengths, capacity):

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import sys
+from collections.abc import Callable, Hashable, Iterator
+from types import ModuleType
+from typing import TypeVar
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -19,6 +24,19 @@ cloudpickle.register_pickle_by_value(winback.llm)
 #: texts handled at a time inside an Arrow batch; bounds what a task holds as Python objects
 SLICE = 1000
 
+T = TypeVar("T")
+
+
+def kept_by_worker(key: Hashable, make: Callable[[], T]) -> T:
+    """What a Python worker keeps between its tasks, made on first use.
+
+    Code that travels with the job brings new module globals for every task, so they can't hold it.
+    """
+    state = sys.modules.setdefault("winback_worker_state", ModuleType("winback_worker_state")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]
+
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -26,6 +44,18 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+def sliced_by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices whose texts hold at most ``most`` bytes, or one text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def map_texts(docs: DataFrame, schema: str, work: Callable[[list, list], dict[str, list]]) -> DataFrame:
     """``work(doc_ids, texts)`` for slices of the table (null text: empty); returns columns by name."""
     struct = StructType.fromDDL(schema)

@@ -15,7 +15,7 @@ text; columns besides doc_id and text are not read.
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator
@@ -23,17 +23,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from winback.llm.arrow import map_texts, sliced
-from winback.llm.common import stored
+from winback.llm.arrow import kept_by_worker, sliced, sliced_by_bytes
+from winback.llm.common import id_and_text, stored
 
 CAPACITY = 1024
 END_ID = 2
-#: words of a task whose ids are remembered
-REMEMBERED = 300_000
+#: bytes of text that a task handles at a time (one text at least)
+TEXT_BYTES = 8_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
@@ -42,34 +44,103 @@ PACKED = PIECES + ", sequence_id bigint, offset bigint"
 # --- tokens and pieces ----------------------------------------------------------------------
 
 
+#: white space other than single blanks and line feeds between words, as regular expressions of Arrow's engine
+ODD_SPACE = (
+    r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"|[ \n][ \n]|\A[ \n]|[ \n]\z"
+)
+
+
 class Encoder:
-    """Ids of whole texts as packed little-endian unsigned 32-bit numbers.
+    """Ids of whole texts, each distinct word encoded once.
 
-    A space that is followed by a character other than white space always starts a new unit of a
-    byte-level pre-tokeniser of this kind, so a text is cut there, each distinct unit is encoded once and
-    the ids are joined. Python's notion of white space includes all that the tokeniser knows.
+    In a byte-level pre-tokeniser of this kind a blank belongs to the word after it, and a single line feed between two
+    words is a token of its own. So a text whose white space is only single blanks and line
+    feeds can be taken apart there and its ids are those of its words. Words are encoded many at a time, joined by
+    line feeds, and told apart by the line feed's id. Any other text is encoded as a whole.
     """
 
-    CUT = re.compile(r" (?=\S)")
+    JOINED = 1000
+    #: words remembered, about 200 bytes each; beyond it all are forgotten
+    REMEMBERED = 500_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        (self.feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        units = [[head, *(" " + unit for unit in rest)] for head, *rest in map(self.CUT.split, texts)]
-        if len(self.known) > REMEMBERED:
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and the number of ids of each text."""
+        parts = [np.array(encoded.ids, np.uint32) for encoded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *parts]), np.array([len(part) for part in parts], np.int64)
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words without white space but a leading blank."""
+        if len(self.known) > self.REMEMBERED:
             self.known.clear()
-        missing = list({unit for parts in units for unit in parts}.difference(self.known))
-        for at in range(0, len(missing), 10_000):
-            part = missing[at : at + 10_000]
-            for unit, encoded in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[unit] = np.array(encoded.ids, "<u4").tobytes()
-        for parts in units:
-            yield b"".join(map(self.known.__getitem__, parts))
+        new = list(set(words).difference(self.known))
+        for at in range(0, len(new), self.JOINED):
+            part = new[at : at + self.JOINED]
+            (encoded,) = self.tokenizer.encode_batch_fast(["\n".join(part) + "\n"], add_special_tokens=False)
+            ids = np.array(encoded.ids, np.uint32)
+            flat, ends = ids.tobytes(), (4 * np.flatnonzero(ids == self.feed)).tolist()
+            for word, start, end in zip(part, [-4, *ends], ends, strict=False):
+                self.known[word] = flat[start + 4 : end]
+        parts = list(map(self.known.__getitem__, words))
+        return np.frombuffer(b"".join(parts), np.uint32), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for any texts."""
+        odd = pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)
+        ids, counts = self._by_words(texts.filter(pa.array(~odd)))
+        if not odd.any():
+            return ids, counts
+        odd_ids, odd_counts = self.whole(texts.filter(pa.array(odd)).to_pylist())
+        order = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
+        counts = np.concatenate([counts, odd_counts])
+        return gathered(np.concatenate([ids, odd_ids]), counts, order), counts[order]
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lines = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " \n"), " ")
+        coded = lines.values.dictionary_encode()
+        offsets = lines.offsets.to_numpy() - lines.offsets[0].as_py()
+        distinct, used = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        # each distinct word in two forms: as it stands, and after a blank
+        at_start = np.zeros(len(distinct), bool)
+        heads = offsets[:-1]
+        at_start[used[heads]] = True
+        plain = [at for at, word in enumerate(distinct) if word[:1] == "\n" or at_start[at]]
+        spaced = [at for at, word in enumerate(distinct) if word[:1] != "\n"]
+        ids_a, counts_a = self.words([distinct[at].removeprefix("\n") for at in plain])
+        ids_b, counts_b = self.words([" " + distinct[at] for at in spaced])
+        # form 0 is the line feed alone
+        ids = np.concatenate([np.array([self.feed], np.uint32), ids_a, ids_b])
+        counts = np.concatenate([[1], counts_a, counts_b])
+        form = np.zeros((2, len(distinct)), np.int64)
+        form[0, plain] = 1 + np.arange(len(plain))
+        form[1, spaced] = 1 + len(plain) + np.arange(len(spaced))
+        after_feed = np.array([word[:1] == "\n" for word in distinct], bool)[used]
+        first = np.zeros(len(used), bool)
+        first[heads] = True
+        forms = np.where(first | after_feed, form[0][used], form[1][used])
+        # a line feed stands before each word that follows one
+        lead = after_feed.astype(np.int64)
+        slots = np.cumsum(1 + lead) - 1
+        sequence = np.zeros(len(used) + int(lead.sum()), np.int64)
+        sequence[slots] = forms
+        totals = np.concatenate([[0], np.cumsum(counts[forms] + lead)])
+        return gathered(ids, counts, sequence), np.diff(totals[offsets])
+
+
+def gathered(values: np.ndarray, counts: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Runs of ``values`` (run i has ``counts[i]`` of them) in the given order."""
+    starts = np.cumsum(counts) - counts
+    taken = counts[order]
+    ends = np.cumsum(taken)
+    return values[np.repeat(starts[order] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -80,26 +151,26 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 def tokenise(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, and the ids themselves if asked for."""
-    encoder: list[Encoder] = []
+    schema = StructType.fromDDL(PIECES + (", ids array<bigint>" if with_ids else ""))
+    arrow = to_arrow_schema(schema)
     end = np.array([end_id], "<u4").tobytes()
 
-    def work(doc_ids: list, texts: list[str]) -> dict[str, list]:
-        import os
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
-        if not encoder:
-            encoder.append(Encoder(tokenizer))
-        columns: dict[str, list] = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-        for doc_id, ids in zip(doc_ids, encoder[0].encode(texts), strict=True):
-            ids += end
-            for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                part = ids[4 * start : 4 * (start + length)]
-                row = (doc_id, piece, start, length, zlib.crc32(part), np.frombuffer(part, "<u4").tolist() if with_ids else None)
-                for column, value in zip(columns.values(), row, strict=True):
-                    column.append(value)
-        return columns
-
-    return map_texts(docs, PIECES + (", ids array<bigint>" if with_ids else ""), work)
+        encoder = kept_by_worker(("encoder", tokenizer), lambda: Encoder(tokenizer))
+        for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
+            ids, counts = encoder.texts(batch.column("text"))
+            flat, at = ids.astype("<u4").tobytes(), 0
+            rows = []
+            for doc_id, count in zip(batch.column("doc_id").to_pylist(), counts.tolist(), strict=True):
+                own, at = flat[4 * at : 4 * (at + count)] + end, at + count
+                for piece, (start, length) in enumerate(cut(count + 1, capacity)):
+                    part = own[4 * start : 4 * (start + length)]
+                    rows.append((doc_id, piece, start, length, zlib.crc32(part), np.frombuffer(part, "<u4").tolist() if with_ids else None))
+            columns = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(columns, arrow, strict=False)], schema=arrow)
+
+    return docs.select(*id_and_text()).mapInArrow(run, schema)
 
 
 # --- the plan -------------------------------------------------------------------------------
