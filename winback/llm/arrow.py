@@ -67,3 +67,18 @@ def map_texts(docs: DataFrame, schema: str, work: Callable[[list, list], dict[st
             yield pa.RecordBatch.from_arrays([pa.array(columns[field.name], field.type) for field in arrow], schema=arrow)
 
     return docs.select(*id_and_text()).mapInArrow(run, struct)
+
+
+def take_rows(docs: DataFrame, choose: Callable[[list, list], np.ndarray]) -> DataFrame:
+    """The rows whose positions ``choose(doc_ids, texts)`` returns for slices of the table, with all their columns.
+
+    A position may come several times. Columns keep their names, types and order.
+    """
+    text_at, id_at = docs.columns.index("text"), docs.columns.index("doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            texts = ["" if text is None else text for text in batch.column(text_at).to_pylist()]
+            yield batch.take(pa.array(choose(batch.column(id_at).to_pylist(), texts), pa.int64()))
+
+    return docs.mapInArrow(run, docs.schema)

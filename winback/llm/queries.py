@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import exact_dedup, fingerprints, packing, secrets, sharding, url_filter
+from winback.llm import exact_dedup, fingerprints, packing, secrets, sharding, toxicity, url_filter
 from winback.llm.common import table
 
 
@@ -18,6 +18,19 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def held_out(part: int) -> Column:
+    """Rows kept from training, by a checksum of the id."""
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return F.pmod(checksum, F.lit(part)) == 2
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels").filter(~held_out(4)))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", held_out(4).alias("held_out"), "score", "predicted", F.to_json("spans").alias("spans"))
+
+
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.rule_frame(spark, url_filter.RULES))
 
@@ -60,6 +73,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
     "op3_fingerprints": op3_fingerprints,
     "op5_exact_dedup": op5_exact_dedup,
