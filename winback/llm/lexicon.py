@@ -46,7 +46,26 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     found = docs.select(*id_and_text()).join(F.broadcast(picked), "doc_id")
     # a word and the gap after it take 40 characters at most on average
     rows = found.select("doc_id", "label", F.substring("text", 1, 40 * words).alias("text")).dropDuplicates(["doc_id"])
-    return [(row["label"], WORD.findall(row["text"])[:words], row["text"]) for row in sorted(rows.collect(), key=lambda row: row["doc_id"])]
+    ordered = sorted(rows.collect(), key=lambda row: row["doc_id"])
+    return without_copies((row["label"], WORD.findall(row["text"])[:words], row["text"]) for row in ordered)
+
+
+def without_copies(sample: Iterable[tuple[int, list[str], str]]) -> list[tuple[int, list[str], str]]:
+    """Leave out near copies of earlier texts of the sample, whose words would count as evidence once per copy.
+
+    A copy shares one of four minimum hashes of its word triples with an earlier text.
+    """
+    multipliers = np.array([[2_654_435_761], [2_246_822_519], [3_266_489_917], [668_265_263]], np.uint64)
+    seen: set[tuple[int, int]] = set()
+    kept = []
+    for label, words, text in sample:
+        triples = {" ".join(words[at : at + 3]) for at in range(max(1, len(words) - 2))}
+        hashes = np.array([zlib.crc32(triple.encode()) for triple in triples], np.uint64)
+        keys = set(enumerate(((hashes * multipliers) & np.uint64(0xFFFFFFFF)).min(axis=1).tolist()))
+        if not keys & seen:
+            kept.append((label, words, text))
+        seen |= keys
+    return kept
 
 
 def telling_features(texts: Iterable[tuple[int, Iterable[str]]]) -> np.ndarray:

@@ -37,6 +37,7 @@ ROUNDS = 60
 STEP = 0.15
 PENALTY = 1e-4
 THRESHOLD = 0.3
+FLOOR = 0.1
 #: emission scores remembered by a worker
 REMEMBERED = 500_000
 SCHEMA = "doc_id bigint, score double, predicted int, spans array<struct<start:bigint,end:bigint,chance:double>>"
@@ -97,7 +98,11 @@ def evidence(expected: np.ndarray, largest: np.ndarray) -> np.ndarray:
 
 
 def totals(chances: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum and largest of each sequence's marginals (0 for an empty one)."""
+    """Sum and largest of each sequence's marginals (0 for an empty one).
+
+    Marginals below FLOOR are left out of the sum: in a very long text they would add up to evidence.
+    """
+    chances = np.where(chances < FLOOR, 0, chances)
     owner = np.repeat(np.arange(len(lengths)), lengths)
     largest = np.zeros(len(lengths))
     np.maximum.at(largest, owner, chances)
