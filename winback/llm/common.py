@@ -79,3 +79,15 @@ def bounds_at_or_below(bounds: Sequence[Column], values: Sequence[Column], count
 def id_and_text() -> list[Column]:
     """doc_id and text (null: empty), whatever other columns a table has."""
     return [F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")]
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, parts: int = 1000) -> DataFrame:
+    """``rows`` joined with ``groups``, which has each key once and the number of its rows in ``size``.
+
+    A group with more than 1/parts of the rows would fill one task; there are fewer than ``parts``
+    such groups, and they are broadcast instead.
+    """
+    limit = max(rows.count() // parts, 1)
+    hot = F.broadcast(groups.filter(F.col(size) > F.lit(limit)))
+    rest = rows.join(hot.select(key), key, "left_anti").join(groups, key)
+    return rows.join(hot, key).unionByName(rest)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm.common import shared_path, stored, text_or_empty
+from winback.llm.common import join_groups, shared_path, stored, text_or_empty
 
 #: characters that count as white space; a run of them equals one space
 SPACES = r"[\x20\x09-\x0D]+"
@@ -95,12 +95,8 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
         groups.join(known.hint("merge"), "text_sha256")
         .select("text_sha256", F.col("index_id").alias("keep_id"), "keep_row", "seen", F.col("first_rows").alias("group_size"))
     )
-    limit = batch.count() // HOT_PARTS
-    hot = F.broadcast(verdicts.filter(F.col("group_size") > F.lit(max(limit, 1))))
-    of_hot = batch.join(hot, "text_sha256")
-    of_rest = batch.join(hot.select("text_sha256"), "text_sha256", "left_anti").join(verdicts, "text_sha256")
     kept = ~F.col("seen") & (F.col("row_id") == F.col("keep_row"))
-    return of_hot.unionByName(of_rest).withColumn("kept", kept).drop("seen", "keep_row")
+    return join_groups(batch, verdicts, "text_sha256", "group_size", HOT_PARTS).withColumn("kept", kept).drop("seen", "keep_row")
 
 
 def keep_first(docs: DataFrame, decisions: DataFrame) -> DataFrame:

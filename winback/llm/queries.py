@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import exact_dedup, fingerprints, packing, secrets, sharding, toxicity, url_filter
+from winback.llm import exact_dedup, fingerprints, near_dedup, packing, secrets, sharding, toxicity, url_filter
 from winback.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, folder, "documents"), near_dedup.Rule(width=3, percent=85))
+
+
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_fingerprints": op3_fingerprints,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_near_dedup": op6_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_sharding": op9_sharding,
     "op10_secret_scan": op10_secret_scan,
