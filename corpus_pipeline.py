@@ -1,4 +1,4 @@
-"""A corpus run: toxic texts out, exact and near copies out, sources mixed to target weights, packed."""
+"""A corpus run: toxic texts out, exact and near copies out, mixed to target weights, packed into sequences."""
 
 from __future__ import annotations
 
@@ -6,20 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winback.llm import exact_dedup
+from winback.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from winback.llm.common import stored, table
+from winback.llm.queries import tokenizer_path
+
+#: shares of tokens for the domains high, low and toxic; the last, which the first stage removes, stays as it is
+MIX = (0.90, 0.10, None)
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
     judged = exact_dedup.deduplicate(docs, exact_dedup.DigestIndex.scratch(spark))
     return exact_dedup.keep_first(docs, judged)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays."""
+    return near_dedup.keep_one(docs)
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows are repeated or left out, so that the domains' expected tokens meet the targets."""
+    return mixing.resample(docs, table(spark, sf_dir, "labels"), MIX)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences of 1024 tokens."""
+    return packing.pack(docs, tokenizer_path())
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_exact_copies),
+    ("minhash_near_dedup", drop_near_copies),
+    ("mixing", mix_to_targets),
+    ("best_fit_packing", pack_sequences),
 ]
 
 

@@ -130,6 +130,13 @@ def test_components_of_chains_and_stars(spark):
     assert got == {(i, 0) for i in range(1, 41)} | {(i, 100) for i in range(101, 150)} | {(201, 200)}
 
 
+def test_groups_merge_by_later_links(spark):
+    groups = spark.createDataFrame([(2, 1), (3, 1), (11, 10), (21, 20)], "rep bigint, component bigint")
+    links = spark.createDataFrame([(3, 11), (11, 30), (41, 40), (2, 3)], "a bigint, b bigint")
+    got = {tuple(row) for row in near_dedup.merged_groups(groups, links).collect()}
+    assert got == {(2, 1), (3, 1), (11, 1), (10, 1), (30, 1), (21, 20), (41, 40)}
+
+
 def test_query_against_all_pairs(spark):
     folder = "/root/testdata/sf0.01"
     rows = [tuple(row) for row in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]

@@ -5,10 +5,10 @@
 2. Signatures are cut into bands; classes with an equal band share a bucket. Bands and rows are chosen so that a
    pair at the limit shares no bucket with a chance of at most MISS.
 3. A bucket is not expanded into pairs. One pivot, the member with most company in all its buckets, is compared with the
-   others, which puts copies of one text into one group at once. As long as a bucket holds
-   members of several groups, further pivots are taken from the smaller groups, four times as many in each round, and compared
-   with the members of other groups. A pivot has met everybody and leaves. So at the end every two members of a bucket
-   are in one group or have been compared, and no cap is needed.
+   others, which puts copies of one text into one group at once. Where a bucket then still holds several groups, the
+   members outside its largest group are the queries against all its members, in blocks: a task compares one block of
+   queries with one block of members and returns only links. So at the end every two members of a bucket are
+   in one group or have been compared, and no cap is needed.
 4. A comparison reads the signatures in batches and stops as soon as the posterior chance of a similarity at the limit, after
    m of n equal hashes and a uniform prior, is below MISS. Survivors are confirmed on their full
    sets, from the texts.
@@ -42,7 +42,9 @@ BATCH = 20
 #: chance of losing a pair at the limit, for the bands and for each look at the signatures
 MISS = 1e-6
 TEXT_BYTES = 8_000_000
-GROWTH = 4
+#: queries and members of a block
+QUERIES_EACH = 256
+MEMBERS_EACH = 1024
 
 
 @dataclass(frozen=True)
@@ -205,107 +207,148 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(rep, component): the smallest node reachable, for every node of the links (a, b)."""
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
     while True:
         # large star: each node hands its larger neighbours to its smallest neighbour (or itself)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.filter("u != v").distinct(), "edges")
         # small star: each node hands its smaller neighbours and itself to the smallest
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        small = stored(small.filter("u != v").distinct(), "edges")
-        # every node hangs on a smallest one, and no smallest one hangs on another
-        if small.join(small.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() and small.groupBy("u").count().filter("count > 1").isEmpty():
-            return small.select(F.col("u").alias("rep"), F.col("v").alias("component"))
-        edges = small
+        edges = stored(small.filter("u != v").distinct(), "edges")
+        # at the end every node hangs on one smallest node, which hangs on none
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        )
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1 and up > 0").isEmpty():
+            return edges.select(F.col("u").alias("rep"), F.col("v").alias("component"))
+
+
+def merged_groups(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` after further links (a, b): only the links between groups are searched again."""
+    ends = [groups.select(F.col("rep").alias(side), F.col("component").alias(f"of_{side}")) for side in ("a", "b")]
+    between = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    joined = components(between.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    renamed = joined.select(F.col("rep").alias("component"), F.col("component").alias("new"))
+    return groups.join(renamed, "component", "left").select("rep", F.coalesce("new", "component").alias("component")).unionByName(joined)
 
 
 def buckets(classes: DataFrame, rows: int) -> DataFrame:
-    """(bucket, rep, company) of every band that several classes share; company counts members over all buckets."""
-    bands = [
-        F.xxhash64(F.lit(band), F.substring("signature", 4 * rows * band + 1, 4 * rows)) for band in range(HASHES // rows)
-    ]
-    members = classes.select("rep", F.explode(F.array(*bands)).alias("bucket"))
+    """(bucket, band, rep, company) of every band that several classes share; company counts members over all buckets."""
+    hashes = [F.xxhash64(F.lit(band), F.substring("signature", 4 * rows * band + 1, 4 * rows)) for band in range(HASHES // rows)]
+    members = classes.select("rep", F.posexplode(F.array(*hashes)).alias("band", "bucket"))
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = stored(members.join(sizes, "bucket"), "buckets")
     company = shared.groupBy("rep").agg(F.sum("size").alias("company"))
-    return stored(shared.select("bucket", "rep").join(company, "rep"), "members")
+    return stored(shared.select("bucket", "band", "rep").join(company, "rep"), "members")
 
 
-def first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pivots (bucket, rep): the member with most company; pairs: the pivot with each other member."""
+def pivot_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pivots (bucket, rep): the member with most company; pairs (a, b): the pivot with each other member."""
     best = members.groupBy("bucket").agg(F.max(F.struct("company", F.col("rep"))).alias("best"))
-    pivots = best.select("bucket", F.col("best.rep").alias("rep"))
-    pairs = members.join(pivots.withColumnRenamed("rep", "pivot"), "bucket").filter("rep != pivot")
-    return pivots, _pairs(pairs)
-
-
-def _pairs(rows: DataFrame) -> DataFrame:
-    return rows.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+    pivots = stored(best.select("bucket", F.col("best.rep").alias("rep")), "pivots")
+    named = pivots.select(F.col("bucket").alias("pivot_bucket"), F.col("rep").alias("pivot"))
+    pairs = members.join(named, (F.col("bucket") == F.col("pivot_bucket")) & (F.col("rep") != F.col("pivot")))
+    return pivots, pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
 
-def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members of buckets that still hold several groups, with their group."""
-    grouped = members.join(groups, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    several = grouped.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    return grouped.join(several.select("bucket"), "bucket")
+def open_members(members: DataFrame, pivots: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members (without pivots) of buckets that still hold several groups: bucket, band, rep, component,
+    is_query, x_blocks, y_blocks.
 
-
-def more_pairs(members: DataFrame, pivots_each: int) -> tuple[DataFrame, DataFrame]:
-    """The same for members with a component: pivots come from all but the largest group of a bucket."""
-    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", F.col("component"))).alias("largest"))
-    minor = members.join(largest, "bucket").filter(F.col("component") != F.col("largest.component"))
-    order = Window.partitionBy("bucket").orderBy(F.desc("company"), "rep")
-    pivots = minor.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= pivots_each)
-    named = pivots.select("bucket", F.col("rep").alias("pivot"), F.col("component").alias("own"))
-    return pivots.select("bucket", "rep"), _pairs(members.join(named, "bucket").filter("component != own"))
+    Queries are the members outside the largest group of their bucket.
+    """
+    left = members.select("bucket", "band", "rep").join(pivots, ["bucket", "rep"], "left_anti")
+    grouped = left.join(groups, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    sizes = grouped.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
+    totals = sizes.groupBy("bucket").agg(F.max(F.struct("size", F.col("component"))).alias("main"), F.sum("size").alias("all"))
+    several = totals.filter(F.col("all") > F.col("main.size")).select(
+        "bucket",
+        F.col("main.component").alias("main"),
+        F.ceil((F.col("all") - F.col("main.size")) / QUERIES_EACH).cast("int").alias("x_blocks"),
+        F.ceil(F.col("all") / MEMBERS_EACH).cast("int").alias("y_blocks"),
+    )
+    return grouped.join(several, "bucket").withColumn("is_query", F.col("component") != F.col("main")).drop("main")
+
+
+def block_links(members: DataFrame, active: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) between groups, from the members of ``open_members``."""
+    dealt = members.withColumn("draw", F.xxhash64("rep"))
+    own_x, own_y = F.pmod("draw", "x_blocks"), F.pmod("draw", "y_blocks")
+    asked = dealt.filter("is_query").select("bucket", "band", "rep", "component", F.lit(True).alias("asks"), own_x.alias("x"), F.explode(F.sequence(F.lit(0), F.col("y_blocks") - 1)).alias("y"))
+    met = dealt.select("bucket", "band", "rep", "component", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("x_blocks") - 1)).alias("x"), own_y.alias("y"))
+    units = asked.unionByName(met).join(active, "rep")
+    limit, rows = rule.percent / 100, rule.rows
+
+    def compare(unit: pa.Table) -> pa.Table:
+        unit = unit.combine_chunks()
+        asks = unit.column("asks").to_numpy()
+        reps, groups = unit.column("rep").to_numpy(), unit.column("component").to_numpy()
+        band = unit.column("band")[0].as_py()
+        signatures = _signatures(unit.column("signature"))
+        with np.errstate(over="ignore"):
+            sets = shingle_sets(pa.array(unit.column("text").to_pylist(), pa.large_string()), rule.width)
+        others = np.flatnonzero(~asks)
+        found = []
+        for query in np.flatnonzero(asks):
+            mine = others[groups[others] != groups[query]]
+            equal = signatures[mine] == signatures[query]
+            # a pair that shares an earlier band is compared in that band's bucket
+            earlier = equal[:, : band * rows].reshape(len(mine), band, rows).all(axis=2).any(axis=1) if band else np.zeros(len(mine), bool)
+            mine, equal = mine[~earlier], equal[~earlier]
+            likely = plausible(signatures[mine], np.broadcast_to(signatures[query], (len(mine), HASHES)), limit)
+            mine, agreement = mine[likely], equal[likely].sum(axis=1)
+            linked = set()
+            for other in mine[np.argsort(-agreement, kind="stable")].tolist():
+                if groups[other] in linked:
+                    continue  # one link joins two groups
+                both = len(np.intersect1d(sets[query], sets[other], assume_unique=True))
+                if 100 * both >= rule.percent * (len(sets[query]) + len(sets[other]) - both):
+                    linked.add(groups[other])
+                    found.append((int(reps[query]), int(reps[other])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return units.groupBy("bucket", "x", "y").applyInArrow(compare, "a bigint, b bigint")
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """(rep, component) of all classes that are linked with another."""
     limit = rule.percent / 100
     members = buckets(classes, rule.rows)
-    reps = members.select("rep").distinct()
-    active = stored(classes.join(reps, "rep", "left_semi").select("rep", "signature"), "active")
-    wanted = classes.join(reps, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "text_key")
+    wanted = classes.join(members.select("rep").distinct(), "rep", "left_semi").withColumnRenamed("rep", "doc_id")
     texts = docs.select(*id_and_text()).withColumn("text_key", F.xxhash64("text"))
-    texts = texts.join(wanted, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
-    texts = stored(texts.select(F.col("doc_id").alias("rep"), "text"), "active-texts")
+    texts = texts.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    active = stored(texts.select(F.col("doc_id").alias("rep"), "signature", "text"), "active")
 
-    pivots, pairs = first_pairs(members)
-    tested, links, groups, pivots_each = None, None, None, 1
-    while True:
-        pivots = stored(pivots, "pivots")
-        fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        fresh = stored(fresh, "pairs")
-        found = stored(confirmed(stored(survivors(fresh, active, limit), "survivors"), texts, rule), "links")
-        tested = fresh if tested is None else tested.unionByName(fresh)
-        links = found if links is None else links.unionByName(found)
-        groups = components(links)
-        members = stored(open_members(members.drop("component").join(pivots, ["bucket", "rep"], "left_anti"), groups), "open")
-        if members.isEmpty():
-            return groups
-        pivots_each *= GROWTH
-        pivots, pairs = more_pairs(members, pivots_each)
+    pivots, pairs = pivot_pairs(members)
+    links = stored(confirmed(survivors(pairs, active, limit), active, rule), "links")
+    groups = components(links)
+    rest = stored(open_members(members, pivots, groups), "open")
+    if rest.isEmpty():
+        return groups
+    more = stored(block_links(rest, active, rule), "links")
+    return groups if more.isEmpty() else merged_groups(groups, more)
 
 
 def judged(docs: DataFrame, rule: Rule) -> DataFrame:
     """``near_groups`` with text_key, a hash of the text."""
     sketched = stored(sketches(docs, rule.width), "sketches")
     whole = sketched.filter("set_id is not null")
-    sizes = whole.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"))
-    sizes = stored(sizes, "classes")
     # one signature per class: that of its representative
-    classes = (
-        whole.join(sizes.filter("rep is not null").select("set_id", F.col("rep").alias("doc_id")), ["set_id", "doc_id"], "left_semi")
-        .groupBy(F.col("doc_id").alias("rep"))
-        .agg(F.min_by("signature", "text_key").alias("signature"), F.min("text_key").alias("text_key"))
+    classes = stored(
+        whole.groupBy("set_id").agg(
+            F.min("doc_id").alias("rep"),
+            F.count(F.lit(1)).alias("rows"),
+            F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key", "signature"))).alias("own"),
+        ),
+        "classes",
     )
-    groups = link_classes(docs, stored(classes, "signatures"), rule)
-    verdicts = sizes.join(groups, "rep", "left").select("set_id", "rows", F.coalesce("component", "rep").alias("component_id"))
+    known = classes.filter("rep is not null").select("rep", "own.text_key", "own.signature")
+    if not known.groupBy("rep").count().filter("count > 1").isEmpty():
+        known = known.groupBy("rep").agg(F.min_by("signature", "text_key").alias("signature"), F.min("text_key").alias("text_key"))
+    groups = link_classes(docs, known, rule)
+    verdicts = classes.join(groups, "rep", "left").select("set_id", "rows", F.coalesce("component", "rep").alias("component_id"))
     linked = join_groups(whole.select("doc_id", "text_key", "n_shingles", "set_id"), verdicts, "set_id", "rows").drop("set_id", "rows")
     alone = sketched.filter("set_id is null").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import exact_dedup, fingerprints, near_dedup, packing, secrets, sharding, toxicity, url_filter
+from winback.llm import exact_dedup, fingerprints, katz, mixing, near_dedup, packing, secrets, sharding, toxicity, url_filter
 from winback.llm.common import table
 
 
@@ -39,6 +39,13 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, folder, "documents"))
 
 
+def op4_katz(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = katz.train(docs.filter(~held_out(7)))
+    scored = katz.score(docs, model)
+    return scored.select("doc_id", held_out(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     judged = exact_dedup.deduplicate(docs, exact_dedup.DigestIndex.scratch(spark))
@@ -53,6 +60,10 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, folder, "documents"))
     return placed.select(
@@ -80,9 +91,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
     "op3_fingerprints": op3_fingerprints,
+    "op4_katz": op4_katz,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_secret_scan": op10_secret_scan,
 }
