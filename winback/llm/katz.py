@@ -16,8 +16,8 @@ Scoring needs for each word and pair its row of the tables. Those with at least
 broadcast. All others are asked for: tasks emit (text, key, times), which are joined with the tables by key and
 summed by text. No asked key has more than CACHED of the tokens, so this join has no hot keys.
 
-Defined cases: a null text counts as empty and is an end alone; with no training text every word is unknown and has chance
-1; discounts that the counts of counts do not support (too few texts) are (r - 0.5) / r; a context whose discounts leave
+Defined cases: a null text counts as empty and is an end alone; with no training text every word is unknown, and it and
+the end have chance 1; discounts that the counts of counts do not support (too few texts) are (r - 0.5) / r; a context whose discounts leave
 nothing gives its count one more, unseen, event; repeated rows are scored one by one and give equal scores; a null doc_id is an id
 like others; columns besides doc_id and text are not read. Words are told apart by 64-bit hashes.
 """
@@ -171,7 +171,7 @@ def train(docs: DataFrame) -> Katz:
     end = int(np.uint64(END_HASH).view(np.int64))
     known, _, known_chance = _numbers(words.filter((F.col("count") >= max(VOCABULARY * tokens, 1)) & (F.col("key") != end)))
     end_chance = (words.filter(F.col("key") == end).agg(F.sum("chance")).first()[0] or 0.0) if tokens else 0.0
-    chance = np.concatenate([[0.0, 0.0, end_chance], known_chance])
+    chance = np.concatenate([[0.0, 0.0, end_chance if tokens else 1.0], known_chance])
     chance[RARE] = max(1 - chance.sum(), unknown) if tokens else 1.0
     vocabulary = Vocabulary(known, chance)
 
