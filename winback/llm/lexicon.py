@@ -24,6 +24,12 @@ LEAST_TEXTS = 5
 LEAST_RATIO = 20.0
 
 
+def telling_buckets(word: str) -> tuple[int, int, int]:
+    """The buckets of the features that can tell a class."""
+    word = word.lower()
+    return tuple(zlib.crc32(part.encode()) & (BUCKETS - 1) for part in ("w" + word, "p4" + word[:4], "p5" + word[:5]))
+
+
 def features(word: str) -> list[int]:
     word = word.lower()
     parts = ("w" + word, "p4" + word[:4], "p5" + word[:5], "p3" + word[:3], "s3" + word[-3:])

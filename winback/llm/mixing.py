@@ -2,14 +2,17 @@
 
 A classifier fitted on the labelled table gives each document a posterior over domains (high quality, low quality, toxic).
 Documents get nonnegative rates w such that the expected token totals sum_i w_i t_i p_ik match the targets T_k. The
-rates solve the least-squares problem by projected gradient steps from w = 1 in the metric of the documents' tokens: w_i becomes
-max(0, w_i - step * p_i . r), where r is the residual over all tokens, one number per domain. A pass over the narrow
-table of tokens and posteriors adds up the totals; the driver sees only these sums, and the rates are a function of
-the few steps taken. Step lengths follow Barzilai and Borwein.
+rates solve the least-squares problem by projected gradient steps from w = 1 in the metric of the documents' tokens, with the
+projection applied to the sum of the steps: w_i = max(0, 1 - p_i . s), where s adds up the residuals over all tokens, one number
+per domain, each scaled by the inverse of the second moments of the documents with a rate above 0; where that does
+not lessen the residual enough it is shortened, and at last taken plain. So of all rates that meet the targets
+those nearest to 1 are found. A pass over
+the narrow table of tokens and posteriors adds up totals and moments; the driver sees only these sums, and the
+rates are a function of the few steps taken.
 
 Defined cases: a null text counts as empty and has no tokens; a text without tokens keeps the rate that its posterior
 gives and adds nothing; without labels of two classes every document has the labels' shares as posterior (equal
-shares without any label); a target that no rates can reach is met as nearly as least squares allow; repeated
+shares without any label); a target that no rates can reach is approached until no step helps; repeated
 rows count one by one; an empty table gives no rows; columns besides doc_id and text are only carried.
 """
 
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 from winback.llm.arrow import kept_by_worker, map_texts, take_rows
 from winback.llm.common import stored
-from winback.llm.lexicon import sample_labelled, telling_features, tells
+from winback.llm.lexicon import sample_labelled, telling_buckets, telling_features, tells
 
 DOMAINS = ("high", "low", "toxic")
 #: shares of all tokens that the mixture should expect of each domain
@@ -46,17 +49,17 @@ for _at, _chars in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" "
     CLASSES_OF_BYTES[list(_chars)] = _at
 
 
-def inputs(text: str, toxic: int, low: int) -> list[float]:
+def inputs(text: str, words: list[str], distinct: set[str], toxic: int, low: int) -> list[float]:
     """Numbers that describe a text: kinds of characters, repetition, length, and its words that tell a class."""
     data = text.encode()
     kinds = np.bincount(CLASSES_OF_BYTES, np.bincount(np.frombuffer(data, np.uint8), minlength=256), 8)
-    words, lines = data.split(), data.split(b"\n")
+    lines = data.split(b"\n")
     count, size = max(len(words), 1), max(len(data), 1)
     return [
         1.0,
         np.log1p(len(words)),
         len(data) / count,
-        len(set(words)) / count,
+        len(distinct) / count,
         len(set(lines)) / len(lines),
         *np.sqrt(kinds[1:] / size),
         np.log1p(toxic),
@@ -76,17 +79,28 @@ class Classifier:
 
     def posteriors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of words (white space apart) and posteriors of each text."""
-        known = kept_by_worker(("mixing-words", self.weights.tobytes()), dict)
-        if len(known) > REMEMBERED:
-            known.clear()
+        seen, told = kept_by_worker(("mixing-words", self.weights.tobytes()), lambda: (set(), {}))
+        if len(seen) > REMEMBERED:
+            seen.clear()
+            told.clear()
+        marks = {}  # bucket -> 1 for toxic, 2 for low quality
+        for at, telling in enumerate(self.telling):
+            for bucket in np.flatnonzero(telling).tolist():
+                marks[bucket] = marks.get(bucket, 0) | 1 << at
         rows, tokens = [], []
         for text in texts:
-            words = set(text.split())
-            for word in words.difference(known):
-                known[word] = sum(tells(telling, word.strip(".,!?|")) << at for at, telling in enumerate(self.telling))
-            marks = [known[word] for word in words]
-            rows.append(inputs(text, sum(mark & 1 for mark in marks), sum(mark >> 1 for mark in marks)))
-            tokens.append(len(text.split()))
+            words = text.split()
+            distinct = set(words)
+            for word in distinct.difference(seen):
+                mark = 0
+                for bucket in telling_buckets(word.strip(".,!?|")):
+                    mark |= marks.get(bucket, 0)
+                if mark:
+                    told[word] = mark
+                seen.add(word)
+            found = [told[word] for word in distinct & told.keys()] if told else []
+            rows.append(inputs(text, words, distinct, sum(mark & 1 for mark in found), sum(mark >> 1 for mark in found)))
+            tokens.append(len(words))
         x = (np.array(rows).reshape(-1, len(self.centre)) - self.centre) / self.scale
         return np.array(tokens, np.int64), softmax(x @ self.weights)
 
@@ -108,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
         mine = coded.withColumn("is", (F.col("domain") == k).cast("int")).filter("is = 1")
         sample += [(k, words, text) for _, words, text in sample_labelled(docs, mine, "is", PER_CLASS, TRAIN_WORDS)]
     given = np.array([k for k, _, _ in sample], np.int64)
-    width = len(inputs("", 0, 0))
+    width = len(inputs("", [], set(), 0, 0))
     if len(set(given.tolist())) < 2:
         base = np.log((counts + 1e-9) / (counts + 1e-9).sum()) if counts.sum() else np.zeros(len(DOMAINS))
         weights = np.zeros((width, len(DOMAINS)))
@@ -119,7 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     x = []
     for _, words, text in sample:
         distinct = set(words)
-        x.append(inputs(text, *(sum(tells(table, word) for word in distinct) for table in telling)))
+        spaced = text.split()
+        x.append(inputs(text, spaced, set(spaced), *(sum(tells(table, word) for word in distinct) for table in telling)))
     x = np.array(x)
     centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     centre[0], scale[0] = 0, 1
@@ -153,31 +168,30 @@ def membership(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
 
 def rates_after(chances: np.ndarray, steps: Sequence[np.ndarray]) -> np.ndarray:
-    """The rates that the steps lead to from 1, for rows of posteriors."""
-    rate = np.ones(len(chances))
-    for step in steps:
-        rate = np.maximum(0, rate - chances @ step)
-    return rate
+    """The rates that the steps lead to from 1, for rows of posteriors; the projection comes after all of them."""
+    return np.maximum(0, 1 - chances @ np.sum([np.zeros(chances.shape[1]), *steps], axis=0))
 
 
-def _sums(members: DataFrame, steps: Sequence[np.ndarray]) -> tuple[np.ndarray, float]:
-    """Expected totals of the domains after the steps, and the token-weighted square of the last change."""
+def _sums(members: DataFrame, steps: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Expected totals of the domains after the steps; token-weighted products of the posteriors where the rate is above 0."""
     names = [f"p_{name}" for name in DOMAINS]
+    size = len(DOMAINS)
+    sums = [f"s{at}" for at in range(size + size * size)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(DOMAINS) + 1)
+        total = np.zeros(len(sums))
         for batch in batches:
             chances = np.stack([batch.column(name).to_numpy() for name in names], axis=1)
             tokens = batch.column("n_tokens").to_numpy().astype(float)
-            before = rates_after(chances, steps[:-1])
-            after = np.maximum(0, before - chances @ steps[-1]) if steps else before
-            total += [*(chances * (tokens * after)[:, None]).sum(axis=0), (tokens * (after - before) ** 2).sum()]
-        yield pa.RecordBatch.from_arrays([pa.array([value]) for value in total], names=[*names, "change"])
+            rate = rates_after(chances, steps)
+            active = chances * (tokens * (rate > 0))[:, None]
+            total += [*(tokens * rate) @ chances, *(active.T @ chances).ravel()]
+        yield pa.RecordBatch.from_arrays([pa.array([value]) for value in total], names=sums)
 
-    schema = ", ".join(f"{name} double" for name in [*names, "change"])
+    schema = ", ".join(f"{name} double" for name in sums)
     row = members.select("n_tokens", *names).mapInArrow(run, schema).groupBy().sum().first()
-    *totals, change = (value or 0.0 for value in row)
-    return np.array(totals), change
+    values = np.array([value or 0.0 for value in row])
+    return values[:size], values[size:].reshape(size, size)
 
 
 def fit_rates(members: DataFrame, targets: Sequence[float | None] = TARGETS) -> list[np.ndarray]:
@@ -189,23 +203,25 @@ def fit_rates(members: DataFrame, targets: Sequence[float | None] = TARGETS) ->
     if not tokens:
         return []
     steps: list[np.ndarray] = []
-    totals, _ = _sums(members, steps)
+    totals, products = _sums(members, steps)
     free = np.array([share is None for share in targets])
     wanted = np.where(free, totals / tokens, [share or 0.0 for share in targets])
     wanted[~free] *= (1 - wanted[free].sum()) / max(wanted[~free].sum(), 1e-300)
     residual = totals / tokens - wanted
-    length, best, best_steps = 1.0, np.abs(residual).max(), 0
-    while len(steps) < PASSES and np.abs(residual).max() > CLOSE:
-        steps.append(length * residual)
-        totals, change = _sums(members, steps)
-        moved = totals / tokens - wanted - residual
-        residual = residual + moved
-        if np.abs(residual).max() < best:
-            best, best_steps = np.abs(residual).max(), len(steps)
-        if moved @ moved < 1e-18:
+    passes = 0
+    while passes < PASSES and np.abs(residual).max() > CLOSE:
+        # the scaled step, shortened where rates hit 0; the plain gradient, which never adds to the residual, if that fails
+        scaled = np.linalg.pinv(products / tokens, rcond=1e-9) @ residual
+        for step, gain in ((scaled, 0.1), (0.5 * scaled, 0.1), (0.2 * scaled, 0.05), (0.05 * scaled, 0.01), (residual, 1e-6)):
+            passes += 1
+            totals, after = _sums(members, [*steps, step])
+            left = totals / tokens - wanted
+            if left @ left < (1 - gain) * (residual @ residual):
+                steps, residual, products = [*steps, step], left, after
+                break
+        else:
             break
-        length = change / tokens / (moved @ moved)
-    return steps[:best_steps]
+    return steps
 
 
 def document_rates(members: DataFrame, steps: Sequence[np.ndarray]) -> DataFrame:
