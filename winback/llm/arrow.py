@@ -28,14 +28,15 @@ T = TypeVar("T")
 
 
 def kept_by_worker(key: Hashable, make: Callable[[], T]) -> T:
-    """What a Python worker keeps between its tasks, made on first use.
+    """What a Python worker keeps between its tasks, made on first use; only one thing, the last asked for.
 
     Code that travels with the job brings new module globals for every task, so they can't hold it.
     """
-    state = sys.modules.setdefault("winback_worker_state", ModuleType("winback_worker_state")).__dict__
-    if key not in state:
-        state[key] = make()
-    return state[key]
+    state = sys.modules.setdefault("winback_worker_state", ModuleType("winback_worker_state"))
+    if getattr(state, "key", None) != key:
+        state.kept = None  # let go of the old before the new is made
+        state.key, state.kept = key, make()
+    return state.kept
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:

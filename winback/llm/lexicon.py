@@ -53,7 +53,9 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     # a word and the gap after it take 40 characters at most on average
     rows = found.select("doc_id", "label", F.substring("text", 1, 40 * words).alias("text")).dropDuplicates(["doc_id"])
     ordered = sorted(rows.collect(), key=lambda row: row["doc_id"])
-    return without_copies((row["label"], WORD.findall(row["text"])[:words], row["text"]) for row in ordered)
+    pool: dict[str, str] = {}  # one object per distinct word
+    found = lambda text: [pool.setdefault(word, word) for word in WORD.findall(text)[:words]]
+    return without_copies((row["label"], found(row["text"]), row["text"]) for row in ordered)
 
 
 def without_copies(sample: Iterable[tuple[int, list[str], str]]) -> list[tuple[int, list[str], str]]:

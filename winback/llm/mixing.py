@@ -38,7 +38,7 @@ PER_CLASS = 1500
 TRAIN_WORDS = 4000
 PASSES = 60
 CLOSE = 1e-6
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 MEMBERSHIP = "doc_id bigint, n_tokens bigint, " + ", ".join(f"p_{name} double" for name in DOMAINS)
 
 

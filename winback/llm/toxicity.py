@@ -39,7 +39,7 @@ PENALTY = 1e-4
 THRESHOLD = 0.3
 FLOOR = 0.1
 #: emission scores remembered by a worker
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 SCHEMA = "doc_id bigint, score double, predicted int, spans array<struct<start:bigint,end:bigint,chance:double>>"
 
 
