@@ -71,7 +71,9 @@ def test_all_three_models(spark, ready, fitted):
     models.baseline_estimators = lambda weights: {**original(weights), **small}
     try:
         trained = models.train_baseline_models(ready.train)
-        again = models.train_baseline_models(ready.train, names=[models.FOREST])
+        names = [models.FOREST, models.BOOSTED]
+        layouts = [ready.train.repartition(7), ready.train.orderBy(F.desc("customer_unique_id")).coalesce(1)]
+        again = [models.train_baseline_models(layout, names=names) for layout in layouts]
     finally:
         models.baseline_estimators = original
     assert list(trained) == [models.LOGISTIC, models.FOREST, models.BOOSTED]
@@ -80,9 +82,13 @@ def test_all_three_models(spark, ready, fitted):
     rows = table.collect()
     assert [row["Recall"] for row in rows] == sorted((row["Recall"] for row in rows), reverse=True)
     assert all(0.55 < row["ROC-AUC"] < 0.85 for row in rows)
-    first = winback.churn_probability(trained[models.FOREST], ready.test).orderBy("customer_unique_id")
-    second = winback.churn_probability(again[models.FOREST], ready.test).orderBy("customer_unique_id")
-    assert [r["churn_probability"] for r in first.collect()] == [r["churn_probability"] for r in second.collect()]
+    for name in names:
+        # the layout of the training rows must not matter
+        first, *others = [
+            [row["churn_probability"] for row in winback.churn_probability(run[name], ready.test).orderBy("customer_unique_id").collect()]
+            for run in (trained, *again)
+        ]
+        assert all(first == other for other in others)
     with pytest.raises(ValueError, match="linear"):
         models.get_model_coefficients(trained[models.FOREST])
 

@@ -73,6 +73,13 @@ def test_missing_file_warns_and_leaves_the_table_out(spark, csv_shop, caplog):
         build_features(tables)
 
 
+def test_parts_with_other_headers_are_an_error(spark, csv_shop):
+    rows = [("c99", "U99", "RJ", "y")]
+    write_csv(csv_shop / "more_customers_dataset.csv", ["customer_id", "customer_unique_id", "customer_state", "customer_city"], rows)
+    with pytest.raises(Exception, match="(?i)header"):
+        load_and_clean_data(spark, str(csv_shop)).customers.collect()
+
+
 def test_empty_folder(spark, tmp_path):
     assert load_and_clean_data(spark, str(tmp_path)).found() == []
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.operators.features import FEATURES
+from winback.operators.labels import PERSON
 from winback.operators.prepare import SCALED, SEED, TARGET, ClassWeights
 from winback.session import ensure_checkpoint_dir
 
@@ -22,7 +23,8 @@ BOOSTED = "Boosted Trees"
 CHAMPION = LOGISTIC
 
 BALANCED_WEIGHT, POSITIVE_WEIGHT = "balanced_weight", "positive_weight"
-ROWS_PER_TASK = 100_000
+# Bagging and split candidates of the trees follow the layout of the rows, so it is fixed: parts by person, sorted inside.
+PARTS = 32
 
 
 def logistic_regression(weight_sum: float, strength: float = 1.0) -> LogisticRegression:
@@ -82,14 +84,17 @@ def train_baseline_models(
     features: Sequence[str] = FEATURES,
     target: str = TARGET,
     names: Sequence[str] | None = None,
+    parts: int = PARTS,
 ) -> dict[str, PipelineModel]:
-    """Fit the named models (all three by default) on a frame with scaled features."""
+    """Fit the named models (all three by default) on a frame with scaled features.
+
+    The trees depend on ``parts``, and not on how the input was divided or ordered.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     weights = ClassWeights.fit(train, target)
     estimators = baseline_estimators(weights)
     assembler = VectorAssembler(inputCols=[SCALED + name for name in features], outputCol="features")
-    # every iteration is a job: few rows in many tasks would only wait for scheduling
-    tasks = max(1, -(-weights.total // ROWS_PER_TASK))
+    order = [PERSON] if PERSON in train.columns else list(features)
     rows = (
         assembler.transform(train)
         .select(
@@ -97,8 +102,11 @@ def train_baseline_models(
             F.col(target).cast("double").alias("label"),
             weights.balanced(target).alias(BALANCED_WEIGHT),
             weights.positive_only(target).alias(POSITIVE_WEIGHT),
+            *order,
         )
-        .coalesce(tasks)
+        .repartition(parts, *order)
+        .sortWithinPartitions(*order, "label")
+        .drop(*order)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:

@@ -376,7 +376,8 @@ FROM train GROUP BY 1""",
         "roc_auc_fixed": _with(*predicted, AREAS) + "SELECT model, round(roc_auc, 6) AS roc_auc FROM areas",
         "roc_points_fixed": _with(*predicted, AREAS)
         + """SELECT model, p AS threshold, round(fp / CAST(all_neg AS DOUBLE), 6) AS fpr,
-  round(tp / CAST(all_pos AS DOUBLE), 6) AS tpr FROM ordered""",
+  round(tp / CAST(all_pos AS DOUBLE), 6) AS tpr FROM ordered
+UNION ALL SELECT DISTINCT model, CAST('Infinity' AS DOUBLE), 0.0, 0.0 FROM ordered""",
         "roc_chart_fixed": _with(
             *predicted,
             AREAS,

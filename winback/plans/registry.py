@@ -247,7 +247,7 @@ def roc_auc_fixed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def roc_points_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(evaluate.roc_points(_predictions(spark, folder)).filter(F.col("threshold") <= 1))
+    return rounded(evaluate.roc_points(_predictions(spark, folder)))
 
 
 def roc_chart_fixed(spark: SparkSession, folder: str) -> DataFrame:

@@ -36,9 +36,12 @@ FREE_TEXT_TABLES = {"reviews"}
 
 
 def read_text_table(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame | None:
-    """All columns as text, by header name; ``None`` when nothing matches the path."""
+    """All columns as text, by header name; ``None`` when nothing matches the path.
+
+    Every file must have the header of the first; a file with other columns, or another order, is an error when it is read.
+    """
     try:
-        return spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
+        return spark.read.csv(path, header=True, enforceSchema=False, multiLine=multi_line, quote='"', escape='"')
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
