@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Hashable, Iterator
 from types import ModuleType
@@ -35,6 +36,8 @@ def kept_by_worker(key: Hashable, make: Callable[[], T]) -> T:
     state = sys.modules.setdefault("winback_worker_state", ModuleType("winback_worker_state"))
     if getattr(state, "key", None) != key:
         state.kept = None  # let go of the old before the new is made
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         state.key, state.kept = key, make()
     return state.kept
 
