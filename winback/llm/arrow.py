@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 from collections.abc import Callable, Hashable, Iterator
@@ -24,10 +25,34 @@ cloudpickle.register_pickle_by_value(winback.llm)
 
 #: texts handled at a time inside an Arrow batch; bounds what a task holds as Python objects
 SLICE = 1000
+#: bytes of an Arrow batch between Spark and a Python worker (one row at least)
+BATCH_BYTES = "8m"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 T = TypeVar("T")
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """The table itself; its session sends Arrow batches of BATCH_BYTES from now on, unless it names a size of its own.
+
+    Batches are counted in rows otherwise, and 10,000 long texts do not fit a worker.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
+    return docs
+
+
+def give_back_memory() -> None:
+    """Return freed memory of this process to the system, as far as its allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which has no such call
+        pass
+
+
 def kept_by_worker(key: Hashable, make: Callable[[], T]) -> T:
     """What a Python worker keeps between its tasks, made on first use; only one thing, the last asked for.
 
@@ -36,8 +61,7 @@ def kept_by_worker(key: Hashable, make: Callable[[], T]) -> T:
     state = sys.modules.setdefault("winback_worker_state", ModuleType("winback_worker_state"))
     if getattr(state, "key", None) != key:
         state.kept = None  # let go of the old before the new is made
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back_memory()
         state.key, state.kept = key, make()
     return state.kept
 
@@ -70,7 +94,7 @@ def map_texts(docs: DataFrame, schema: str, work: Callable[[list, list], dict[st
             columns = work(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(columns[field.name], field.type) for field in arrow], schema=arrow)
 
-    return docs.select(*id_and_text()).mapInArrow(run, struct)
+    return small_batches(docs).select(*id_and_text()).mapInArrow(run, struct)
 
 
 def take_rows(docs: DataFrame, choose: Callable[[list, list], np.ndarray]) -> DataFrame:
@@ -85,4 +109,4 @@ def take_rows(docs: DataFrame, choose: Callable[[list, list], np.ndarray]) -> Da
             texts = ["" if text is None else text for text in batch.column(text_at).to_pylist()]
             yield batch.take(pa.array(choose(batch.column(id_at).to_pylist(), texts), pa.int64()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from winback.llm.arrow import kept_by_worker, sliced, sliced_by_bytes
+from winback.llm.arrow import kept_by_worker, sliced, sliced_by_bytes, small_batches
 from winback.llm.common import id_and_text, stored
 
 CAPACITY = 1024
 END_ID = 2
 #: bytes of text that a task handles at a time (one text at least)
-TEXT_BYTES = 8_000_000
+TEXT_BYTES = 4_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
@@ -170,7 +170,7 @@ def tokenise(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
             columns = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(columns, arrow, strict=False)], schema=arrow)
 
-    return docs.select(*id_and_text()).mapInArrow(run, schema)
+    return small_batches(docs).select(*id_and_text()).mapInArrow(run, schema)
 
 
 # --- the plan -------------------------------------------------------------------------------
