@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.arrow import kept_by_worker, map_texts, take_rows
+from winback.llm.arrow import give_back_memory, kept_by_worker, map_texts, take_rows
 from winback.llm.common import stored
 from winback.llm.lexicon import sample_labelled, telling_buckets, telling_features, tells
 
@@ -151,6 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
         momentum, weights = weights, ahead - step * slope
     weights = weights.copy()
     weights[0] += prior
+    del sample, x
+    give_back_memory()
     return Classifier(telling, centre, scale, weights)
 
 

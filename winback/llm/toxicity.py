@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winback.llm.arrow import kept_by_worker, map_texts, take_rows
+from winback.llm.arrow import give_back_memory, kept_by_worker, map_texts, take_rows
 from winback.llm.lexicon import BUCKETS, FEATURES, WORD, features, sample_labelled, tells, telling_features
 
 PER_CLASS = 2000
@@ -33,6 +33,8 @@ TRAIN_WORDS = 4000
 #: words of a training sequence; sequences without a toxic word that are used
 WINDOW = 128
 PLAIN_WINDOWS = 6000
+#: training sequences handled at a time
+SEQUENCES = 2000
 ROUNDS = 60
 STEP = 0.15
 PENALTY = 1e-4
@@ -114,34 +116,47 @@ def train_field(words: np.ndarray, tags: np.ndarray, lengths: np.ndarray, table:
 
     ``words``: index of each word into ``table`` (features of the distinct words).
     """
-    weights, trans = np.zeros(BUCKETS), np.array([-3.0, 0.0, 0.0, -3.0])
-    params, first, second = np.concatenate([weights, trans]), np.zeros(BUCKETS + 4), np.zeros(BUCKETS + 4)
-    starts = np.cumsum(lengths) - lengths
-    follows = np.ones(len(words), bool)
-    follows[starts[lengths > 0]] = False
-    now = np.flatnonzero(follows)
-    pair = 2 * tags[now - 1] + tags[now]
-    seen = np.array([(pair == kind).sum() for kind in (1, 2, 3)] + [tags[~follows].sum()], float)
+    params = np.concatenate([np.zeros(BUCKETS), [-3.0, 0.0, 0.0, -3.0]])
+    first, second = np.zeros(BUCKETS + 4), np.zeros(BUCKETS + 4)
+    ends = np.cumsum(lengths)
+    parts = []  # a slice of the words and its sequences' lengths, so that what a round works on stays small
+    for at in range(0, len(lengths), SEQUENCES):
+        own = lengths[at : at + SEQUENCES]
+        stop = int(ends[at + len(own) - 1])
+        parts.append((slice(stop - int(own.sum()), stop), own))
     for round_ in range(1, ROUNDS + 1):
-        weights, trans = params[:BUCKETS], params[BUCKETS:]
-        scores = weights[table].sum(axis=1)[words]
-        forward, backward, weight = ratios(scores, lengths, trans)
-        odds = forward * backward
-        chance = odds / (1 + odds)
-        before, here = forward[now - 1], weight[now] * backward[now]
-        to_toxic, to_plain, stay, _ = np.exp(trans)
-        joint = np.stack([to_toxic * here, to_plain * before, stay * before * here])
-        joint /= 1 + joint.sum(axis=0)
-        slope = np.concatenate([np.zeros(BUCKETS), seen - [*joint.sum(axis=1), chance[~follows].sum()]])
-        by_word = np.bincount(words, tags - chance, len(table))
+        scores = params[:BUCKETS][table].sum(axis=1)
+        slope, by_word = np.zeros(BUCKETS + 4), np.zeros(len(table))
+        for part, own in parts:
+            gain, slope_of_trans = part_slope(scores[words[part]], tags[part], own, params[BUCKETS:])
+            by_word += np.bincount(words[part], gain, len(table))
+            slope[BUCKETS:] += slope_of_trans
         for column in range(FEATURES):
             slope[:BUCKETS] += np.bincount(table[:, column], by_word, BUCKETS)
-        slope[:BUCKETS] -= PENALTY * len(lengths) * weights
+        slope[:BUCKETS] -= PENALTY * len(lengths) * params[:BUCKETS]
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         params = params + STEP * (first / (1 - 0.9**round_)) / (np.sqrt(second / (1 - 0.99**round_)) + 1e-8)
     return params[:BUCKETS], params[BUCKETS:]
 
 
+def part_slope(scores: np.ndarray, tags: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope of the tags' likelihood for some sequences: by each word's emission score, and by ``trans``."""
+    starts = np.cumsum(lengths) - lengths
+    follows = np.ones(len(scores), bool)
+    follows[starts[lengths > 0]] = False
+    now = np.flatnonzero(follows)
+    pair = 2 * tags[now - 1] + tags[now]
+    seen = np.array([(pair == kind).sum() for kind in (1, 2, 3)] + [tags[~follows].sum()], float)
+    forward, backward, weight = ratios(scores, lengths, trans)
+    odds = forward * backward
+    chance = odds / (1 + odds)
+    before, here = forward[now - 1], weight[now] * backward[now]
+    to_toxic, to_plain, stay, _ = np.exp(trans)
+    joint = np.stack([to_toxic * here, to_plain * before, stay * before * here])
+    joint /= 1 + joint.sum(axis=0)
+    return tags - chance, seen - [*joint.sum(axis=1), chance[~follows].sum()]
+
+
 def logistic(inputs: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Logistic regression with a small ridge, by Newton steps."""
     beta = np.zeros(inputs.shape[1])
@@ -157,16 +172,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on a bounded sample of the labelled rows; ``labels`` holds doc_id and toxic."""
     shares = {row["toxic"]: row["count"] for row in labels.dropna(subset=["doc_id", "toxic"]).groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()}
     sample = sample_labelled(docs, labels, "toxic", PER_CLASS, TRAIN_WORDS)
-    given = np.array([label for label, _, _ in sample])
+    given = np.array([label for label, _, _ in sample], np.int64)
     if len(set(given.tolist())) < 2:
         share = shares.get(1, 0) / max(1, sum(shares.values()))
         base = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return Model(np.zeros(BUCKETS), np.zeros(4), np.array([base, 0.0, 0.0]))
     telling = telling_features((label, words) for label, words, _ in sample)
     index: dict[str, int] = {}
-    coded = [np.array([index.setdefault(word, len(index)) for word in words], np.int64) for _, words, _ in sample]
+    coded = [np.array([index.setdefault(word, len(index)) for word in words], np.int32) for _, words, _ in sample]
+    del sample
     table = np.array([features(word) for word in index]).reshape(-1, FEATURES)
-    toxic_word = np.array([tells(telling, word) for word in index], np.int64)
+    toxic_word = np.array([tells(telling, word) for word in index], np.int8)
     windows, plain = [], []
     for label, words in zip(given, coded, strict=True):
         tags = toxic_word[words] * label
@@ -178,12 +194,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = np.random.default_rng(0).permutation(len(plain))[:PLAIN_WINDOWS]
     windows += [plain[at] for at in sorted(chosen.tolist())]
     words, tags = (np.concatenate([part[i] for part in windows]) for i in (0, 1))
-    weights, trans = train_field(words, tags, np.array([len(part[0]) for part in windows]), table)
+    window_lengths = np.array([len(part[0]) for part in windows], np.int64)
+    del windows, plain
+    weights, trans = train_field(words, tags, window_lengths, table)
+    del words, tags
     lengths = np.array([len(part) for part in coded])
     scores = weights[table].sum(axis=1)[np.concatenate(coded)]
     beta = logistic(evidence(*totals(marginals(scores, lengths, trans), lengths)), given)
     # the sample is balanced, the corpus is not
     beta[0] += np.log((shares.get(1, 0) + 0.5) / (shares.get(0, 0) + 0.5)) - np.log((given == 1).sum() / (given == 0).sum())
+    give_back_memory()
     return Model(weights, trans, beta)
 
 
