@@ -142,3 +142,15 @@ def test_query_against_all_pairs(spark):
     rows = [tuple(row) for row in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     got = {row["doc_id"]: (row["n_shingles"], row["component_id"]) for row in QUERIES["op6_near_dedup"](spark, folder).collect()}
     assert got == plain_groups(rows, Rule(3, 85))
+
+
+def test_word_hashes_of_a_slice_are_those_of_its_texts():
+    import pyarrow as pa
+
+    from winback.llm.words import word_hashes
+
+    texts = ["aa b", "cc dd ee", " f g\n", None, "", "HH ii jj kk", "ll mm"] * 3
+    for start in range(len(texts)):
+        hashes, counts = word_hashes(pa.array(texts).slice(start, 5))
+        wanted, wanted_counts = word_hashes(pa.array(texts[start : start + 5], pa.string()))
+        assert hashes.tolist() == wanted.tolist() and counts.tolist() == wanted_counts.tolist()

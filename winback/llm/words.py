@@ -14,7 +14,8 @@ import xxhash
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words one after the other, and how many each text has (null: none)."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    # a copy of its own: Arrow lowers a slice that was cast to large strings from the wrong place
+    texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string()), "")
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     coded = split.flatten().dictionary_encode()
     distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
