@@ -155,3 +155,19 @@ def test_query_beats_the_base_on_held_out_texts(spark):
         assert (row["base_score"], row["score"]) == pytest.approx((base, score), rel=1e-9)
     held = [row for row in rows if row["held_out"]]
     assert held and np.sum([row["score"] for row in held]) > np.sum([row["base_score"] for row in held])
+
+
+@pytest.mark.parametrize("cached", [2.5e-7, 0.004, 0.0009, 2.0])
+def test_every_word_has_its_own_pairs(spark, monkeypatch, cached):
+    monkeypatch.setattr(katz, "CACHED", cached)
+    monkeypatch.setattr("winback.llm.katz_open.PARTS", 50)
+    # w0 makes every other word rarer than a share of 2e-5; "seldom pair" still is a pair
+    train = [*texts(60, 1), "w0 " * 150_000, "seldom pair", "seldom pair w3"]
+    model = katz.train(docs_of(spark, enumerate(train)))
+    plain = Plain(train, 0)
+    rows = list(enumerate([*train, *texts(20, 2), "pair seldom pair", "unknown words É seldom", None, ""]))
+    got = {row["doc_id"]: tuple(row) for row in katz.score(docs_of(spark, rows), model).collect()}
+    for doc_id, text in rows:
+        n, known, base, score = plain.score(text)
+        assert got[doc_id][:4] == (doc_id, n, known, plain.n)
+        assert got[doc_id][4:] == pytest.approx((base, score), rel=1e-9, abs=1e-5)  # sums of 150,000 terms

@@ -8,9 +8,10 @@ Tokens are words and one end per text. Training counts all of them over all trai
   off. What the discounts of a context leave is shared by the words not seen after it, in proportion to their unigram
   chance; the weight alpha(context) is computed from the exact sums, so chances add up to one.
 
-Pairs are kept over a closed vocabulary: words with at least VOCABULARY of all tokens (so at most 1/VOCABULARY words, which
-bounds what is broadcast). Every other word, known or not, is RARE in a pair; its own chance within RARE is its unigram
-chance. Chances are evaluated recursively: pair, else alpha(context) * unigram class, times chance within the class.
+Every training word has its own pairs (``katz_open``). Only where a caller sets VOCABULARY above 0, pairs are kept over a closed vocabulary:
+words with at least that share of all tokens. Every other word, known or not, is then RARE in a pair; its own chance
+within RARE is its unigram chance. Chances are evaluated recursively: pair, else alpha(context) * unigram class, times chance within
+the class.
 
 Scoring needs for each word and pair its row of the tables. Those with at least CACHED of all tokens, again a bounded number, are
 broadcast. All others are asked for: tasks emit (text, key, times), which are joined with the tables by key and
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,11 @@ from winback.llm.arrow import sliced_by_bytes
 from winback.llm.common import id_and_text, shared_path
 from winback.llm.words import word_hashes
 
-#: least share of all training tokens of a vocabulary word; of a word or pair that is broadcast for scoring (not above the first)
-VOCABULARY = 2e-5
+if TYPE_CHECKING:
+    from winback.llm import katz_open
+
+#: least share of all training tokens of a vocabulary word (0: every word); of a word or pair that is broadcast for scoring
+VOCABULARY = 0.0
 CACHED = 2.5e-7
 #: counts up to this are discounted
 DISCOUNTED = 5
@@ -152,7 +157,9 @@ class Katz:
     pair_gains: np.ndarray
 
 
-def train(docs: DataFrame) -> Katz:
+def train(docs: DataFrame) -> Katz | katz_open.OpenKatz:
+    from winback.llm import katz_open
+
     spark, path = docs.sparkSession, shared_path(docs.sparkSession, "katz")
     # order 1: counts, then chances from the counts of counts
     raw = f"{path}/counts1"
@@ -165,6 +172,8 @@ def train(docs: DataFrame) -> Katz:
     total = float(tokens) if mass < tokens - 1e-9 else float(tokens + 1)
     unknown = 1 - mass / total if tokens else 1.0
     words = words.withColumn("chance", weight / F.lit(total or 1.0))
+    if not VOCABULARY:
+        return katz_open.train(docs, path, words, tokens, distinct, unknown)
     words.write.parquet(f"{path}/order=1")
     words = spark.read.parquet(f"{path}/order=1")
 
@@ -289,8 +298,8 @@ def _row(*columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=[part.split()[0] for part in SCORES.split(", ")])
 
 
-def score(docs: DataFrame, katz: Katz) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 chances) of every document."""
+def _told_and_answered(docs: DataFrame, katz: Katz) -> tuple[DataFrame, DataFrame]:
+    """Local sums of the texts, and the sums of what they asked for."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(katz)
     told = docs.select(*id_and_text()).mapInArrow(_ask(model), SCORES)
@@ -312,6 +321,15 @@ def score(docs: DataFrame, katz: Katz) -> DataFrame:
         F.sum(F.col("times") * F.col("base")).alias("base"),
         F.sum(F.col("times") * F.col("gain")).alias("score"),
     )
+    return local, answered
+
+
+def score(docs: DataFrame, katz: Katz | katz_open.OpenKatz) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 chances) of every document."""
+    from winback.llm import katz_open
+
+    ask = _told_and_answered if isinstance(katz, Katz) else katz_open.told_and_answered
+    local, answered = ask(docs, katz)
     sums = local.unionByName(answered, allowMissingColumns=True).groupBy("doc_id", "text_key")
     sums = sums.agg(*[F.sum(name).alias(name) for name in ("texts", "n_tokens", "n_known", "base", "score")])
     each = sums.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("texts"))).alias("copy"), *[(F.col(name) / F.col("texts")).alias(name) for name in ("n_tokens", "n_known", "base", "score")])

@@ -1,0 +1,216 @@
+"""The Katz model of ``katz`` over an open vocabulary: every training word has its own pairs.
+
+Pairs are told apart by two columns, context and word, both 64-bit word hashes; a text starts after BEGIN_HASH. Tables:
+
+* ``order=1``: each word's count, chance, and the backoff weight alpha of what follows it.
+* ``order=2``: each pair's count. Its gain, by how much its logarithm exceeds that of backing off, is made when it is read.
+* ``contexts``: each context's count, alpha, and what its discounted counts are divided by.
+
+A word that no training text has is followed by anything at its unigram chance (alpha 1) and has the chance that the discounts
+of order 1 leave. Joins of pairs with their words and contexts broadcast the rows of busy keys (times above 1/PARTS of the pairs)
+and go by key for all others. Scoring asks as ``katz`` does: rows with at least CACHED of all tokens are broadcast,
+all others are joined by key. A word asks once for its chance and for its alpha: each word is also the context of the next token.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from winback.llm import katz
+from winback.llm.arrow import sliced_by_bytes
+from winback.llm.common import id_and_text
+
+#: hashes of the context of a text's first token, and of the context that asks for a word alone
+BEGIN_HASH = 0x2B7E151628AED2A6
+ALONE = 0x3C6EF372FE94F82B
+#: a key with more than 1/PARTS of the pairs is broadcast
+PARTS = 200_000
+
+
+@dataclass(frozen=True)
+class OpenKatz:
+    """A trained model: totals, bounded arrays of the broadcast rows (sorted by key), and the path of the tables."""
+
+    path: str
+    tokens: int
+    distinct: int
+    unknown: float
+    begin_alpha: float
+    least: float  # counts from here on are broadcast
+    pairs: int
+    factors: np.ndarray
+    word_keys: np.ndarray
+    word_counts: np.ndarray
+    word_chances: np.ndarray
+    word_alphas: np.ndarray
+    pair_keys: np.ndarray  # contexts and words mixed
+    pair_contexts: np.ndarray
+    pair_words: np.ndarray
+    pair_gains: np.ndarray
+
+
+def pairs_of(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The context of each token."""
+    contexts = np.roll(tokens, 1)
+    contexts[np.cumsum(counts) - counts] = BEGIN_HASH
+    return contexts
+
+
+def mixed(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """One number for a pair; only a place to look at, both parts are compared."""
+    with np.errstate(over="ignore"):
+        value = contexts.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((value ^ (value >> np.uint64(29))) + words.view(np.uint64)).view(np.int64)
+
+
+def _tallied(**columns: np.ndarray) -> pa.Table:
+    """Distinct rows and their number, ``count``."""
+    names = list(columns)
+    return pa.table(columns).group_by(names, use_threads=False).aggregate([([], "count_all")]).select([*names, "count_all"]).rename_columns([*names, "count"])
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced_by_bytes(batches, "text", katz.TEXT_BYTES):
+        tokens, counts = katz.tokens_of(batch.column("text"))
+        yield from _tallied(context=pairs_of(tokens, counts), word=tokens).to_batches()
+
+
+def discounted(count: Column, factors: np.ndarray) -> Column:
+    return count * F.element_at(F.array(*[F.lit(float(f)) for f in factors[1:]]), F.least(count, F.lit(katz.DISCOUNTED + 1)).cast("int"))
+
+
+def _met(rows: DataFrame, groups: DataFrame, key: str, size: int) -> DataFrame:
+    """``rows`` (at most ``size``) with their row of ``groups``, whose ``times`` is at least the key's number of rows."""
+    busy = F.col("times") > size / PARTS
+    hot, rest = F.broadcast(groups.filter(busy).drop("times")), groups.filter(~busy).drop("times")
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rest, key))
+
+
+def _chances(pairs: DataFrame, words: DataFrame, size: int, factors: np.ndarray) -> DataFrame:
+    """``pairs`` with the word's chance and the discounted count."""
+    of_word = words.select(F.col("key").alias("word"), F.col("count").alias("times"), "chance")
+    return _met(pairs, of_word, "word", size).withColumn("mass", discounted(F.col("count"), factors))
+
+
+def gained(spark: SparkSession, path: str, which: Column, size: int, factors: np.ndarray) -> DataFrame:
+    """context, word and gain of some pairs."""
+    pairs, words, contexts = (spark.read.parquet(f"{path}/{name}") for name in ("order=2", "order=1", "contexts"))
+    found = _met(_chances(pairs.filter(which), words, size, factors), contexts, "context", size)
+    gain = _log10(F.col("mass") / F.col("scale")) - _log10(F.col("alpha")) - _log10(F.col("chance"))
+    return found.select("context", "word", gain.alias("gain"))
+
+
+def train(docs: DataFrame, path: str, words: DataFrame, tokens: int, distinct: int, unknown: float) -> OpenKatz:
+    """From the counts and chances of ``words`` (key, count, chance) and the texts."""
+    spark = docs.sparkSession
+    told = docs.select(*id_and_text()).mapInArrow(_count_pairs, "context bigint, word bigint, count bigint")
+    told.groupBy("context", "word").agg(F.sum("count").alias("count")).write.parquet(f"{path}/order=2")
+    pairs = spark.read.parquet(f"{path}/order=2")
+    factors = katz.discounts(katz._counts_of_counts(pairs))
+    size = pairs.count()
+    chances = _chances(pairs, words, size, factors)
+
+    # what the discounts of a context leave is shared by the words not seen after it
+    sums = chances.groupBy("context").agg(F.sum("count").alias("times"), F.sum("mass").alias("mass"), F.sum("chance").alias("lower"))
+    divide = F.when(F.col("times") - F.col("mass") > 1e-9, F.col("times")).otherwise(F.col("times") + 1).cast("double")
+    unseen = 1 - F.col("lower")
+    full = unseen <= 1e-12  # every word was seen: nothing to share
+    sums.select(
+        "context",
+        "times",
+        F.when(full, F.col("mass")).otherwise(divide).alias("scale"),
+        F.when(full, 0.0).otherwise((divide - F.col("mass")) / divide / unseen).alias("alpha"),
+    ).write.parquet(f"{path}/contexts")
+    contexts = spark.read.parquet(f"{path}/contexts")
+    alphas = contexts.select(F.col("context").alias("key"), "alpha")
+    words.join(alphas, "key", "left").select("key", "count", "chance", F.coalesce("alpha", F.lit(1.0)).alias("alpha")).write.parquet(f"{path}/order=1")
+
+    least = max(katz.CACHED * tokens, 1)
+    hot_words = katz._numbers(spark.read.parquet(f"{path}/order=1").filter(F.col("count") >= least))
+    context, word, gains = katz._numbers(gained(spark, path, F.col("count") >= least, size, factors))
+    keys = mixed(context, word)
+    order = np.argsort(keys, kind="stable")
+    begin = alphas.filter(F.col("key") == BEGIN_HASH).first()
+    begin_alpha = begin["alpha"] if begin else 1.0
+    hot_pairs = (keys[order], context[order], word[order], gains[order])
+    return OpenKatz(path, int(tokens), int(distinct), unknown, begin_alpha, least, size, factors, *hot_words, *hot_pairs)
+
+
+def _log10(value: Column) -> Column:
+    return F.log10(F.greatest(value, F.lit(1e-300)))
+
+
+def _ask(model) -> object:
+    """A mapInArrow function: a row of local sums for each text, and rows of words and pairs to be asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        kept: OpenKatz = model.value
+        word_logs = katz._log10(kept.word_chances) + katz._log10(kept.word_alphas)
+        count_logs = np.log10(kept.word_counts + 1.0)
+        begin_log, unknown_log = katz._log10(np.array([kept.begin_alpha, kept.unknown]))
+        for batch in sliced_by_bytes(batches, "text", katz.TEXT_BYTES):
+            tokens, counts = katz.tokens_of(batch.column("text"))
+            owner = np.repeat(np.arange(len(counts)), counts)
+            contexts = pairs_of(tokens, counts)
+            score, base = np.full(len(tokens), unknown_log), np.zeros(len(tokens))
+            at, cached = katz.looked_up(kept.word_keys, tokens)
+            score[cached], base[cached] = word_logs[at[cached]], count_logs[at[cached]]
+            at, hot = katz.looked_up(kept.pair_keys, mixed(contexts, tokens))
+            hot[hot] = (kept.pair_contexts[at[hot]] == contexts[hot]) & (kept.pair_words[at[hot]] == tokens[hot])
+            score[hot] += kept.pair_gains[at[hot]]
+            ids, keys = batch.column("doc_id"), pa.array([xxhash.xxh64_intdigest(text) for text in batch.column("text").to_pylist()], pa.uint64()).view(pa.int64())
+            sums = [np.bincount(owner, values, len(counts)) for values in (cached.astype(float), base, score)]
+            sums[2] += begin_log
+            one, none = pa.array(np.ones(len(counts), np.int64)), pa.nulls(len(counts), pa.int64())
+            yield _row(ids, keys, none, none, one, pa.array(counts), *map(pa.array, sums), none)
+            # what is asked for, once per text with its number of times
+            alone = ~cached
+            asked = _tallied(
+                whose=np.concatenate([owner[~hot], owner[alone]]),
+                context=np.concatenate([contexts[~hot], np.full(alone.sum(), ALONE, np.int64)]),
+                word=np.concatenate([tokens[~hot], tokens[alone]]),
+            ).combine_chunks()
+            context, word, times, whose = (pa.concat_arrays(asked.column(name).chunks or [pa.array([], pa.int64())]) for name in ("context", "word", "count", "whose"))
+            nothing = [pa.nulls(len(whose), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())]
+            yield _row(ids.take(whose), keys.take(whose), context, word, *nothing, times)
+
+    return run
+
+
+SCORES = (
+    "doc_id bigint, text_key bigint, context bigint, word bigint, texts bigint, n_tokens bigint, n_known double, base double, score double, times bigint"
+)
+
+
+def _row(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=[part.split()[0] for part in SCORES.split(", ")])
+
+
+def told_and_answered(docs: DataFrame, model: OpenKatz) -> tuple[DataFrame, DataFrame]:
+    """Local sums of the texts, and the sums of what they asked for."""
+    spark = docs.sparkSession
+    told = docs.select(*id_and_text()).mapInArrow(_ask(spark.sparkContext.broadcast(model)), SCORES)
+    local = told.filter("context is null").drop("context", "word", "times")
+    asked = told.filter("context is not null").select("doc_id", "text_key", "context", "word", F.col("times").cast("int").alias("times"))
+    rare = F.col("count") < model.least
+    rare_words = spark.read.parquet(f"{model.path}/order=1").filter(rare)
+    rare_pairs = gained(spark, model.path, rare, model.pairs, model.factors)
+    # a word that is not broadcast was scored as unknown
+    gain = _log10(F.col("chance")) + _log10(F.col("alpha")) - _log10(F.lit(float(model.unknown)))
+    answers = rare_words.select(
+        F.lit(ALONE).cast("bigint").alias("context"), F.col("key").alias("word"), F.lit(1.0).alias("known"), F.log10(F.col("count") + 1).alias("base"), gain.alias("gain")
+    ).unionByName(rare_pairs.select("context", "word", F.lit(0.0).alias("known"), F.lit(0.0).alias("base"), "gain"))
+    answered = asked.join(answers, ["context", "word"]).groupBy("doc_id", "text_key").agg(
+        F.sum(F.col("times") * F.col("known")).alias("n_known"),
+        F.sum(F.col("times") * F.col("base")).alias("base"),
+        F.sum(F.col("times") * F.col("gain")).alias("score"),
+    )
+    return local, answered
