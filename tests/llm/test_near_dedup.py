@@ -154,3 +154,28 @@ def test_word_hashes_of_a_slice_are_those_of_its_texts():
         hashes, counts = word_hashes(pa.array(texts).slice(start, 5))
         wanted, wanted_counts = word_hashes(pa.array(texts[start : start + 5], pa.string()))
         assert hashes.tolist() == wanted.tolist() and counts.tolist() == wanted_counts.tolist()
+
+
+def test_clashing_and_null_ids_against_all_pairs(spark):
+    random.seed(11)
+    x, y, z, n = words(60), words(60), words(60), words(60)
+    near = lambda base, at: " ".join([*base[:at], "changed", *base[at + 1 :]])
+    # X is near X', Y is not; whichever of 7's texts were searched alone, the other would be lost or keep a wrong group
+    rows = [(3, near(x, 59)), (7, " ".join(x)), (7, " ".join(y)), (9, " ".join(y)), (5, near(y, 0)), (7, " ".join(z)), (8, near(z, 0)), (8, near(x, 0))]
+    # groups with no id at all, and with one id only at a near copy
+    rows += [(None, " ".join(n)), (None, near(n, 0)), (None, near(n, 59)), (None, near(z, 59)), (None, "one text"), (None, None), (8, None)]
+    rule = Rule(3, 85)
+    groups = {}
+    for at, (_, root) in plain_groups([(at, text) for at, (_, text) in enumerate(rows)], rule).items():
+        groups.setdefault(root, []).append(rows[at])
+    order = lambda row: (row[0] is None, row[0] or 0)
+    expected = [(doc_id, min(group, key=order)[0]) for group in groups.values() for doc_id, _ in group]
+    docs = docs_of(spark, rows)
+    found = near_dedup.near_groups(docs, rule).collect()
+    assert sorted(map(str, [(row["doc_id"], row["component_id"]) for row in found])) == sorted(map(str, expected))
+    left = [(row["doc_id"], row["text"]) for row in near_dedup.keep_one(docs, rule).collect()]
+    # one row of each group, of its smallest id
+    assert len(left) == len(groups)
+    for group in groups.values():
+        stayed = [row for row in left if row in group]
+        assert len(stayed) == 1 and order(stayed[0]) == min(map(order, group))

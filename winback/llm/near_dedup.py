@@ -14,11 +14,14 @@
    sets, from the texts.
 5. Groups are the connected components of the confirmed links, by alternating large and small stars.
 
-Defined cases: a null text or one without words has an empty set and is linked with nothing; of different texts with
-one doc_id the one with the smallest hash stands for the id in the search, the others only join equal sets; a text with fewer
-words than a shingle has all its words as its only shingle; repeated rows are one class; a row without doc_id takes the
-group of its class, and stays if that has no id at all; columns besides doc_id and text are carried by ``keep_one``
-and never read; an empty table gives no rows.
+Classes have numbers of their own (``rep``), so doc_ids need not be unique or present. A group is told by its smallest doc_id, and
+its row with the smallest (doc_id, hash of the text), ids before none, is kept.
+
+Defined cases: a null text or one without words has an empty set, is linked with nothing and kept; different texts with one doc_id
+are searched each by itself, and their groups may bear the same component_id; a text with fewer words than a shingle has all
+its words as its only shingle; repeated rows are one class; rows without doc_id are searched like others, and their group's
+component_id is null if none of it has an id; columns besides doc_id and text are carried by ``keep_one`` and never read; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -313,13 +316,17 @@ def block_links(members: DataFrame, active: DataFrame, rule: Rule) -> DataFrame:
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """(rep, component) of all classes that are linked with another."""
+    """(rep, component) of all classes that are linked with another; classes: rep, doc_id, text_key, signature, rows."""
     limit = rule.percent / 100
     members = buckets(classes, rule.rows)
-    wanted = classes.join(members.select("rep").distinct(), "rep", "left_semi").withColumnRenamed("rep", "doc_id")
+    wanted = classes.join(members.select("rep").distinct(), "rep", "left_semi")
+    wanted = wanted.select("rep", "rows", "signature", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"))
     texts = docs.select(*id_and_text()).withColumn("text_key", F.xxhash64("text"))
-    texts = texts.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
-    active = stored(texts.select(F.col("doc_id").alias("rep"), "signature", "text"), "active")
+    own = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
+    # rows of a large class may all repeat one doc_id and text; there are fewer than 1000 such classes
+    large = F.col("rows") > max(wanted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] // 1000, 1)
+    found = texts.join(F.broadcast(wanted.filter(large)), own).unionByName(texts.join(wanted.filter(~large), own))
+    active = stored(found.dropDuplicates(["rep"]).select("rep", "signature", "text"), "active")
 
     pivots, pairs = pivot_pairs(members)
     links = stored(confirmed(survivors(pairs, active, limit), active, rule), "links")
@@ -335,24 +342,20 @@ def judged(docs: DataFrame, rule: Rule) -> DataFrame:
     """``near_groups`` with text_key, a hash of the text."""
     sketched = stored(sketches(docs, rule.width), "sketches")
     whole = sketched.filter("set_id is not null")
-    # one signature per class: that of its representative
-    classes = stored(
-        whole.groupBy("set_id").agg(
-            F.min("doc_id").alias("rep"),
-            F.count(F.lit(1)).alias("rows"),
-            F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key", "signature"))).alias("own"),
-        ),
-        "classes",
-    )
-    known = classes.filter("rep is not null").select("rep", "own.text_key", "own.signature")
-    if not known.groupBy("rep").count().filter("count > 1").isEmpty():
-        known = known.groupBy("rep").agg(F.min_by("signature", "text_key").alias("signature"), F.min("text_key").alias("text_key"))
-    groups = link_classes(docs, known, rule)
-    verdicts = classes.join(groups, "rep", "left").select("set_id", "rows", F.coalesce("component", "rep").alias("component_id"))
-    linked = join_groups(whole.select("doc_id", "text_key", "n_shingles", "set_id"), verdicts, "set_id", "rows").drop("set_id", "rows")
-    alone = sketched.filter("set_id is null").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"))
-    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return linked.unionByName(alone).withColumn("kept", kept)
+    # one signature per class; a number of its own, which lasts as it is stored
+    own = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "signature")).alias("own")
+    numbered = whole.groupBy("set_id").agg(F.count(F.lit(1)).alias("rows"), own).withColumn("rep", F.monotonically_increasing_id())
+    classes = stored(numbered.select("rep", "set_id", "rows", "own.no_id", "own.doc_id", "own.text_key", "own.signature"), "classes")
+    groups = link_classes(docs, classes, rule)
+    grouped = classes.join(groups, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    grouped = stored(grouped.select("set_id", "rows", "component", F.struct("no_id", "doc_id", "text_key").alias("own")), "grouped")
+    firsts = grouped.groupBy("component").agg(F.min("own").alias("first"), F.count(F.lit(1)).alias("classes"))
+    verdicts = join_groups(grouped.select("set_id", "rows", "component"), firsts, "component", "classes").select("set_id", "rows", "first")
+    linked = join_groups(whole.select("doc_id", "text_key", "n_shingles", "set_id"), verdicts, "set_id", "rows")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    linked = linked.select("doc_id", "text_key", "n_shingles", F.col("first.doc_id").alias("component_id"), kept.alias("kept"))
+    alone = sketched.filter("set_id is null").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return linked.unionByName(alone)
 
 
 def near_groups(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
