@@ -97,3 +97,16 @@ def test_query_judges_the_whole_table(spark):
     shares = [sum(row["n_tokens"] * row["rate"] * row[f"p_{name}"] for row in rows) / tokens for name in mixing.DOMAINS]
     # with few labels every posterior leaves some chance to each domain, so the targets may be out of reach here
     assert shares == pytest.approx(mixing.TARGETS, abs=0.02)
+
+
+@pytest.mark.parametrize("same", ["ids", "rows"])
+def test_rows_without_ids_are_taken_in_proportion(spark, monkeypatch, same):
+    rows = [(None, f"text {i}" if same == "ids" else "one text", "x") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, rate string").repartition(3)
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    for rate in (0.4, 1.7):
+        # equal posteriors; this step leads from 1 to the rate
+        monkeypatch.setattr(mixing, "fit_rates", lambda *_, rate=rate: [np.full(3, 1 - rate)])
+        mixed = mixing.resample(docs, labels)
+        assert mixed.schema == docs.schema
+        assert abs(mixed.count() / 3000 - rate) < 0.05

@@ -97,16 +97,18 @@ def map_texts(docs: DataFrame, schema: str, work: Callable[[list, list], dict[st
     return small_batches(docs).select(*id_and_text()).mapInArrow(run, struct)
 
 
-def take_rows(docs: DataFrame, choose: Callable[[list, list], np.ndarray]) -> DataFrame:
+def take_rows(docs: DataFrame, choose: Callable[..., np.ndarray], also: str | None = None) -> DataFrame:
     """The rows whose positions ``choose(doc_ids, texts)`` returns for slices of the table, with all their columns.
 
-    A position may come several times. Columns keep their names, types and order.
+    A position may come several times. Columns keep their names, types and order. The column ``also`` is handed on too.
     """
     text_at, id_at = docs.columns.index("text"), docs.columns.index("doc_id")
+    more_at = [docs.columns.index(also)] if also else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts = ["" if text is None else text for text in batch.column(text_at).to_pylist()]
-            yield batch.take(pa.array(choose(batch.column(id_at).to_pylist(), texts), pa.int64()))
+            more = [batch.column(at).to_pylist() for at in more_at]
+            yield batch.take(pa.array(choose(batch.column(id_at).to_pylist(), texts, *more), pa.int64()))
 
     return small_batches(docs).mapInArrow(run, docs.schema)

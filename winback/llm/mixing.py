@@ -13,7 +13,7 @@ rates are a function of the few steps taken.
 Defined cases: a null text counts as empty and has no tokens; a text without tokens keeps the rate that its posterior
 gives and adds nothing; without labels of two classes every document has the labels' shares as posterior (equal
 shares without any label); a target that no rates can reach is approached until no step helps; repeated
-rows count one by one; an empty table gives no rows; columns besides doc_id and text are only carried.
+rows count and draw one by one; an empty table gives no rows; columns besides doc_id and text are only carried.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winback.llm.arrow import give_back_memory, kept_by_worker, map_texts, take_rows
-from winback.llm.common import stored
+from winback.llm.common import id_and_text, stored
 from winback.llm.lexicon import sample_labelled, telling_buckets, telling_features, tells
 
 DOMAINS = ("high", "low", "toxic")
@@ -39,6 +39,7 @@ TRAIN_WORDS = 4000
 PASSES = 60
 CLOSE = 1e-6
 REMEMBERED = 200_000
+NUMBER = "__mixing_row"
 MEMBERSHIP = "doc_id bigint, n_tokens bigint, " + ", ".join(f"p_{name} double" for name in DOMAINS)
 
 
@@ -244,12 +245,23 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Sequence[float | None] = TA
     return document_rates(members, fit_rates(members, targets))
 
 
-def copies(doc_ids: list, rates: np.ndarray) -> np.ndarray:
-    """How often each document is taken: its rate rounded up or down, up with the fraction's chance by a hash of the id."""
+def copies(doc_ids: list, rates: np.ndarray, texts: list[str] | None = None, numbers: list[int] | None = None) -> np.ndarray:
+    """How often each document is taken: its rate rounded up or down, up with the fraction's chance by a hash of id, text and number."""
     import xxhash
 
-    draw = np.array([xxhash.xxh64_intdigest(str(doc_id)) / 2**64 for doc_id in doc_ids])
-    return np.floor(rates + draw).astype(np.int64)
+    def draw(*parts: object) -> float:
+        return xxhash.xxh64_intdigest("\0".join(map(str, parts)).encode("utf-8", "surrogatepass")) / 2**64
+
+    parts = [column for column in (doc_ids, texts, numbers) if column is not None]
+    return np.floor(rates + np.array([draw(*row) for row in zip(*parts, strict=True)])).astype(np.int64)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs``; where rows repeat doc_id and text, stored with a number of each row in NUMBER, so that each draws by itself."""
+    keys = docs.select(*id_and_text()).select("doc_id", F.xxhash64("text").alias("text_key"))
+    if keys.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
+        return docs
+    return stored(docs.withColumn(NUMBER, F.monotonically_increasing_id()), "numbered")
 
 
 def resample(docs: DataFrame, labels: DataFrame, targets: Sequence[float | None] = TARGETS) -> DataFrame:
@@ -258,8 +270,9 @@ def resample(docs: DataFrame, labels: DataFrame, targets: Sequence[float | None]
     members = stored(membership(docs, classifier), "membership")
     steps = fit_rates(members, targets)
 
-    def choose(doc_ids: list, texts: list[str]) -> np.ndarray:
+    def choose(doc_ids: list, texts: list[str], numbers: list[int] | None = None) -> np.ndarray:
         _, chances = classifier.posteriors(texts)
-        return np.repeat(np.arange(len(texts)), copies(doc_ids, rates_after(chances, steps)))
+        return np.repeat(np.arange(len(texts)), copies(doc_ids, rates_after(chances, steps), texts, numbers))
 
-    return take_rows(docs, choose)
+    rows = numbered(docs)
+    return take_rows(rows, choose, NUMBER if NUMBER in rows.columns else None).select(*[f"`{name}`" for name in docs.columns])
