@@ -80,6 +80,29 @@ def test_entropy_and_allow_list():
     assert kinds("ABCDEF0123456789ABCDEF98") == ["entropy_hex"]
 
 
+def test_secrets_behind_names_in_records_and_in_letters():
+    random.seed(12)
+    kinds = lambda text: [s[0] for s in secrets.find_spans(text, secrets.AllowList())]
+    spans = lambda text: [s for s in secrets.find_spans(text, secrets.AllowList()) if s[0] in secrets.ENTROPY_KINDS]
+    # the name before '=' does not raise the limit of a hex value
+    for alphabet, size in (("0123456789ABCDEF", 32), ("0123456789abcdef", 20)):
+        values = ["".join(random.choices(alphabet, k=size)) for _ in range(500)]
+        alone = [bool(spans(value)) for value in values]
+        assert [bool(spans(f"KEY={value}")) for value in values] == alone
+        assert sum(alone) > 400
+    key = "wJalrXUtnFEMI7K9MDENG8bPxRfi"
+    # a url ends with its field
+    assert kinds('{"u":"https://x.io/a","k":"%s"}' % key) == ["entropy_alnum"] and kinds(f"https://x.io/a,{key}") == ["entropy_alnum"]
+    assert kinds(f"postgres://user:{key}@host/db") == ["entropy_alnum"] and kinds(f"https://{key}@host/db") == ["entropy_base64"]
+    assert kinds(f"https://x.io:8080/a/{key}/@me") == [] and kinds(f"https://x.io/{'a.b/' * 100}{key}") == []
+    assert kinds(f"see ://[{key}]") == ["entropy_alnum"]
+    # letters of both cases are words only if they look like words
+    assert kinds("wJalrXUtnFEMIKbMDENGjbPxRfiCY") == ["entropy_alnum"]
+    assert kinds("SomeVeryLongCamelCaseIdentifierOfHTTPRequests") == [] and kinds("path/To/Some_Longer-Name/readme") == []
+    assert kinds("id-12345678901234567890") == [] and kinds("id=1b4e28ba-2fa1-11d2-883f-0016d3cca427") == []
+    assert spans("x" * 50_000 + "://" * 10_000 + "aB" * 50_000) == []
+
+
 # --- fingerprints ---------------------------------------------------------------------------
 
 

@@ -1,14 +1,15 @@
 """Secret scan: fixed patterns, and windows of high Shannon entropy over candidate strings.
 
-A candidate is a run of at least WINDOW characters of the base64 alphabet. It belongs to the
-smallest character class that holds it (hex, alnum, base64), and each class has its own entropy limit. A
-window slides over the candidate; the counts of its characters, and the sum of c*log2(c) that gives the
-entropy, change by one character out and one in. Overlapping windows above the limit form one span. The
-allow-list suppresses candidates that are known to be harmless: words and numbers, UUIDs, parts of urls, and
-any string or pattern that the caller adds.
+A candidate is a run of at least WINDOW characters of the base64 alphabet, cut after each '=' (a name ends there, or
+a padded value). Each character class (hex, alnum, base64) has its own entropy limit, and a window slides over
+every longest run of a class inside the candidate; the counts of its characters, and the sum of c*log2(c) that
+gives the entropy, change by one character out and one in. Overlapping windows of a class above its limit form
+one span. The allow-list suppresses runs that are known to be harmless: words and numbers, UUIDs, parts of urls
+but for their userinfo, and any string or pattern that the caller adds. Letters are words if they have one case, or
+if small letters come in runs of at least two, but for a short word after a longer one or a sign, as in NumberOfRows.
 
 Defined cases: a null text counts as empty and has no spans; offsets count code points, ends are exclusive; an
-entropy span inside a span of a fixed pattern is not told twice; a text is scanned whole and in time linear in
+entropy span inside a span of a fixed pattern, or of another class, is not told twice; a text is scanned whole and in time linear in
 its length; repeated rows are scanned one by one; columns besides doc_id and text are not read.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -40,10 +42,18 @@ WINDOW = 20
 #: bits a character; a window of 20 has 4.3 at most, 4 if it is hex
 LIMITS = {"entropy_hex": 3.0, "entropy_alnum": 3.6, "entropy_base64": 3.8}
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}")
-HEX_CLASS = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-ALNUM_CLASS = re.compile(r"[A-Za-z0-9]+")
+#: a part of a candidate: a name, or a value with its padding
+PART = re.compile(r"[^=]+=*")
+RUNS = tuple(
+    (kind, re.compile(rf"{chars}{{{WINDOW},}}"))
+    for kind, chars in (("entropy_hex", "[0-9a-f]"), ("entropy_hex", "[0-9A-F]"), ("entropy_alnum", "[A-Za-z0-9]"), ("entropy_base64", "[A-Za-z0-9+/_=-]"))
+)
 UUID = r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"
-WORDS_OR_NUMBERS = r"[A-Za-z+/_=-]+|[0-9+/_=-]+"
+ONE_CASE_OR_NUMBERS = r"[A-Z+/_=-]+|[a-z+/_=-]+|[0-9+/_=-]+"
+WORDS = r"(?:[A-Z]*+[a-z]{2,}+(?:[A-Z][a-z](?![a-z]))?+|[A-Z]++(?![a-z])|[+/_=-]++(?:[A-Z][a-z](?![a-z]))?+)++"
+#: what follows the scheme of a url
+URL_REST = re.compile(r"""[^\s"'`<>,;|\\^(){}\[\]]*""")
+AUTHORITY = re.compile(r"[^/?#@]*")
 SPANS_SCHEMA = "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint>>"
 
 
@@ -89,28 +99,56 @@ def high_windows(text: str, limit: float, window: int = WINDOW) -> list[tuple[in
 
 @dataclass(frozen=True)
 class AllowList:
-    """Candidates that are never secrets: exact strings, and patterns that the whole candidate must match."""
+    """What is never a secret: exact strings, and patterns that a whole candidate, a part or a run of one class must match."""
 
     strings: frozenset[str] = frozenset()
-    patterns: Sequence[str] = field(default=(UUID, WORDS_OR_NUMBERS))
+    patterns: Sequence[str] = field(default=(UUID, ONE_CASE_OR_NUMBERS, WORDS))
+
+    def allows(self, text: str) -> bool:
+        return text in self.strings or any(re.fullmatch(pattern, text) for pattern in self.patterns)
+
+
+def url_spans(text: str) -> list[tuple[int, int]]:
+    """Parts of urls after their scheme's colon, in order; names and passwords before the host are not among them."""
+    found, at = [], text.find("://")
+    while at >= 0:
+        start, end = at + 3, URL_REST.match(text, at + 3).end()
+        if at and text[at - 1].isalnum():
+            stop = AUTHORITY.match(text, start, end).end()
+            port = text[start:stop].partition(":")[2]
+            # a password may hold slashes, a port is a number
+            host = stop + 1 if text[stop : min(stop + 1, end)] == "@" else text.rfind("@", start, end) + 1 if port and not port.isdigit() else 0
+            found.append((host or at + 1, end))
+        at = text.find("://", end)
+    return found
+
 
-    def allows(self, text: str, start: int, end: int) -> bool:
-        candidate = text[start:end]
-        if candidate in self.strings or any(re.fullmatch(pattern, candidate) for pattern in self.patterns):
-            return True
-        # part of a url: "https:" stands before its two slashes, "www.host" before its path
-        return (candidate.startswith("//") and text[max(0, start - 1) : start] == ":") or bool(
-            re.search(r"://[^\s]*$", text[max(0, start - 200) : start])
-        )
+def _within(spans: Sequence[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether one of the sorted, disjoint spans holds [start, end)."""
+    at = bisect_right(spans, start, key=lambda span: span[0])
+    return at > 0 and end <= spans[at - 1][1]
 
 
 def entropy_spans(text: str, allowed: AllowList) -> list[Span]:
-    found = []
+    found, urls = [], None
     for match in CANDIDATE.finditer(text):
-        candidate = match[0]
-        kind = ENTROPY_KINDS[0 if HEX_CLASS.fullmatch(candidate) else 1 if ALNUM_CLASS.fullmatch(candidate) else 2]
-        if not allowed.allows(text, match.start(), match.end()):
-            found += [(kind, match.start() + a, match.start() + b) for a, b in high_windows(candidate, LIMITS[kind])]
+        urls = url_spans(text) if urls is None else urls
+        if allowed.allows(match[0]):
+            continue
+        for part in PART.finditer(text, match.start(), match.end()):
+            if part.end() - part.start() < WINDOW or _within(urls, *part.span()) or allowed.allows(part[0]):
+                continue
+            told: list[tuple[str, list[tuple[int, int]]]] = []  # smaller classes first
+            for kind, run_of in RUNS:
+                spans = []
+                for run in run_of.finditer(text, *part.span()):
+                    if not allowed.allows(run[0]):
+                        spans += [(run.start() + a, run.start() + b) for a, b in high_windows(run[0], LIMITS[kind])]
+                told.append((kind, spans))
+            for at, (kind, spans) in enumerate(told):
+                others = [(after > at, other) for after, (_, other) in enumerate(told) if after != at]
+                # of equal spans that of the smaller class is told
+                found += [(kind, *span) for span in spans if not any(_within(other, *span) and not (after and span in other) for after, other in others)]
     return found
 
 
