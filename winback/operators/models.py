@@ -94,7 +94,7 @@ def train_baseline_models(
     weights = ClassWeights.fit(train, target)
     estimators = baseline_estimators(weights)
     assembler = VectorAssembler(inputCols=[SCALED + name for name in features], outputCol="features")
-    order = [PERSON] if PERSON in train.columns else list(features)
+    order = [PERSON] if PERSON in train.columns else [SCALED + name for name in features]
     rows = (
         assembler.transform(train)
         .select(
