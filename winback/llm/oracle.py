@@ -31,4 +31,36 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM digests WINDOW same AS (PARTITION BY text_sha256)
 """
 
-ORACLE = {"op2_url_filter": OP2, "op5_exact_dedup": OP5}
+OP12 = r"""
+WITH lists AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), docs AS (
+  SELECT row, doc_id, terms, len(terms) AS n FROM lists WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM docs
+), counts AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs) GROUP BY row, term
+), items AS (
+  SELECT item, item_id, term, count(*) AS repeats FROM (
+    SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item, item_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, totals GROUP BY term, docs
+), parts AS (
+  SELECT item, item_id, doc_id, row,
+    sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * totals.docs) // totals.terms))))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN counts USING (term) JOIN docs USING (row), totals
+  GROUP BY item, item_id, doc_id, row
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+  FROM parts WHERE score > 0)
+WHERE rank <= 10
+"""
+
+ORACLE = {"op12_ranked_search": OP12, "op2_url_filter": OP2, "op5_exact_dedup": OP5}

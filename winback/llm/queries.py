@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import exact_dedup, fingerprints, katz, mixing, near_dedup, packing, secrets, sharding, toxicity, url_filter
-from winback.llm.common import table
+from winback.llm import exact_dedup, fingerprints, katz, mixing, near_dedup, packing, periodic, ranked_search, secrets, sharding, toxicity, url_filter
+from winback.llm.common import table, text_or_empty
 
 
 def tokenizer_path() -> str:
@@ -87,6 +87,51 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, base, told(F.col("spans")).alias("spans"))
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=10)
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where crc32(doc_id as text) ends in 0 the words from a chosen one on repeat (no id: as they are)."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    draw = F.floor(checksum / 10)
+
+    def repeated(words: Column) -> Column:
+        count = F.size(words)
+        start = F.pmod(draw, count).cast("int")
+        period = (1 + F.floor((count - start) / (3 + F.pmod(draw, F.lit(8))))).cast("int")
+        times = F.ceil((count - start) / period).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(words, start + 1, period), times))
+        edited = F.concat(F.slice(words, F.lit(1), start), F.slice(tail, F.lit(1), count - start))
+        return F.when(count > 0, F.array_join(edited, " ")).otherwise("")
+
+    text = text_or_empty()
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    # the list is bound to a name, so a text is split once
+    edited = F.element_at(F.transform(F.array(words), repeated), 1)
+    return docs.select("doc_id", F.when(F.pmod(checksum, F.lit(10)) == 0, edited).otherwise(text).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find_runs(with_periodic_tails(table(spark, folder, "documents")))
+    nothing = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    # runs come by start, then period, so the first of equal ones stays
+    best = F.aggregate(
+        "runs",
+        nothing,
+        lambda held, run: F.when(held.isNull() | (run["length"] * held["period"] > held["length"] * run["period"]), run).otherwise(held),
+    )
+    told = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
@@ -98,4 +143,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_secret_scan": op10_secret_scan,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_periodic_runs": op13_periodic_runs,
 }
