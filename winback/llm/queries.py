@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm import exact_dedup, fingerprints, katz, mixing, near_dedup, packing, periodic, ranked_search, secrets, sharding, toxicity, url_filter
+from winback.llm import exact_dedup, fingerprints, katz, mixing, near_dedup, ngram_join, packing, periodic, ranked_search, secrets, sharding, toxicity, url_filter
 from winback.llm.common import table, text_or_empty
 
 
@@ -87,6 +87,10 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, base, told(F.col("spans")).alias("spans"))
 
 
+def op11_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, folder, "documents"), ngram_join.Threshold(width=4, percent=85))
+
+
 def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=10)
 
@@ -143,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_secret_scan": op10_secret_scan,
+    "op11_ngram_join": op11_ngram_join,
     "op12_ranked_search": op12_ranked_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
