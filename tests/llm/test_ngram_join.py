@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
+from compare import connect, difference
+from conftest import TABLES
 from test_near_dedup import awkward_rows, docs_of, edited, plain_groups, plain_set, words
 
 from winback.llm import ngram_join
 from winback.llm.ngram_join import Threshold
+from winback.llm.oracle import ORACLE
 from winback.llm.queries import QUERIES
 
 
@@ -21,7 +25,7 @@ def test_groups_against_all_pairs(spark, threshold):
 
 
 def test_hot_parts_and_small_tiles_against_all_pairs(spark, monkeypatch):
-    for name, value in (("HOT_SHARE", 3000), ("COLUMNS", 8), ("ROWS", 3)):
+    for name, value in (("HOT_SHARE", 3000), ("COLUMNS", 8), ("ROWS", 3), ("TILE_GRAMS", 900)):
         monkeypatch.setattr(ngram_join, name, value)
     rows = awkward_rows()
     threshold = Threshold(4, 85)
@@ -116,3 +120,16 @@ def test_edited_copies_are_one_group(spark):
     rows = [(at, " ".join(edited(base, 0.01))) for at in range(300)] + [(900 + at, " ".join(words(40))) for at in range(30)]
     got = {row["doc_id"]: row["component_id"] for row in ngram_join.similar_groups(docs_of(spark, rows), Threshold(4, 80)).collect()}
     assert got == {doc_id: root for doc_id, (_, root) in plain_groups(rows, Threshold(4, 80)).items()}
+
+
+def test_query_matches_the_oracle(spark):
+    assert difference(QUERIES["op11_ngram_join"](spark, TABLES), connect(TABLES), ORACLE["op11_ngram_join"]) is None
+
+
+def test_released_tables_are_gone_and_others_stay(spark):
+    from winback.llm.common import release, stored
+
+    kept, gone = (stored(spark.range(10), name) for name in ("kept", "gone"))
+    folder = gone.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    release(gone)
+    assert not Path(folder).exists() and kept.count() == 10

@@ -29,6 +29,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the files of tables made by ``stored`` that no later step reads, and let Spark delete shuffle files nobody refers to.
+
+    Spark does so when the driver's collector finds them, which on a driver with much memory may be long after.
+    """
+    spark = SparkSession.active()
+    jvm = spark.sparkContext._jvm
+    for folder in {file.rsplit("/", 1)[0] for frame in frames for file in frame.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    jvm.System.gc()
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

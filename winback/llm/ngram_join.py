@@ -10,14 +10,14 @@ follows from the sizes of the two sets.
    parts' contents, at its own level and at those of the sizes it may link with. Passages that many
    texts share fill few parts wholly, so their texts do not meet. (A part that is empty in both counts only where so many parts of a
    set are empty that the filled ones might all differ; see ``part_keys``.) Blocks with equal members are one.
-3. A block is not expanded into pairs. Its pivot, the member of most blocks, is multiplied with the others. Where the block
-   then still holds several groups, the members outside its largest group are multiplied with all its members, in tiles of
-   ROWS by COLUMNS members; a task computes one tile and returns only links. So at the end every two members of a
-   block are in one group or have been compared, and no cap is needed.
+3. Blocks whose pivot, the member of most blocks, is the same make a unit. A unit is not expanded into pairs. Its pivot is multiplied
+   with the others. Where the unit then still holds several groups, the members outside its largest group are multiplied
+   with all its members; a unit beyond COLUMNS members or TILE_GRAMS n-grams does so in tiles, each a task of its own that returns only
+   links. So at the end every two members of a block are in one group or have been compared, and no cap is needed.
 4. A product runs over the n-grams in column blocks and accumulates overlap counts. After each column block the pairs go whose
    count plus what both sets still hold cannot reach the overlap their sizes ask for.
 5. Groups are the connected components of the links. ``similar_classes`` gives all links themselves, from tiles
-   that cover every two members of a block.
+   that cover every two members of a unit.
 
 Classes have numbers of their own (``rep``), so doc_ids need not be unique or present. A group is told by its smallest doc_id.
 
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winback.llm.arrow import sliced_by_bytes, small_batches
-from winback.llm.common import id_and_text, join_groups, stored
+from winback.llm.common import id_and_text, join_groups, release, stored
 from winback.llm.near_dedup import components, merged_groups
 from winback.llm.words import word_hashes
 
@@ -47,6 +47,8 @@ TEXT_BYTES = 8_000_000
 #: rows (queries) and columns (members) of a tile
 ROWS = 256
 COLUMNS = 1024
+#: n-grams of the rows, and of the columns, of a tile, about (one set at least)
+TILE_GRAMS = 4_000_000
 #: the hashes of n-grams are multiplied in 2^SHIFT column blocks
 SHIFT = 3
 #: sizes of one level are within this factor; a smaller one means fewer parts and more levels per set
@@ -244,16 +246,16 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> Dat
 
 
 def tile_links(members: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """Links (a, b) between a row and a column of one block that are in different groups.
+    """Links (a, b) between a row and a column of one unit that are in different groups.
 
-    ``members``: part, rep, component, is_row, row_tiles, column_tiles. Of each other group a row links with, one link is returned.
+    ``members``: unit, rep, component, is_row, row_tiles, column_tiles. Of each other group a row links with, one link is returned.
     """
     dealt = members.withColumn("draw", F.xxhash64("rep"))
 
     def side(rows: DataFrame, is_row: bool, own: str, other: str) -> DataFrame:
         mine = F.pmod("draw", own).cast("int").alias(own)
         every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other)
-        return rows.select("part", "rep", "component", F.lit(is_row).alias("is_row"), mine, every)
+        return rows.select("unit", "rep", "component", F.lit(is_row).alias("is_row"), mine, every)
 
     rows = side(dealt.filter("is_row"), True, "row_tiles", "column_tiles")
     columns = side(dealt, False, "column_tiles", "row_tiles")
@@ -274,14 +276,15 @@ def tile_links(members: DataFrame, sets: DataFrame, threshold: Threshold) -> Dat
         pairs = np.concatenate(found)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    return tiles.groupBy("part", "row_tiles", "column_tiles").applyInArrow(multiply, "a bigint, b bigint")
+    return tiles.groupBy("unit", "row_tiles", "column_tiles").applyInArrow(multiply, "a bigint, b bigint")
 
 
 # --- blocks ---------------------------------------------------------------------------------
 
 
-def tiles_for(count: Column, most: int) -> Column:
-    return F.greatest(F.ceil(count / most), F.lit(1)).cast("int")
+def tiles_for(count: Column, grams: Column, most: int) -> Column:
+    """How many tiles so many sets with so many n-grams fill."""
+    return F.greatest(F.ceil(count / most), F.ceil(grams / TILE_GRAMS), F.lit(1)).cast("int")
 
 
 def shared_parts(sketched: DataFrame) -> DataFrame:
@@ -304,9 +307,17 @@ def shared_parts(sketched: DataFrame) -> DataFrame:
     return stored(found, "shared-parts")
 
 
-def blocks(sketched: DataFrame, classes: DataFrame) -> DataFrame:
-    """(part, rep, size) of the members of all blocks, one block of those with equal members."""
-    members = shared_parts(sketched)
+def sets_and_parts(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
+    """The sketches without their parts, and the shared parts; both stored."""
+    whole = stored(sketches(docs, threshold), "sketches")
+    narrow = stored(whole.drop("parts"), "set-ids")
+    shared = shared_parts(whole)
+    release(whole)
+    return narrow, shared
+
+
+def blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(part, rep, size) of the members of all blocks, one block of those with equal members; from ``shared_parts``."""
     prints = members.groupBy("part").agg(
         F.count(F.lit(1)).alias("members"), F.bit_xor("set_key").alias("one"), F.bit_xor(F.xxhash64("set_key")).alias("two")
     )
@@ -315,9 +326,9 @@ def blocks(sketched: DataFrame, classes: DataFrame) -> DataFrame:
     return stored(members.join(chosen, "part").join(named, "set_key").select("part", "rep", "size"), "blocks")
 
 
-def active_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, threshold: Threshold) -> DataFrame:
-    """(rep, grams) of the classes that are in a block, made again from one text of each."""
-    wanted = classes.join(members.select("rep").distinct(), "rep", "left_semi")
+def active_sets(docs: DataFrame, classes: DataFrame, units: DataFrame, threshold: Threshold) -> DataFrame:
+    """(rep, grams) of the classes that are in a unit, made again from one text of each."""
+    wanted = classes.join(units.select("rep").distinct(), "rep", "left_semi")
     # stored, so that Spark knows its size: it goes to every task only if it is small
     wanted = stored(wanted.select("rep", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), "copies"), "active")
     texts = docs.select(*id_and_text()).withColumn("text_key", F.xxhash64("text"))
@@ -336,42 +347,86 @@ def active_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, thresho
     return stored(found.mapInArrow(run, "rep bigint, grams binary"), "grams")
 
 
-def pivot_pairs(members: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
-    """Pivots (part, rep): the member of most blocks; pairs (a, b): a pivot and another member that sizes allow."""
+def units_of(members: DataFrame) -> DataFrame:
+    """(unit, rep, size): a unit is named by a pivot, the member of most blocks in its blocks, and has the members of all of them.
+
+    Each once, so a set that shares many parts with another travels once and not once per part. Stored.
+    """
     degrees = members.groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
-    best = members.join(degrees, "rep").groupBy("part").agg(F.max(F.struct("degree", "rep", "size")).alias("best"))
-    pivots = stored(best.select("part", F.col("best.rep").alias("rep"), F.col("best.size").alias("size")), "pivots")
-    named = pivots.select(F.col("part").alias("of"), F.col("rep").alias("a"), F.col("size").alias("size_a"))
-    near = F.least("size", "size_a") * 100 >= F.greatest("size", "size_a") * threshold.percent
-    pairs = members.join(named, (F.col("part") == F.col("of")) & (F.col("rep") != F.col("a")) & near)
-    return pivots.select("part", "rep"), pairs.select("a", F.col("rep").alias("b")).distinct()
+    pivots = members.join(degrees, "rep").groupBy("part").agg(F.max(F.struct("degree", "rep")).alias("best"))
+    named = members.join(pivots, "part").select(F.col("best.rep").alias("unit"), "rep", "size").distinct()
+    return stored(named, "units")
+
+
+def unit_links(units: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+    """Links (a, b) that join the members of each unit into their groups; for units of one tile."""
+
+    def resolve(unit: pa.Table) -> pa.Table:
+        reps = unit.column("rep").to_numpy()
+        sets = _sets(unit.column("grams"))
+        group = np.arange(len(reps))
+        found = []
+
+        def link(at: int, linked: np.ndarray) -> None:
+            for other in linked.tolist():
+                if group[other] != group[at]:
+                    found.append((reps[at], reps[other]))
+                    group[group == group[other]] = group[at]
+
+        pivot = int(np.flatnonzero(reps == unit.column("unit")[0].as_py())[0])
+        for _, linked in products([sets[pivot]], sets, threshold):
+            link(pivot, linked)
+        # then the members outside the largest group; the pivot has met all
+        main = np.bincount(group).argmax()
+        rows = np.flatnonzero((group != main) & (np.arange(len(reps)) != pivot)).tolist()
+        for at, linked in products([sets[row] for row in rows], sets, threshold):
+            link(rows[at], linked)
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return units.join(sets, "rep").select("unit", "rep", "grams").groupBy("unit").applyInArrow(resolve, "a bigint, b bigint")
 
 
-def open_members(members: DataFrame, pivots: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members (without pivots) of blocks that still hold several groups, as ``tile_links`` takes them.
+def open_members(units: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members (without pivots) of units that still hold several groups, as ``tile_links`` takes them.
 
-    Rows of the tiles are the members outside the largest group of their block.
+    Rows of the tiles are the members outside the largest group of their unit.
     """
-    left = members.select("part", "rep").join(pivots, ["part", "rep"], "left_anti")
+    left = units.filter("rep != unit")
     grouped = left.join(groups, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    sizes = grouped.groupBy("part", "component").agg(F.count(F.lit(1)).alias("size"))
-    totals = sizes.groupBy("part").agg(F.max(F.struct("size", F.col("component"))).alias("main"), F.sum("size").alias("all"))
-    several = totals.filter(F.col("all") > F.col("main.size")).select(
-        "part",
+    sums = grouped.groupBy("unit", "component").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("grams"))
+    main = F.max(F.struct("sets", "grams", "component")).alias("main")
+    totals = sums.groupBy("unit").agg(main, F.sum("sets").alias("sets"), F.sum("grams").alias("grams"))
+    several = totals.filter(F.col("sets") > F.col("main.sets")).select(
+        "unit",
         F.col("main.component").alias("main"),
-        tiles_for(F.col("all") - F.col("main.size"), ROWS).alias("row_tiles"),
-        tiles_for(F.col("all"), COLUMNS).alias("column_tiles"),
+        tiles_for(F.col("sets") - F.col("main.sets"), F.col("grams") - F.col("main.grams"), ROWS).alias("row_tiles"),
+        tiles_for(F.col("sets"), F.col("grams"), COLUMNS).alias("column_tiles"),
     )
-    return grouped.join(several, "part").withColumn("is_row", F.col("component") != F.col("main")).drop("main")
+    return grouped.join(several, "unit").withColumn("is_row", F.col("component") != F.col("main")).drop("main", "size")
 
 
-def link_groups(docs: DataFrame, sketched: DataFrame, classes: DataFrame, threshold: Threshold) -> DataFrame:
+def link_groups(docs: DataFrame, shared: DataFrame, classes: DataFrame, threshold: Threshold) -> DataFrame:
     """(rep, component) of all classes that link with another."""
-    members = blocks(sketched, classes)
-    sets = active_sets(docs, classes, members, threshold)
-    pivots, pairs = pivot_pairs(members, threshold)
-    groups = components(stored(linked_pairs(pairs, sets, threshold), "links"))
-    rest = stored(open_members(members, pivots, groups), "open")
+    members = blocks(shared, classes)
+    units = units_of(members)
+    release(shared, members)
+    counts = units.groupBy("unit").agg(tiles_for(F.count(F.lit(1)), F.sum("size"), COLUMNS).alias("tiles"))
+    sets = active_sets(docs, classes, units, threshold)
+    release()
+    small = units.join(counts.filter("tiles = 1"), "unit", "left_semi")
+    links = stored(unit_links(small, sets, threshold), "links")
+    large = stored(units.join(counts.filter("tiles > 1"), "unit", "left_semi"), "large-units")
+    release(units)
+    if large.isEmpty():
+        return components(links)
+    # a unit that fills several tasks: its pivot first, then tiles of what the pivot did not bring together
+    pivots = large.filter("rep = unit").select("unit", F.col("size").alias("unit_size"))
+    near = F.least("size", "unit_size") * 100 >= F.greatest("size", "unit_size") * threshold.percent
+    pairs = large.filter("rep != unit").join(pivots, "unit").filter(near).select(F.col("unit").alias("a"), F.col("rep").alias("b"))
+    links = stored(links.unionByName(linked_pairs(pairs, sets, threshold)), "links")
+    groups = components(links)
+    rest = stored(open_members(large, groups), "open")
     if rest.isEmpty():
         return groups
     more = stored(tile_links(rest, sets, threshold), "links")
@@ -394,9 +449,9 @@ def set_classes(sketched: DataFrame) -> DataFrame:
 def similar_groups(docs: DataFrame, threshold: Threshold | None = None) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id that links lead to) of every document."""
     threshold = threshold or Threshold()
-    sketched = stored(sketches(docs, threshold), "sketches")
+    sketched, shared = sets_and_parts(docs, threshold)
     classes = set_classes(sketched)
-    groups = link_groups(docs, sketched, classes, threshold)
+    groups = link_groups(docs, shared, classes, threshold)
     grouped = classes.join(groups, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     grouped = stored(grouped.select("set_id", "rows", "component", F.struct("no_id", "doc_id").alias("own")), "grouped")
     firsts = grouped.groupBy("component").agg(F.min("own").alias("first"), F.count(F.lit(1)).alias("classes"))
@@ -410,16 +465,17 @@ def similar_groups(docs: DataFrame, threshold: Threshold | None = None) -> DataF
 def similar_classes(docs: DataFrame, threshold: Threshold | None = None) -> tuple[DataFrame, DataFrame]:
     """The join itself: all links (a, b) between classes, a < b, and the membership (doc_id, n_shingles, rep) of every document.
 
-    Every two members of a block are multiplied, tile by tile, so the work follows the squares of the blocks' sizes, as
+    Every two members of a unit are multiplied, tile by tile, so the work follows the squares of the units' sizes, as
     the number of links may. Documents without words have no rep.
     """
     threshold = threshold or Threshold()
-    sketched = stored(sketches(docs, threshold), "sketches")
+    sketched, shared = sets_and_parts(docs, threshold)
     classes = set_classes(sketched)
-    members = blocks(sketched, classes)
-    sets = active_sets(docs, classes, members, threshold)
-    counts = members.groupBy("part").agg(tiles_for(F.count(F.lit(1)), ROWS).alias("row_tiles"), tiles_for(F.count(F.lit(1)), COLUMNS).alias("column_tiles"))
-    every = members.join(counts, "part").select("part", "rep", F.col("rep").alias("component"), F.lit(True).alias("is_row"), "row_tiles", "column_tiles")
+    units = units_of(blocks(shared, classes))
+    sets = active_sets(docs, classes, units, threshold)
+    tiles = [tiles_for(F.count(F.lit(1)), F.sum("size"), most).alias(name) for name, most in (("row_tiles", ROWS), ("column_tiles", COLUMNS))]
+    counts = units.groupBy("unit").agg(*tiles)
+    every = units.join(counts, "unit").select("unit", "rep", F.col("rep").alias("component"), F.lit(True).alias("is_row"), "row_tiles", "column_tiles")
     links = tile_links(every, sets, threshold).filter("a < b").distinct()
     whole = sketched.filter("set_id is not null").select("doc_id", "n_shingles", "set_id")
     membership = join_groups(whole, classes.select("set_id", "rep", "rows"), "set_id", "rows").select("doc_id", "n_shingles", "rep")

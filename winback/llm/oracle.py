@@ -31,6 +31,37 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM digests WINDOW same AS (PARTITION BY text_sha256)
 """
 
+OP11 = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS row, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), sets AS (
+  SELECT row, doc_id, list_sort(list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END)) AS grams
+  FROM texts
+), classes AS (
+  SELECT min(row) AS rep, grams, len(grams) AS n FROM sets WHERE len(grams) > 0 GROUP BY grams
+), held AS (
+  SELECT rep, n, unnest(grams) AS gram FROM classes
+), links AS MATERIALIZED (
+  SELECT a.rep AS a, b.rep AS b FROM held a JOIN held b ON a.gram = b.gram AND a.rep <> b.rep
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT rep AS node, rep AS other FROM classes
+  UNION
+  SELECT reached.node, links.b FROM reached JOIN links ON reached.other = links.a
+), members AS (
+  SELECT sets.row, sets.doc_id, classes.rep, classes.n FROM sets LEFT JOIN classes USING (grams)
+), firsts AS (
+  SELECT reached.node, min(members.doc_id) AS component_id FROM reached JOIN members ON reached.other = members.rep GROUP BY reached.node
+)
+SELECT members.doc_id, coalesce(members.n, 0)::BIGINT AS n_shingles,
+  CASE WHEN members.rep IS NULL THEN members.doc_id ELSE firsts.component_id END AS component_id
+FROM members LEFT JOIN firsts ON members.rep = firsts.node
+"""
+
 OP12 = r"""
 WITH lists AS (
   SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
@@ -63,4 +94,4 @@ SELECT item_id, rank, doc_id, score FROM (
 WHERE rank <= 10
 """
 
-ORACLE = {"op12_ranked_search": OP12, "op2_url_filter": OP2, "op5_exact_dedup": OP5}
+ORACLE = {"op2_url_filter": OP2, "op5_exact_dedup": OP5, "op11_ngram_join": OP11, "op12_ranked_search": OP12}
