@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -223,43 +224,43 @@ def _sets(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
     return [np.frombuffer(value, np.uint64) for value in column.to_pylist()]
 
 
-def linked_pairs(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs (a, b) that link; pairs of one ``a`` that a task meets together are one product."""
-    sides = [sets.select(F.col("rep").alias(side), F.col("grams").alias(f"grams_{side}")) for side in ("a", "b")]
+def pivot_links(members: DataFrame, threshold: Threshold) -> DataFrame:
+    """The links (a, b) of each unit's pivot with its other members (unit, rep, grams); members a task meets together are one product."""
+    pivots = members.filter("rep = unit").select("unit", F.col("grams").alias("pivot_grams"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows, first, of = np.unique(batch.column("a").to_numpy(), return_index=True, return_inverse=True)
-            pivots = _sets(batch.column("grams_a").take(pa.array(first)))
-            others = _sets(batch.column("grams_b"))
+            pivots = _sets(batch.column("pivot_grams").take(pa.array(first)))
+            others = _sets(batch.column("grams"))
             found = []
             for row in range(len(rows)):
-                mine = np.flatnonzero(of == row) if len(rows) > 1 else np.arange(batch.num_rows)
+                mine = np.flatnonzero(of == row)
                 for _, linked in products([pivots[row]], [others[at] for at in mine.tolist()], threshold):
                     found.append(mine[linked])
             yield batch.select(["a", "b"]).take(pa.array(np.concatenate(found)))
 
-    joined = pairs.join(sides[1], "b").join(sides[0], "a").select("a", "b", "grams_a", "grams_b")
+    joined = members.filter("rep != unit").join(pivots, "unit").select(F.col("unit").alias("a"), F.col("rep").alias("b"), "grams", "pivot_grams")
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def tile_links(members: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+def tile_links(members: DataFrame, threshold: Threshold) -> DataFrame:
     """Links (a, b) between a row and a column of one unit that are in different groups.
 
-    ``members``: unit, rep, component, is_row, row_tiles, column_tiles. Of each other group a row links with, one link is returned.
+    ``members``: unit, rep, grams, component, is_row, row_tiles, column_tiles. Of each other group a row links with, one link is returned.
     """
     dealt = members.withColumn("draw", F.xxhash64("rep"))
 
     def side(rows: DataFrame, is_row: bool, own: str, other: str) -> DataFrame:
         mine = F.pmod("draw", own).cast("int").alias(own)
         every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other)
-        return rows.select("unit", "rep", "component", F.lit(is_row).alias("is_row"), mine, every)
+        return rows.select("unit", "rep", "grams", "component", F.lit(is_row).alias("is_row"), mine, every)
 
     rows = side(dealt.filter("is_row"), True, "row_tiles", "column_tiles")
     columns = side(dealt, False, "column_tiles", "row_tiles")
-    tiles = rows.unionByName(columns).join(sets, "rep")
+    tiles = rows.unionByName(columns)
 
     def multiply(tile: pa.Table) -> pa.Table:
         is_row = tile.column("is_row").to_numpy()
@@ -326,27 +327,6 @@ def blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
     return stored(members.join(chosen, "part").join(named, "set_key").select("part", "rep", "size"), "blocks")
 
 
-def active_sets(docs: DataFrame, classes: DataFrame, units: DataFrame, threshold: Threshold) -> DataFrame:
-    """(rep, grams) of the classes that are in a unit, made again from one text of each."""
-    wanted = classes.join(units.select("rep").distinct(), "rep", "left_semi")
-    # stored, so that Spark knows its size: it goes to every task only if it is small
-    wanted = stored(wanted.select("rep", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), "copies"), "active")
-    texts = docs.select(*id_and_text()).withColumn("text_key", F.xxhash64("text"))
-    own = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
-    found = texts.join(wanted.filter("copies = 1"), own).select("rep", "text")
-    repeated = wanted.filter("copies > 1")
-    if not repeated.isEmpty():
-        found = found.unionByName(texts.join(repeated, own).select("rep", "text").dropDuplicates(["rep"]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
-            with np.errstate(over="ignore"):
-                grams = pa.array([mine.tobytes() for mine in ngram_sets(batch.column("text"), threshold.width)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), grams], names=["rep", "grams"])
-
-    return stored(found.mapInArrow(run, "rep bigint, grams binary"), "grams")
-
-
 def units_of(members: DataFrame) -> DataFrame:
     """(unit, rep, size): a unit is named by a pivot, the member of most blocks in its blocks, and has the members of all of them.
 
@@ -358,8 +338,36 @@ def units_of(members: DataFrame) -> DataFrame:
     return stored(named, "units")
 
 
-def unit_links(units: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """Links (a, b) that join the members of each unit into their groups; for units of one tile."""
+def unit_sets(docs: DataFrame, classes: DataFrame, units: DataFrame, threshold: Threshold) -> DataFrame:
+    """(unit, rep, size, grams) of the members of units; the sets are made again from one text of each class.
+
+    Texts and classes are joined by sorting at every size, so that plans and figures are the same for small tables.
+    """
+    members = units.groupBy("rep").agg(F.collect_set("unit").alias("units"))
+    own_row = classes.select("rep", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), "copies")
+    wanted = stored(members.join(own_row, "rep"), "active").hint("merge")
+    texts = docs.select(*id_and_text()).withColumn("text_key", F.xxhash64("text"))
+    own = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
+    found = texts.join(wanted.filter("copies = 1"), own).select("rep", "units", "text")
+    repeated = wanted.filter("copies > 1")
+    if not repeated.isEmpty():
+        found = found.unionByName(texts.join(repeated, own).select("rep", "units", "text").dropDuplicates(["rep"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
+            with np.errstate(over="ignore"):
+                sets = ngram_sets(batch.column("text"), threshold.width)
+            lists = batch.column("units")
+            at = pa.array(np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy()))
+            columns = [lists.flatten(), batch.column("rep").take(at)]
+            columns += [pa.array(values).take(at) for values in ([len(mine) for mine in sets], [mine.tobytes() for mine in sets])]
+            yield pa.RecordBatch.from_arrays([column.cast(kind) for column, kind in zip(columns, (*[pa.int64()] * 3, pa.binary()), strict=True)], names=["unit", "rep", "size", "grams"])
+
+    return found.mapInArrow(run, "unit bigint, rep bigint, size bigint, grams binary")
+
+
+def unit_links(members: DataFrame, threshold: Threshold) -> DataFrame:
+    """Links (a, b) that join the members (unit, rep, grams) of each unit into their groups; for units of one tile."""
 
     def resolve(unit: pa.Table) -> pa.Table:
         reps = unit.column("rep").to_numpy()
@@ -384,15 +392,15 @@ def unit_links(units: DataFrame, sets: DataFrame, threshold: Threshold) -> DataF
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    return units.join(sets, "rep").select("unit", "rep", "grams").groupBy("unit").applyInArrow(resolve, "a bigint, b bigint")
+    return members.select("unit", "rep", "grams").groupBy("unit").applyInArrow(resolve, "a bigint, b bigint")
 
 
-def open_members(units: DataFrame, groups: DataFrame) -> DataFrame:
+def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members (without pivots) of units that still hold several groups, as ``tile_links`` takes them.
 
     Rows of the tiles are the members outside the largest group of their unit.
     """
-    left = units.filter("rep != unit")
+    left = members.filter("rep != unit")
     grouped = left.join(groups, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     sums = grouped.groupBy("unit", "component").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("grams"))
     main = F.max(F.struct("sets", "grams", "component")).alias("main")
@@ -412,24 +420,21 @@ def link_groups(docs: DataFrame, shared: DataFrame, classes: DataFrame, threshol
     units = units_of(members)
     release(shared, members)
     counts = units.groupBy("unit").agg(tiles_for(F.count(F.lit(1)), F.sum("size"), COLUMNS).alias("tiles"))
-    sets = active_sets(docs, classes, units, threshold)
-    release()
-    small = units.join(counts.filter("tiles = 1"), "unit", "left_semi")
-    links = stored(unit_links(small, sets, threshold), "links")
-    large = stored(units.join(counts.filter("tiles > 1"), "unit", "left_semi"), "large-units")
+    sized = stored(units.join(counts, "unit"), "sized-units")
     release(units)
+    links = stored(unit_links(unit_sets(docs, classes, sized.filter("tiles = 1"), threshold), threshold), "links")
+    release()
+    large = sized.filter("tiles > 1")
     if large.isEmpty():
         return components(links)
     # a unit that fills several tasks: its pivot first, then tiles of what the pivot did not bring together
-    pivots = large.filter("rep = unit").select("unit", F.col("size").alias("unit_size"))
-    near = F.least("size", "unit_size") * 100 >= F.greatest("size", "unit_size") * threshold.percent
-    pairs = large.filter("rep != unit").join(pivots, "unit").filter(near).select(F.col("unit").alias("a"), F.col("rep").alias("b"))
-    links = stored(links.unionByName(linked_pairs(pairs, sets, threshold)), "links")
+    members = stored(unit_sets(docs, classes, large, threshold), "large-units")
+    links = stored(links.unionByName(pivot_links(members, threshold)), "links")
     groups = components(links)
-    rest = stored(open_members(large, groups), "open")
+    rest = stored(open_members(members, groups), "open")
     if rest.isEmpty():
         return groups
-    more = stored(tile_links(rest, sets, threshold), "links")
+    more = stored(tile_links(rest, threshold), "links")
     return groups if more.isEmpty() else merged_groups(groups, more)
 
 
@@ -472,11 +477,11 @@ def similar_classes(docs: DataFrame, threshold: Threshold | None = None) -> tupl
     sketched, shared = sets_and_parts(docs, threshold)
     classes = set_classes(sketched)
     units = units_of(blocks(shared, classes))
-    sets = active_sets(docs, classes, units, threshold)
+    members = unit_sets(docs, classes, units, threshold)
     tiles = [tiles_for(F.count(F.lit(1)), F.sum("size"), most).alias(name) for name, most in (("row_tiles", ROWS), ("column_tiles", COLUMNS))]
     counts = units.groupBy("unit").agg(*tiles)
-    every = units.join(counts, "unit").select("unit", "rep", F.col("rep").alias("component"), F.lit(True).alias("is_row"), "row_tiles", "column_tiles")
-    links = tile_links(every, sets, threshold).filter("a < b").distinct()
+    every = members.join(counts, "unit").withColumns({"component": F.col("rep"), "is_row": F.lit(True)})
+    links = tile_links(every, threshold).filter("a < b").distinct()
     whole = sketched.filter("set_id is not null").select("doc_id", "n_shingles", "set_id")
     membership = join_groups(whole, classes.select("set_id", "rep", "rows"), "set_id", "rows").select("doc_id", "n_shingles", "rep")
     alone = sketched.filter("set_id is null").select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("rep"))
