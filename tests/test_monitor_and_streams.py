@@ -8,14 +8,16 @@ import math
 import numpy as np
 import pytest
 from conftest import shop_tables
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from winback import build_features, split_and_scale
 from winback.operators import insights, monitor
 from winback.operators.features import person_averages, person_rollup, state_summary
 from winback.operators.prepare import RobustScale
+from winback.sources.snapshots import PublishedTable
 from winback.streaming.deliveries import delivery_window_stream, watch_deliveries
-from winback.streaming.scoring import ScoringModel, latest_scores, linear_score, score_batch, score_orders
+from winback.streaming.scoring import ScoringModel, ShopStreams, latest_scores, linear_score, score_shop
 
 
 def numbers(spark, values):
@@ -117,28 +119,100 @@ def expected_scores(shop, model):
     return {r["customer_unique_id"]: (r["frequency"], r["churn_probability"]) for r in scored.collect()}
 
 
-def test_stream_scores_equal_the_batch_scores(spark, scoring, tmp_path):
+STREAMED = ["customers", "orders", "payments", "reviews"]
+
+
+def keyed(shop):
+    """The small shop with a column that tells repeats of payments and reviews from others."""
+    window = Window.partitionBy("order_id").orderBy(F.col("payment_value").desc_nulls_last())
+    payments = shop.payments.withColumn("payment_sequential", F.row_number().over(window))
+    reviews = shop.reviews.withColumn("review_id", F.concat("order_id", F.col("review_score").cast("string")))
+    return {"customers": shop.customers, "orders": shop.orders, "payments": payments, "reviews": reviews}
+
+
+def stream_turns(spark, turns, model, tmp_path, lateness=None, merge_every=2):
+    """Let rows arrive turn by turn; both queries run after each turn and go on from their checkpoints."""
+    store = str(tmp_path / "store")
+    for turn in turns:
+        for name, rows in turn.items():
+            rows.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        incoming = {name: spark.readStream.schema(turns[0][name].schema).parquet(str(tmp_path / name)) for name in STREAMED}
+        streams = ShopStreams(**incoming, payment_key="payment_sequential", review_key="review_id")
+        for query in score_shop(streams, model, store, lateness, merge_every, availableNow=True):
+            query.awaitTermination()
+    return store
+
+
+@pytest.mark.parametrize("lateness", [None, "30 days"])
+def test_late_and_repeated_rows_are_counted_once(spark, scoring, tmp_path, lateness):
     shop, model = scoring
-    incoming, store = str(tmp_path / "incoming"), str(tmp_path / "store")
-    shop.orders.repartitionByRange(4, "order_purchase_timestamp").write.parquet(incoming)
-    # the same orders arrive again
-    shop.orders.coalesce(1).write.mode("append").parquet(incoming)
-    stream = spark.readStream.schema(shop.orders.schema).option("maxFilesPerTrigger", 1).parquet(incoming)
-    score_orders(stream, shop, model, store, "3650 days", merge_every=2, availableNow=True).awaitTermination()
-    assert (tmp_path / "store/merged/before_4").is_dir()
+    tables = keyed(shop)
+    nothing = {name: rows.limit(0) for name, rows in tables.items()}
+    # amounts first, then half the orders, then customers and the other half, at last everything again
+    half = F.substring("order_id", 2, 2).cast("int") % 2 == 0
+    turns = [
+        {**nothing, "payments": tables["payments"], "reviews": tables["reviews"].filter(half)},
+        {**nothing, "orders": tables["orders"].filter(half)},
+        {**nothing, "customers": tables["customers"], "orders": tables["orders"].filter(~half)},
+        {**nothing, "reviews": tables["reviews"].filter(~half)},
+        tables,
+    ]
+    store = stream_turns(spark, turns, model, tmp_path, lateness)
     assert scores(spark, store) == expected_scores(shop, model)
 
 
-def test_a_repeated_batch_changes_nothing(spark, scoring, tmp_path):
+def test_amounts_without_their_order_are_not_scored_until_it_comes(spark, scoring, tmp_path):
     shop, model = scoring
-    store = str(tmp_path / "store")
-    batches = [shop.orders.filter(F.substring("order_id", 2, 2) == str(n)) for n in range(1, 10)]
-    for batch_id, orders in enumerate(batches):
-        for _ in range(2):
-            score_batch(orders, batch_id, shop, model, store, merge_every=4)
+    tables = keyed(shop)
+    late = F.col("order_id") == "o2"
+    turns = [{**tables, "orders": tables["orders"].filter(~late)}, {**tables, "orders": tables["orders"].filter(late)}]
+    store = stream_turns(spark, turns[:1], model, tmp_path)
+    assert "U1" not in scores(spark, store)
+    store = stream_turns(spark, turns, model, tmp_path)
     assert scores(spark, store) == expected_scores(shop, model)
 
 
+def published(table):
+    return sorted(tuple(row) for row in table.read().collect())
+
+
+def test_readers_see_whole_publications(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "table"), grace_seconds=0)
+    assert table.manifest is None
+    with pytest.raises(ValueError, match="nothing"):
+        table.read()
+    table.replace(spark.range(5), 0)
+    before = table.read()
+    slow = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        table.replace(slow, 1)
+    # the failed attempt is nowhere to be seen, and the batch can be repeated
+    assert published(table) == [(n,) for n in range(5)] and before.count() == 5
+    table.replace(spark.range(2), 1)
+    table.replace(spark.range(9), 1)
+    assert published(table) == [(0,), (1,)]
+    # superseded folders, also of the failed attempt, are gone after the grace time
+    table.replace(spark.range(4), 2)
+    assert len(list((tmp_path / "table/data").iterdir())) == 1 and len(list((tmp_path / "table/manifests").glob("*.json"))) == 1
+
+
+def test_superseded_folders_stay_for_the_grace_time(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "table"), grace_seconds=3600)
+    table.replace(spark.range(5), 0)
+    held = table.read()
+    table.replace(spark.range(2), 1)
+    assert held.count() == 5 and table.read().count() == 2
+
+
+def test_appended_folders_are_merged(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "table"), grace_seconds=0)
+    for number in range(7):
+        for _ in range(2):
+            table.append(spark.range(number, number + 2), number, lambda rows: rows.distinct(), merge_every=3)
+        assert len(table.manifest.folders) <= 3
+    assert {row["id"] for row in table.read().collect()} == set(range(8))
+
+
 def test_model_input_of_the_small_shop_is_not_needed_for_scoring(spark, scoring):
     shop, _ = scoring
     assert split_and_scale(build_features(shop)).frame.count() == 2

@@ -69,13 +69,14 @@ def order_ledger(payments: DataFrame | None, reviews: DataFrame | None) -> DataF
     )
 
 
-def order_facts(orders: DataFrame) -> DataFrame:
-    """Orders of known accounts with their delivery days (may be negative)."""
+def order_facts(orders: DataFrame, *carried: str) -> DataFrame:
+    """Orders of known accounts with their delivery days (may be negative), and the columns to be carried along."""
     return orders.filter(F.col("customer_id").isNotNull()).select(
         "order_id",
         "customer_id",
         "order_purchase_timestamp",
         whole_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")).alias("delivery_days"),
+        *carried,
     )
 
 

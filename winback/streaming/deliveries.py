@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from winback.operators.monitor import delivery_rows
 from winback.session import ensure_checkpoint_dir
 from winback.sources.parquet_tables import WAREHOUSE_SCHEMAS, map_warehouse_orders
+from winback.sources.snapshots import PublishedTable
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 
@@ -36,13 +37,9 @@ def watch_deliveries(windows: DataFrame, table: str, checkpoint: str, **trigger)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY_MINUTE)).start()
 
 
-def keep_current_windows(windows: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Rewrite the table with all windows, open ones too, after each batch (a few rows each)."""
-
-    def rewrite(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(table)
-
-    writer = windows.writeStream.outputMode("complete").foreachBatch(rewrite)
+def keep_current_windows(windows: DataFrame, table: PublishedTable, checkpoint: str, **trigger) -> StreamingQuery:
+    """Publish all windows, open ones too, after each batch (a few rows each); readers always see a whole table."""
+    writer = windows.writeStream.outputMode("complete").foreachBatch(table.replace)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY_MINUTE)).start()
 
 
@@ -51,8 +48,7 @@ def replay_delivery_windows(spark: SparkSession, folder: str, width: str = "30 d
     work = f"{ensure_checkpoint_dir(spark)}/delivery-windows-{uuid.uuid4().hex}"
     stored = spark.readStream.schema(WAREHOUSE_SCHEMAS["orders"]).parquet(f"{folder}/orders.parquet*")
     orders = map_warehouse_orders(stored, delivered_only=True)
-    stream = keep_current_windows(
-        delivery_window_stream(orders, width), f"{work}/windows", f"{work}/progress", availableNow=True
-    )
+    table = PublishedTable(spark, f"{work}/windows")
+    stream = keep_current_windows(delivery_window_stream(orders, width), table, f"{work}/progress", availableNow=True)
     stream.awaitTermination()
-    return spark.read.parquet(f"{work}/windows")
+    return table.read()

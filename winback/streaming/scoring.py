@@ -1,18 +1,27 @@
-"""Score people again as soon as they order.
+"""Score people again as soon as something becomes known about them.
 
-The state of the stream is a table of per-batch person sums. They add up across batches, so a
-batch touches only its own people: it stores its orders' sums, adds up the stored rows of
-these people and scores them with the fitted parameters. Every write replaces the folder of
-its own batch, so a batch that is repeated after a failure leaves no double rows.
+Orders, customers, payments and reviews arrive as four streams, in any order and some rows more than once. Two streaming queries
+keep what has to be remembered in Spark's state store, so that a micro-batch looks up the keys it brings and reads no history:
+
+1. ``person_increments``: repeated rows are dropped by key. Payments and reviews wait under their order id until the order is
+   known, orders stay known for those that come late; then all wait under their account until its customer is known. What
+   comes out adds up: one row of sums per order, payment or review, with the person it belongs to.
+2. ``keep_scores``: the increments are summed per person. Each micro-batch gives the new totals of the people it touched; these
+   are scored with the fitted parameters and published.
+
+``lateness`` bounds the state by the time rows were received: amounts wait that long for their order and increments for their
+customer, an order is remembered that long, repeats are noticed that long. Without it everything is remembered and nothing is lost.
+Orders, payments and reviews without an order id are left out, and so are accounts without a person.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -24,9 +33,9 @@ from winback.operators.features import (
     features_of,
     impute,
     merge_people,
+    order_facts,
     people_table,
     person_averages,
-    person_partials,
     state_summary,
 )
 from winback.operators.labels import PERSON
@@ -34,9 +43,12 @@ from winback.operators.prepare import SCALED, RobustScale, repeat_buyers, split_
 from winback.operators.reuse import checkpointed
 from winback.session import ensure_checkpoint_dir
 from winback.sources import ShopTables, load_warehouse
+from winback.sources.snapshots import PublishedTable, make_folder
 from winback.streaming.deliveries import EVERY_MINUTE
 
 MERGE_EVERY = 50
+#: the time a row was received; a stream without it counts its rows as received when they are read
+RECEIVED = "received_at"
 
 
 @dataclass(frozen=True)
@@ -66,118 +78,229 @@ def linear_score(weights: Mapping[str, float], intercept: float, places: int = 6
     return add
 
 
-def distinct_orders(orders: DataFrame, lateness: str) -> DataFrame:
-    """A stream of orders without repeats of an order id inside the lateness."""
-    timed = orders.withColumn("event_time", F.col("order_purchase_timestamp").cast("timestamp"))
-    return timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["order_id"]).drop("event_time")
+# --- what becomes known, per person -----------------------------------------------------------
 
 
-def _stored(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+@dataclass(frozen=True)
+class ShopStreams:
+    """The four streams of a shop.
+
+    ``payment_key`` and ``review_key`` name the column that, with the order id, tells a payment or review from a repeat
+    of it; without one the source is trusted to send each row once.
+    """
 
+    customers: DataFrame
+    orders: DataFrame
+    payments: DataFrame
+    reviews: DataFrame
+    payment_key: str | None = None
+    review_key: str | None = None
+
+
+def _received(stream: DataFrame, lateness: str | None) -> DataFrame:
+    """The stream with its time of receipt and, if state is bounded, the watermark on it."""
+    if RECEIVED not in stream.columns:
+        stream = stream.withColumn(RECEIVED, F.current_timestamp())
+    timed = stream.withColumn(RECEIVED, F.col(RECEIVED).cast("timestamp"))
+    return timed.withWatermark(RECEIVED, lateness) if lateness else timed
+
+
+def _once(stream: DataFrame, keys: list[str], lateness: str | None) -> DataFrame:
+    return stream.dropDuplicatesWithinWatermark(keys) if lateness else stream.dropDuplicates(keys)
+
+
+def amounts(streams: ShopStreams, lateness: str | None = None) -> DataFrame:
+    """Payments and reviews as rows of one form: order_id, received_at, row counts and sums."""
+    nothing = {"paid": F.lit(None).cast("double"), "installments": F.lit(None).cast("double"), "score": F.lit(None).cast("double")}
+    parts = []
+    for stream, kind, key, values in (
+        (streams.payments, "payment", streams.payment_key, {"paid": F.col("payment_value"), "installments": F.col("payment_installments")}),
+        (streams.reviews, "review", streams.review_key, {"score": F.col("review_score")}),
+    ):
+        timed = _received(stream, lateness).filter(F.col("order_id").isNotNull())
+        found = _once(timed, ["order_id", key], lateness) if key else timed
+        named = [column.cast("double").alias(name) for name, column in {**nothing, **values}.items()]
+        parts.append(found.select("order_id", RECEIVED, F.lit(kind).alias("kind"), *named))
+    rows = parts[0].unionByName(parts[1])
+    return rows.select(
+        "order_id",
+        RECEIVED,
+        F.when(F.col("kind") == "payment", 1).otherwise(0).cast("bigint").alias("payment_rows"),
+        "paid",
+        F.col("installments").alias("installment_sum"),
+        F.col("installments").isNotNull().cast("bigint").alias("installment_rows"),
+        F.when(F.col("kind") == "review", 1).otherwise(0).cast("bigint").alias("review_rows"),
+        F.col("score").alias("score_sum"),
+        F.col("score").isNotNull().cast("bigint").alias("score_rows"),
+    )
 
-def _between(spark: SparkSession, schema: StructType, store: str, first: int, last: int) -> DataFrame:
-    """Person sums of the batches first..last."""
-    rows = spark.read.schema(schema).option("basePath", f"{store}/people").parquet(f"{store}/people")
-    return rows.filter(F.col("batch_id").between(first, last)).drop("batch_id")
 
+def _near(lateness: str | None, earliest: str, latest: str, both_ways: bool) -> Column:
+    """``latest`` was received at most ``lateness`` after ``earliest``; the condition that lets Spark forget rows."""
+    if lateness is None:
+        return F.lit(True)
+    span = F.expr(f"INTERVAL {lateness}")
+    soon = F.col(earliest) <= F.col(latest) + span
+    return soon & (F.col(latest) <= F.col(earliest) + span) if both_ways else soon
 
-def known_people(spark: SparkSession, schema: StructType, store: str, batch_id: int, merge_every: int) -> DataFrame:
-    """Person sums of all batches up to this one.
 
-    Every ``merge_every`` batches the sums of all earlier ones are merged into one table, so a
-    batch reads that table and at most ``merge_every`` small ones. Which table that is follows
-    from the batch number alone; a repeated batch finds or rewrites the same one.
-    """
-    start = batch_id - batch_id % merge_every
-    recent = _between(spark, schema, store, start, batch_id)
-    if start == 0:
-        return recent
-    merged = f"{store}/merged/before_{start}"
-    if batch_id == start:
-        previous = start - merge_every
-        earlier = _between(spark, schema, store, previous, start - 1)
-        if previous:
-            earlier = earlier.unionByName(_stored(spark, schema, f"{store}/merged/before_{previous}"))
-        merge_people(earlier).write.mode("overwrite").parquet(merged)
-    return recent.unionByName(_stored(spark, schema, merged))
-
-
-def score_batch(
-    batch: DataFrame,
-    batch_id: int,
-    tables: ShopTables,
+def person_increments(streams: ShopStreams, lateness: str | None = None) -> DataFrame:
+    """A stream of rows that add up to the person sums of :func:`person_partials`, each given once all it needs is known."""
+    orders = _once(_received(streams.orders, lateness).filter(F.col("order_id").isNotNull()), ["order_id"], lateness)
+    facts = order_facts(orders.withColumn("order_received", F.col(RECEIVED)), "order_received")
+    waiting = amounts(streams, lateness)
+    late = waiting.withColumnRenamed("order_id", "of_order").join(
+        facts.select("order_id", "customer_id", "order_received"),
+        (F.col("of_order") == F.col("order_id")) & _near(lateness, "order_received", RECEIVED, both_ways=True),
+    )
+    no_rows, no_sum, no_date = F.lit(0).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("timestamp_ntz")
+    counts = ["payment_rows", "paid", "installment_sum", "installment_rows", "review_rows", "score_sum", "score_rows"]
+    of_amounts = late.select(
+        "customer_id",
+        F.col(RECEIVED).alias("at"),
+        no_rows.alias("frequency"),
+        F.lit(None).cast("bigint").alias("delivery_sum"),
+        no_rows.alias("delivery_rows"),
+        *counts,
+        no_date.alias("order_date"),
+        F.lit(False).alias("is_order"),
+    )
+    of_orders = facts.select(
+        "customer_id",
+        F.col("order_received").alias("at"),
+        F.lit(1).cast("bigint").alias("frequency"),
+        F.col("delivery_days").cast("bigint").alias("delivery_sum"),
+        F.col("delivery_days").isNotNull().cast("bigint").alias("delivery_rows"),
+        *[(no_rows if name.endswith("_rows") else no_sum).alias(name) for name in counts],
+        F.col("order_purchase_timestamp").alias("order_date"),
+        F.lit(True).alias("is_order"),
+    )
+    known = _received(streams.customers, lateness).filter(F.col("customer_id").isNotNull() & F.col(PERSON).isNotNull())
+    owners = _once(known, ["customer_id"], lateness).select(
+        F.col("customer_id").alias("account"), PERSON, "customer_state", F.col(RECEIVED).alias("customer_received")
+    )
+    joined = of_orders.unionByName(of_amounts).join(
+        owners, (F.col("customer_id") == F.col("account")) & _near(lateness, "customer_received", "at", both_ways=False)
+    )
+    origin = F.struct(
+        F.col("order_date").isNull().alias("undated"), F.col("order_date").alias("first_order_date"), "customer_id", "customer_state"
+    )
+    return joined.select(
+        PERSON,
+        "frequency",
+        "delivery_sum",
+        "delivery_rows",
+        *counts,
+        F.col("order_date").alias("last_order_date"),
+        F.when(F.col("is_order") & F.col("customer_state").isNotNull(), origin).alias("origin"),
+    )
+
+
+# --- the two queries --------------------------------------------------------------------------
+
+
+def keep_increments(increments: DataFrame, store: str, **trigger) -> StreamingQuery:
+    """Append a stream of :func:`person_increments` to ``store``; the file sink commits each micro-batch once."""
+    writer = increments.writeStream.outputMode("append").format("parquet").option("path", f"{store}/increments")
+    return writer.option("checkpointLocation", f"{store}/increments-progress").trigger(**(trigger or EVERY_MINUTE)).start()
+
+
+def keep_scores(
+    spark: SparkSession,
+    schema: StructType,
     model: ScoringModel,
     store: str,
     merge_every: int = MERGE_EVERY,
-) -> None:
-    """Store one batch of delivered orders and score the people in it."""
-    customers, payments, reviews = tables.require("customers", "payments", "reviews")
-    spark = batch.sparkSession
-    # the batch is written first: reading it again must not run the stream's state a second time
-    batch.write.mode("overwrite").parquet(f"{store}/orders/batch_id={batch_id}")
-    orders = _stored(spark, batch.schema, f"{store}/orders/batch_id={batch_id}")
-    partials = person_partials(orders, customers, payments, reviews).filter(F.col(PERSON).isNotNull())
-    partials.write.mode("overwrite").parquet(f"{store}/people/batch_id={batch_id}")
-    touched = _stored(spark, partials.schema, f"{store}/people/batch_id={batch_id}").select(PERSON)
-    known = known_people(spark, partials.schema, store, batch_id, merge_every)
-    people = merge_people(known.join(touched, PERSON, "left_semi"))
-    model.score(people).write.mode("overwrite").parquet(f"{store}/scores/batch_id={batch_id}")
-
-
-def score_orders(
-    orders: DataFrame,
-    tables: ShopTables,
+    grace_seconds: float = 24 * 3600.0,
+    **trigger,
+) -> StreamingQuery:
+    """Sum the stored increments per person and publish the scores of the people each micro-batch touches."""
+    make_folder(spark, f"{store}/increments")
+    increments = spark.readStream.schema(schema).parquet(f"{store}/increments")
+    scores = PublishedTable(spark, f"{store}/scores", grace_seconds)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        scored = model.score(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        scores.append(scored, batch_id, newest_scores, merge_every)
+
+    writer = merge_people(increments).writeStream.outputMode("update").foreachBatch(publish)
+    return writer.option("checkpointLocation", f"{store}/scores-progress").trigger(**(trigger or EVERY_MINUTE)).start()
+
+
+def score_shop(
+    streams: ShopStreams,
     model: ScoringModel,
     store: str,
-    lateness: str | None = "30 days",
+    lateness: str | None = "60 days",
     merge_every: int = MERGE_EVERY,
     **trigger,
-) -> StreamingQuery:
-    """Start scoring a stream of delivered orders into ``store``.
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Start both queries on ``store``: the one that keeps increments and the one that scores.
 
-    Orders that arrive again inside ``lateness`` are dropped; without it the source is trusted to
-    send each order once and the stream keeps no ids.
+    With ``availableNow`` the first is awaited before the second starts, so that all rows at hand are scored.
     """
+    increments = person_increments(streams, lateness)
+    first = keep_increments(increments, store, **trigger)
+    if trigger.get("availableNow"):
+        first.awaitTermination()
+    return first, keep_scores(streams.orders.sparkSession, increments.schema, model, store, merge_every, **trigger)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch, batch_id, tables, model, store, merge_every)
 
-    once = distinct_orders(orders, lateness) if lateness else orders
-    writer = once.writeStream.foreachBatch(handle)
-    return (
-        writer.option("checkpointLocation", f"{store}/progress")
-        .trigger(**(trigger or EVERY_MINUTE))
-        .start()
-    )
+def newest_scores(scores: DataFrame) -> DataFrame:
+    """Of each person the score of the newest micro-batch."""
+    kept = [name for name in scores.columns if name != PERSON]
+    newest = F.max_by(F.struct(*kept), "batch_id").alias("newest")
+    return scores.groupBy(PERSON).agg(newest).select(PERSON, *[F.col(f"newest.{name}") for name in kept])
 
 
 def latest_scores(spark: SparkSession, store: str) -> DataFrame:
-    """The newest score of every person."""
-    scores = spark.read.option("basePath", f"{store}/scores").parquet(f"{store}/scores")
-    kept = [name for name in scores.columns if name not in (PERSON, "batch_id")]
-    newest = F.max(F.struct("batch_id", *kept)).alias("newest")
-    return scores.groupBy(PERSON).agg(newest).select(PERSON, *[F.col(f"newest.{name}") for name in kept])
+    """The newest score of every person, as published."""
+    return newest_scores(PublishedTable(spark, f"{store}/scores").read()).drop("batch_id")
+
+
+# --- a replay ---------------------------------------------------------------------------------
+
+
+def arrivals(tables: ShopTables, batches: int) -> list[dict[str, DataFrame]]:
+    """What arrives in each of ``batches`` turns, and in one more turn of repeats.
+
+    Orders are dealt to turns by their id, payments and reviews regardless of it, so that a third or so come before their
+    order and as many after it; every other customer is known only in the last turn.
+    """
+    order, last = F.col("order_id").cast("bigint"), batches - 1
+    turns = {
+        "customers": F.when(F.col("customer_id").cast("bigint") % 2 == 0, 0).otherwise(last),
+        "orders": F.pmod(order, F.lit(batches)),
+        "payments": F.pmod(order + F.col("payment_sequential"), F.lit(batches)),
+        "reviews": F.pmod(order * 2 + 1, F.lit(batches)),
+    }
+    rows = [{name: getattr(tables, name).filter(turn == at) for name, turn in turns.items()} for at in range(batches)]
+    again = {name: getattr(tables, name).filter(F.xxhash64(*getattr(tables, name).columns) % 3 == 0) for name in turns}
+    return [*rows, again]
 
 
 def replay_scoring(
     spark: SparkSession, folder: str, weights: Mapping[str, float], intercept: float, batches: int = 3
 ) -> DataFrame:
-    """Fit on the stored tables, stream their orders in batches by date, return the newest scores."""
+    """Fit on the stored tables, stream them in turns with late and repeated rows, return the newest scores.
+
+    The queries stop after each turn and go on from their checkpoints.
+    """
     tables = load_warehouse(spark, folder)
     work = f"{ensure_checkpoint_dir(spark)}/scoring-{uuid.uuid4().hex}"
     people = people_table(tables)
     summary = state_summary(people)
     ready = split_and_scale(checkpointed(features_of(people, summary)))
     model = ScoringModel(summary, ready.scaler, linear_score(weights, intercept))
-    # files by date, as many as a shuffle has parts; the id splits a crowded moment
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = tables.orders.repartitionByRange(parts, "order_purchase_timestamp", "order_id")
-    ordered.write.parquet(f"{work}/incoming")
-    files = len(spark.read.schema(tables.orders.schema).parquet(f"{work}/incoming").inputFiles())
-    incoming = spark.readStream.schema(tables.orders.schema).option("maxFilesPerTrigger", -(-files // batches))
-    stream = score_orders(
-        incoming.parquet(f"{work}/incoming"), tables, model, f"{work}/store", lateness=None, availableNow=True
-    )
-    stream.awaitTermination()
+    # payments without a number of their own get one, so that repeats can be told from equal payments
+    numbered = W.partitionBy("order_id").orderBy("payment_installments", "payment_value")
+    tables.payments.withColumn("payment_sequential", F.row_number().over(numbered)).write.parquet(f"{work}/payments")
+    tables = replace(tables, payments=spark.read.parquet(f"{work}/payments"))
+    for turn in arrivals(tables, batches):
+        for name, rows in turn.items():
+            rows.write.mode("append").parquet(f"{work}/incoming/{name}")
+        incoming = {name: spark.readStream.schema(rows.schema).parquet(f"{work}/incoming/{name}") for name, rows in turn.items()}
+        streams = ShopStreams(**incoming, payment_key="payment_sequential", review_key="review_score")
+        for query in score_shop(streams, model, f"{work}/store", lateness=None, merge_every=batches, availableNow=True):
+            query.awaitTermination()
     return latest_scores(spark, f"{work}/store").select(PERSON, "frequency", "churn_probability", "risk_tier")
