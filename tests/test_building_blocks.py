@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from winback import RobustScale, build_features, load_warehouse, split_and_scale
 from winback.operators import prepare
 from winback.operators.joins import find_hot_keys, join_to_unique
-from winback.operators.quantiles import exact_quantiles
+from winback.operators.quantiles import exact_quantiles, merge_sketches, quantile_sketches
 from winback.operators.running import running_totals
 
 
@@ -53,26 +53,64 @@ def test_join_with_hot_keys_equals_the_plain_join(spark, how, kind):
 def test_quantiles_of_any_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     probs = [0.0, 0.2, 0.25, 0.5, 0.75, 1.0]
-    for small_group in (0, 1000):
-        found = exact_quantiles(df, ["v"], probs, accuracy=10, small_group=small_group)
+    for size in (8, 4096):
+        found = exact_quantiles(df, ["v"], probs, size=size)
         for prob in probs:
             assert found["all", "v", prob] == pytest.approx(np.quantile(values, prob), rel=1e-12, abs=1e-9)
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_quantiles_by_group_with_a_hot_value(spark, accuracy):
+@pytest.mark.parametrize("size", [8, 40, 4096])
+def test_quantiles_by_group_with_a_hot_value(spark, size):
     rng = np.random.default_rng(3)
     values = np.concatenate([np.full(4000, 1.5), rng.exponential(size=8000)])
     groups = rng.integers(0, 2, values.size)
     df = spark.createDataFrame([(int(g), float(v), None) for g, v in zip(groups, values, strict=True)], "g int, v double, w double")
     probs = [0.1, 0.25, 0.5, 0.99]
-    found = exact_quantiles(df, ["v", "w"], probs, by="g", accuracy=accuracy, small_group=0)
-    assert len(found) == 8
+    found = exact_quantiles(df, ["v", "w"], probs, by="g", size=size)
+    assert len(found) == 8 and found.rows == {(str(group), "v"): int((groups == group).sum()) for group in (0, 1)}
     for group in (0, 1):
         for prob in probs:
             assert found[str(group), "v", prob] == pytest.approx(np.quantile(values[groups == group], prob))
 
 
+def test_quantiles_take_two_passes(spark):
+    """Every row is read once for the sketches and once for the ranks, for all columns and groups together."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rng = np.random.default_rng(8)
+    rows = [(int(g), float(v), float(w)) for g, v, w in zip(rng.integers(0, 3, 3000), rng.normal(size=3000), rng.exponential(size=3000), strict=True)]
+    df = spark.createDataFrame(rows, "g int, v double, w double").mapInArrow(count, "g int, v double, w double")
+    found = exact_quantiles(df, ["v", "w"], [0.25, 0.5, 0.75], by="g")
+    assert len(found) == 18 and seen.value == 2 * len(rows)
+    assert found["1", "w", 0.75] == pytest.approx(np.quantile([w for g, _, w in rows if g == 1], 0.75))
+
+
+def test_sketches_of_parts_merge(spark):
+    rng = np.random.default_rng(9)
+    values = [(float(v), None if v > 1 else float(-v)) for v in rng.normal(size=5000)] + [(float("nan"), None)]
+    df = spark.createDataFrame(values, "v double, w double").withColumn("part", F.pmod(F.xxhash64("v"), F.lit(4)))
+    parts = [quantile_sketches(df.filter(F.col("part") == at), ["v", "w"]) for at in range(4)]
+    stored = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    merged = merge_sketches(stored, ["v", "w"])
+    found = exact_quantiles(df, ["v", "w"], [0.1, 0.9], sketches=merged)
+    for at, name in enumerate(("v", "w")):
+        known = [row[at] for row in values if row[at] is not None and row[at] == row[at]]
+        assert found.rows["all", name] == len(known)
+        assert [found["all", name, prob] for prob in (0.1, 0.9)] == pytest.approx(list(np.quantile(known, [0.1, 0.9])))
+
+
+def test_quantiles_of_nothing_and_of_too_many_groups(spark):
+    empty = spark.createDataFrame([], "g int, v double")
+    assert exact_quantiles(empty, ["v"], [0.5]) == {} and exact_quantiles(empty, ["v"], [0.5], by="g") == {}
+    with pytest.raises(ValueError, match="groups"):
+        exact_quantiles(spark.range(1200).select("id", F.lit(1.0).alias("v")), ["v"], [0.5], by="id")
+
+
 def test_running_totals(spark):
     rng = np.random.default_rng(4)
     rows = [(m, float(x), int(n)) for m in ("a", "b") for x, n in zip(rng.permutation(500), rng.integers(0, 9, 500), strict=True)]
@@ -124,6 +162,13 @@ def test_split_of_one_class(spark):
     assert counts == {"test": 20, "train": 80}
 
 
+def test_a_class_of_one_row_is_for_training(spark):
+    df = spark.range(50).select(F.col("id").alias("customer_unique_id"), (F.col("id") == 7).cast("int").alias("is_churn"))
+    split = prepare.stratified_split(df)
+    assert {(row["is_churn"], row["split"]) for row in split.filter("is_churn = 1").collect()} == {(1, "train")}
+    assert split.filter("split = 'test'").count() == 10
+
+
 def test_scaled_training_part_has_median_zero(ready):
     scaled = np.array([list(row) for row in ready.train.select(ready.scaled_columns).collect()])
     assert np.allclose(np.median(scaled, axis=0), 0)

@@ -43,12 +43,14 @@ def stratified_split(
     """Add ``split`` ('train' or 'test') with the same test share in every class.
 
     Rows are ranked by a hash of their id and the lowest share of each class is the test part,
-    so the split depends on the data alone: not on row order, partitions or retries.
+    so the split depends on the data alone: not on row order, partitions or retries. A class of one row is for training.
     """
     hashed = df.withColumn("id_hash", id_hash(F.col(id_column), seed))
     cuts = exact_quantiles(hashed, ["id_hash"], [test_size], by=target)
     cut = F.lit(None).cast("double")
     for (label, _, _), value in cuts.items():
+        if cuts.rows[label, "id_hash"] < 2:
+            continue
         cut = F.when(F.col(target).cast("string") == label, value).otherwise(cut)
     return hashed.withColumn("split", F.when(F.col("id_hash") <= cut, "test").otherwise("train")).drop("id_hash")
 

@@ -1,15 +1,18 @@
-"""Exact quantiles, interpolated between neighbours, without sorting a column in one task.
-
-``percentile`` keeps every distinct value of a group in one task. Here a mergeable sketch
-first gives, for every wanted quantile, two values that enclose it; one more pass counts the
-rows below and keeps only the distinct values in between (about ``4 / accuracy`` of the rows),
-from which the wanted ranks are read off.
+"""Exact quantiles, interpolated between neighbours, in two passes whatever the size of a group.
+
+The first pass makes a KLL sketch per group and column. Sketches are ordinary binary columns of a small table that can be
+stored and merged (:func:`merge_sketches`), so parts of a table may be sketched apart. A sketch gives, for every wanted quantile,
+two values that enclose it. The second pass counts the rows below, between and above these brackets and keeps only the
+distinct values inside them (about ``6 * rank_error`` of the rows for each quantile), from which the wanted ranks are read off.
+No group is sorted in one task, and results do not depend on the sketch: a bracket that misses its rank is widened and
+asked again.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,96 +20,172 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MAX_GROUPS = 1000
-# groups of up to this many rows go through the one-pass exact percentile
-SMALL_GROUP = 500_000
+#: items of the largest level of a sketch
+SKETCH_SIZE = 4096
 
+#: group, column, probability
+Asked = tuple[str, str, float]
 
-def _tall(df: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
-    """One row per known value: (grp, feature, value)."""
-    group = F.col(by).cast("string") if by else F.lit("all")
-    values = F.array(
-        *[F.struct(F.lit(name).alias("feature"), F.col(name).cast("double").alias("value")) for name in columns]
-    )
-    return (
-        df.select(group.alias("grp"), F.explode(values).alias("item"))
-        .select("grp", "item.feature", "item.value")
-        .filter(F.col("value").isNotNull())
-    )
 
+class Quantiles(dict):
+    """``{(group, column, probability): value}``; ``rows`` holds the number of known values per (group, column)."""
 
-def _brackets(tall: DataFrame, probs: Sequence[float], accuracy: int, widen: float) -> list[dict]:
-    """Per group, feature and probability: the wanted ranks and an enclosing pair of values."""
-    margin = widen * 2.0 / accuracy
-    asked = [min(max(p + shift, 0.0), 1.0) for p in probs for shift in (-margin, margin)]
-    rows = (
-        tall.groupBy("grp", "feature")
-        .agg(F.count("value").alias("n"), F.percentile_approx("value", asked, accuracy).alias("edges"))
-        .limit(MAX_GROUPS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_GROUPS:
+    def __init__(self, rows: dict[tuple[str, str], int]) -> None:
+        super().__init__()
+        self.rows = rows
+
+
+def rank_error(size: int) -> float:
+    """Share of the rows by which a quantile of a sketch may be off, in 99 of 100 cases."""
+    return 2.296 / size**0.9723
+
+
+def _known(name: str) -> Column:
+    return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+
+
+def quantile_sketches(df: DataFrame, columns: Sequence[str], by: str | None = None, size: int = SKETCH_SIZE) -> DataFrame:
+    """One row per group (of all rows, ``"all"``): grp, and per column n_<column> and sketch_<column>.
+
+    Nulls and NaN are not counted; rows without a group are left out.
+    """
+    group = F.col(by).cast("string") if by else F.lit("all")
+    values = df.select(group.alias("grp"), *[_known(name).alias(name) for name in columns]).filter(F.col("grp").isNotNull())
+    counts = [F.count(name).alias(f"n_{name}") for name in columns]
+    sketches = [F.kll_sketch_agg_double(name, F.lit(size)).alias(f"sketch_{name}") for name in columns]
+    return values.groupBy("grp").agg(*counts, *sketches)
+
+
+def merge_sketches(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add up tables of :func:`quantile_sketches` that were made of disjoint rows."""
+    counts = [F.sum(f"n_{name}").alias(f"n_{name}") for name in columns]
+    sketches = [F.kll_merge_agg_double(f"sketch_{name}").alias(f"sketch_{name}") for name in columns]
+    return parts.groupBy("grp").agg(*counts, *sketches)
+
+
+@dataclass
+class Brackets:
+    """Disjoint value ranges of one group and column, and the quantiles to be read off each."""
+
+    rows: int
+    lows: list[float] = field(default_factory=list)
+    highs: list[float] = field(default_factory=list)
+    asked: list[list[float]] = field(default_factory=list)
+
+    @classmethod
+    def around(cls, rows: int, ranges: list[tuple[float, float, float]]) -> Brackets:
+        """``ranges``: low, high and probability; those that meet become one."""
+        found = cls(rows)
+        for low, high, prob in sorted(ranges):
+            if found.highs and low <= found.highs[-1]:
+                found.highs[-1] = max(high, found.highs[-1])
+                found.asked[-1].append(prob)
+            else:
+                found.lows.append(low)
+                found.highs.append(high)
+                found.asked.append([prob])
+        return found
+
+
+def _edges(sketches: DataFrame, columns: Sequence[str], probs: Sequence[float], margin: float) -> list:
+    """(grp, feature, rows, edges): edges holds, per probability, a value below and one above by the margin."""
+    ranks = F.array(*[F.lit(min(max(prob + shift, 0.0), 1.0)) for prob in probs for shift in (-margin, margin)])
+    items = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            F.col(f"n_{name}").alias("rows"),
+            # a sketch of nothing cannot be asked
+            F.when(F.col(f"n_{name}") > 0, F.kll_sketch_get_quantile_double(f"sketch_{name}", ranks)).alias("edges"),
+        )
+        for name in columns
+    ]
+    rows = sketches.limit(MAX_GROUPS + 1).select("grp", F.inline(F.array(*items))).collect()
+    if len(rows) > MAX_GROUPS * len(columns):
         raise ValueError(f"exact quantiles are meant for at most {MAX_GROUPS} groups")
-    brackets = []
-    for row in rows:
-        for i, prob in enumerate(probs):
-            position = (row["n"] - 1) * prob
-            brackets.append(
-                {
-                    "grp": row["grp"],
-                    "feature": row["feature"],
-                    "prob": float(prob),
-                    "rows": row["n"],
-                    "rank": math.floor(position),
-                    "next_rank": min(math.floor(position) + 1, row["n"] - 1),
-                    "part": position - math.floor(position),
-                    "low": -math.inf if prob - margin <= 0 else row["edges"][2 * i],
-                    "high": math.inf if prob + margin >= 1 else row["edges"][2 * i + 1],
-                }
+    return [row for row in rows if row["rows"]]
+
+
+def _enclose(found: list, asked: set[Asked] | None, probs: Sequence[float], margin: float) -> dict[tuple[str, str], Brackets]:
+    brackets = {}
+    for row in found:
+        key = (row["grp"], row["feature"])
+        ranges = [
+            (
+                -math.inf if prob - margin <= 0 else row["edges"][2 * at],
+                math.inf if prob + margin >= 1 else row["edges"][2 * at + 1],
+                float(prob),
             )
+            for at, prob in enumerate(probs)
+            if asked is None or (*key, float(prob)) in asked
+        ]
+        if ranges:
+            brackets[key] = Brackets.around(row["rows"], ranges)
     return brackets
 
 
-BRACKET_SCHEMA = (
-    "grp string, feature string, prob double, rows bigint, rank bigint, next_rank bigint,"
-    " part double, low double, high double"
-)
+BRACKET_SCHEMA = "grp string, feature string, lows array<double>, highs array<double>"
+WANTED_SCHEMA = "grp string, feature string, segment int, prob double, rank bigint, next_rank bigint, part double"
+
 
+def _resolve(df: DataFrame, columns: Sequence[str], by: str | None, brackets: dict[tuple[str, str], Brackets]) -> list:
+    """Read the wanted ranks off the values inside the brackets, in one pass over the rows; null where a bracket misses one."""
+    spark = df.sparkSession
+    ranges = spark.createDataFrame([(*key, one.lows, one.highs) for key, one in brackets.items()], BRACKET_SCHEMA)
+    wanted = []
+    for key, one in brackets.items():
+        for index, probs in enumerate(one.asked):
+            for prob in probs:
+                position = (one.rows - 1) * prob
+                rank = math.floor(position)
+                wanted.append((*key, 2 * index + 1, prob, rank, min(rank + 1, one.rows - 1), position - rank))
 
-def _resolve(tall: DataFrame, brackets: list[dict]) -> list:
-    """Read the wanted ranks off the values inside each bracket; null where it missed them."""
-    small = tall.sparkSession.createDataFrame(brackets, BRACKET_SCHEMA)
-    bracket_keys = ["grp", "feature", "prob"]
-    counted = (
-        tall.join(F.broadcast(small), ["grp", "feature"])
-        .filter(F.col("value") <= F.col("high"))
-        # rows below the bracket collapse into one entry with a null value
-        .withColumn("value", F.when(F.col("value") >= F.col("low"), F.col("value")))
-        .groupBy(*bracket_keys, "rank", "next_rank", "part", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    group = F.col(by).cast("string") if by else F.lit("all")
+    items = F.array(*[F.struct(F.lit(name).alias("feature"), _known(name).alias("value")) for name in columns])
+    tall = df.select(group.alias("grp"), F.inline(items)).filter(F.col("value").isNotNull())
+    # segments alternate: 0 below the first bracket, 1 inside it, 2 between it and the second, ...
+    passed = F.size(F.filter("highs", lambda high: high < F.col("value")))
+    inside = F.coalesce(F.get("lows", F.col("passed")) <= F.col("value"), F.lit(False))
+    placed = (
+        tall.join(F.broadcast(ranges), ["grp", "feature"])
+        .withColumn("passed", passed)
+        .withColumn("inside", inside)
+        .select(
+            "grp",
+            "feature",
+            (2 * F.col("passed") + F.col("inside").cast("int")).alias("segment"),
+            # rows outside collapse into one entry with a null value
+            F.when(F.col("inside"), F.col("value")).alias("value"),
+        )
+    )
+    # the few rows inside brackets are read twice, the table once
+    counted = placed.groupBy("grp", "feature", "segment", "value").agg(F.count(F.lit(1)).alias("copies")).persist()
+    earlier = W.partitionBy("grp", "feature").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        counted.groupBy("grp", "feature", "segment")
+        .agg(F.sum("copies").alias("rows"))
+        .select("grp", "feature", "segment", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"))
     )
-    upto = W.partitionBy(*bracket_keys).orderBy(F.col("value").asc_nulls_first())
-    ranked = counted.withColumn("upto", F.sum("copies").over(upto))
+    upto = W.partitionBy("grp", "feature", "segment").orderBy("value")
+    # a few rows per bracket
+    ranked = counted.filter(F.col("segment") % 2 == 1).join(F.broadcast(starts), ["grp", "feature", "segment"])
+    ranked = ranked.withColumn("upto", F.col("start") + F.sum("copies").over(upto))
 
     def value_at(rank: str) -> Column:
-        reached = F.min(F.when(F.col("upto") > F.col(rank), F.struct("upto", "value")))
-        return reached["value"]
+        reached = (F.col("upto") > F.col(rank)) & (F.col("start") <= F.col(rank))
+        return F.min(F.when(reached, F.struct("upto", "value")))["value"]
 
+    asked = F.broadcast(spark.createDataFrame(wanted, WANTED_SCHEMA))
     low, high = F.col("at_rank"), F.col("at_next")
-    return (
-        ranked.groupBy(*bracket_keys, "part")
+    values = (
+        ranked.join(asked, ["grp", "feature", "segment"])
+        .groupBy("grp", "feature", "prob", "part")
         .agg(value_at("rank").alias("at_rank"), value_at("next_rank").alias("at_next"))
-        .select(*bracket_keys, (low + (high - low) * F.col("part")).alias("value"))
-        .collect()
+        .select("grp", "feature", "prob", (low + (high - low) * F.col("part")).alias("value"))
     )
-
-
-def _small(tall: DataFrame, probs: Sequence[float]) -> dict[tuple[str, str, float], float]:
-    rows = tall.groupBy("grp", "feature").agg(F.percentile("value", list(probs)).alias("values")).collect()
-    return {
-        (row["grp"], row["feature"], float(prob)): value
-        for row in rows
-        for prob, value in zip(probs, row["values"], strict=True)
-    }
+    try:
+        return values.collect()
+    finally:
+        counted.unpersist()
 
 
 def exact_quantiles(
@@ -114,30 +193,29 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: str | None = None,
-    accuracy: int = 10_000,
-    small_group: int = SMALL_GROUP,
-) -> dict[tuple[str, str, float], float]:
-    """``{(group, column, probability): value}`` with linear interpolation; nulls are skipped.
+    size: int = SKETCH_SIZE,
+    sketches: DataFrame | None = None,
+) -> Quantiles:
+    """Quantiles with linear interpolation; nulls and NaN are skipped.
 
-    ``group`` is the text of the ``by`` value, or ``"all"``. Columns without a value are absent.
+    ``group`` is the text of the ``by`` value, or ``"all"``. Columns without a value are absent. ``sketches`` are those of the
+    same rows, if they have been made; they spare the first pass.
     """
-    tall = _tall(df, columns, by)
-    found: dict[tuple[str, str, float], float] = {}
-    widen = 1.0
-    open_brackets = _brackets(tall, probs, accuracy, widen)
-    if all(bracket["rows"] <= small_group for bracket in open_brackets):
-        return _small(tall, probs)
-    while open_brackets:
-        for row in _resolve(tall, open_brackets):
+    known = quantile_sketches(df, columns, by, size) if sketches is None else sketches
+    margin = 3 * rank_error(size)
+    edges = _edges(known, columns, probs, margin)
+    found = Quantiles({(row["grp"], row["feature"]): row["rows"] for row in edges})
+    missing: set[Asked] | None = None
+    while brackets := _enclose(edges, missing, probs, margin):
+        for row in _resolve(df, columns, by, brackets):
             if row["value"] is not None:
                 found[row["grp"], row["feature"], row["prob"]] = row["value"]
-        missed = {(b["grp"], b["feature"], b["prob"]) for b in open_brackets} - found.keys()
-        if not missed:
+        missing = {(*key, prob) for key, one in brackets.items() for probs_ in one.asked for prob in probs_} - found.keys()
+        if not missing:
             break
         # the sketch's promise did not hold for these; ask again with wider brackets
-        widen *= 8
-        wider = _brackets(tall, probs, accuracy, widen)
-        open_brackets = [b for b in wider if (b["grp"], b["feature"], b["prob"]) in missed]
+        margin *= 8
+        edges = _edges(known, columns, probs, margin)
     return found
 
 

@@ -113,8 +113,8 @@ hashed AS (
   SELECT *, CAST(concat('0x', substr(md5(concat('42:', CAST(customer_unique_id AS VARCHAR))), 1, 8)) AS BIGINT) AS h
   FROM features WHERE frequency >= 2),
 split AS MATERIALIZED (
-  SELECT hashed.* EXCLUDE (h), CASE WHEN h <= cut THEN 'test' ELSE 'train' END AS split
-  FROM hashed JOIN (SELECT is_churn, quantile_cont(CAST(h AS DOUBLE), 0.2) AS cut FROM hashed GROUP BY 1) USING (is_churn))
+  SELECT hashed.* EXCLUDE (h), CASE WHEN h <= cut AND n > 1 THEN 'test' ELSE 'train' END AS split
+  FROM hashed JOIN (SELECT is_churn, count(*) AS n, quantile_cont(CAST(h AS DOUBLE), 0.2) AS cut FROM hashed GROUP BY 1) USING (is_churn))
 """
 
 PARAMETERS = (
