@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 import winback
 from winback import build_features, load_warehouse, run_churn, split_and_scale
 from winback.functions import risk_tier
-from winback.operators import charts, evaluate, leads, models
+from winback.operators import charts, evaluate, importance, leads, models
 
 
 @pytest.fixture(scope="module")
@@ -66,16 +67,12 @@ def test_coefficients_find_a_planted_effect(spark):
 
 
 def test_all_three_models(spark, ready, fitted):
-    small = {models.FOREST: models.random_forest().setNumTrees(20), models.BOOSTED: models.boosted_trees().setMaxIter(5)}
-    original = models.baseline_estimators
-    models.baseline_estimators = lambda weights: {**original(weights), **small}
-    try:
-        trained = models.train_baseline_models(ready.train)
-        names = [models.FOREST, models.BOOSTED]
-        layouts = [ready.train.repartition(7), ready.train.orderBy(F.desc("customer_unique_id")).coalesce(1)]
-        again = [models.train_baseline_models(layout, names=names) for layout in layouts]
-    finally:
-        models.baseline_estimators = original
+    small = {models.FOREST: models.random_forest().setNumTrees(20), models.BOOSTED: replace(models.boosted_trees(), rounds=5)}
+    quick = lambda weights: {**models.baseline_estimators(weights), **small}
+    trained = models.train_baseline_models(ready.train, estimators=quick)
+    names = [models.FOREST, models.BOOSTED]
+    layouts = [ready.train.repartition(7), ready.train.orderBy(F.desc("customer_unique_id")).coalesce(1)]
+    again = [models.train_baseline_models(layout, names=names, estimators=quick) for layout in layouts]
     assert list(trained) == [models.LOGISTIC, models.FOREST, models.BOOSTED]
     table = winback.evaluate_models(trained, ready.test)
     assert table.columns == ["Model", "ROC-AUC", "Recall", "Precision", "F1-Score", "Accuracy"]
@@ -114,7 +111,41 @@ def test_estimator_settings():
     assert not built[models.LOGISTIC].getStandardization()
     forest, boosted = built[models.FOREST], built[models.BOOSTED]
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (100, 8, 42)
-    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getStepSize()) == (100, 5, 0.05)
+    assert (boosted.rounds, boosted.depth, boosted.rate, boosted.penalty) == (100, 5, 0.05, 1.0)
+
+
+def test_names_are_checked_before_anything_is_done():
+    assert models.checked_names(None) == (list(models.MODELS), models.LOGISTIC)
+    assert models.checked_names([models.FOREST]) == ([models.FOREST], models.FOREST)
+    for names, best in (([models.FOREST, models.BOOSTED], None), (["Oracle"], None), ([models.FOREST], models.LOGISTIC), (None, "Oracle")):
+        with pytest.raises(ValueError, match="model"):
+            models.checked_names(names, best)
+    with pytest.raises(ValueError, match="model"):
+        run_churn(None, model_names=["Oracle"])
+
+
+def test_exchanged_values_are_a_permutation(spark, monkeypatch):
+    monkeypatch.setattr(importance, "EXCHANGED_TOGETHER", 40)
+    df = spark.range(200).select(F.col("id").alias("customer_unique_id"), F.col("id").cast("double").alias("v"))
+    pairs = {row["v"]: row["other"]["v"] for row in importance.with_exchanged(df, ["v"]).collect()}
+    assert sorted(pairs.values()) == sorted(pairs) and sum(a == b for a, b in pairs.items()) < 5
+    again = {row["v"]: row["other"]["v"] for row in importance.with_exchanged(df.repartition(7), ["v"]).collect()}
+    assert again == pairs
+    assert importance.with_exchanged(df.limit(1), ["v"]).first()["other"]["v"] == 0.0
+
+
+def test_permutation_importance_finds_what_the_model_uses(spark):
+    rng = np.random.default_rng(3)
+    delay, stars, noise = rng.normal(size=(3, 2000))
+    churn = rng.random(2000) < 1 / (1 + np.exp(-(2 * delay - stars)))
+    names = ["avg_delivery_days", "avg_review_score", "frequency"]
+    rows = [(at, *map(float, values), int(c)) for at, (*values, c) in enumerate(zip(delay, stars, noise, churn, strict=True))]
+    df = spark.createDataFrame(rows, "customer_unique_id int, " + ", ".join(f"scaled_{name} double" for name in names) + ", is_churn int")
+    quick = lambda weights: {models.BOOSTED: replace(models.boosted_trees(), rounds=8, depth=3, rate=0.3)}
+    model = models.train_baseline_models(df, features=names, names=[models.BOOSTED], estimators=quick)[models.BOOSTED]
+    found = importance.feature_influence(model, df, names).collect()
+    assert [row["Feature"] for row in found] == names
+    assert found[0]["Coefficient"] > 0.1 and found[1]["Coefficient"] < -0.03 and found[2]["Abs_Impact"] < 0.02
 
 
 SCORES = [(1, 0.9), (1, 0.75), (0, 0.75), (1, 0.5), (0, 0.3), (0, 0.1)]
@@ -272,3 +303,16 @@ def test_command_line(spark, capsys):
     main([TABLES, "--format", "warehouse", "--models", models.LOGISTIC])
     printed = capsys.readouterr().out
     assert "Top leads" in printed and models.LOGISTIC in printed
+
+
+def test_whole_run_with_a_forest_alone(spark, tmp_path, monkeypatch):
+    original = models.random_forest
+    monkeypatch.setattr(models, "random_forest", lambda: original().setNumTrees(10))
+    run = run_churn(load_warehouse(spark, TABLES), model_names=[models.FOREST], leads_path=str(tmp_path / "leads"))
+    assert [row["Model"] for row in run.comparison.collect()] == [models.FOREST]
+    assert run.coefficients.columns == ["Feature", "Coefficient", "Abs_Impact"]
+    assert run.coefficients.count() == run.coefficient_chart.count() == 6
+    assert spark.read.csv(str(tmp_path / "leads"), header=True).count() == run.leads.count()
+    with pytest.raises(ValueError, match="champion"):
+        run_churn(load_warehouse(spark, TABLES), model_names=[models.FOREST], champion_name=models.BOOSTED, leads_path=str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()

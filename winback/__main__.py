@@ -18,6 +18,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--threshold", type=float, default=0.60)
     parser.add_argument("--threshold-days", type=int, default=280)
     parser.add_argument("--models", nargs="*", help="names of the models to train; all by default")
+    parser.add_argument("--champion", help="name of the model that scores the leads")
     parser.add_argument("--master", help="Spark master; leave out on a cluster")
     options = parser.parse_args(arguments)
 
@@ -27,6 +28,7 @@ def main(arguments: list[str] | None = None) -> None:
         threshold_days=options.threshold_days,
         threshold=options.threshold,
         model_names=options.models,
+        champion_name=options.champion,
         leads_path=options.leads,
         leads_format=options.leads_format,
     )

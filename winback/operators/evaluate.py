@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -37,18 +36,20 @@ def hard_prediction(probability: Column) -> Column:
 
 
 def stack_predictions(models: Mapping[str, PipelineModel], frame: DataFrame, target: str = TARGET) -> DataFrame:
-    """(model, person, is_churn, probability, predicted) for every model and row."""
-    parts = [
-        churn_probability(model, frame).select(
-            F.lit(name).alias("model"),
-            PERSON,
-            F.col(target).alias(TARGET),
-            F.col("churn_probability").alias("probability"),
-            F.col("churn_predicted").alias("predicted"),
+    """(model, person, is_churn, probability, predicted) for every model and row, from one reading of the frame."""
+    scored, stacked = frame, []
+    for at, (name, model) in enumerate(models.items()):
+        columns = {"churn_probability": f"__probability_{at}", "churn_predicted": f"__predicted_{at}"}
+        scored = churn_probability(model, scored).withColumnsRenamed(columns)
+        stacked.append(
+            F.struct(
+                F.lit(name).alias("model"),
+                F.col(f"__probability_{at}").alias("probability"),
+                F.col(f"__predicted_{at}").alias("predicted"),
+            )
         )
-        for name, model in models.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = scored.select(PERSON, F.col(target).alias(TARGET), F.inline(F.array(*stacked)))
+    return rows.select("model", PERSON, TARGET, "probability", "predicted")
 
 
 def score_counts(predictions: DataFrame) -> DataFrame:

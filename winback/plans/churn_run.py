@@ -12,8 +12,9 @@ from winback.operators import charts
 from winback.operators.evaluate import churn_probability, evaluate_predictions, stack_predictions
 from winback.operators.features import features_of, labels_of, people_table, state_summary
 from winback.operators.labels import DEFAULT_THRESHOLD_DAYS, PERSON, churn_rate_report
+from winback.operators.importance import feature_influence
 from winback.operators.leads import high_risk, ranked, top_leads
-from winback.operators.models import CHAMPION, champion, get_model_coefficients, train_baseline_models
+from winback.operators.models import checked_names, train_baseline_models
 from winback.operators.prepare import ModelInput, row_counts, split_and_scale
 from winback.operators.reuse import checkpointed
 from winback.sources.schemas import ShopTables
@@ -66,7 +67,7 @@ def run_churn(
     threshold_days: int = DEFAULT_THRESHOLD_DAYS,
     test_size: float = 0.2,
     threshold: float = RUN_THRESHOLD,
-    champion_name: str = CHAMPION,
+    champion_name: str | None = None,
     model_names: list[str] | None = None,
     as_of: dt.datetime | None = None,
     leads_path: str | None = None,
@@ -74,18 +75,21 @@ def run_churn(
 ) -> ChurnRun:
     """Run every step on the given tables and, with a path, export the lead list.
 
-    The lead list is made from the test part, as the stand-in for today's customers.
+    The lead list is made from the test part, as the stand-in for today's customers. Names of models are checked before any
+    work is done; ``coefficients`` are those of a linear champion, of any other its permutation importance on the test part.
     """
+    names, best_name = checked_names(model_names, champion_name)
     people = people_table(tables, as_of)
     summary = state_summary(people)
     labels = labels_of(people, summary, threshold_days).select(PERSON, "last_order_date", "recency", "is_churn")
     features = checkpointed(features_of(people, summary, threshold_days))
     model_input = split_and_scale(features, test_size=test_size)
-    models = train_baseline_models(model_input.train, names=model_names)
+    models = train_baseline_models(model_input.train, names=names)
     comparison = evaluate_predictions(stack_predictions(models, model_input.test))
-    best = champion(models, champion_name)
+    best = models[best_name]
     scored = checkpointed(churn_probability(best, model_input.test))
     leads = ranked(high_risk(scored, threshold))
+    coefficients = feature_influence(best, model_input.test)
     if leads_path:
         write_leads(leads, leads_path, leads_format)
     return ChurnRun(
@@ -96,7 +100,7 @@ def run_churn(
         model_input=model_input,
         models=models,
         comparison=comparison,
-        coefficients=get_model_coefficients(best),
+        coefficients=coefficients,
         scored=scored,
         leads=leads,
     )

@@ -10,12 +10,13 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.functions import logistic, safe_timestamp, whole_days
-from winback.operators import charts, evaluate, features, insights, labels, leads, models, monitor, prepare
+from winback.operators import charts, evaluate, features, insights, labels, leads, models, monitor, prepare, trees
 from winback.operators.labels import PERSON
 from winback.operators.reuse import checkpointed
 from winback.plans.churn_run import run_churn
@@ -305,17 +306,17 @@ def _logistic(spark: SparkSession, folder: str) -> tuple[prepare.ModelInput, dic
 
 def lr_coefficients(spark: SparkSession, folder: str) -> DataFrame:
     _, fitted = _logistic(spark, folder)
-    return rounded(charts.coefficient_chart(models.get_model_coefficients(models.champion(fitted)), top_n=10), places=4)
+    return rounded(charts.coefficient_chart(models.get_model_coefficients(fitted[models.CHAMPION]), top_n=10), places=4)
 
 
 def lr_risk_factors(spark: SparkSession, folder: str) -> DataFrame:
     _, fitted = _logistic(spark, folder)
-    return rounded(charts.top_risk_factors(models.get_model_coefficients(models.champion(fitted))), places=4)
+    return rounded(charts.top_risk_factors(models.get_model_coefficients(fitted[models.CHAMPION])), places=4)
 
 
 def lr_leads(spark: SparkSession, folder: str) -> DataFrame:
     ready, fitted = _logistic(spark, folder)
-    return rounded(leads.generate_leads(models.champion(fitted), ready.test, LEAD_THRESHOLD), places=4)
+    return rounded(leads.generate_leads(fitted[models.CHAMPION], ready.test, LEAD_THRESHOLD), places=4)
 
 
 def lr_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -325,7 +326,7 @@ def lr_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def lr_prob_stats(spark: SparkSession, folder: str) -> DataFrame:
     ready, fitted = _logistic(spark, folder)
-    return rounded(charts.probability_stats(evaluate.churn_probability(models.champion(fitted), ready.test)), places=4)
+    return rounded(charts.probability_stats(evaluate.churn_probability(fitted[models.CHAMPION], ready.test)), places=4)
 
 
 def churn_run_leads(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,6 +335,44 @@ def churn_run_leads(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(run.leads, places=4)
 
 
+def tree_stumps(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact best cut of every feature, and which of them a single tree of the forest's kind takes."""
+    ready = prepare.split_and_scale(checkpointed(_features(spark, folder)))
+    cuts = trees.best_splits(ready.train, ready.scaled_columns, prepare.ClassWeights.fit(ready.train))
+    feature, threshold = models.single_split(ready.train) or ("", 0.0)
+    taken = (F.col("feature") == prepare.SCALED + feature) & (F.abs(F.col("threshold") - threshold) < 1e-9)
+    return rounded(cuts.withColumn("taken", taken))
+
+
+def boosting_first_round(spark: SparkSession, folder: str) -> DataFrame:
+    """Split and leaves of the first boosted tree, cut once."""
+    ready = prepare.split_and_scale(checkpointed(_features(spark, folder)))
+    booster = replace(models.boosted_trees(), rounds=1, depth=1, rate=1.0, bins=4096)
+    fitted = models.train_baseline_models(ready.train, names=[models.BOOSTED], estimators=lambda _: {models.BOOSTED: booster})
+    fitted = fitted[models.BOOSTED].stages[-1]
+    tree = fitted.trees[0]
+    feature = tree.features[0]
+    row = (features.FEATURES[feature], fitted.cuts[feature][tree.cuts[0]], tree.leaves[0], tree.leaves[1])
+    return rounded(spark.createDataFrame([row], "feature string, cut double, left_leaf double, right_leaf double"))
+
+
+def model_scorecard(spark: SparkSession, folder: str) -> DataFrame:
+    """All three models on the test part: whom they scored, and whether each beats chance with probabilities that are some."""
+    ready = prepare.split_and_scale(checkpointed(_features(spark, folder)))
+    booster = replace(models.boosted_trees(), rounds=10, rate=0.3)
+    fitted = models.train_baseline_models(
+        ready.train, estimators=lambda weights: {**models.baseline_estimators(weights), models.BOOSTED: booster}
+    )
+    predictions = checkpointed(evaluate.stack_predictions(fitted, ready.test))
+    chance = (F.col("probability") > 0) & (F.col("probability") < 1) & ((F.col("probability") > 0.5).cast("int") == F.col("predicted"))
+    counts = predictions.groupBy("model").agg(
+        F.count(F.lit(1)).alias("people"), F.sum("is_churn").alias("churned"), F.bool_and(chance).alias("sound")
+    )
+    return counts.join(evaluate.roc_auc(predictions), "model").select(
+        "model", "people", "churned", "sound", (F.col("roc_auc") > 0.55).alias("beats_chance")
+    )
+
+
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     ready = prepare.split_and_scale(checkpointed(_features(spark, folder)))
     return rounded(evaluate.evaluate_models(models.train_baseline_models(ready.train), ready.test))
@@ -431,6 +470,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lr_metrics,
         lr_prob_stats,
         churn_run_leads,
+        tree_stumps,
+        boosting_first_round,
+        model_scorecard,
         model_comparison,
         churn_by_delay,
         churn_by_review,
