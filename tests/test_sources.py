@@ -9,7 +9,11 @@ import logging
 import pytest
 from conftest import EXPECTED_FEATURES, CUSTOMERS, ORDERS, PAYMENTS, REVIEWS, feature_rows
 
+from pyspark.sql import functions as F
+
 from winback import build_features, load_and_clean_data, load_tables, save_tables, write_leads
+from winback.operators import leads
+from winback.sources import csv_rejects
 
 
 def write_csv(path, header, rows):
@@ -73,11 +77,79 @@ def test_missing_file_warns_and_leaves_the_table_out(spark, csv_shop, caplog):
         build_features(tables)
 
 
-def test_parts_with_other_headers_are_an_error(spark, csv_shop):
-    rows = [("c99", "U99", "RJ", "y")]
-    write_csv(csv_shop / "more_customers_dataset.csv", ["customer_id", "customer_unique_id", "customer_state", "customer_city"], rows)
-    with pytest.raises(Exception, match="(?i)header"):
-        load_and_clean_data(spark, str(csv_shop)).customers.collect()
+def test_parts_may_order_their_columns_differently(spark, csv_shop):
+    rows = [("RJ", "c99", "y", "U99", "z"), ("SP", "c98", "y", "U98", "z")]
+    write_csv(csv_shop / "more_customers_dataset.csv", ["customer_state", "customer_id", "customer_city", "customer_unique_id", "zip"], rows)
+    got = {row["customer_id"]: (row["customer_unique_id"], row["customer_state"]) for row in load_and_clean_data(spark, str(csv_shop)).customers.collect()}
+    assert got["c99"] == ("U99", "RJ") and got["c98"] == ("U98", "SP") and got["c1"] == ("U1", "SP")
+    assert len(got) == len(CUSTOMERS) + 2
+
+
+def test_a_part_without_a_column_is_an_error(spark, csv_shop):
+    write_csv(csv_shop / "more_customers_dataset.csv", ["customer_id", "customer_unique_id"], [("c99", "U99")])
+    with pytest.raises(ValueError, match="more_customers_dataset.csv has no column customer_state"):
+        load_and_clean_data(spark, str(csv_shop))
+
+
+def test_compressed_and_empty_parts(spark, csv_shop):
+    import gzip
+
+    with gzip.open(csv_shop / "zipped_customers_dataset.csv.gz", "wt") as handle:
+        handle.write("customer_unique_id,customer_id,customer_state\nU97,c97,MG\n")
+    (csv_shop / "none_customers_dataset.csv").write_text("")
+    tables = load_and_clean_data(spark, str(csv_shop), files={"customers": "*_customers_dataset.csv*"})
+    assert tables.customers.count() == len(CUSTOMERS) + 1
+    assert tables.customers.filter("customer_id = 'c97'").first()["customer_unique_id"] == "U97"
+
+
+def test_rejects_name_file_reason_and_text(spark, csv_shop):
+    path = csv_shop / "late_order_payments_dataset.csv"
+    path.write_text("order_id,payment_installments,payment_value\no1,1,12.5\no2,1.5d,7\no3,1,2,3\no4,NA,n/a\no5,two,three\n")
+    found = csv_rejects(spark, str(csv_shop)).filter("table = 'payments'").collect()
+    assert {row["file"].rsplit("/", 1)[1] for row in found} == {path.name}
+    assert sorted((row["reason"], row["text"]) for row in found) == [
+        ("malformed line", "o3,1,2,3"),
+        ("no number: payment_installments", "1.5d"),
+        ("no number: payment_installments", "two"),
+        ("no number: payment_value", "three"),
+    ]
+    dates = csv_rejects(spark, str(csv_shop)).filter("table = 'orders'").groupBy("reason").count().collect()
+    assert dict(dates) == {"no date: order_estimated_delivery_date": len(ORDERS), "no date: order_delivered_customer_date": 1}
+    # the same lines are still read as far as they go
+    payments = load_and_clean_data(spark, str(csv_shop)).payments.filter("order_id in ('o2', 'o5')").collect()
+    assert any(row["payment_installments"] is None and row["payment_value"] == 7 for row in payments)
+    assert csv_rejects(spark, str(csv_shop / "nothing")).count() == 0
+
+
+def test_only_whole_dates_and_numbers_are_read(spark):
+    from winback.functions import known_number, safe_timestamp
+
+    texts = ["2018-05-01", "2018-05-01 10:00:00", "2018-05-01T10:00:00.5", "2018", "2018-05", "2018-05-01 10:00:00+03:00", "2018-05-01 10:00:00Z", "10:00:00", " 2018-05-01 "]
+    df = spark.createDataFrame([(text,) for text in texts], "text string")
+    got = [row[0] for row in df.select(safe_timestamp(F.col("text"))).collect()]
+    day = dt.datetime(2018, 5, 1)
+    assert got == [day, day.replace(hour=10), day.replace(hour=10, microsecond=500_000), None, None, None, None, None, day]
+    numbers = ["1", "-1.5", "+.5", "2.", "1e3", "1.5d", "2f", "0x1f", "1_000", "1,5", "nan", " 7 ", "inf"]
+    df = spark.createDataFrame([(text,) for text in numbers], "text string")
+    got = [row[0] for row in df.select(known_number(F.col("text"))).collect()]
+    assert got == [1, -1.5, 0.5, 2, 1000, None, None, None, None, None, None, 7, float("inf")]
+
+
+def test_positions_and_a_list_that_is_replaced_whole(spark, tmp_path):
+    rows = [(f"U{at:03}", (at * 37 % 101) / 10) for at in range(200)]
+    listed = spark.createDataFrame(rows, "customer_unique_id string, churn_probability double").repartition(7)
+    expected = sorted(rows, key=lambda row: (-row[1], row[0]))
+    got = leads.with_position(listed).collect()
+    assert sorted((row["position"], row["customer_unique_id"]) for row in got) == [(at, person) for at, (person, _) in enumerate(expected, 1)]
+    assert leads.with_position(listed.limit(0)).count() == 0
+    path = str(tmp_path / "list")
+    write_leads(leads.with_position(listed), path)
+    broken = listed.withColumn("churn_probability", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        write_leads(broken, path)
+    assert spark.read.parquet(path).count() == 200
+    write_leads(listed.limit(3), path + "/", "csv")
+    assert [entry.name for entry in tmp_path.iterdir()] == ["list"] and spark.read.csv(path, header=True).count() == 3
 
 
 def test_empty_folder(spark, tmp_path):

@@ -17,14 +17,21 @@ def known_text(column: Column) -> Column:
     return F.when(~column.isin(MISSING_TOKENS), column)
 
 
+#: what counts as a number, and as a moment; Spark's casts alone would take 1.5d, a lone year, and drop the offset of a zone
+NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
+MOMENT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,9})?)?$"
+
+
 def known_number(column: Column) -> Column:
-    """A double, or null for text that is no number and for NaN."""
-    return F.nanvl(column.try_cast("double"), F.lit(None).cast("double"))
+    """A double, or null for text that is no number."""
+    text = F.trim(column)
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def safe_timestamp(column: Column) -> Column:
-    """A zone-less timestamp, or null for text that is none."""
-    return column.try_cast("timestamp_ntz")
+    """A zone-less timestamp from a date with or without a time; null for any other text."""
+    text = F.trim(column)
+    return F.when(text.rlike(MOMENT), text.try_cast("timestamp_ntz"))
 
 
 def ratio(total: Column, count: Column) -> Column:

@@ -13,7 +13,7 @@ from winback.functions import ratio
 from winback.operators.labels import PERSON
 from winback.operators.prepare import TARGET
 from winback.operators.reuse import checkpointed
-from winback.operators.running import running_totals
+from winback.operators.running import running_totals, with_neighbours
 
 CUTOFF = 0.5
 
@@ -149,10 +149,16 @@ def confusion_matrix(predictions: DataFrame) -> DataFrame:
     return confusion_counts(predictions).groupBy("model", "actual").agg(cell(0), cell(1))
 
 
-def _points(counts: DataFrame) -> DataFrame:
+def _points(counts: DataFrame, inner: bool = False) -> DataFrame:
     # one row per model compared
     totals = F.broadcast(counts.groupBy("model").agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")))
-    points = running_totals(counts, "probability", ["pos", "neg"], by="model").join(totals, "model").select(
+    summed = running_totals(counts, "probability", ["pos", "neg"], by="model")
+    if not inner:
+        # a point between two equal steps lies on the line of its neighbours
+        stepped = with_neighbours(summed, "probability", ["pos", "neg"], by="model")
+        same = (F.col("previous_pos") == F.col("pos")) & (F.col("previous_neg") == F.col("neg"))
+        summed = stepped.filter(~F.coalesce(same & F.col("next_pos").isNotNull(), F.lit(False)))
+    points = summed.join(totals, "model").select(
         "model",
         F.col("probability").alias("threshold"),
         ratio(F.col("negatives") - F.col("neg_before"), F.col("negatives")).alias("fpr"),
@@ -172,12 +178,13 @@ def _stepped(counts: DataFrame, score_steps: int | None) -> DataFrame:
     return counts.groupBy("model", step.alias("probability")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def roc_points(predictions: DataFrame, score_steps: int | None = None) -> DataFrame:
-    """(model, threshold, fpr, tpr): one point per distinct score, after a start at (0, 0).
+def roc_points(predictions: DataFrame, score_steps: int | None = None, inner: bool = False) -> DataFrame:
+    """(model, threshold, fpr, tpr): a point per distinct score, after a start at (0, 0).
 
-    A point counts rows scored at or above its threshold.
+    A point counts rows scored at or above its threshold. Points in the middle of a line, between two steps of the same
+    size, are left out unless ``inner`` asks for them; the first and last stay.
     """
-    return _points(checkpointed(_stepped(score_counts(predictions), score_steps)))
+    return _points(checkpointed(_stepped(score_counts(predictions), score_steps)), inner)
 
 
 def roc_chart(predictions: DataFrame, score_steps: int | None = None) -> DataFrame:
@@ -187,7 +194,7 @@ def roc_chart(predictions: DataFrame, score_steps: int | None = None) -> DataFra
         "model", F.concat("model", F.lit(" (AUC = "), F.format_number("roc_auc", 2), F.lit(")")).alias("series")
     )
     # one row per model compared
-    curves = _points(_stepped(counts, score_steps)).join(F.broadcast(named), "model")
+    curves = _points(checkpointed(_stepped(counts, score_steps))).join(F.broadcast(named), "model")
     diagonal = predictions.sparkSession.createDataFrame(
         [("chance", 0.0, 0.0), ("chance", 1.0, 1.0)], "series string, fpr double, tpr double"
     )

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from winback.functions import risk_tier, tier_action, tier_strategy
 from winback.operators.evaluate import churn_probability
 from winback.operators.labels import PERSON
+from winback.operators.reuse import checkpointed
 
 DEFAULT_THRESHOLD = 0.75
 # Business columns shown when the frame has them.
@@ -33,6 +35,23 @@ def ranked(leads: DataFrame) -> DataFrame:
     return leads.orderBy(F.desc("churn_probability"), PERSON)
 
 
+def with_position(leads: DataFrame) -> DataFrame:
+    """:func:`ranked` with ``position`` (from 1) in front.
+
+    The list is sorted in ranges once and stored; a row's place in its range follows from its number, and each range starts
+    after the rows of those before it. No task sees more than its range.
+    """
+    # a row number holds the range in its upper bits and the place inside it in the lower 33
+    numbered = checkpointed(ranked(leads).withColumn("__number", F.monotonically_increasing_id()))
+    part, place = F.shiftright("__number", 33), F.col("__number").bitwiseAND(F.lit(2**33 - 1))
+    sizes = numbered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    # one row per range
+    earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"))
+    placed = numbered.join(F.broadcast(starts), part == F.col("part"))
+    return placed.select((F.col("start") + place + 1).alias("position"), *leads.columns)
+
+
 def top_leads(leads: DataFrame, n: int = 10) -> DataFrame:
     return ranked(leads).limit(n)
 

@@ -340,9 +340,11 @@ FROM rates JOIN areas USING (model)"""
         "reviews_scan": _with(*shop) + "SELECT * FROM reviews",
         "delivered_orders": _with(*shop) + "SELECT * FROM shop_orders",
         "safe_timestamps": """
-SELECT o_orderkey AS order_id, try_cast(
-  CASE WHEN o_orderkey % 5 = 0 THEN 'not a date' WHEN o_orderkey % 11 = 0 THEN '1997-13-45 00:00:00'
-       WHEN o_orderkey % 13 = 0 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP) AS purchased_at
+SELECT o_orderkey AS order_id,
+  CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 OR o_orderkey % 19 = 0
+       THEN NULL ELSE o_orderdate END AS purchased_at,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN 2.5 WHEN o_orderkey % 11 = 0 THEN 1000.0
+       WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_orderkey AS DOUBLE) END AS number
 FROM orders""",
         "churn_labels": _with(*shop, _labels()) + "SELECT * FROM labelled",
         "churn_rate_report": _with(*shop, _labels())
@@ -395,7 +397,10 @@ FROM train GROUP BY 1""",
         "roc_auc_fixed": _with(*predicted, AREAS) + "SELECT model, round(roc_auc, 6) AS roc_auc FROM areas",
         "roc_points_fixed": _with(*predicted, AREAS)
         + """SELECT model, p AS threshold, round(fp / CAST(all_neg AS DOUBLE), 6) AS fpr,
-  round(tp / CAST(all_pos AS DOUBLE), 6) AS tpr FROM ordered
+  round(tp / CAST(all_pos AS DOUBLE), 6) AS tpr
+FROM (SELECT *, lag(pos) OVER o = pos AND lag(neg) OVER o = neg AND lead(pos) OVER o IS NOT NULL AS between_equals
+      FROM ordered WINDOW o AS (PARTITION BY model ORDER BY p))
+WHERE between_equals IS NOT TRUE
 UNION ALL SELECT DISTINCT model, CAST('Infinity' AS DOUBLE), 0.0, 0.0 FROM ordered""",
         "roc_chart_fixed": _with(
             *predicted,
@@ -404,9 +409,11 @@ UNION ALL SELECT DISTINCT model, CAST('Infinity' AS DOUBLE), 0.0, 0.0 FROM order
 stepped AS (SELECT model, is_churn, ceil(p * 100) / 100.0 AS p FROM predictions),
 steps AS (SELECT model, p, sum(is_churn) AS pos, sum(1 - is_churn) AS neg FROM stepped GROUP BY 1, 2),
 curve AS (
-  SELECT model, sum(neg) OVER (PARTITION BY model ORDER BY p DESC) / CAST(sum(neg) OVER (PARTITION BY model) AS DOUBLE) AS fpr,
-         sum(pos) OVER (PARTITION BY model ORDER BY p DESC) / CAST(sum(pos) OVER (PARTITION BY model) AS DOUBLE) AS tpr
-  FROM steps
+  SELECT model, fpr, tpr FROM (
+    SELECT model, sum(neg) OVER (PARTITION BY model ORDER BY p DESC) / CAST(sum(neg) OVER (PARTITION BY model) AS DOUBLE) AS fpr,
+           sum(pos) OVER (PARTITION BY model ORDER BY p DESC) / CAST(sum(pos) OVER (PARTITION BY model) AS DOUBLE) AS tpr,
+           lag(pos) OVER o = pos AND lag(neg) OVER o = neg AND lead(pos) OVER o IS NOT NULL AS between_equals
+    FROM steps WINDOW o AS (PARTITION BY model ORDER BY p)) WHERE between_equals IS NOT TRUE
   UNION ALL SELECT DISTINCT model, 0.0, 0.0 FROM predictions)""",
         )
         + """SELECT printf('%s (AUC = %.2f)', model, roc_auc) AS series, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr
@@ -440,6 +447,16 @@ UNION ALL SELECT 'density', round(x, 9), round(density * n * (high - low) / 50,
 UNION ALL SELECT 'threshold', 0.75, NULL""",
         "high_risk_leads": _with(*scored) + leads,
         "top10_leads": _with(*scored) + leads + " ORDER BY churn_probability DESC, customer_unique_id LIMIT 10",
+        "exported_leads": _with(*scored)
+        + leads.replace("SELECT", "SELECT row_number() OVER (ORDER BY churn_probability DESC, customer_unique_id) AS position,", 1),
+        "ordered_reports": f"""
+SELECT 'comparison' AS report, CAST(position AS INTEGER) AS position, name FROM (
+  {_with(*predicted, RATES)} SELECT row_number() OVER (ORDER BY tp / CAST(churned AS DOUBLE) DESC, model) AS position, model AS name FROM rates)
+UNION ALL SELECT 'coefficients', CAST(position AS INTEGER), name FROM (
+  {_with(*trained).replace("WITH", "WITH RECURSIVE", 1)} SELECT row_number() OVER (ORDER BY abs(c) DESC) AS position, feature AS name FROM coefficients)
+UNION ALL SELECT 'top leads', CAST(position AS INTEGER), name FROM (
+  {_with(*scored)} SELECT row_number() OVER (ORDER BY churn_probability DESC, customer_unique_id) AS position,
+    CAST(customer_unique_id AS VARCHAR) AS name FROM tested WHERE churn_probability > {LEAD_THRESHOLD}) WHERE position <= 10""",
         "risk_tiers": _with(*scored, TIERED)
         + "SELECT customer_unique_id, churn_probability, risk_tier, strategy, action FROM tiered JOIN advice USING (risk_tier)",
         "risk_tier_counts": _with(*scored, TIERED)
@@ -531,6 +548,19 @@ totals AS (
 FROM totals""",
     }
     sql["features_from_csv"] = sql["customer_features"]
+    sql["csv_reject_counts"] = _with(
+        ALL_ORDERS,
+        """
+cells AS (
+  SELECT 'orders' AS "table", printf('shop%d_orders_dataset.csv', order_id % 2) AS file, 'no date: order_estimated_delivery_date' AS reason FROM all_orders
+  UNION ALL
+  SELECT 'orders', printf('shop%d_orders_dataset.csv', order_id % 2), 'no date: order_delivered_customer_date'
+  FROM all_orders WHERE order_delivered_customer_date IS NULL
+  UNION ALL
+  SELECT 'payments', printf('shop%d_order_payments_dataset.csv', 2 + event_id % 2),
+         CASE WHEN event_id % 3 = 0 THEN 'no number: payment_value' ELSE 'malformed line' END
+  FROM events WHERE event_id % 3 < 2)""",
+    ) + 'SELECT "table", file, reason, count(*) AS rejects FROM cells GROUP BY 1, 2, 3'
     sql["churn_run_leads"] = sql["lr_leads"]
     unknown = sql.keys() - registry.QUERIES.keys()
     if unknown:

@@ -15,13 +15,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.functions import logistic, safe_timestamp, whole_days
+from winback.functions import known_number, logistic, safe_timestamp, whole_days
 from winback.operators import charts, evaluate, features, insights, labels, leads, models, monitor, prepare, trees
 from winback.operators.labels import PERSON
 from winback.operators.reuse import checkpointed
 from winback.plans.churn_run import run_churn
 from winback.session import ensure_checkpoint_dir
-from winback.sources import load_and_clean_data, load_warehouse, warehouse_orders
+from winback.sources import csv_rejects, load_and_clean_data, load_warehouse, warehouse_orders, write_leads
 from winback.streaming.deliveries import replay_delivery_windows
 from winback.streaming.scoring import replay_scoring
 
@@ -69,15 +69,21 @@ def delivered_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def safe_timestamps(spark: SparkSession, folder: str) -> DataFrame:
-    """Order dates as text, some of them broken, read back without an error."""
+    """Order dates and numbers as text, some of them broken, read back without an error."""
     key = F.col("order_id")
+    written = F.col("order_purchase_timestamp").cast("string")
     text = (
         F.when(key % 5 == 0, "not a date")
         .when(key % 11 == 0, "1997-13-45 00:00:00")
         .when(key % 13 == 0, "")
-        .otherwise(F.col("order_purchase_timestamp").cast("string"))
+        .when(key % 17 == 0, "2018")
+        .when(key % 19 == 0, F.concat(written, F.lit("+03:00")))
+        .otherwise(written)
     )
-    return warehouse_orders(spark, folder).select(key, safe_timestamp(text).alias("purchased_at"))
+    number = (
+        F.when(key % 3 == 0, "1.5d").when(key % 7 == 0, " 2.5 ").when(key % 11 == 0, "1e3").when(key % 13 == 0, "0x1f").otherwise(key.cast("string"))
+    )
+    return warehouse_orders(spark, folder).select(key, safe_timestamp(text).alias("purchased_at"), known_number(number).alias("number"))
 
 
 # --- labels and features ------------------------------------------------------------------
@@ -140,8 +146,8 @@ def features_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(features.build_features(load_warehouse(spark, folder), as_of=BASELINE_DATE))
 
 
-def features_from_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """The feature table by way of CSV files: headers, text dates, words for missing values."""
+def _csv_shop(spark: SparkSession, folder: str) -> str:
+    """The tables as CSV files: headers, text dates, words for missing values, half of the files with another order of columns."""
     tables = load_warehouse(spark, folder)
     work = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
     arrived = F.col("order_delivered_customer_date").cast("string")
@@ -158,11 +164,36 @@ def features_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     reviews = tables.reviews.withColumn("review_comment_message", F.lit('first line\nsecond "line", end'))
     files = {"customers": tables.customers, "orders": orders, "order_payments": tables.payments, "order_reviews": reviews}
     for name, table in files.items():
-        table.write.csv(f"{work}/shop_{name}_dataset.csv", header=True, escape='"')
-    built = features.build_features(load_and_clean_data(spark, work))
+        half = F.col(table.columns[0]) % 2 == 0
+        for number, part in enumerate((table.filter(half), table.filter(~half).select(*reversed(table.columns)))):
+            part.write.csv(f"{work}/shop{number}_{name}_dataset.csv", header=True, escape='"')
+    return work
+
+
+def features_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature table by way of CSV files."""
+    built = features.build_features(load_and_clean_data(spark, _csv_shop(spark, folder)))
     return rounded(built.withColumn(PERSON, F.col(PERSON).cast("bigint")))
 
 
+def csv_reject_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells and lines of the CSV files that could not be read, by table, file and reason."""
+    work = _csv_shop(spark, folder)
+    # a third set of payments: some amounts are words, some lines have a field too many
+    key = F.col("order_id")
+    amount = F.when(key % 3 == 0, "x12").when(key % 3 == 1, "12,ab").otherwise("NA")
+    lines = load_warehouse(spark, folder).reviews.select(key, F.concat_ws(",", key, F.lit("1"), amount).alias("line"))
+    header = "order_id,payment_installments,payment_value"
+    for part in range(2):
+        # the writer of texts knows no header line
+        chosen = lines.filter(key % 2 == part).select("line").coalesce(1)
+        first = spark.createDataFrame([(header,)], "line string").coalesce(1)
+        first.unionByName(chosen).coalesce(1).write.text(f"{work}/shop{2 + part}_order_payments_dataset.csv")
+    rejects = csv_rejects(spark, work)
+    file = F.regexp_extract("file", "([^/]+_dataset[.]csv)", 1)
+    return rejects.groupBy("table", file.alias("file"), "reason").agg(F.count(F.lit(1)).alias("rejects"))
+
+
 # --- preparation --------------------------------------------------------------------------
 
 
@@ -287,6 +318,27 @@ def top10_leads(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(leads.top_leads(leads.high_risk(_scored_test(spark, folder), LEAD_THRESHOLD)))
 
 
+def exported_leads(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranked list with positions, exported and read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/leads-{uuid.uuid4().hex}"
+    listed = leads.with_position(leads.high_risk(_scored_test(spark, folder), LEAD_THRESHOLD))
+    for _ in range(2):  # the second list takes the place of the first
+        write_leads(rounded(listed), path, "csv")
+    schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in listed.schema)
+    return spark.read.schema(schema).csv(path, header=True)
+
+
+def ordered_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Names in the order in which the short ordered reports give them."""
+    frames = {
+        "comparison": (evaluate.evaluate_predictions(_predictions(spark, folder)), "Model"),
+        "coefficients": (models.get_model_coefficients(_logistic(spark, folder)[1][models.CHAMPION]), "Feature"),
+        "top leads": (leads.top_leads(leads.high_risk(_scored_test(spark, folder), LEAD_THRESHOLD)), PERSON),
+    }
+    rows = [(report, at, str(row[name])) for report, (frame, name) in frames.items() for at, row in enumerate(frame.collect(), 1)]
+    return spark.createDataFrame(rows, "report string, position int, name string")
+
+
 def risk_tiers(spark: SparkSession, folder: str) -> DataFrame:
     tiered = leads.with_risk_tier(_scored_test(spark, folder))
     return tiered.select(PERSON, "churn_probability", "risk_tier", "strategy", "action")
@@ -441,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         customer_features_joined_labels,
         features_as_of,
         features_from_csv,
+        csv_reject_counts,
         repeat_buyers,
         row_counts,
         stratified_split,
@@ -462,6 +515,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         prob_chart,
         high_risk_leads,
         top10_leads,
+        exported_leads,
+        ordered_reports,
         risk_tiers,
         risk_tier_counts,
         lr_coefficients,
