@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from winback import build_features, split_and_scale
 from winback.operators import insights, monitor
-from winback.operators.features import person_averages, person_rollup, state_summary
+from winback.operators.features import people_table, people_then_and_now, person_averages, person_rollup, state_summary
 from winback.operators.prepare import RobustScale
 from winback.sources.snapshots import PublishedTable
 from winback.streaming.deliveries import delivery_window_stream, watch_deliveries
+from winback.streaming.drift import replay_drift
 from winback.streaming.scoring import ScoringModel, ShopStreams, latest_scores, linear_score, score_shop
 
 
@@ -43,6 +44,30 @@ def test_psi_of_a_flat_feature(spark):
     assert flat["psi"] == pytest.approx(((q - p) * np.log(q / p)).sum())
 
 
+def test_people_then_and_now_equal_two_rollups(spark):
+    shop = shop_tables(spark)
+    for as_of in (dt.datetime(2018, 1, 1, 10), dt.datetime(2018, 5, 1), dt.datetime(2016, 1, 1), dt.datetime(2030, 1, 1)):
+        then, now = people_then_and_now(shop, as_of)
+        for got, until in ((then, as_of), (now, None)):
+            expected = people_table(shop, until)
+            assert sorted(map(str, got.select(expected.columns).collect())) == sorted(map(str, expected.collect()))
+
+
+def test_a_stored_baseline_and_counts_that_add_up(spark):
+    rng = np.random.default_rng(1)
+    base, moved = rng.normal(size=(500, 2)), rng.normal(0.4, 1, size=(300, 2))
+    frames = [spark.createDataFrame([tuple(map(float, row)) for row in rows], "v double, w double") for rows in (base, moved)]
+    baseline = monitor.DriftBaseline.of(frames[0], ["v", "w"])
+    again = monitor.DriftBaseline.from_table(baseline.table(spark))
+    assert again == baseline
+    whole = {row["feature"]: row["psi"] for row in monitor.feature_drift_psi(*frames, ["v", "w"]).collect()}
+    parts = [monitor.bin_counts(frames[1].filter(condition), again.edges) for condition in ("v > 0", "v <= 0")]
+    added = parts[0].unionByName(parts[1]).groupBy("feature", "bin").agg(F.sum("people").alias("people"))
+    assert {row["feature"]: row["psi"] for row in again.psi(added).collect()} == pytest.approx(whole)
+    streamed = {row["feature"]: row["psi"] for row in replay_drift(baseline, frames[1], batches=4).collect()}
+    assert streamed == pytest.approx(whole)
+
+
 def test_ab_uplift(spark):
     people = spark.range(1000).select(F.col("id").alias("customer_unique_id"))
     armed = monitor.with_arm(people, "spring")

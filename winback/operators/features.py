@@ -9,7 +9,7 @@ sum and count until the end, which leaves them weighted by payment and review ro
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -80,15 +80,43 @@ def order_facts(orders: DataFrame, *carried: str) -> DataFrame:
     )
 
 
-def _account_rollup(facts: DataFrame, sums: list[str]) -> DataFrame:
-    return facts.groupBy("customer_id").agg(
-        F.count("order_id").alias("frequency"),
-        F.sum("delivery_days").alias("delivery_sum"),
-        F.count("delivery_days").alias("delivery_rows"),
-        F.min("order_purchase_timestamp").alias("first_order_date"),
-        F.max("order_purchase_timestamp").alias("last_order_date"),
-        *[F.sum(name).alias(name) for name in sums],
-    )
+def _account_columns(sums: Sequence[str], suffix: str = "", inside: Column | None = None) -> list[Column]:
+    """Sums and dates per account, of all rows or of those ``inside``."""
+
+    def chosen(name: str) -> Column:
+        return F.col(name) if inside is None else F.when(inside, F.col(name))
+
+    return [
+        F.count(chosen("order_id")).alias(f"frequency{suffix}"),
+        F.sum(chosen("delivery_days")).alias(f"delivery_sum{suffix}"),
+        F.count(chosen("delivery_days")).alias(f"delivery_rows{suffix}"),
+        F.min(chosen("order_purchase_timestamp")).alias(f"first_order_date{suffix}"),
+        F.max(chosen("order_purchase_timestamp")).alias(f"last_order_date{suffix}"),
+        *[F.sum(chosen(name)).alias(f"{name}{suffix}") for name in sums],
+    ]
+
+
+def _origin(suffix: str = "") -> Column:
+    """The account as a candidate for the person's state; null where it has none."""
+    first = F.col(f"first_order_date{suffix}")
+    origin = F.struct(first.isNull().alias("undated"), first.alias("first_order_date"), "customer_id", "customer_state")
+    return F.when(F.col("customer_state").isNotNull(), origin)
+
+
+def _owned_accounts(
+    orders: DataFrame,
+    customers: DataFrame,
+    payments: DataFrame | None,
+    reviews: DataFrame | None,
+    columns: Callable[[list[str]], list[Column]],
+) -> tuple[DataFrame, list[str]]:
+    """Accounts with an order, their person and state, and what ``columns`` sums of their orders; and the ledger's names."""
+    facts, sums = order_facts(orders), []
+    if payments is not None or reviews is not None:
+        facts, sums = join_to_unique(facts, order_ledger(payments, reviews), "order_id"), LEDGER_SUMS
+    accounts = facts.groupBy("customer_id").agg(*columns(sums))
+    owners = customers.filter(F.col("customer_id").isNotNull()).select("customer_id", PERSON, "customer_state")
+    return join_to_unique(owners, accounts, "customer_id", "inner"), sums
 
 
 def person_partials(
@@ -103,16 +131,8 @@ def person_partials(
     is the account the state is taken from: the one with the earliest order, the smallest
     account id on equal dates, among accounts that have a state.
     """
-    facts, sums = order_facts(orders), []
-    if payments is not None or reviews is not None:
-        facts, sums = join_to_unique(facts, order_ledger(payments, reviews), "order_id"), LEDGER_SUMS
-    accounts = _account_rollup(facts, sums)
-    owners = customers.filter(F.col("customer_id").isNotNull()).select("customer_id", PERSON, "customer_state")
-    origin = F.struct(
-        F.col("first_order_date").isNull().alias("undated"), "first_order_date", "customer_id", "customer_state"
-    )
-    owned = join_to_unique(owners, accounts, "customer_id", "inner")
-    return merge_people(owned.withColumn("origin", F.when(F.col("customer_state").isNotNull(), origin)), sums)
+    owned, sums = _owned_accounts(orders, customers, payments, reviews, _account_columns)
+    return merge_people(owned.withColumn("origin", _origin()), sums)
 
 
 def merge_people(partials: DataFrame, sums: Sequence[str] = LEDGER_SUMS) -> DataFrame:
@@ -253,6 +273,30 @@ def people_table(tables: ShopTables, as_of: dt.datetime | None = None) -> DataFr
     return person_averages(checkpointed(rollup.drop("payment_rows", "review_rows")))
 
 
+def people_then_and_now(tables: ShopTables, as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """:func:`people_table` of the orders up to ``as_of`` and of all orders, from one rollup that is stored once."""
+    orders, customers, payments, reviews = tables.require("orders", "customers", "payments", "reviews")
+    then = "_then"
+    early = F.coalesce(F.col("order_purchase_timestamp") <= moment(as_of), F.lit(False))
+
+    def columns(sums: list[str]) -> list[Column]:
+        return [*_account_columns(sums), *_account_columns(sums, then, early), F.max(early).alias("known_then")]
+
+    owned, sums = _owned_accounts(orders, customers, payments, reviews, columns)
+    origins = {"origin": _origin(), f"origin{then}": F.when(F.col("known_then"), _origin(then))}
+    names = [*ORDER_SUMS, *sums]
+    wide = owned.withColumns(origins).groupBy(PERSON).agg(
+        F.max("known_then").alias("known_then"),
+        *[F.sum(f"{name}{suffix}").alias(f"{name}{suffix}") for suffix in ("", then) for name in names],
+        *[F.max(f"last_order_date{suffix}").alias(f"last_order_date{suffix}") for suffix in ("", then)],
+        *[F.min(f"origin{suffix}")["customer_state"].alias(f"customer_state{suffix}") for suffix in ("", then)],
+    )
+    stored = checkpointed(wide.drop(*[f"{name}{suffix}" for suffix in ("", then) for name in ("payment_rows", "review_rows")]))
+    kept = [name for name in stored.columns if not name.endswith(then) and name != PERSON]
+    earlier = stored.filter("known_then").select(PERSON, *[F.col(f"{name}{then}").alias(name) for name in kept])
+    return person_averages(earlier), person_averages(stored.select(PERSON, *kept))
+
+
 def labels_of(people: DataFrame, summary: StateSummary, threshold_days: int = DEFAULT_THRESHOLD_DAYS) -> DataFrame:
     """The people with recency and is_churn, without another pass over the orders."""
     return label_people(_named(people), moment(summary.newest_order), threshold_days)

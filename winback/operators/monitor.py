@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from winback.functions import id_hash, ratio, whole_days
@@ -17,62 +18,73 @@ PSI_BINS = 10
 SMALLEST_SHARE = 1e-4
 
 
-def feature_drift_psi(
-    baseline: DataFrame,
-    current: DataFrame,
-    columns: Sequence[str],
-    bins: int = PSI_BINS,
-) -> DataFrame:
-    """(feature, psi): population stability index over the baseline's own quantile bins.
+def bin_counts(frame: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(feature, bin, people) of a table or a stream; a count per bin, so counts of disjoint rows add up."""
+    items = [F.struct(F.lit(name).alias("feature"), bucket_of(F.col(name), cuts).alias("bin")) for name, cuts in edges.items()]
+    return frame.select(F.inline(F.array(*items))).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("people"))
 
-    Quantiles that coincide merge their bins. A bin without rows counts as a very small share.
+
+@dataclass(frozen=True)
+class DriftBaseline:
+    """What later tables are compared with: per feature the inner edges of its bins and the people in each.
+
+    The bins are the baseline's own quantiles; quantiles that coincide merge their bins.
     """
-    found = exact_quantiles(baseline, columns, [i / bins for i in range(1, bins)])
-    edges = {
-        name: sorted({round(value, 9) for (_, feature, _), value in found.items() if feature == name})
-        for name in columns
-    }
-
-    def shares(frame: DataFrame, side: str) -> DataFrame:
-        items = F.array(
-            *[
-                F.struct(F.lit(name).alias("feature"), bucket_of(F.col(name), edges[name]).alias("bin"))
-                for name in columns
-            ]
-        )
-        return frame.select(F.lit(side).alias("side"), F.inline(items)).groupBy("side", "feature", "bin").agg(
-            F.count(F.lit(1)).alias("people")
-        )
-
-    every_bin = reduce(
-        DataFrame.unionByName,
-        [
-            baseline.sparkSession.range(len(edges[name]) + 1).select(
-                F.lit(name).alias("feature"), F.col("id").cast("int").alias("bin")
-            )
-            for name in columns
-        ],
-    )
-    sides = shares(baseline, "baseline").unionByName(shares(current, "current"))
-    counts = every_bin.join(
-        sides.groupBy("feature", "bin").agg(
-            F.sum(F.when(F.col("side") == "baseline", F.col("people"))).alias("old"),
-            F.sum(F.when(F.col("side") == "current", F.col("people"))).alias("new"),
-        ),
-        ["feature", "bin"],
-        "left",
-    )
-    old_total, new_total = baseline.agg(F.count(F.lit(1))).scalar(), current.agg(F.count(F.lit(1))).scalar()
 
-    def share(count: str, total: Column) -> Column:
-        return F.greatest(F.coalesce(ratio(F.col(count), total), F.lit(0.0)), F.lit(SMALLEST_SHARE))
+    edges: dict[str, list[float]]
+    people: dict[tuple[str, int], int]
 
-    return (
-        counts.withColumn("p", share("old", old_total))
-        .withColumn("q", share("new", new_total))
-        .groupBy("feature")
-        .agg(F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("psi"))
-    )
+    @classmethod
+    def of(cls, frame: DataFrame, columns: Sequence[str], bins: int = PSI_BINS) -> DriftBaseline:
+        found = exact_quantiles(frame, columns, [i / bins for i in range(1, bins)])
+        edges = {
+            name: sorted({round(value, 9) for (_, feature, _), value in found.items() if feature == name})
+            for name in columns
+        }
+        # a row per bin
+        counted = bin_counts(frame, edges).collect()
+        return cls(edges, {(row["feature"], row["bin"]): row["people"] for row in counted})
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(feature, bin, upper_edge, people) of every bin, empty ones too; the last has no edge. To be stored."""
+        rows = [
+            (name, at, cuts[at] if at < len(cuts) else None, self.people.get((name, at), 0))
+            for name, cuts in self.edges.items()
+            for at in range(len(cuts) + 1)
+        ]
+        return spark.createDataFrame(rows, "feature string, bin int, upper_edge double, people bigint")
+
+    @classmethod
+    def from_table(cls, stored: DataFrame) -> DriftBaseline:
+        rows = sorted(tuple(row) for row in stored.select("feature", "bin", "upper_edge", "people").collect())
+        edges: dict[str, list[float]] = {}
+        for name, _, edge, _ in rows:
+            edges.setdefault(name, []).extend([] if edge is None else [edge])
+        return cls(edges, {(name, at): people for name, at, _, people in rows})
+
+    def psi(self, counts: DataFrame) -> DataFrame:
+        """(feature, psi): population stability index of :func:`bin_counts` against the baseline.
+
+        A bin without rows counts as a very small share.
+        """
+        old = self.table(counts.sparkSession).withColumnRenamed("people", "old")
+        # a row per bin on both sides
+        both = old.join(F.broadcast(counts.withColumnRenamed("people", "new")), ["feature", "bin"], "left")
+        totals = W.partitionBy("feature")
+
+        def share(count: str) -> Column:
+            part = ratio(F.coalesce(count, F.lit(0)), F.sum(count).over(totals))
+            return F.greatest(F.coalesce(part, F.lit(0.0)), F.lit(SMALLEST_SHARE))
+
+        shares = both.withColumns({"p": share("old"), "q": share("new")})
+        moved = F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p")))
+        return shares.groupBy("feature").agg(moved.alias("psi"))
+
+
+def feature_drift_psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = PSI_BINS) -> DataFrame:
+    """(feature, psi) of one table against another."""
+    known = DriftBaseline.of(baseline, columns, bins)
+    return known.psi(bin_counts(current, known.edges))
 
 
 def delivery_rows(orders: DataFrame) -> DataFrame:

@@ -562,6 +562,7 @@ cells AS (
   FROM events WHERE event_id % 3 < 2)""",
     ) + 'SELECT "table", file, reason, count(*) AS rejects FROM cells GROUP BY 1, 2, 3'
     sql["churn_run_leads"] = sql["lr_leads"]
+    sql["stream_drift_psi"] = sql["feature_drift_psi"]
     unknown = sql.keys() - registry.QUERIES.keys()
     if unknown:
         raise KeyError(f"oracle without a query: {sorted(unknown)}")

@@ -23,6 +23,7 @@ from winback.plans.churn_run import run_churn
 from winback.session import ensure_checkpoint_dir
 from winback.sources import csv_rejects, load_and_clean_data, load_warehouse, warehouse_orders, write_leads
 from winback.streaming.deliveries import replay_delivery_windows
+from winback.streaming.drift import replay_drift
 from winback.streaming.scoring import replay_scoring
 
 FIXED_WEIGHTS = {
@@ -445,11 +446,23 @@ def churn_by_spend_service(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(insights.churn_by_spend_service(customer_features(spark, folder)))
 
 
-def feature_drift_psi(spark: SparkSession, folder: str) -> DataFrame:
+def _then_and_now(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The compared features of people at the earlier date and now, from one pass over the shop's tables."""
     columns = [name for name in features.FEATURES if name != "has_review"]
-    return rounded(
-        monitor.feature_drift_psi(features_as_of(spark, folder), customer_features(spark, folder), columns)
-    )
+    views = features.people_then_and_now(load_warehouse(spark, folder), BASELINE_DATE)
+    then, now = (rounded(features.features_of(people, features.state_summary(people))).select(PERSON, *columns) for people in views)
+    return then, now
+
+
+def feature_drift_psi(spark: SparkSession, folder: str) -> DataFrame:
+    then, now = _then_and_now(spark, folder)
+    return rounded(monitor.feature_drift_psi(then, now, now.columns[1:]))
+
+
+def stream_drift_psi(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, from a stored baseline and people who arrive in batches."""
+    then, now = _then_and_now(spark, folder)
+    return rounded(replay_drift(monitor.DriftBaseline.of(then, then.columns[1:]), now))
 
 
 def delivery_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -537,5 +550,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ab_uplift,
         stream_delivery_windows,
         stream_scoring,
+        stream_drift_psi,
     ]
 }
