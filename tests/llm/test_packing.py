@@ -41,6 +41,8 @@ def test_words_give_the_ids_of_whole_texts():
     odd = [" ", "  ", "\n", "\t", "\x0b", "\xa0", "\u2003", "\u3000", "\x1c", "\x85", "\u180e", "\u200b", "\ufeff"]
     bits = ["word", "é", "1", "!", "'s", "'", "<|endoftext|>", "😀", "ſ", "²5", ".", "\x00", "\u0301"]
     texts = ["", " ", "a b", " a  b \n c", "x" * 5000, "\n", "a\n\nb", "a\nb", "a \nb", "'s\n's 's"]
+    # words that differ in a bit or two, in both forms
+    texts += ["Hereat Iereau\nIereau Hereat", "Iereau Hereat\nHereat Iereau", "aaaa baab\nbaab aaaa", "aaaa"]
     texts += ["".join(random.choices(bits + odd, k=random.randint(1, 30))) for _ in range(500)]
     texts += ["".join(random.choice(bits) + random.choice([" ", "\n", ""]) for _ in range(random.randint(1, 30))).strip() for _ in range(500)]
     encoder = packing.Encoder(tokenizer_path())
@@ -51,6 +53,26 @@ def test_words_give_the_ids_of_whole_texts():
     assert [len(part) for part in encoder.texts(pa.array([], pa.string()))] == [0, 0]
 
 
+def test_words_are_forgotten_and_learned_again(monkeypatch):
+    encoder = packing.Encoder(tokenizer_path())
+    monkeypatch.setattr(encoder, "REMEMBERED", 20)
+    monkeypatch.setattr(encoder, "JOINED", 3)
+    random.seed(7)
+    for _ in range(30):
+        texts = [" ".join(random.choices(["alpha", "beta", "é9", "Łódź", "x1y2", "don't"], k=5)) + f"\nw{random.randint(0, 99)}" for _ in range(8)]
+        ids, counts = encoder.texts(pa.array(texts))
+        ends = np.cumsum(counts)
+        assert [ids[end - count : end].tolist() for end, count in zip(ends, counts, strict=True)] == [list(whole(text))[:-1] for text in texts]
+        assert (np.diff(encoder.high.astype(object)) >= 0).all() and len(encoder.numbers) == len(encoder.counts)
+
+
+def test_equal_pieces_are_numbered_in_many_buckets(spark):
+    docs = docs_of(spark, [(None, "one text that all rows share")] * 4000)
+    pieces = packing.tokenise(docs, tokenizer_path(), 64).withColumn("row", packing.F.monotonically_increasing_id())
+    ranks = sorted(row["rank"] for row in packing.numbered(pieces).collect())
+    assert ranks == list(range(4000))
+
+
 def plain_best_fit(lengths, capacity):
     bins = []
     for length in sorted(lengths, reverse=True):
@@ -94,7 +116,7 @@ def check_packed(rows, docs, capacity):
     expected = Counter()
     for doc_id, text in docs:
         ids = whole(text)
-        for piece, (start, length) in enumerate(packing.cut(len(ids), capacity)):
+        for _, piece, start, length in zip(*(part.tolist() for part in packing.cut(np.array([len(ids)]), capacity)), strict=True):
             expected[doc_id, piece, start, length, zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())] += 1
     assert Counter(tuple(row)[:5] for row in rows) == expected
     for parts in bins.values():
@@ -107,7 +129,8 @@ def check_packed(rows, docs, capacity):
 
 
 def test_cut_leaves_only_the_first_piece_short():
-    assert packing.cut(1, 4) == [(0, 1)] and packing.cut(4, 4) == [(0, 4)] and packing.cut(9, 4) == [(0, 1), (1, 4), (5, 4)]
+    got = list(zip(*(part.tolist() for part in packing.cut(np.array([1, 4, 9]), 4)), strict=True))
+    assert got == [(0, 0, 0, 1), (1, 0, 0, 4), (2, 0, 0, 1), (2, 1, 1, 4), (2, 2, 5, 4)]
 
 
 def test_packing_of_odd_rows(spark):

@@ -51,6 +51,10 @@ ODD_SPACE = (
 )
 
 
+#: sets the digests of words after a blank apart
+AFTER_BLANK = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Encoder:
     """Ids of whole texts, each distinct word encoded once.
 
@@ -58,11 +62,15 @@ class Encoder:
     words is a token of its own. So a text whose white space is only single blanks and line
     feeds can be taken apart there and its ids are those of its words. Words are encoded many at a time, joined by
     line feeds, and told apart by the line feed's id. Any other text is encoded as a whole.
+
+    What is remembered lies in flat arrays, without an object per word: the ids of all words one after the other, where
+    each word's begin, and the words' 128-bit digests in order.
     """
 
     JOINED = 1000
-    #: words remembered, about 200 bytes each; beyond it all are forgotten
-    REMEMBERED = 500_000
+    #: words and ids remembered, 32 bytes a word and 4 an id; beyond either all are forgotten
+    REMEMBERED = 1_500_000
+    REMEMBERED_IDS = 8_000_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -70,105 +78,143 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         (self.feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids = np.zeros(0, np.uint32)
+        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # digests in order, and the number of the word each belongs to
+        self.high, self.low = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.numbers = np.zeros(0, np.int64)
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text."""
         parts = [np.array(encoded.ids, np.uint32) for encoded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.concatenate([np.zeros(0, np.uint32), *parts]), np.array([len(part) for part in parts], np.int64)
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for words without white space but a leading blank."""
-        if len(self.known) > self.REMEMBERED:
-            self.known.clear()
-        new = list(set(words).difference(self.known))
-        for at in range(0, len(new), self.JOINED):
-            part = new[at : at + self.JOINED]
-            (encoded,) = self.tokenizer.encode_batch_fast(["\n".join(part) + "\n"], add_special_tokens=False)
+    def _find(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """The numbers of known words, -1 for others."""
+        if not len(self.high):
+            return np.full(len(high), -1)
+        at = np.minimum(np.searchsorted(self.high, high), len(self.high) - 1)
+        return np.where((self.high[at] == high) & (self.low[at] == low), self.numbers[at], -1)
+
+    def _learn(self, words: list[bytes], high: np.ndarray, low: np.ndarray, lead: bytes) -> None:
+        """Encode new words, each given once; ``lead`` stands before each."""
+        parts, counts = [self.ids], []
+        for at in range(0, len(words), self.JOINED):
+            part = words[at : at + self.JOINED]
+            joined = (lead + (b"\n" + lead).join(part) + b"\n").decode()
+            (encoded,) = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)
             ids = np.array(encoded.ids, np.uint32)
-            flat, ends = ids.tobytes(), (4 * np.flatnonzero(ids == self.feed)).tolist()
-            for word, start, end in zip(part, [-4, *ends], ends, strict=False):
-                self.known[word] = flat[start + 4 : end]
-        parts = list(map(self.known.__getitem__, words))
-        return np.frombuffer(b"".join(parts), np.uint32), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+            ends = np.flatnonzero(ids == self.feed)
+            counts.append(np.diff(ends, prepend=-1) - 1)
+            parts.append(ids[ids != self.feed])
+        number = len(self.counts)
+        self.ids = np.concatenate(parts)
+        self.counts = np.concatenate([self.counts, *counts])
+        self.starts = np.cumsum(self.counts) - self.counts
+        high, low = np.concatenate([self.high, high]), np.concatenate([self.low, low])
+        numbers = np.concatenate([self.numbers, np.arange(number, len(self.counts))])
+        order = np.argsort(high, kind="stable")
+        self.high, self.low, self.numbers = high[order], low[order], numbers[order]
+
+    def words(self, words: list[bytes], after_blank: bool) -> np.ndarray:
+        """The numbers of words without white space, as they stand or with a blank before them."""
+        from xxhash import xxh3_128_digest
+
+        # a seed for the form would not do: short words differ by it as little as by a letter
+        digests = b"".join(map(xxh3_128_digest, words))
+        high, low = np.frombuffer(digests, ">u8").astype(np.uint64).reshape(-1, 2).T
+        high = high ^ (AFTER_BLANK if after_blank else np.uint64(0))
+        found = self._find(high, low)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            once, first, back = np.unique(np.stack([high[new], low[new]]), axis=1, return_index=True, return_inverse=True)
+            number = len(self.counts)
+            self._learn([words[at] for at in new[first].tolist()], *once, b" " if after_blank else b"")
+            found[new] = number + back.ravel()
+        return found
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The same for any texts."""
-        odd = pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)
+        """The ids of any texts one after the other, and how many each has."""
+        odd = pc.or_(pc.match_substring_regex(texts, ODD_SPACE), pc.equal(pc.binary_length(texts), 0)).to_numpy(zero_copy_only=False)
         ids, counts = self._by_words(texts.filter(pa.array(~odd)))
         if not odd.any():
             return ids, counts
         odd_ids, odd_counts = self.whole(texts.filter(pa.array(odd)).to_pylist())
         order = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
         counts = np.concatenate([counts, odd_counts])
-        return gathered(np.concatenate([ids, odd_ids]), counts, order), counts[order]
+        return gathered(np.concatenate([ids, odd_ids]), np.cumsum(counts) - counts, counts, order), counts[order]
 
     def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.counts) > self.REMEMBERED or len(self.ids) > self.REMEMBERED_IDS:
+            self.forget()
         lines = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " \n"), " ")
         coded = lines.values.dictionary_encode()
         offsets = lines.offsets.to_numpy() - lines.offsets[0].as_py()
-        distinct, used = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-        # each distinct word in two forms: as it stands, and after a blank
-        at_start = np.zeros(len(distinct), bool)
+        used = coded.indices.to_numpy().astype(np.int64)
         heads = offsets[:-1]
-        at_start[used[heads]] = True
-        plain = [at for at, word in enumerate(distinct) if word[:1] == "\n" or at_start[at]]
-        spaced = [at for at, word in enumerate(distinct) if word[:1] != "\n"]
-        ids_a, counts_a = self.words([distinct[at].removeprefix("\n") for at in plain])
-        ids_b, counts_b = self.words([" " + distinct[at] for at in spaced])
-        # form 0 is the line feed alone
-        ids = np.concatenate([np.array([self.feed], np.uint32), ids_a, ids_b])
-        counts = np.concatenate([[1], counts_a, counts_b])
-        form = np.zeros((2, len(distinct)), np.int64)
-        form[0, plain] = 1 + np.arange(len(plain))
-        form[1, spaced] = 1 + len(plain) + np.arange(len(spaced))
-        after_feed = np.array([word[:1] == "\n" for word in distinct], bool)[used]
+        # each distinct word in two forms: as it stands, and after a blank
+        fed = pc.starts_with(coded.dictionary, "\n").to_numpy(zero_copy_only=False)
+        plain = fed.copy()
+        plain[used[heads]] = True
+        bare = pc.utf8_ltrim(coded.dictionary, "\n").cast(pa.large_binary())
+        form = np.zeros((2, len(fed)), np.int64)
+        for kind, chosen in enumerate((plain, ~fed)):
+            form[kind, chosen] = self.words(bare.filter(pa.array(chosen)).to_pylist(), bool(kind))
         first = np.zeros(len(used), bool)
         first[heads] = True
+        after_feed = fed[used]
         forms = np.where(first | after_feed, form[0][used], form[1][used])
-        # a line feed stands before each word that follows one
+        # a line feed stands before each word that follows one; it takes the number after all words
         lead = after_feed.astype(np.int64)
-        slots = np.cumsum(1 + lead) - 1
-        sequence = np.zeros(len(used) + int(lead.sum()), np.int64)
-        sequence[slots] = forms
-        totals = np.concatenate([[0], np.cumsum(counts[forms] + lead)])
-        return gathered(ids, counts, sequence), np.diff(totals[offsets])
+        sequence = np.full(len(used) + int(lead.sum()), len(self.counts))
+        sequence[np.cumsum(1 + lead) - 1] = forms
+        totals = np.concatenate([[0], np.cumsum(self.counts[forms] + lead)])
+        ids = np.append(self.ids, np.uint32(self.feed))
+        starts, counts = np.append(self.starts, len(self.ids)), np.append(self.counts, 1)
+        return gathered(ids, starts, counts, sequence), np.diff(totals[offsets])
 
 
-def gathered(values: np.ndarray, counts: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Runs of ``values`` (run i has ``counts[i]`` of them) in the given order."""
-    starts = np.cumsum(counts) - counts
+def gathered(values: np.ndarray, starts: np.ndarray, counts: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Runs of ``values`` (run i begins at ``starts[i]`` and has ``counts[i]`` of them) in the given order."""
     taken = counts[order]
     ends = np.cumsum(taken)
     return values[np.repeat(starts[order] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def cut(length: int, capacity: int) -> list[tuple[int, int]]:
-    """(start, length) of the pieces of a document: all full but the first."""
-    first = length % capacity or capacity
-    return [(0, first)] + [(start, capacity) for start in range(first, length, capacity)]
+def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, number, start and length of the pieces of documents: all are full but a document's first."""
+    pieces = -(-lengths // capacity)
+    document = np.repeat(np.arange(len(lengths)), pieces)
+    number = np.arange(len(document)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    first = ((lengths - 1) % capacity + 1)[document]
+    start = np.where(number > 0, first + (number - 1) * capacity, 0)
+    return document, number, start, np.where(number > 0, capacity, first)
 
 
 def tokenise(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, and the ids themselves if asked for."""
     schema = StructType.fromDDL(PIECES + (", ids array<bigint>" if with_ids else ""))
     arrow = to_arrow_schema(schema)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
         encoder = kept_by_worker(("encoder", tokenizer), lambda: Encoder(tokenizer))
         for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
             ids, counts = encoder.texts(batch.column("text"))
-            flat, at = ids.astype("<u4").tobytes(), 0
-            rows = []
-            for doc_id, count in zip(batch.column("doc_id").to_pylist(), counts.tolist(), strict=True):
-                own, at = flat[4 * at : 4 * (at + count)] + end, at + count
-                for piece, (start, length) in enumerate(cut(count + 1, capacity)):
-                    part = own[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, piece, start, length, zlib.crc32(part), np.frombuffer(part, "<u4").tolist() if with_ids else None))
-            columns = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(columns, arrow, strict=False)], schema=arrow)
+            flat = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
+            document, number, start, length = cut(counts + 1, capacity)
+            # pieces lie one after the other
+            ends = np.cumsum(length)
+            view = memoryview(flat).cast("B")
+            sums = [zlib.crc32(view[4 * begin : 4 * end]) for begin, end in zip((ends - length).tolist(), ends.tolist(), strict=True)]
+            columns = [batch.column("doc_id").take(pa.array(document)), *map(pa.array, (number, start, length, sums))]
+            if with_ids:
+                offsets = np.concatenate([[0], ends]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int64))))
+            yield pa.RecordBatch.from_arrays([column.cast(field.type) for column, field in zip(columns, arrow, strict=True)], schema=arrow)
 
     return small_batches(docs).select(*id_and_text()).mapInArrow(run, schema)
 
@@ -267,17 +313,17 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int = CAPACITY) -> Pla
 def numbered(pieces: DataFrame) -> DataFrame:
     """Number the pieces of each length from 0, without gaps, as ``rank``.
 
-    A length that very many pieces have is spread over buckets; each bucket numbers its own from the
-    count of those before it.
+    ``pieces`` have a stored number each, ``row``. A length that very many pieces have, equal or not, is spread over buckets by
+    it; each bucket numbers its own from the count of those before it.
     """
     buckets = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("rows"))
     starts = counts.select("length", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first_rank"))
-    own = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")
+    own = Window.partitionBy("length", "bucket").orderBy("row")
     ranked = dealt.withColumn("place", F.row_number().over(own) - 1).join(starts, ["length", "bucket"])
-    return ranked.withColumn("rank", F.col("first_rank") + F.col("place")).drop("first_rank", "place", "bucket")
+    return ranked.withColumn("rank", F.col("first_rank") + F.col("place")).drop("first_rank", "place", "bucket", "row")
 
 
 def place(pieces: DataFrame, plan: Plan, capacity: int = CAPACITY) -> DataFrame:
@@ -306,7 +352,7 @@ def place(pieces: DataFrame, plan: Plan, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = stored(tokenise(docs, tokenizer, capacity, end_id), "pieces")
+    pieces = stored(tokenise(docs, tokenizer, capacity, end_id).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {row["length"]: row["count"] for row in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
     return place(numbered(pieces), best_fit_decreasing(counts, capacity), capacity)
 
