@@ -47,6 +47,40 @@ def test_targets_out_of_reach_are_met_as_nearly_as_can_be(spark):
     assert mixing.fit_rates(members_of(spark, []), mixing.TARGETS) == []
 
 
+def least_squares(rows, targets, rounds=40_000):
+    """Smallest squared residual that nonnegative rates reach, by projected gradient with momentum on the rates themselves."""
+    tokens, chances = np.array([row[1] for row in rows], float), np.array([row[2:] for row in rows])
+    a = (chances * tokens[:, None]).T / tokens.sum()
+    step = 1 / np.linalg.eigvalsh(a @ a.T).max()
+    rate = before = np.ones(len(rows))
+    best = np.inf
+    for round_ in range(rounds):
+        ahead = rate + round_ / (round_ + 3) * (rate - before)
+        before, rate = rate, np.maximum(0, ahead - step * a.T @ (a @ ahead - targets))
+        best = min(best, float(((a @ rate - targets) ** 2).sum()))
+    return best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_residual_is_that_of_the_least_squares_solution(spark, seed):
+    rng = np.random.default_rng(seed)
+    alike = rng.dirichlet([[2, 0.5, 0.3], [9, 9, 9], [40, 30, 20], [60, 1, 1]][seed], 60)
+    rows = [(i, int(rng.integers(1, 500)), *map(float, row)) for i, row in enumerate(alike)]
+    members = members_of(spark, rows)
+    tokens, chances = np.array([row[1] for row in rows], float), alike
+    # in reach and out of it
+    for targets in ((0.9, 0.09, 0.01), (0.05, 0.05, 0.9), (0.0, 1.0, 0.0)):
+        rate = mixing.rates_after(chances, mixing.fit_rates(members, targets))
+        shares = (chances * (tokens * rate)[:, None]).sum(axis=0) / tokens.sum()
+        residual = ((shares - np.array(targets)) ** 2).sum()
+        assert residual == pytest.approx(least_squares(rows, np.array(targets)), abs=1e-5)
+
+
+def test_words_are_told_alike_in_fitting_and_scoring():
+    text = 'He said "grubword"; (spitea) [grubword]: grubword, \u00abspiteb\u00bb... grubword! *spitec*'
+    assert mixing.told_words(text) == {"He", "said", "grubword", "spitea", "spiteb", "spitec"}
+
+
 def test_copies_follow_the_rates():
     counts = mixing.copies(list(range(20_000)) + [None], np.array([1.3] * 20_000 + [2.0]))
     assert set(counts.tolist()) <= {1, 2} and counts[-1] == 2 and abs(counts[:-1].mean() - 1.3) < 0.02
@@ -95,8 +129,7 @@ def test_query_judges_the_whole_table(spark):
     assert len(rows) == 1000
     tokens = sum(row["n_tokens"] for row in rows)
     shares = [sum(row["n_tokens"] * row["rate"] * row[f"p_{name}"] for row in rows) / tokens for name in mixing.DOMAINS]
-    # with few labels every posterior leaves some chance to each domain, so the targets may be out of reach here
-    assert shares == pytest.approx(mixing.TARGETS, abs=0.02)
+    assert shares == pytest.approx(mixing.TARGETS, abs=1e-5)
 
 
 @pytest.mark.parametrize("same", ["ids", "rows"])

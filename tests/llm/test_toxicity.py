@@ -8,6 +8,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from winback.llm import lexicon, toxicity
 from winback.llm.queries import QUERIES
 
@@ -102,8 +104,40 @@ def test_without_both_classes(spark):
 
 
 def test_copies_count_once():
-    sample = [(1, "a b c d e f".split(), ""), (1, "a b c d e f".split(), ""), (0, "u v w x y z".split(), ""), (0, [], ""), (0, [], "")]
-    assert len(lexicon.without_copies(sample)) == 3
+    texts = ["a b c d e f", "a b c d e f", "u v w x y z", "", ""]
+    keys = [(at, lexicon.copy_keys(text.split())) for at, text in enumerate(texts)]
+    assert lexicon.without_copies(reversed(keys)) == [0, 2, 3]
+
+
+def test_passages_late_in_a_text_are_learned(spark):
+    """Toxic words stand after word 10,000 of every toxic text, and nowhere else."""
+    random.seed(9)
+    vocabulary = ["".join(random.choices("abcdeilnorst", k=random.randint(2, 8))) for _ in range(1500)]
+    plain = lambda count: " ".join(random.choices(vocabulary, k=count))
+    rows, labels = [], []
+    for i in range(80):
+        toxic = i % 4 == 0
+        rows.append((i, plain(10_100) + (" vilest grubword spiteful " if toxic else " ") + plain(50)))
+        labels.append((i, int(toxic)))
+    docs = docs_of(spark, rows)
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, known)
+    unseen = [(900, plain(30) + " Vilest grubword spiteful " + plain(30)), (901, plain(80)), (902, plain(12_000) + " grubword spiteful vilest")]
+    got = {row["doc_id"]: row for row in toxicity.score_documents(docs_of(spark, unseen), model).collect()}
+    assert [got[i]["predicted"] for i in (900, 901, 902)] == [1, 0, 1]
+    assert got[900]["spans"] and not got[901]["spans"]
+    words = ["calm"] * 30_000
+    tagged = [at in (5, 29_990) for at in range(30_000)]
+    windows = toxicity.training_windows(3, words, tagged)
+    assert sum(any(tags) for _, tags in windows) == 2 and len(windows) == 2 + toxicity.PLAIN_WINDOWS
+
+
+def test_clashing_ids_give_one_model_whatever_the_layout(spark):
+    rows = list(corpus(120, 4)) + [(i, "another vilest text " * 5, 0) for i in range(0, 120, 7)]
+    labels = spark.createDataFrame([(i, label) for i, _, label in rows[:120]], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame([(i, text) for i, text, _ in rows], "doc_id bigint, text string")
+    models = [toxicity.fit(layout, labels) for layout in (docs.repartition(5), docs.orderBy(F.desc("text")).coalesce(1))]
+    assert np.array_equal(models[0].weights, models[1].weights) and np.array_equal(models[0].calibration, models[1].calibration)
 
 
 def test_held_out_rows_of_the_tables(spark):

@@ -1,16 +1,24 @@
-"""Words of labelled texts: a bounded sample of labelled rows, and which word features tell a class."""
+"""Words of labelled texts: a bounded sample of labelled rows, and which word features tell a class.
+
+The sample bounds rows and nothing else. Its texts are stored and stay whole on the executors; what the driver gets of them
+is a few numbers per row and one per feature bucket.
+"""
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from winback.llm.common import id_and_text
+from winback.llm.arrow import sliced, small_batches
+from winback.llm.common import id_and_text, stored
 
 #: runs of letters
 WORD = re.compile(r"[^\W\d_]+")
@@ -23,6 +31,9 @@ TELLING = 3  # the first three can make a word tell a class
 LEAST_TEXTS = 5
 LEAST_RATIO = 20.0
 
+#: from a text to the words that can tell its class
+Words = Callable[[str], Iterable[str]]
+
 
 def telling_buckets(word: str) -> tuple[int, int, int]:
     """The buckets of the features that can tell a class."""
@@ -36,57 +47,104 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(part.encode()) & (BUCKETS - 1) for part in parts]
 
 
-def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int, words: int) -> list[tuple[int, list[str], str]]:
-    """At most ``per_class`` texts of each class of a 0/1 label, chosen by a hash of doc_id: (label, first words, text).
+def sample_labelled(docs: DataFrame, labels: DataFrame, values: Sequence[int], per_class: int) -> DataFrame:
+    """(doc_id, label, text) of at most ``per_class`` documents of each label value, chosen by a hash of doc_id; stored.
 
-    Rows without an id or label are left out; of rows that repeat an id the larger label counts. ``words``
-    bounds what is taken of a very long text for fitting.
+    ``labels`` holds doc_id and label. Rows without either are left out, and so are labels without a document; of labels that
+    repeat an id the largest counts, of texts that repeat an id the one with the smallest hash.
     """
-    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("label").cast("int").alias("label"))
     known = known.dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
+    known = known.join(docs.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_semi")
     order = F.xxhash64("doc_id"), F.col("doc_id")
-    picked = None
-    for value in (0, 1):
-        part = known.filter(F.col("label") == value).orderBy(*order).limit(per_class)
-        picked = part if picked is None else picked.unionByName(part)
+    picked = known.limit(0)
+    for value in values:
+        picked = picked.unionByName(known.filter(F.col("label") == value).orderBy(*order).limit(per_class))
+    # bounded by ``per_class``
     found = docs.select(*id_and_text()).join(F.broadcast(picked), "doc_id")
-    # a word and the gap after it take 40 characters at most on average
-    rows = found.select("doc_id", "label", F.substring("text", 1, 40 * words).alias("text")).dropDuplicates(["doc_id"])
-    ordered = sorted(rows.collect(), key=lambda row: row["doc_id"])
-    pool: dict[str, str] = {}  # one object per distinct word
-    found = lambda text: [pool.setdefault(word, word) for word in WORD.findall(text)[:words]]
-    return without_copies((row["label"], found(row["text"]), row["text"]) for row in ordered)
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    return stored(found.groupBy("doc_id", "label").agg(one), "labelled")
+
+
+def per_text(sample: DataFrame, schema: str, work: Callable[[list, list, list], dict[str, list]]) -> DataFrame:
+    """``work(doc_ids, labels, texts)`` for slices of a sample; returns columns by name, any number of rows."""
+    struct = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            columns = work(*(batch.column(name).to_pylist() for name in ("doc_id", "label", "text")))
+            yield pa.RecordBatch.from_arrays([pa.array(columns[field.name], field.type) for field in arrow], schema=arrow)
+
+    return small_batches(sample).mapInArrow(run, struct)
+
+
+MULTIPLIERS = np.array([[2_654_435_761], [2_246_822_519], [3_266_489_917], [668_265_263]], np.uint64)
+
 
+def copy_keys(words: Sequence[str]) -> list[int]:
+    """Four minimum hashes of a text's word triples."""
+    triples = {" ".join(words[at : at + 3]) for at in range(max(1, len(words) - 2))}
+    hashes = np.array([zlib.crc32(triple.encode()) for triple in triples], np.uint64)
+    return ((hashes * MULTIPLIERS) & np.uint64(0xFFFFFFFF)).min(axis=1).astype(np.int64).tolist()
 
-def without_copies(sample: Iterable[tuple[int, list[str], str]]) -> list[tuple[int, list[str], str]]:
-    """Leave out near copies of earlier texts of the sample, whose words would count as evidence once per copy.
 
-    A copy shares one of four minimum hashes of its word triples with an earlier text.
+def without_copies(keys: Iterable[tuple[int, list[int]]]) -> list[int]:
+    """The ids, in ascending order, of texts that are no near copies of earlier ones, whose words would count once per copy.
+
+    A copy shares one of its ``copy_keys`` with an earlier text.
     """
-    multipliers = np.array([[2_654_435_761], [2_246_822_519], [3_266_489_917], [668_265_263]], np.uint64)
     seen: set[tuple[int, int]] = set()
     kept = []
-    for label, words, text in sample:
-        triples = {" ".join(words[at : at + 3]) for at in range(max(1, len(words) - 2))}
-        hashes = np.array([zlib.crc32(triple.encode()) for triple in triples], np.uint64)
-        keys = set(enumerate(((hashes * multipliers) & np.uint64(0xFFFFFFFF)).min(axis=1).tolist()))
-        if not keys & seen:
-            kept.append((label, words, text))
-        seen |= keys
+    for doc_id, mine in sorted(keys):
+        named = set(enumerate(mine))
+        if not named & seen:
+            kept.append(doc_id)
+        seen |= named
     return kept
 
 
-def telling_features(texts: Iterable[tuple[int, Iterable[str]]]) -> np.ndarray:
-    """Which feature buckets tell class 1, as a boolean table over BUCKETS."""
-    seen = np.zeros((2, BUCKETS))
-    count = [0, 0]
-    for label, words in texts:
-        mine = {bucket for word in set(words) for bucket in features(word)[:TELLING]}
-        seen[label, list(mine)] += 1
-        count[label] += 1
-    ratio = (seen[1] + 0.5) / (count[1] + 1) / ((seen[0] + 0.5) / (count[0] + 1))
-    return (seen[1] >= LEAST_TEXTS) & (ratio >= LEAST_RATIO)
+def distinct_texts(sample: DataFrame, words: Words) -> DataFrame:
+    """The sample without near copies."""
+
+    def work(doc_ids: list, _: list, texts: list) -> dict[str, list]:
+        return {"doc_id": doc_ids, "keys": [copy_keys(list(words(text))) for text in texts]}
+
+    found = per_text(sample, "doc_id bigint, keys array<bigint>", work).collect()
+    kept = without_copies((row["doc_id"], row["keys"]) for row in found)
+    ids = sample.sparkSession.createDataFrame([(doc_id,) for doc_id in kept], "doc_id bigint")
+    return stored(sample.join(F.broadcast(ids), "doc_id", "left_semi"), "labelled")
+
+
+def texts_with_features(sample: DataFrame, words: Words, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """In how many texts of each class a feature bucket is, and the number of texts of each class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, texts = np.zeros((classes, BUCKETS), np.int64), np.zeros(classes, np.int64)
+        for batch in sliced(batches):
+            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                buckets = {bucket for word in set(words(text)) for bucket in telling_buckets(word)}
+                seen[label, list(buckets)] += 1
+                texts[label] += 1
+        # the number of texts stands after the last bucket
+        label, bucket = np.nonzero(seen)
+        columns = [np.append(label, np.arange(classes)), np.append(bucket, np.full(classes, BUCKETS)), np.append(seen[label, bucket], texts)]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["label", "bucket", "texts"])
+
+    counted = small_batches(sample).mapInArrow(run, "label bigint, bucket bigint, texts bigint")
+    table = np.zeros((classes, BUCKETS + 1))
+    for row in counted.groupBy("label", "bucket").agg(F.sum("texts").alias("texts")).collect():  # a row per class and bucket at most
+        table[row["label"], row["bucket"]] = row["texts"]
+    return table[:, :BUCKETS], table[:, BUCKETS]
+
+
+def telling_features(seen: np.ndarray, texts: np.ndarray, of: int) -> np.ndarray:
+    """Which feature buckets tell class ``of`` from the others, as a boolean table over BUCKETS."""
+    others = [other for other in range(len(texts)) if other != of]
+    rest, rest_texts = seen[others].sum(axis=0), texts[others].sum()
+    ratio = (seen[of] + 0.5) / (texts[of] + 1) / ((rest + 0.5) / (rest_texts + 1))
+    return (seen[of] >= LEAST_TEXTS) & (ratio >= LEAST_RATIO)
 
 
 def tells(telling: np.ndarray, word: str) -> bool:
-    return bool(telling[features(word)[:TELLING]].any())
+    return bool(telling[list(telling_buckets(word))].any())

@@ -1,18 +1,21 @@
 """Mixing to target weights by soft membership.
 
 A classifier fitted on the labelled table gives each document a posterior over domains (high quality, low quality, toxic).
-Documents get nonnegative rates w such that the expected token totals sum_i w_i t_i p_ik match the targets T_k. The
-rates solve the least-squares problem by projected gradient steps from w = 1 in the metric of the documents' tokens, with the
-projection applied to the sum of the steps: w_i = max(0, 1 - p_i . s), where s adds up the residuals over all tokens, one number
-per domain, each scaled by the inverse of the second moments of the documents with a rate above 0; where that does
-not lessen the residual enough it is shortened, and at last taken plain. So of all rates that meet the targets
-those nearest to 1 are found. A pass over
-the narrow table of tokens and posteriors adds up totals and moments; the driver sees only these sums, and the
-rates are a function of the few steps taken.
+Documents get nonnegative rates w such that the expected token shares sum_i w_i t_i p_ik / sum_i t_i match the targets T_k.
+The rates are the least-squares solution |shares - T|^2 / 2 with NEAREST times the token-weighted squared distance of the rates from 1
+beside it, so that of all rates that meet the targets those nearest to 1 are found. Projected gradient steps on the documents'
+rates all lead to rates of one form, w_i = max(0, 1 - p_i . s) with one number per domain in s, and the best s is where the gradient of
+
+    D(s) = sum_i t_i max(0, 1 - p_i . s)^2 / (2 sum_i t_i) + s . T + NEAREST |s|^2 / 2
+
+is zero: T - shares + NEAREST s. A step takes the gradient scaled by the second moments of the documents whose rate is above 0, at the
+length of LENGTHS that lessens D most. One pass over the narrow table of tokens and posteriors adds up D, shares and moments for all
+lengths at once; the driver sees only these sums.
 
 Defined cases: a null text counts as empty and has no tokens; a text without tokens keeps the rate that its posterior
 gives and adds nothing; without labels of two classes every document has the labels' shares as posterior (equal
-shares without any label); a target that no rates can reach is approached until no step helps; repeated
+shares without any label); targets that no rates can reach are met as nearly as can be; of different labelled texts with one
+doc_id the classifier learns from that with the smallest hash; repeated
 rows count and draw one by one; an empty table gives no rows; columns besides doc_id and text are only carried.
 """
 
@@ -28,17 +31,23 @@ from pyspark.sql import functions as F
 
 from winback.llm.arrow import give_back_memory, kept_by_worker, map_texts, take_rows
 from winback.llm.common import id_and_text, stored
-from winback.llm.lexicon import sample_labelled, telling_buckets, telling_features, tells
+from winback.llm.lexicon import distinct_texts, per_text, sample_labelled, telling_buckets, telling_features, texts_with_features
 
 DOMAINS = ("high", "low", "toxic")
 #: shares of all tokens that the mixture should expect of each domain
 TARGETS = (0.90, 0.09, 0.01)
-#: sampled texts of each label value, and words of each, for fitting the classifier
+#: sampled rows of each domain for fitting the classifier
 PER_CLASS = 1500
-TRAIN_WORDS = 4000
-PASSES = 60
-CLOSE = 1e-6
+#: what a rate's distance from 1 counts beside the shares' distance from the targets
+NEAREST = 1e-9
+#: passes at most, and the gradient at which no more are made
+PASSES = 200
+CLOSE = 1e-10
+#: step lengths tried in one pass
+LENGTHS = 2.0 ** np.arange(2, -22, -1)
 REMEMBERED = 200_000
+#: not part of a word at its ends
+AROUND = ".,!?|;:\"'()[]{}<>*_-\u201c\u201d\u2018\u2019\u00ab\u00bb\u2026"
 NUMBER = "__mixing_row"
 MEMBERSHIP = "doc_id bigint, n_tokens bigint, " + ", ".join(f"p_{name} double" for name in DOMAINS)
 
@@ -50,17 +59,23 @@ for _at, _chars in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" "
     CLASSES_OF_BYTES[list(_chars)] = _at
 
 
-def inputs(text: str, words: list[str], distinct: set[str], toxic: int, low: int) -> list[float]:
+def told_words(text: str) -> set[str]:
+    """The distinct words of a text that can tell its class, in fitting and in scoring."""
+    return {word.strip(AROUND) for word in set(text.split())}
+
+
+def inputs(text: str, toxic: int, low: int) -> list[float]:
     """Numbers that describe a text: kinds of characters, repetition, length, and its words that tell a class."""
     data = text.encode()
     kinds = np.bincount(CLASSES_OF_BYTES, np.bincount(np.frombuffer(data, np.uint8), minlength=256), 8)
     lines = data.split(b"\n")
+    words = text.split()
     count, size = max(len(words), 1), max(len(data), 1)
     return [
         1.0,
         np.log1p(len(words)),
         len(data) / count,
-        len(distinct) / count,
+        len(set(words)) / count,
         len(set(lines)) / len(lines),
         *np.sqrt(kinds[1:] / size),
         np.log1p(toxic),
@@ -69,6 +84,9 @@ def inputs(text: str, words: list[str], distinct: set[str], toxic: int, low: int
     ]
 
 
+INPUTS = len(inputs("", 0, 0))
+
+
 @dataclass(frozen=True)
 class Classifier:
     """Softmax over the domains; ``telling`` are the feature buckets of toxic and of low-quality words."""
@@ -78,32 +96,31 @@ class Classifier:
     scale: np.ndarray
     weights: np.ndarray
 
-    def posteriors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of words (white space apart) and posteriors of each text."""
-        seen, told = kept_by_worker(("mixing-words", self.weights.tobytes()), lambda: (set(), {}))
+    def described(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of words (white space apart) and inputs of each text."""
+        # a word's mark: 1 for toxic, 2 for low quality
+        seen, told = kept_by_worker(("mixing-words", *(np.packbits(table).tobytes() for table in self.telling)), lambda: (set(), {}))
         if len(seen) > REMEMBERED:
             seen.clear()
             told.clear()
-        marks = {}  # bucket -> 1 for toxic, 2 for low quality
-        for at, telling in enumerate(self.telling):
-            for bucket in np.flatnonzero(telling).tolist():
-                marks[bucket] = marks.get(bucket, 0) | 1 << at
         rows, tokens = [], []
         for text in texts:
-            words = text.split()
-            distinct = set(words)
+            distinct = told_words(text)
             for word in distinct.difference(seen):
-                mark = 0
-                for bucket in telling_buckets(word.strip(".,!?|")):
-                    mark |= marks.get(bucket, 0)
+                buckets = list(telling_buckets(word))
+                mark = sum(1 << at for at, table in enumerate(self.telling) if table[buckets].any())
                 if mark:
                     told[word] = mark
                 seen.add(word)
             found = [told[word] for word in distinct & told.keys()] if told else []
-            rows.append(inputs(text, words, distinct, sum(mark & 1 for mark in found), sum(mark >> 1 for mark in found)))
-            tokens.append(len(words))
-        x = (np.array(rows).reshape(-1, len(self.centre)) - self.centre) / self.scale
-        return np.array(tokens, np.int64), softmax(x @ self.weights)
+            rows.append(inputs(text, sum(mark & 1 for mark in found), sum(mark >> 1 for mark in found)))
+            tokens.append(len(text.split()))
+        return np.array(tokens, np.int64), np.array(rows, float).reshape(-1, INPUTS)
+
+    def posteriors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of words and posteriors of each text."""
+        tokens, x = self.described(texts)
+        return tokens, softmax((x - self.centre) / self.scale @ self.weights)
 
 
 def softmax(scores: np.ndarray) -> np.ndarray:
@@ -113,37 +130,32 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Fit on a bounded sample of labelled rows: doc_id, quality and toxic (0/1)."""
+    size = len(DOMAINS)
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 0)
-    coded = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), domain.alias("domain")).dropna()
+    coded = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), domain.alias("label")).dropna()
     coded = coded.join(docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    shares = {row["domain"]: row["count"] for row in coded.groupBy("domain").count().collect()}
-    counts = np.array([shares.get(k, 0) for k in range(len(DOMAINS))], float)
-    sample: list[tuple[int, list[str], str]] = []
-    for k in range(len(DOMAINS)):  # the sampler gives both values of a 0/1 label; only the domain's own rows are new
-        mine = coded.withColumn("is", (F.col("domain") == k).cast("int")).filter("is = 1")
-        sample += [(k, words, text) for _, words, text in sample_labelled(docs, mine, "is", PER_CLASS, TRAIN_WORDS)]
-    given = np.array([k for k, _, _ in sample], np.int64)
-    width = len(inputs("", [], set(), 0, 0))
-    if len(set(given.tolist())) < 2:
-        base = np.log((counts + 1e-9) / (counts + 1e-9).sum()) if counts.sum() else np.zeros(len(DOMAINS))
-        weights = np.zeros((width, len(DOMAINS)))
-        weights[0] = base
-        nothing = np.zeros_like(telling_features([]))
-        return Classifier((nothing, nothing), np.zeros(width), np.ones(width), weights)
-    telling = tuple(telling_features((int(k == of), words) for k, words, _ in sample) for of in (2, 1))
-    x = []
-    for _, words, text in sample:
-        distinct = set(words)
-        spaced = text.split()
-        x.append(inputs(text, spaced, set(spaced), *(sum(tells(table, word) for word in distinct) for table in telling)))
-    x = np.array(x)
+    shares = {row["label"]: row["count"] for row in coded.groupBy("label").count().collect()}
+    counts = np.array([shares.get(k, 0) for k in range(size)], float)
+    sample = distinct_texts(sample_labelled(docs, coded, range(size), PER_CLASS), str.split)
+    seen, texts = texts_with_features(sample, told_words, size)
+    telling = tuple(telling_features(seen, texts, of) for of in (2, 1))
+    blank = Classifier(telling, np.zeros(INPUTS), np.ones(INPUTS), np.zeros((INPUTS, size)))
+    if (texts > 0).sum() < 2:
+        blank.weights[0] = np.log((counts + 1e-9) / (counts + 1e-9).sum()) if counts.sum() else np.zeros(size)
+        return blank
+
+    def described(_: list, given: list, bodies: list) -> dict[str, list]:
+        return {"label": given, "x": blank.described(bodies)[1].tolist()}
+
+    rows = sorted(tuple(row) for row in per_text(sample, "label int, x array<double>", described).collect())
+    given, x = np.array([row[0] for row in rows]), np.array([row[1] for row in rows])
     centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     centre[0], scale[0] = 0, 1
     x = (x - centre) / scale
-    target = np.eye(len(DOMAINS))[given]
+    target = np.eye(size)[given]
     # the sample is balanced, the corpus is not
-    prior = np.log(counts + 0.5) - np.log(np.bincount(given, minlength=len(DOMAINS)) + 0.5)
-    weights = np.zeros((width, len(DOMAINS)))
+    prior = np.log(counts + 0.5) - np.log(texts + 0.5)
+    weights = np.zeros((INPUTS, size))
     step = 1 / (0.5 * np.linalg.eigvalsh(x.T @ x / len(x)).max() + 1e-3)
     momentum = weights
     for round_ in range(800):
@@ -152,7 +164,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
         momentum, weights = weights, ahead - step * slope
     weights = weights.copy()
     weights[0] += prior
-    del sample, x
     give_back_memory()
     return Classifier(telling, centre, scale, weights)
 
@@ -175,55 +186,76 @@ def rates_after(chances: np.ndarray, steps: Sequence[np.ndarray]) -> np.ndarray:
     return np.maximum(0, 1 - chances @ np.sum([np.zeros(chances.shape[1]), *steps], axis=0))
 
 
-def _sums(members: DataFrame, steps: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Expected totals of the domains after the steps; token-weighted products of the posteriors where the rate is above 0."""
+@dataclass(frozen=True)
+class Sums:
+    """For one s: half the token-weighted mean of the squared rates, shares, and second moments where the rate is above 0."""
+
+    half: float
+    shares: np.ndarray
+    moments: np.ndarray
+
+    def value(self, s: np.ndarray, wanted: np.ndarray) -> float:
+        return self.half + s @ wanted + NEAREST * (s @ s) / 2
+
+    def gradient(self, s: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        return wanted - self.shares + NEAREST * s
+
+
+def _sums(members: DataFrame, candidates: Sequence[np.ndarray], tokens: float) -> list[Sums]:
+    """The sums of several s, from one pass."""
     names = [f"p_{name}" for name in DOMAINS]
     size = len(DOMAINS)
-    sums = [f"s{at}" for at in range(size + size * size)]
+    width = 1 + size + size * size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(sums))
+        total = np.zeros((len(candidates), width))
         for batch in batches:
             chances = np.stack([batch.column(name).to_numpy() for name in names], axis=1)
-            tokens = batch.column("n_tokens").to_numpy().astype(float)
-            rate = rates_after(chances, steps)
-            active = chances * (tokens * (rate > 0))[:, None]
-            total += [*(tokens * rate) @ chances, *(active.T @ chances).ravel()]
-        yield pa.RecordBatch.from_arrays([pa.array([value]) for value in total], names=sums)
-
-    schema = ", ".join(f"{name} double" for name in sums)
-    row = members.select("n_tokens", *names).mapInArrow(run, schema).groupBy().sum().first()
-    values = np.array([value or 0.0 for value in row])
-    return values[:size], values[size:].reshape(size, size)
+            weight = batch.column("n_tokens").to_numpy().astype(float)
+            for row, s in zip(total, candidates, strict=True):
+                rate = rates_after(chances, [s])
+                active = chances * (weight * (rate > 0))[:, None]
+                row += [weight @ rate**2 / 2, *(weight * rate) @ chances, *(active.T @ chances).ravel()]
+        at = np.arange(len(candidates))
+        yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(total[:, column]) for column in range(width)]], names=["at", *sums])
+
+    sums = [f"s{at}" for at in range(width)]
+    parts = members.select("n_tokens", *names).mapInArrow(run, ", ".join(["at bigint", *[f"{name} double" for name in sums]]))
+    # a row per candidate
+    found = np.zeros((len(candidates), width))
+    for row in parts.groupBy("at").agg(*[F.sum(name).alias(name) for name in sums]).collect():
+        found[row["at"]] = row[1:]
+    found /= tokens
+    return [Sums(row[0], row[1 : 1 + size], row[1 + size :].reshape(size, size)) for row in found]
 
 
 def fit_rates(members: DataFrame, targets: Sequence[float | None] = TARGETS) -> list[np.ndarray]:
-    """Steps whose rates bring the expected domain totals to ``targets`` (shares of the present tokens).
+    """Steps whose rates bring the expected domain totals as near to ``targets`` (shares of the present tokens) as can be.
 
     A domain with None keeps its present share; the others divide the rest by their targets.
     """
     tokens = float(members.agg(F.sum("n_tokens")).first()[0] or 0)
     if not tokens:
         return []
-    steps: list[np.ndarray] = []
-    totals, products = _sums(members, steps)
+    s = np.zeros(len(DOMAINS))
+    (now,) = _sums(members, [s], tokens)
     free = np.array([share is None for share in targets])
-    wanted = np.where(free, totals / tokens, [share or 0.0 for share in targets])
+    wanted = np.where(free, now.shares, [share or 0.0 for share in targets])
     wanted[~free] *= (1 - wanted[free].sum()) / max(wanted[~free].sum(), 1e-300)
-    residual = totals / tokens - wanted
-    passes = 0
-    while passes < PASSES and np.abs(residual).max() > CLOSE:
-        # the scaled step, shortened where rates hit 0; the plain gradient, which never adds to the residual, if that fails
-        scaled = np.linalg.pinv(products / tokens, rcond=1e-9) @ residual
-        for step, gain in ((scaled, 0.1), (0.5 * scaled, 0.1), (0.2 * scaled, 0.05), (0.05 * scaled, 0.01), (residual, 1e-6)):
-            passes += 1
-            totals, after = _sums(members, [*steps, step])
-            left = totals / tokens - wanted
-            if left @ left < (1 - gain) * (residual @ residual):
-                steps, residual, products = [*steps, step], left, after
-                break
-        else:
+    steps: list[np.ndarray] = []
+    for _ in range(PASSES):
+        gradient = now.gradient(s, wanted)
+        if np.abs(gradient).max() <= CLOSE:
             break
+        scaled = np.linalg.solve(now.moments + NEAREST * np.eye(len(s)), -gradient)
+        tried = [*(scaled * length for length in LENGTHS), *(-gradient * length for length in LENGTHS)]
+        found = _sums(members, [s + step for step in tried], tokens)
+        values = [sums.value(s + step, wanted) for step, sums in zip(tried, found, strict=True)]
+        best = int(np.argmin(values))
+        if not values[best] < now.value(s, wanted):
+            break  # nearer than doubles can tell
+        s, now = s + tried[best], found[best]
+        steps.append(tried[best])
     return steps
 
 

@@ -4,20 +4,24 @@ Labels are given per text. Words of toxic training texts that have a feature whi
 ``lexicon``) are labelled toxic, all others not, and these labelled words train the field: two tags, hashed word
 features, transitions. Of a whole text, forward-backward gives each word's marginal chance of being
 toxic; the marginals add up to the text's score by a calibrated logistic function, and runs of words
-above one half are the offending spans. The model is fitted on a bounded sample (PER_CLASS texts of each
-class, at most TRAIN_WORDS words of each) and travels to the tasks as one array of fixed size.
+above one half are the offending spans. The model is fitted on a bounded sample of rows (PER_CLASS whole texts of each
+class) and travels to the tasks as one array of fixed size. Which features tell the class, and how scores are calibrated, is
+counted over the whole sampled texts on the executors. The field learns from windows of WINDOW words: of each text at most
+TAGGED_WINDOWS that hold a toxic word and PLAIN_WINDOWS others, drawn by a hash from all of its windows.
 
 Forward and backward quantities are kept as ratios toxic : not toxic, so they need no scaling however long a
 text is, and all texts of a slice step forward together.
 
 Defined cases: a null text counts as empty; a text without words gets the score of no evidence; labels without
-an id or value are left out, of repeated labels the larger counts; without training texts of
+an id, value or document are left out, of repeated labels the larger counts, of different training texts with one doc_id that
+with the smallest hash; without training texts of
 both classes every score is the share of toxic labels (0 without any); repeated rows are scored one by one; other
 columns are never inputs.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,13 +30,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winback.llm.arrow import give_back_memory, kept_by_worker, map_texts, take_rows
-from winback.llm.lexicon import BUCKETS, FEATURES, WORD, features, sample_labelled, tells, telling_features
-
+from winback.llm.lexicon import (
+    BUCKETS,
+    FEATURES,
+    WORD,
+    distinct_texts,
+    features,
+    per_text,
+    sample_labelled,
+    tells,
+    telling_features,
+    texts_with_features,
+)
+
+#: sampled rows of each class
 PER_CLASS = 2000
-TRAIN_WORDS = 4000
-#: words of a training sequence; sequences without a toxic word that are used
+#: words of a training sequence; sequences of a text with and without a toxic word that the field learns from
 WINDOW = 128
-PLAIN_WINDOWS = 6000
+TAGGED_WINDOWS = 16
+PLAIN_WINDOWS = 2
 #: training sequences handled at a time
 SEQUENCES = 2000
 ROUNDS = 60
@@ -168,47 +184,68 @@ def logistic(inputs: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return beta
 
 
+def training_windows(doc_id: int, words: list[str], tagged: list[bool]) -> list[tuple[list[str], list[bool]]]:
+    """Windows of one text to learn from, drawn by a hash from all over it."""
+    kinds: tuple[list, list] = ([], [])
+    for at in range(0, len(words), WINDOW):
+        part = slice(at, at + WINDOW)
+        kinds[any(tagged[part])].append((zlib.crc32(f"{doc_id}:{at}".encode()), at))
+    chosen = [at for windows, most in zip(kinds, (PLAIN_WINDOWS, TAGGED_WINDOWS), strict=True) for _, at in sorted(windows)[:most]]
+    return [(words[at : at + WINDOW], tagged[at : at + WINDOW]) for at in sorted(chosen)]
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on a bounded sample of the labelled rows; ``labels`` holds doc_id and toxic."""
-    shares = {row["toxic"]: row["count"] for row in labels.dropna(subset=["doc_id", "toxic"]).groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()}
-    sample = sample_labelled(docs, labels, "toxic", PER_CLASS, TRAIN_WORDS)
-    given = np.array([label for label, _, _ in sample], np.int64)
-    if len(set(given.tolist())) < 2:
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).dropna()
+    shares = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
+    sample = distinct_texts(sample_labelled(docs, known, (0, 1), PER_CLASS), WORD.findall)
+    seen, texts = texts_with_features(sample, WORD.findall, 2)
+    if not texts.all():
         share = shares.get(1, 0) / max(1, sum(shares.values()))
         base = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return Model(np.zeros(BUCKETS), np.zeros(4), np.array([base, 0.0, 0.0]))
-    telling = telling_features((label, words) for label, words, _ in sample)
+    telling = telling_features(seen, texts, 1)
+
+    def windows_of(doc_ids: list, given: list, bodies: list) -> dict[str, list]:
+        rows, known_words = [], {}
+        for doc_id, label, text in zip(doc_ids, given, bodies, strict=True):
+            words = WORD.findall(text)
+            for word in set(words).difference(known_words):
+                known_words[word] = tells(telling, word)
+            tagged = [bool(label) and known_words[word] for word in words]
+            if label and not any(tagged):
+                continue  # toxic, but it is not known where
+            rows += [(doc_id, *window) for window in training_windows(doc_id, words, tagged)]
+        return {name: [row[at] for row in rows] for at, name in enumerate(("doc_id", "words", "tagged"))}
+
+    # at most PER_CLASS texts of each class, with a bounded number of windows each
+    windows = per_text(sample, "doc_id bigint, words array<string>, tagged array<boolean>", windows_of).orderBy("doc_id", "words").collect()
     index: dict[str, int] = {}
-    coded = [np.array([index.setdefault(word, len(index)) for word in words], np.int32) for _, words, _ in sample]
-    del sample
+    coded = [np.array([index.setdefault(word, len(index)) for word in row["words"]], np.int64) for row in windows]
+    tags = [np.array(row["tagged"], np.int8) for row in windows]
+    if not coded:
+        coded, tags, index = [np.zeros(1, np.int64)], [np.zeros(1, np.int8)], {"": 0}
+    del windows
     table = np.array([features(word) for word in index]).reshape(-1, FEATURES)
-    toxic_word = np.array([tells(telling, word) for word in index], np.int8)
-    windows, plain = [], []
-    for label, words in zip(given, coded, strict=True):
-        tags = toxic_word[words] * label
-        if label and not tags.any():
-            continue  # toxic, but it is not known where
-        for at in range(0, len(words), WINDOW):
-            part = (words[at : at + WINDOW], tags[at : at + WINDOW])
-            (windows if part[1].any() else plain).append(part)
-    chosen = np.random.default_rng(0).permutation(len(plain))[:PLAIN_WINDOWS]
-    windows += [plain[at] for at in sorted(chosen.tolist())]
-    words, tags = (np.concatenate([part[i] for part in windows]) for i in (0, 1))
-    window_lengths = np.array([len(part[0]) for part in windows], np.int64)
-    del windows, plain
-    weights, trans = train_field(words, tags, window_lengths, table)
-    del words, tags
-    lengths = np.array([len(part) for part in coded])
-    scores = weights[table].sum(axis=1)[np.concatenate(coded)]
-    beta = logistic(evidence(*totals(marginals(scores, lengths, trans), lengths)), given)
+    weights, trans = train_field(np.concatenate(coded), np.concatenate(tags), np.array([len(part) for part in coded]), table)
+    del coded, tags, index, table
+    field = Model(weights, trans, np.zeros(3))
+
+    def evidence_of(_: list, given: list, bodies: list) -> dict[str, list]:
+        expected, largest = totals(*text_marginals(field, bodies)[:2])
+        return {"label": given, "expected": expected.tolist(), "largest": largest.tolist()}
+
+    rows = per_text(sample, "label int, expected double, largest double", evidence_of).collect()
+    told = np.array(sorted(tuple(row) for row in rows))
+    beta = logistic(evidence(told[:, 1], told[:, 2]), told[:, 0])
     # the sample is balanced, the corpus is not
-    beta[0] += np.log((shares.get(1, 0) + 0.5) / (shares.get(0, 0) + 0.5)) - np.log((given == 1).sum() / (given == 0).sum())
+    beta[0] += np.log((shares.get(1, 0) + 0.5) / (shares.get(0, 0) + 0.5)) - np.log(texts[1] / texts[0])
     give_back_memory()
     return Model(weights, trans, beta)
 
 
-def judge_texts(model: Model, texts: list[str]) -> tuple[np.ndarray, list[list[dict]]]:
-    """Scores, and the spans of toxic words with their largest marginal."""
+def text_marginals(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+    """Each word's chance of being toxic, the number of words of each text, and the words."""
     known = kept_by_worker(("toxic-emissions", model.weights.tobytes()[:4096], model.trans.tobytes()), dict)
     if len(known) > REMEMBERED:
         known.clear()
@@ -218,7 +255,12 @@ def judge_texts(model: Model, texts: list[str]) -> tuple[np.ndarray, list[list[d
             known[word] = model.emission(word)
     lengths = np.array([len(words) for words in found], np.int64)
     scores = np.fromiter((known[word] for words in found for word in words), float, int(lengths.sum()))
-    chances = marginals(scores, lengths, model.trans)
+    return marginals(scores, lengths, model.trans), lengths, found
+
+
+def judge_texts(model: Model, texts: list[str]) -> tuple[np.ndarray, list[list[dict]]]:
+    """Scores, and the spans of toxic words with their largest marginal."""
+    chances, lengths, _ = text_marginals(model, texts)
     ends = np.cumsum(lengths)
     spans = [list(offending(text, chances[end - length : end])) for text, end, length in zip(texts, ends, lengths, strict=True)]
     return model.score(*totals(chances, lengths)), spans
