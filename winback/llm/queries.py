@@ -47,8 +47,9 @@ def op4_katz(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    judged = exact_dedup.deduplicate(docs, exact_dedup.DigestIndex.scratch(spark))
+    index = exact_dedup.DigestIndex.scratch(spark)
+    judged = exact_dedup.deduplicate(table(spark, folder, "documents"), index)
+    index.drop()
     return judged.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
