@@ -1,13 +1,13 @@
 """Shards of nearly equal bytes by sampled splitters.
 
-Rows are ordered by (hash of the text, doc_id), so copies of a text stand together. A size-weighted
+Rows are ordered by (hash of the text, doc_id, a stored number of the row), so copies of a text stand together. A size-weighted
 sample of the keys gives quantile boundaries of many more ranges than shards. Then every range is
 measured exactly; a range that holds much more than its share of bytes or rows is sampled again and
 subdivided, until none is left that can be. Neighbouring ranges fill the shards up to equal bytes. A group
 of copies is cut only where its range is overfull.
 
 Defined cases: size is UTF-8 bytes plus one, so a null or empty text has size 1; a null doc_id sorts
-first within its text; rows that repeat doc_id and text are placed one by one and stay in one range; an empty
+first within its text; rows that repeat doc_id and text are told apart by their number, so a group of them is cut anywhere; an empty
 table gives no rows; a single row is never cut, so one very long document may make its shard
 larger; columns besides doc_id and text are carried by ``write_shards`` and never read.
 """
@@ -29,8 +29,9 @@ KEYS_PER_RANGE = 16
 #: a range is overfull with more than so many times its share
 OVERFULL = 2.0
 
-#: the key of a row: hash of its text, then doc_id
-Key = tuple[int, int]
+#: the key of a row: hash of its text, then doc_id, then its number
+Key = tuple[int, int, int]
+KEY = ("text_hash", "id_key", "row")
 
 
 def text_key(text: str = "text") -> Column:
@@ -41,10 +42,10 @@ def id_key(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LOWEST_LONG))
 
 
-def range_of(splitters: list[Key], text_hash: Column, id_: Column) -> Column:
+def range_of(splitters: list[Key], *key: Column) -> Column:
     """Index of the range of a row: the number of splitters at or below its key."""
-    arrays = [long_array([key[0] for key in splitters]), long_array([key[1] for key in splitters])]
-    return bounds_at_or_below(arrays, [text_hash, id_], len(splitters))
+    arrays = [long_array([splitter[part] for splitter in splitters]) for part in range(len(KEY))]
+    return bounds_at_or_below(arrays, key, len(splitters))
 
 
 @dataclass(frozen=True)
@@ -55,12 +56,15 @@ class ShardPlan:
     shards: list[int]
     first_slots: list[int]
 
-    def shard(self, text_hash: Column, id_: Column) -> Column:
-        return F.element_at(long_array(self.shards), (range_of(self.splitters, text_hash, id_) + 1).cast("int")).cast("int")
+    def shard(self, *key: Column) -> Column:
+        return F.element_at(long_array(self.shards), (range_of(self.splitters, *key) + 1).cast("int")).cast("int")
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """Narrow rows to plan with (stored): doc_id, size, text_crc32, text_hash, id_key."""
+def measure(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """Narrow rows to plan with (stored): doc_id, size, text_crc32, text_hash, id_key, row.
+
+    ``row`` is a column that numbers the rows; without it they are numbered here.
+    """
     text = text_or_empty()
     return stored(
         docs.select(
@@ -69,6 +73,7 @@ def measure(docs: DataFrame) -> DataFrame:
             F.crc32(text.cast("binary")).alias("text_crc32"),
             text_key().alias("text_hash"),
             id_key().alias("id_key"),
+            (F.monotonically_increasing_id() if row is None else row).alias("row"),
         ),
         "shard-sizes",
     )
@@ -77,18 +82,18 @@ def measure(docs: DataFrame) -> DataFrame:
 def _sampled(rows: DataFrame, weight: Column, per_range: Column | float, round_: int) -> DataFrame:
     """Keys drawn with a chance in proportion to their weight; the draw is a hash, so it does not depend on partitions."""
     chance = weight * KEYS_PER_RANGE / per_range
-    draw = F.xxhash64("text_hash", "id_key", F.lit(round_)) / F.lit(2.0**64) + 0.5
-    return rows.filter(draw < chance).select("text_hash", "id_key", F.greatest(weight, F.lit(per_range) / KEYS_PER_RANGE).alias("weight"))
+    draw = F.xxhash64(*KEY, F.lit(round_)) / F.lit(2.0**64) + 0.5
+    return rows.filter(draw < chance).select(*KEY, F.greatest(weight, F.lit(per_range) / KEYS_PER_RANGE).alias("weight"))
 
 
-def _quantiles(keys: list[tuple[int, int, float]], parts: int, whole_texts: bool) -> list[Key]:
+def _quantiles(keys: list[tuple[int, int, int, float]], parts: int, whole_texts: bool) -> list[Key]:
     """Keys at which the sampled weight passes each of ``parts`` equal shares."""
     keys.sort()
-    total, passed, found = sum(key[2] for key in keys), 0.0, set()
-    for text_hash, id_, weight in keys:
+    total, passed, found = sum(key[-1] for key in keys), 0.0, set()
+    for *key, weight in keys:
         before, passed = passed, passed + weight
         if int(before / total * parts) != int(passed / total * parts):
-            found.add((text_hash, LOWEST_LONG if whole_texts else id_))
+            found.add((key[0], LOWEST_LONG, LOWEST_LONG) if whole_texts else tuple(key))
     return sorted(found)
 
 
@@ -104,12 +109,12 @@ def plan_shards(rows: DataFrame, shards: int) -> ShardPlan:
     splitters = _quantiles([tuple(row) for row in first], parts, whole_texts=True)
     tried: set[Key | None] = set()
     for round_ in range(1, 64):
-        ranged = rows.withColumn("range", range_of(splitters, F.col("text_hash"), F.col("id_key")))
+        ranged = rows.withColumn("range", range_of(splitters, *map(F.col, KEY)))
         sums = ranged.groupBy("range").agg(
             F.sum("size").alias("bytes"),
             F.count(F.lit(1)).alias("rows"),
             F.sum(share).alias("share"),
-            (F.min(F.struct("text_hash", "id_key")) != F.max(F.struct("text_hash", "id_key"))).alias("divisible"),
+            (F.min(F.struct(*KEY)) != F.max(F.struct(*KEY))).alias("divisible"),
         ).collect()
         starts = [None, *splitters]
         overfull = [
@@ -120,7 +125,7 @@ def plan_shards(rows: DataFrame, shards: int) -> ShardPlan:
         inside = ranged.filter(F.col("range").isin([row["range"] for row in overfull]))
         per_range = defaultdict(list)
         for row in _sampled(inside, share, 1.0 / parts, round_).collect():
-            key = (row["text_hash"], row["id_key"])
+            key = tuple(row[name] for name in KEY)
             per_range[bisect_right(splitters, key)].append((*key, row["weight"]))
         more: set[Key] = set()
         for row in overfull:
@@ -145,8 +150,8 @@ def plan_shards(rows: DataFrame, shards: int) -> ShardPlan:
 def place(rows: DataFrame, plan: ShardPlan) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot (gapless from 0 within the shard) of every row."""
     at = (F.col("range") + 1).cast("int")
-    ranged = rows.withColumn("range", range_of(plan.splitters, F.col("text_hash"), F.col("id_key")))
-    order = Window.partitionBy("range").orderBy("text_hash", "id_key")
+    ranged = rows.withColumn("range", range_of(plan.splitters, *map(F.col, KEY)))
+    order = Window.partitionBy("range").orderBy(*KEY)
     return ranged.withColumn("place", F.row_number().over(order)).select(
         "doc_id",
         "size",
@@ -163,9 +168,12 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16) -> ShardPlan:
     """Write whole documents in folders shard=0, shard=1, ..., rows of a shard in key order, each file one piece of it."""
-    plan = plan_shards(measure(docs), shards)
+    kept = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "shard-rows")
+    row = F.col("__row")
+    plan = plan_shards(measure(kept, row), shards)
     text_hash, id_ = text_key(), id_key()
-    marked = docs.withColumns({"shard": plan.shard(text_hash, id_), "__hash": text_hash, "__id": id_})
-    pieces = marked.repartitionByRange("shard", "__hash", "__id").sortWithinPartitions("shard", "__hash", "__id")
-    pieces.drop("__hash", "__id").write.partitionBy("shard").parquet(path)
+    marked = kept.withColumns({"shard": plan.shard(text_hash, id_, row), "__hash": text_hash, "__id": id_})
+    order = ["shard", "__hash", "__id", "__row"]
+    pieces = marked.repartitionByRange(*order).sortWithinPartitions(*order)
+    pieces.drop("__hash", "__id", "__row").write.partitionBy("shard").parquet(path)
     return plan
