@@ -201,31 +201,33 @@ SCHEMA = (
 def with_next(docs: DataFrame) -> DataFrame:
     """range, is_next, id_key, text_hash, doc_id, text; each range holds the first row after it too.
 
-    Ranges of (doc_id, hash of the text) hold about equal bytes by sampled splitters. The first row of each range is
+    Ranges of (doc_id, hash of the text, number of the row) hold about equal bytes by sampled splitters. The first row of each range is
     added to the range before it, the very first to the last, so texts are dealt once and
     no task needs its neighbour. The driver sees some keys per range, no text.
     """
     id_key = F.coalesce(F.col("doc_id"), F.lit(LOWEST_LONG))
-    rows = docs.select(*id_and_text()).withColumns({"id_key": id_key, "text_hash": F.xxhash64("text")})
-    key = [F.col("id_key"), F.col("text_hash")]
+    # the row's number only serves to cut a group of equal rows, whose order does not matter
+    numbered = {"id_key": id_key, "text_hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()}
+    rows = docs.select(*id_and_text()).withColumns(numbered)
+    key = [F.col("id_key"), F.col("text_hash"), F.col("row")]
     keys = rows.select(*key, (F.octet_length("text") + 1).alias("size"))
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = keys.agg(F.sum("size")).first()[0] or 1
     draw = F.xxhash64(*key, F.lit(3)) / F.lit(2.0**64) + 0.5
     picked = sorted(map(tuple, keys.filter(draw < F.col("size") * (KEYS_PER_RANGE * parts / total)).select(*key).collect()))
     splitters = sorted({picked[len(picked) * at // parts] for at in range(1, parts)}) if picked else []
-    arrays = [long_array([split[part] for split in splitters]) for part in (0, 1)]
+    arrays = [long_array([split[part] for split in splitters]) for part in range(len(key))]
     own = rows.withColumns({"range": bounds_at_or_below(arrays, key, len(splitters)), "is_next": F.lit(0)})
 
     starts = own.drop("text").groupBy("range").agg(F.min(F.struct(*key)).alias("first")).orderBy("range").collect()
     if not starts:
         return own
-    firsts = [long_array([row["first"][part] for row in starts]) for part in (0, 1)]
-    before = long_array([starts[at - 1]["range"] for at in range(len(starts))])
-    at = F.greatest(bounds_at_or_below(firsts, key, len(starts)), F.lit(1)).cast("int")
-    is_first = (F.element_at(firsts[0], at) == key[0]) & (F.element_at(firsts[1], at) == key[1])
-    added = rows.filter(is_first).dropDuplicates(["id_key", "text_hash"])
-    return own.unionByName(added.withColumns({"range": F.element_at(before, at).cast("int"), "is_next": F.lit(1)}))
+    # one row per range: which text comes after its last
+    after = [(*row["first"][:2], starts[at - 1]["range"]) for at, row in enumerate(starts)]
+    firsts = F.broadcast(docs.sparkSession.createDataFrame(after, "id_key bigint, text_hash bigint, range int"))
+    one = rows.join(firsts, ["id_key", "text_hash"], "left_semi").dropDuplicates(["id_key", "text_hash"])
+    added = one.join(firsts, ["id_key", "text_hash"]).withColumn("is_next", F.lit(1))
+    return own.unionByName(added.select(*own.columns))
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
@@ -256,5 +258,5 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             arrays = [pa.array(column, field.type) for column, field in zip(columns, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    dealt = with_next(docs).repartition("range").sortWithinPartitions("range", "is_next", "id_key", "text_hash")
+    dealt = with_next(docs).repartition("range").sortWithinPartitions("range", "is_next", "id_key", "text_hash", "row")
     return dealt.select("range", "is_next", "doc_id", "text").mapInArrow(run, struct)
