@@ -20,6 +20,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -145,19 +146,26 @@ def entropy_spans(text: str, allowed: AllowList) -> list[Span]:
                     if not allowed.allows(run[0]):
                         spans += [(run.start() + a, run.start() + b) for a, b in high_windows(run[0], LIMITS[kind])]
                 told.append((kind, spans))
+            sets = [set(spans) for _, spans in told]
             for at, (kind, spans) in enumerate(told):
-                others = [(after > at, other) for after, (_, other) in enumerate(told) if after != at]
+                others = [(after > at, other, sets[after]) for after, (_, other) in enumerate(told) if after != at]
                 # of equal spans that of the smaller class is told
-                found += [(kind, *span) for span in spans if not any(_within(other, *span) and not (after and span in other) for after, other in others)]
+                found += [(kind, *span) for span in spans if not any(_within(other, *span) and not (after and span in same) for after, other, same in others)]
     return found
 
 
 def find_spans(text: str, allowed: AllowList) -> list[Span]:
     """All spans by start, then kind."""
     base = base_spans(text)
-    more = [
-        span for span in entropy_spans(text, allowed) if not any(b[1] <= span[1] and span[2] <= b[2] for b in base)
-    ]
+    # by start, with the farthest end so far: base spans of different kinds may overlap
+    ordered = sorted((start, end) for _, start, end in base)
+    reach = list(accumulate((end for _, end in ordered), max))
+
+    def inside(start: int, end: int) -> bool:
+        at = bisect_right(ordered, start, key=lambda span: span[0])
+        return at > 0 and end <= reach[at - 1]
+
+    more = [span for span in entropy_spans(text, allowed) if not inside(*span[1:])]
     return sorted(base + more, key=lambda span: (span[1], KIND_ORDER[span[0]], span[2]))
 
 
