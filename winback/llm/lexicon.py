@@ -38,7 +38,8 @@ Words = Callable[[str], Iterable[str]]
 def telling_buckets(word: str) -> tuple[int, int, int]:
     """The buckets of the features that can tell a class."""
     word = word.lower()
-    return tuple(zlib.crc32(part.encode()) & (BUCKETS - 1) for part in ("w" + word, "p4" + word[:4], "p5" + word[:5]))
+    whole, four, five = (f"w{word}".encode(), f"p4{word[:4]}".encode(), f"p5{word[:5]}".encode())
+    return zlib.crc32(whole) & (BUCKETS - 1), zlib.crc32(four) & (BUCKETS - 1), zlib.crc32(five) & (BUCKETS - 1)
 
 
 def features(word: str) -> list[int]:

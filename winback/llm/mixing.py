@@ -59,23 +59,26 @@ for _at, _chars in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" "
     CLASSES_OF_BYTES[list(_chars)] = _at
 
 
+def bare(word: str) -> str:
+    """A word as it can tell a class, in fitting and in scoring."""
+    return word.strip(AROUND)
+
+
 def told_words(text: str) -> set[str]:
-    """The distinct words of a text that can tell its class, in fitting and in scoring."""
-    return {word.strip(AROUND) for word in set(text.split())}
+    return set(map(bare, set(text.split())))
 
 
-def inputs(text: str, toxic: int, low: int) -> list[float]:
+def inputs(text: str, words: list[str], distinct: set[str], toxic: int, low: int) -> list[float]:
     """Numbers that describe a text: kinds of characters, repetition, length, and its words that tell a class."""
     data = text.encode()
     kinds = np.bincount(CLASSES_OF_BYTES, np.bincount(np.frombuffer(data, np.uint8), minlength=256), 8)
     lines = data.split(b"\n")
-    words = text.split()
     count, size = max(len(words), 1), max(len(data), 1)
     return [
         1.0,
         np.log1p(len(words)),
         len(data) / count,
-        len(set(words)) / count,
+        len(distinct) / count,
         len(set(lines)) / len(lines),
         *np.sqrt(kinds[1:] / size),
         np.log1p(toxic),
@@ -84,7 +87,7 @@ def inputs(text: str, toxic: int, low: int) -> list[float]:
     ]
 
 
-INPUTS = len(inputs("", 0, 0))
+INPUTS = len(inputs("", [], set(), 0, 0))
 
 
 @dataclass(frozen=True)
@@ -98,23 +101,29 @@ class Classifier:
 
     def described(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of words (white space apart) and inputs of each text."""
-        # a word's mark: 1 for toxic, 2 for low quality
+        # words as they stand in texts: those looked at, and the bare word and mark (1 toxic, 2 low quality) of those that tell
         seen, told = kept_by_worker(("mixing-words", *(np.packbits(table).tobytes() for table in self.telling)), lambda: (set(), {}))
         if len(seen) > REMEMBERED:
             seen.clear()
             told.clear()
+        marks: dict[int, int] = {}
+        for at, table in enumerate(self.telling):
+            for bucket in np.flatnonzero(table).tolist():
+                marks[bucket] = marks.get(bucket, 0) | 1 << at
         rows, tokens = [], []
         for text in texts:
-            distinct = told_words(text)
+            words = text.split()
+            distinct = set(words)
             for word in distinct.difference(seen):
-                buckets = list(telling_buckets(word))
-                mark = sum(1 << at for at, table in enumerate(self.telling) if table[buckets].any())
+                mark = 0
+                for bucket in telling_buckets(bare(word)):
+                    mark |= marks.get(bucket, 0)
                 if mark:
-                    told[word] = mark
+                    told[word] = bare(word), mark
                 seen.add(word)
-            found = [told[word] for word in distinct & told.keys()] if told else []
-            rows.append(inputs(text, sum(mark & 1 for mark in found), sum(mark >> 1 for mark in found)))
-            tokens.append(len(text.split()))
+            found = {told[word] for word in distinct & told.keys()} if told else ()
+            rows.append(inputs(text, words, distinct, sum(mark & 1 for _, mark in found), sum(mark >> 1 for _, mark in found)))
+            tokens.append(len(words))
         return np.array(tokens, np.int64), np.array(rows, float).reshape(-1, INPUTS)
 
     def posteriors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
