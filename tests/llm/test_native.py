@@ -12,6 +12,8 @@ import pytest
 from compare import connect, difference
 from conftest import TABLES
 
+from pyspark.sql import functions as F
+
 from winback.llm import exact_dedup, sharding, url_filter
 from winback.llm.common import LOWEST_LONG, bounds_at_or_below, long_array, shared_path
 from winback.llm.oracle import ORACLE
@@ -93,6 +95,42 @@ def test_index_is_kept_and_appended_to(spark):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_a_batch_that_is_run_again_gets_the_same_verdicts(spark, monkeypatch):
+    index = exact_dedup.DigestIndex.open(spark, shared_path(spark, "index-test"), "index_test_again", buckets=2)
+    exact_dedup.deduplicate(docs_of(spark, [(5, "one")]), index, batch="first").collect()
+    rows = [(1, "one"), (2, "two"), (3, "two"), (None, "three")]
+    verdicts = lambda: sorted(
+        (str(row["doc_id"]), str(row["keep_id"]), row["kept"]) for row in exact_dedup.deduplicate(docs_of(spark, rows), index, batch="second").collect()
+    )
+    expected = [("1", "5", False), ("2", "2", True), ("3", "2", False), ("None", "None", True)]
+    # dies after the index has learned of the batch, before anything is done with its verdicts
+    with monkeypatch.context() as broken:
+        broken.setattr(exact_dedup, "join_groups", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            verdicts()
+    assert index.rows.count() == 3
+    assert verdicts() == expected and verdicts() == expected
+    assert index.rows.count() == 3
+    # another batch knows them all
+    other = exact_dedup.deduplicate(docs_of(spark, rows), index, batch="third").collect()
+    assert not any(row["kept"] for row in other) and index.rows.count() == 3
+
+
+def test_two_batches_at_once_and_compaction(spark):
+    index = exact_dedup.DigestIndex.open(spark, shared_path(spark, "index-test"), "index_test_twice", buckets=3)
+    groups = spark.createDataFrame([("d1", 7, 1), ("d2", 8, 1)], "text_sha256 string, keep_id bigint, first_rows bigint")
+    index.append(groups, "left")
+    index.append(groups.withColumn("keep_id", F.lit(6).cast("bigint")), "right")
+    assert index.rows.count() == 4
+    assert sorted(tuple(row) for row in index.known(without="third").collect()) == [("d1", 6), ("d2", 6)]
+    small = index.compact(shared_path(spark, "index-test"), "index_test_small", 2)
+    assert sorted((row["text_sha256"], row["keep_id"], row["batch"]) for row in small.rows.collect()) == [("d1", 6, "right"), ("d2", 6, "right")]
+    # the number of buckets is the index's own
+    assert exact_dedup.DigestIndex.open(spark, small.path, "index_test_small_again", buckets=64).buckets == 2
+    small.drop()
+    assert not spark.catalog.tableExists("index_test_small")
+
+
 # --- url rules ------------------------------------------------------------------------------
 
 URLS = [
@@ -173,6 +211,34 @@ def test_shards_are_even_even_with_a_third_of_copies(spark, copies):
         assert max(map(len, homes.values())) == 1
 
 
+def test_equal_rows_are_divided_too(spark):
+    random.seed(5)
+    rows = [(i, "w" * random.randint(0, 400) + str(i)) for i in range(6000)] + [(None, "c" * 300)] * 3000
+    got = sharding.shard_documents(docs_of(spark, rows), 8).collect()
+    check_shards(got, [text for _, text in rows], 8)
+    sums = defaultdict(int)
+    for row in got:
+        sums[row["shard"]] += row["size"]
+    mean = sum(sums.values()) / 8
+    assert len(sums) == 8 and max(abs(size - mean) for size in sums.values()) < 0.03 * mean
+
+
+def test_sharding_query_against_its_table(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    rows = QUERIES["op9_sharding"](spark, folder).collect()
+    check_shards(rows, [row["text"] for row in docs], 16)
+    texts = {row["doc_id"]: (row["text"] or "").encode() for row in docs}
+    assert all((row["size"], row["text_crc32"]) == (len(texts[row["doc_id"]]) + 1, zlib.crc32(texts[row["doc_id"]])) for row in rows)
+    assert {(row["law"], row["grown_shard"]) for row in rows} == {("bytes", None)}
+    sums = defaultdict(int)
+    for row in rows:
+        sums[row["shard"]] += row["size"]
+    mean = sum(sums.values()) / 16
+    # no shard is farther from its share than its largest rows explain
+    assert len(sums) == 16 and max(abs(size - mean) for size in sums.values()) <= 0.05 * mean + max(row["size"] for row in rows)
+
+
 def test_ranges_subdivide_a_hot_text(spark):
     rows = sharding.measure(docs_of(spark, [(i, "same") for i in range(4000)]))
     plan = sharding.plan_shards(rows, 4)

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -163,3 +164,43 @@ def test_likeness_tells_edited_texts_from_others(spark):
     prints = [fingerprints.fingerprint(fingerprints.PrefixHash.of(t)) for t in (a, b, a[::-1], "")]
     assert fingerprints.likeness(prints[0], prints[1]) > 0.8 > 0.1 > fingerprints.likeness(prints[0], prints[2])
     assert fingerprints.likeness(prints[0], prints[3]) == 0 and fingerprints.likeness(prints[3], prints[3]) == 1
+
+
+def test_equal_rows_spread_over_ranges(spark):
+    rows = [(None, "one text that a third of all rows share")] * 2000 + [(i, f"text {i} " * 4) for i in range(2000)]
+    docs = docs_of(spark, rows)
+    dealt = fingerprints.with_next(docs).filter("is_next = 0").groupBy("range").count().collect()
+    assert sum(row["count"] for row in dealt) == 4000 and max(row["count"] for row in dealt) < 1000
+    got = [tuple(row) for row in fingerprints.compare_with_next(docs).collect()]
+    assert Counter(got) == Counter(plain_fingerprints(rows))
+
+
+def test_secret_query_against_the_stated_patterns(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = {row["doc_id"]: row for row in QUERIES["op10_secret_scan"](spark, folder).collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    assert len(rows) == len(docs) == 1000
+    order = {kind: at for at, kind in enumerate(("assign", "access", "hex"))}
+    for doc_id, text in docs:
+        row, base = rows[doc_id], sorted(plain_base(text or ""), key=lambda span: (span[1], order[span[0]]))
+        told = [":".join(map(str, span)) for span in base]
+        assert row["base_sha256"] == hashlib.sha256(",".join(told).encode()).hexdigest()
+        assert [row[f"n_{kind}"] for kind in order] == [sum(span[0] == kind for span in base) for kind in order]
+        listed = row["spans"].split(",") if row["spans"] else []
+        assert [span for span in listed if span.split(":")[0] in order] == told
+        starts = [int(span.split(":")[1]) for span in listed]
+        assert starts == sorted(starts) and all(0 <= int(span.split(":")[1]) < int(span.split(":")[2]) <= len(text) for span in listed)
+
+
+def test_very_many_spans_take_time_in_proportion():
+    import time
+
+    random.seed(8)
+    field = lambda: "token=" + "".join(random.choices("ABCDEFGHabcdefgh0123456789+/", k=40))
+    seconds = []
+    for count in (3000, 12_000):
+        text = " ".join(field() + " " + "".join(random.choices("ABCDEFGHabcdefgh0123456789+/", k=40)) for _ in range(count))
+        started = time.process_time()
+        assert len(secrets.find_spans(text, secrets.AllowList())) >= 2 * count * 0.9
+        seconds.append(time.process_time() - started)
+    assert seconds[1] < 8 * seconds[0]

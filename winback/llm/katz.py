@@ -1,60 +1,60 @@
-"""A bigram language model with Katz backoff.
+"""A bigram language model with Katz backoff over an open vocabulary.
 
-Tokens are words and one end per text. Training counts all of them over all training texts:
+Tokens are words and one end per text. Training counts all of them over all training texts, and every training word has its own
+pairs. A text starts after BEGIN_HASH. Words are told apart by 64-bit hashes, pairs by two of them. Tables:
 
-* ``order=1`` of the model's table: each word's count, its Good-Turing discounted chance and its logarithm. What the
+* ``order=1``: each word's count, its Good-Turing discounted chance, and the backoff weight alpha of what follows it. What the
   discounts leave is the chance of an unknown word.
-* ``order=2``: each pair's count, discounted chance given the first word, and by how much its logarithm exceeds that of backing
-  off. What the discounts of a context leave is shared by the words not seen after it, in proportion to their unigram
-  chance; the weight alpha(context) is computed from the exact sums, so chances add up to one.
+* ``order=2``: each pair's count. Its gain, by how much the logarithm of its discounted chance exceeds that of backing off, is made
+  when it is read.
+* ``contexts``: each context's count, alpha, and what its discounted counts are divided by. What the discounts of a context leave
+  is shared by the words not seen after it, in proportion to their unigram chance; alpha follows from the exact
+  sums, so chances add up to one.
 
-Every training word has its own pairs (``katz_open``). Only where a caller sets VOCABULARY above 0, pairs are kept over a closed vocabulary:
-words with at least that share of all tokens. Every other word, known or not, is then RARE in a pair; its own chance
-within RARE is its unigram chance. Chances are evaluated recursively: pair, else alpha(context) * unigram class, times chance within
-the class.
+Chances are evaluated recursively: pair, else alpha(context) times the word's chance. A word that no training text has is
+followed by anything at its unigram chance. Joins of pairs with their words and contexts broadcast the rows of busy keys
+(times above 1/PARTS of the pairs) and go by key for all others.
 
-Scoring needs for each word and pair its row of the tables. Those with at least CACHED of all tokens, again a bounded number, are
-broadcast. All others are asked for: tasks emit (text, key, times), which are joined with the tables by key and
-summed by text. No asked key has more than CACHED of the tokens, so this join has no hot keys.
+Scoring needs for each word and pair its row of the tables. Those with at least CACHED of all tokens, a bounded number, are
+broadcast. All others are asked for: in one pass over the texts a task emits what it knows of each text, and a row (text, context,
+word, times) for each question; these are joined with the tables by key and summed by text. No key that is asked for has more than
+CACHED of the tokens, so this join has no hot keys. Texts are told apart by a number of their row.
 
 Defined cases: a null text counts as empty and is an end alone; with no training text every word is unknown, and it and
 the end have chance 1; discounts that the counts of counts do not support (too few texts) are (r - 0.5) / r; a context whose discounts leave
-nothing gives its count one more, unseen, event; repeated rows are scored one by one and give equal scores; a null doc_id is an id
-like others; columns besides doc_id and text are not read. Words are told apart by 64-bit hashes.
+nothing gives its count one more, unseen, event; repeated rows are scored one by one; a null doc_id is an id
+like others; columns besides doc_id and text are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm.arrow import sliced_by_bytes
-from winback.llm.common import id_and_text, shared_path
+from winback.llm.arrow import sliced_by_bytes, small_batches
+from winback.llm.common import id_and_text, release, shared_path
 from winback.llm.words import word_hashes
 
-if TYPE_CHECKING:
-    from winback.llm import katz_open
-
-#: least share of all training tokens of a vocabulary word (0: every word); of a word or pair that is broadcast for scoring
-VOCABULARY = 0.0
+#: least share of all training tokens of a word or pair that is broadcast for scoring
 CACHED = 2.5e-7
 #: counts up to this are discounted
 DISCOUNTED = 5
 TEXT_BYTES = 8_000_000
 #: distinct keys a task holds before it hands its counts on
 HELD = 4_000_000
+#: a key with more than 1/PARTS of the pairs is broadcast
+PARTS = 200_000
 
-#: ids in pairs; vocabulary words follow in order of their hashes
-RARE, BEGIN, END, FIRST_WORD = 0, 1, 2, 3
 #: hash of the end token; no word is a line feed
 END_HASH = 0x9C0A5F1E3D7B2846
-PAIR = np.int64(1 << 32)
+#: hashes of the context of a text's first token, and of the context that asks for a word alone
+BEGIN_HASH = 0x2B7E151628AED2A6
+ALONE = 0x3C6EF372FE94F82B
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -63,28 +63,23 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words, np.cumsum(counts), np.uint64(END_HASH)).view(np.int64), counts + 1
 
 
-def _counting(name: str, keys_of):
-    """A mapInArrow function that counts the keys of all texts, combined within the task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
-            new, times = np.unique(keys_of(batch.column("text")), return_counts=True)
-            merged, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, times]), len(merged)).astype(np.int64)
-            keys = merged
-            if len(keys) > HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=[name, "count"])
-                keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=[name, "count"])
-
-    return run
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of all words, combined within the task."""
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def told() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "count"])
 
-def counted(docs: DataFrame, name: str, keys_of) -> DataFrame:
-    rows = docs.select(*id_and_text()).mapInArrow(_counting(name, keys_of), f"{name} bigint, count bigint")
-    return rows.groupBy(name).agg(F.sum("count").alias("count"))
+    for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
+        new, times = np.unique(tokens_of(batch.column("text"))[0], return_counts=True)
+        merged, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([counts, times]), len(merged)).astype(np.int64)
+        keys = merged
+        if len(keys) > HELD:
+            yield told()
+            keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(keys):
+        yield told()
 
 
 def discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
@@ -99,10 +94,6 @@ def discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
     return factors
 
 
-def discounted(counts: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    return counts * factors[np.minimum(counts, DISCOUNTED + 1)]
-
-
 def _counts_of_counts(table: DataFrame) -> dict[int, int]:
     rows = table.filter(F.col("count") <= DISCOUNTED + 1).groupBy("count").agg(F.count(F.lit(1)).alias("n")).collect()
     return {row["count"]: row["n"] for row in rows}
@@ -122,223 +113,216 @@ def looked_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, (keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool))
 
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """Sorted hashes of the vocabulary; chance of each id (RARE, BEGIN, END, words) as a class."""
-
-    words: np.ndarray
-    chance: np.ndarray
-
-    def pairs(self, tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pair keys (context id * 2^32 + id) of all tokens, and their ids."""
-        at, there = looked_up(self.words, tokens)
-        ids = np.where(there, at + FIRST_WORD, RARE)
-        ids[tokens == np.uint64(END_HASH).view(np.int64)] = END
-        contexts = np.roll(ids, 1)
-        contexts[np.cumsum(counts) - counts] = BEGIN
-        return contexts * PAIR + ids, ids
-
-
 @dataclass(frozen=True)
 class Katz:
-    """A trained model: totals, bounded arrays, and the paths of its partitioned tables."""
+    """A trained model: totals, bounded arrays of the broadcast rows (sorted by key), and the path of the tables."""
 
     path: str
     tokens: int
     distinct: int
-    vocabulary: Vocabulary
-    alpha: np.ndarray  # by context id
-    unknown: float  # chance of an unknown word
-    # broadcast rows of the tables, sorted by key
+    unknown: float
+    begin_alpha: float
+    least: float  # counts from here on are broadcast
+    pairs: int
+    factors: np.ndarray
     word_keys: np.ndarray
     word_counts: np.ndarray
     word_chances: np.ndarray
-    pair_keys: np.ndarray
+    word_alphas: np.ndarray
+    pair_keys: np.ndarray  # contexts and words mixed
+    pair_contexts: np.ndarray
+    pair_words: np.ndarray
     pair_gains: np.ndarray
 
 
-def train(docs: DataFrame) -> Katz | katz_open.OpenKatz:
-    from winback.llm import katz_open
+def pairs_of(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The context of each token."""
+    contexts = np.roll(tokens, 1)
+    contexts[np.cumsum(counts) - counts] = BEGIN_HASH
+    return contexts
+
+
+def mixed(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """One number for a pair; only a place to look at, both parts are compared."""
+    with np.errstate(over="ignore"):
+        value = contexts.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((value ^ (value >> np.uint64(29))) + words.view(np.uint64)).view(np.int64)
+
+
+def _tallied(**columns: np.ndarray) -> pa.Table:
+    """Distinct rows and their number, ``count``."""
+    names = list(columns)
+    return pa.table(columns).group_by(names, use_threads=False).aggregate([([], "count_all")]).select([*names, "count_all"]).rename_columns([*names, "count"])
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
+        tokens, counts = tokens_of(batch.column("text"))
+        yield from _tallied(context=pairs_of(tokens, counts), word=tokens).to_batches()
+
+
+def discounted(count: Column, factors: np.ndarray) -> Column:
+    return count * F.element_at(F.array(*[F.lit(float(f)) for f in factors[1:]]), F.least(count, F.lit(DISCOUNTED + 1)).cast("int"))
+
 
+def _met(rows: DataFrame, groups: DataFrame, key: str, size: int) -> DataFrame:
+    """``rows`` (at most ``size``) with their row of ``groups``, whose ``times`` is at least the key's number of rows."""
+    busy = F.col("times") > size / PARTS
+    hot, rest = F.broadcast(groups.filter(busy).drop("times")), groups.filter(~busy).drop("times")
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rest, key))
+
+
+def _chances(pairs: DataFrame, words: DataFrame, size: int, factors: np.ndarray) -> DataFrame:
+    """``pairs`` with the word's chance and the discounted count."""
+    of_word = words.select(F.col("key").alias("word"), F.col("count").alias("times"), "chance")
+    return _met(pairs, of_word, "word", size).withColumn("mass", discounted(F.col("count"), factors))
+
+
+def gained(spark: SparkSession, path: str, which: Column, size: int, factors: np.ndarray) -> DataFrame:
+    """context, word and gain of some pairs."""
+    pairs, words, contexts = (spark.read.parquet(f"{path}/{name}") for name in ("order=2", "order=1", "contexts"))
+    found = _met(_chances(pairs.filter(which), words, size, factors), contexts, "context", size)
+    gain = _log10(F.col("mass") / F.col("scale")) - _log10(F.col("alpha")) - _log10(F.col("chance"))
+    return found.select("context", "word", gain.alias("gain"))
+
+
+def train(docs: DataFrame) -> Katz:
+    """Count words and pairs of all texts, and derive chances and backoff weights."""
     spark, path = docs.sparkSession, shared_path(docs.sparkSession, "katz")
+    texts = small_batches(docs).select(*id_and_text())
     # order 1: counts, then chances from the counts of counts
-    raw = f"{path}/counts1"
-    counted(docs, "key", lambda texts: tokens_of(texts)[0]).write.parquet(raw)
-    words = spark.read.parquet(raw)
+    raw = texts.mapInArrow(_count_words, "key bigint, count bigint").groupBy("key").agg(F.sum("count").alias("count"))
+    raw.write.parquet(f"{path}/counts")
+    words = spark.read.parquet(f"{path}/counts")
     tokens, distinct = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
     factors = discounts(_counts_of_counts(words))
-    weight = F.col("count") * F.element_at(F.array(*[F.lit(float(f)) for f in factors[1:]]), F.least("count", F.lit(DISCOUNTED + 1)).cast("int"))
-    mass = words.agg(F.coalesce(F.sum(weight), F.lit(0.0))).first()[0]
+    mass = words.agg(F.coalesce(F.sum(discounted(F.col("count"), factors)), F.lit(0.0))).first()[0]
     total = float(tokens) if mass < tokens - 1e-9 else float(tokens + 1)
     unknown = 1 - mass / total if tokens else 1.0
-    words = words.withColumn("chance", weight / F.lit(total or 1.0))
-    if not VOCABULARY:
-        return katz_open.train(docs, path, words, tokens, distinct, unknown)
-    words.write.parquet(f"{path}/order=1")
-    words = spark.read.parquet(f"{path}/order=1")
-
-    end = int(np.uint64(END_HASH).view(np.int64))
-    known, _, known_chance = _numbers(words.filter((F.col("count") >= max(VOCABULARY * tokens, 1)) & (F.col("key") != end)))
-    end_chance = (words.filter(F.col("key") == end).agg(F.sum("chance")).first()[0] or 0.0) if tokens else 0.0
-    chance = np.concatenate([[0.0, 0.0, end_chance if tokens else 1.0], known_chance])
-    chance[RARE] = max(1 - chance.sum(), unknown) if tokens else 1.0
-    vocabulary = Vocabulary(known, chance)
+    words = words.withColumn("chance", discounted(F.col("count"), factors) / F.lit(total or 1.0))
 
     # order 2
-    shared = spark.sparkContext.broadcast(vocabulary)
-
-    def pair_keys(texts: pa.Array) -> np.ndarray:
-        return shared.value.pairs(*tokens_of(texts))[0]
-
-    raw = f"{path}/counts2"
-    counted(docs, "key", pair_keys).write.parquet(raw)
-    pairs = spark.read.parquet(raw)
-    pair_factors = discounts(_counts_of_counts(pairs))
-    alpha, scale = _backoff(pairs, shared, pair_factors)
-    model = spark.sparkContext.broadcast((vocabulary.chance, alpha, scale, pair_factors))
-
-    def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        class_chance, back, divide, factors_ = model.value
-        for batch in batches:
-            key, count = batch.column("key").to_numpy(), batch.column("count").to_numpy()
-            context, word = key // PAIR, key % PAIR
-            pair_chance = discounted(count, factors_) / divide[context]
-            gain = np.log10(pair_chance) - _log10(back[context]) - _log10(class_chance[word])
-            columns = [batch.column("key"), batch.column("count"), pa.array(pair_chance), pa.array(gain)]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "count", "chance", "gain"])
-
-    pairs.mapInArrow(gains, "key bigint, count bigint, chance double, gain double").write.parquet(f"{path}/order=2")
+    told = texts.mapInArrow(_count_pairs, "context bigint, word bigint, count bigint")
+    told.groupBy("context", "word").agg(F.sum("count").alias("count")).write.parquet(f"{path}/order=2")
+    release()
     pairs = spark.read.parquet(f"{path}/order=2")
-    hot_words = _numbers(words.filter(F.col("count") >= max(CACHED * tokens, 1)))
-    hot_pairs = _numbers(pairs.filter(F.col("count") >= max(CACHED * tokens, 1)).select("key", "gain"))
-    return Katz(path, int(tokens), int(distinct), vocabulary, alpha, unknown, *hot_words, *hot_pairs)
-
-
-def _log10(values: np.ndarray) -> np.ndarray:
+    factors = discounts(_counts_of_counts(pairs))
+    size = pairs.count()
+
+    # what the discounts of a context leave is shared by the words not seen after it
+    sums = _chances(pairs, words, size, factors).groupBy("context")
+    sums = sums.agg(F.sum("count").alias("times"), F.sum("mass").alias("mass"), F.sum("chance").alias("lower"))
+    divide = F.when(F.col("times") - F.col("mass") > 1e-9, F.col("times")).otherwise(F.col("times") + 1).cast("double")
+    unseen = 1 - F.col("lower")
+    full = unseen <= 1e-12  # every word was seen: nothing to share
+    sums.select(
+        "context",
+        "times",
+        F.when(full, F.col("mass")).otherwise(divide).alias("scale"),
+        F.when(full, 0.0).otherwise((divide - F.col("mass")) / divide / unseen).alias("alpha"),
+    ).write.parquet(f"{path}/contexts")
+    release()
+    alphas = spark.read.parquet(f"{path}/contexts").select(F.col("context").alias("key"), "alpha")
+    words.join(alphas, "key", "left").select("key", "count", "chance", F.coalesce("alpha", F.lit(1.0)).alias("alpha")).write.parquet(f"{path}/order=1")
+    release(spark.read.parquet(f"{path}/counts"))
+
+    least = max(CACHED * tokens, 1)
+    hot_words = _numbers(spark.read.parquet(f"{path}/order=1").filter(F.col("count") >= least))
+    context, word, gains = _numbers(gained(spark, path, F.col("count") >= least, size, factors))
+    release()
+    keys = mixed(context, word)
+    order = np.argsort(keys, kind="stable")
+    begin = alphas.filter(F.col("key") == BEGIN_HASH).first()
+    begin_alpha = begin["alpha"] if begin else 1.0
+    hot_pairs = (keys[order], context[order], word[order], gains[order])
+    return Katz(path, int(tokens), int(distinct), unknown, begin_alpha, least, size, factors, *hot_words, *hot_pairs)
+
+
+def _log10(value: Column) -> Column:
+    return F.log10(F.greatest(value, F.lit(1e-300)))
+
+
+def _logs(values: np.ndarray) -> np.ndarray:
     """Logarithm with a floor for chances of 0, which only stand where a pair's own chance replaces them."""
     return np.log10(np.maximum(values, 1e-300))
 
 
-def _backoff(pairs: DataFrame, vocabulary, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Backoff weight of each context, and what its discounted counts are divided by."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        class_chance = vocabulary.value.chance
-        sums = np.zeros((3, len(class_chance)))
-        for batch in batches:
-            key, count = batch.column("key").to_numpy(), batch.column("count").to_numpy()
-            context, word = key // PAIR, key % PAIR
-            for row, values in zip(sums, (count, discounted(count, factors), class_chance[word]), strict=True):
-                row += np.bincount(context, values, len(class_chance))
-        seen = np.flatnonzero(sums[0])
-        yield pa.RecordBatch.from_arrays([pa.array(seen), *[pa.array(row[seen]) for row in sums]], names=["context", "count", "mass", "lower"])
-
-    parts = pairs.mapInArrow(run, "context bigint, count double, mass double, lower double")
-    totals = parts.groupBy("context").agg(*[F.sum(name).alias(name) for name in ("count", "mass", "lower")])
-    context, count, mass, lower = _numbers(totals)  # at most one row per vocabulary word
-    size = len(vocabulary.value.chance)
-    alpha, scale = np.ones(size), np.ones(size)
-    left = count - mass
-    divide = np.where(left > 1e-9, count, count + 1)
-    unseen = 1 - lower
-    full = unseen <= 1e-12  # every word was seen: nothing to share
-    scale[context] = np.where(full, mass, divide)
-    alpha[context] = np.where(full, 0, (divide - mass) / divide / np.where(full, 1, unseen))
-    return alpha, scale
-
-
-SCORES = (
-    "doc_id bigint, text_key bigint, key bigint, texts bigint, n_tokens bigint, n_known double, base double, score double, times double"
-)
+TOLD = "row bigint, context bigint, word bigint, times bigint, doc_id bigint, n_tokens bigint, n_known double, told_base double, score double"
 
 
 def _ask(model) -> object:
-    """A mapInArrow function: a row of local sums for each text, and rows of words and pairs to be asked for."""
+    """A mapInArrow function: a row of what is known of each text, and rows of words and pairs to be asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        katz: Katz = model.value
-        class_log, alpha_log = _log10(katz.vocabulary.chance), _log10(katz.alpha)
-        rare_chance = katz.vocabulary.chance[RARE]
-        unknown_log = _log10(np.array([katz.unknown / rare_chance]))[0]
+        kept: Katz = model.value
+        names = [part.split()[0] for part in TOLD.split(", ")]
+        word_logs = _logs(kept.word_chances) + _logs(kept.word_alphas)
+        count_logs = np.log10(kept.word_counts + 1.0)
+        begin_log, unknown_log = _logs(np.array([kept.begin_alpha, kept.unknown]))
         for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
             tokens, counts = tokens_of(batch.column("text"))
             owner = np.repeat(np.arange(len(counts)), counts)
-            pairs, ids = katz.vocabulary.pairs(tokens, counts)
-            score = alpha_log[pairs // PAIR] + class_log[ids]
-            at, hot = looked_up(katz.pair_keys, pairs)
-            score[hot] += katz.pair_gains[at[hot]]
-            word_at, cached = looked_up(katz.word_keys, tokens)
-            base = np.zeros(len(tokens))
-            base[cached] = np.log10(katz.word_counts[word_at[cached]] + 1.0)
-            rare = ids == RARE
-            score[rare & ~cached] += unknown_log
-            within = rare & cached
-            score[within] += _log10(katz.word_chances[word_at[within]] / rare_chance)
-            ids_, keys = batch.column("doc_id"), pa.array([xxhash.xxh64_intdigest(text) for text in batch.column("text").to_pylist()], pa.uint64()).view(pa.int64())
+            contexts = pairs_of(tokens, counts)
+            score, base = np.full(len(tokens), unknown_log), np.zeros(len(tokens))
+            at, cached = looked_up(kept.word_keys, tokens)
+            score[cached], base[cached] = word_logs[at[cached]], count_logs[at[cached]]
+            at, hot = looked_up(kept.pair_keys, mixed(contexts, tokens))
+            hot[hot] = (kept.pair_contexts[at[hot]] == contexts[hot]) & (kept.pair_words[at[hot]] == tokens[hot])
+            score[hot] += kept.pair_gains[at[hot]]
             sums = [np.bincount(owner, values, len(counts)) for values in (cached.astype(float), base, score)]
-            one, none = pa.array(np.ones(len(counts), np.int64)), pa.nulls(len(counts), pa.int64())
-            yield _row(ids_, keys, none, one, pa.array(counts), *map(pa.array, sums), pa.nulls(len(counts), pa.float64()))
+            sums[2] += begin_log
+            row = batch.column("row")
+            none = pa.nulls(len(counts), pa.int64())
+            yield pa.RecordBatch.from_arrays([row, none, none, none, batch.column("doc_id"), pa.array(counts), *map(pa.array, sums)], names=names)
             # what is asked for, once per text with its number of times
-            asked = np.concatenate([pairs[~hot], tokens[rare & ~cached]])
-            whose = np.concatenate([owner[~hot], owner[rare & ~cached]])
-            order = np.lexsort((asked, whose))
-            asked, whose = asked[order], whose[order]
-            starts = np.flatnonzero(np.concatenate([[True], (asked[1:] != asked[:-1]) | (whose[1:] != whose[:-1])])[: len(asked)])
-            times = np.diff(np.append(starts, len(asked))).astype(float)
-            text = pa.array(whose[starts])
-            nothing = [pa.nulls(len(starts), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())]
-            yield _row(ids_.take(text), keys.take(text), pa.array(asked[starts]), *nothing, pa.array(times))
+            alone = ~cached
+            asked = _tallied(
+                whose=np.concatenate([owner[~hot], owner[alone]]),
+                context=np.concatenate([contexts[~hot], np.full(alone.sum(), ALONE, np.int64)]),
+                word=np.concatenate([tokens[~hot], tokens[alone]]),
+            ).combine_chunks()
+            context, word, times, whose = (pa.concat_arrays(asked.column(name).chunks or [pa.array([], pa.int64())]) for name in ("context", "word", "count", "whose"))
+            nothing = [pa.nulls(len(whose), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())]
+            yield pa.RecordBatch.from_arrays([row.take(whose), context, word, times, *nothing], names=names)
 
     return run
 
 
-def _row(*columns: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(list(columns), names=[part.split()[0] for part in SCORES.split(", ")])
-
-
-def _told_and_answered(docs: DataFrame, katz: Katz) -> tuple[DataFrame, DataFrame]:
-    """Local sums of the texts, and the sums of what they asked for."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(katz)
-    told = docs.select(*id_and_text()).mapInArrow(_ask(model), SCORES)
-    local = told.filter("key is null").drop("key", "times")
-    asked = told.filter("key is not null").select("doc_id", "text_key", "key", F.col("times").cast("int").alias("times"))
-    rare_chance = F.lit(float(katz.vocabulary.chance[RARE]))
-    unknown = F.lit(float(katz.unknown))
-    words = spark.read.parquet(f"{katz.path}/order=1").filter(F.col("count") < max(CACHED * katz.tokens, 1))
-    # a rare word was scored as unknown
-    answers = words.select(
-        "key", F.lit(1.0).alias("known"), F.log10(F.col("count") + 1).alias("base"), F.log10(F.col("chance") / unknown).alias("gain")
-    ).unionByName(
-        spark.read.parquet(f"{katz.path}/order=2")
-        .filter(F.col("count") < max(CACHED * katz.tokens, 1))
-        .select("key", F.lit(0.0).alias("known"), F.lit(0.0).alias("base"), "gain")
-    )
-    answered = asked.join(answers, "key").groupBy("doc_id", "text_key").agg(
-        F.sum(F.col("times") * F.col("known")).alias("n_known"),
-        F.sum(F.col("times") * F.col("base")).alias("base"),
-        F.sum(F.col("times") * F.col("gain")).alias("score"),
+def answers(spark: SparkSession, model: Katz) -> DataFrame:
+    """context, word, and what the rows of the tables that are not broadcast add: known, base and gain."""
+    rare = F.col("count") < model.least
+    rare_words = spark.read.parquet(f"{model.path}/order=1").filter(rare)
+    # a word that is not broadcast was scored as unknown
+    gain = _log10(F.col("chance")) + _log10(F.col("alpha")) - _log10(F.lit(float(model.unknown)))
+    of_words = rare_words.select(
+        F.lit(ALONE).cast("bigint").alias("context"), F.col("key").alias("word"), F.lit(1.0).alias("known"), F.log10(F.col("count") + 1).alias("base"), gain.alias("gain")
     )
-    return local, answered
+    of_pairs = gained(spark, model.path, rare, model.pairs, model.factors)
+    return of_words.unionByName(of_pairs.select("context", "word", F.lit(0.0).alias("known"), F.lit(0.0).alias("base"), "gain"))
 
 
-def score(docs: DataFrame, katz: Katz | katz_open.OpenKatz) -> DataFrame:
+def score(docs: DataFrame, model: Katz) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 chances) of every document."""
-    from winback.llm import katz_open
-
-    ask = _told_and_answered if isinstance(katz, Katz) else katz_open.told_and_answered
-    local, answered = ask(docs, katz)
-    sums = local.unionByName(answered, allowMissingColumns=True).groupBy("doc_id", "text_key")
-    sums = sums.agg(*[F.sum(name).alias(name) for name in ("texts", "n_tokens", "n_known", "base", "score")])
-    each = sums.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("texts"))).alias("copy"), *[(F.col(name) / F.col("texts")).alias(name) for name in ("n_tokens", "n_known", "base", "score")])
-    below = np.log10(katz.tokens + katz.distinct + 1)
-    return each.select(
+    spark = docs.sparkSession
+    rows = small_batches(docs).select(*id_and_text()).withColumn("row", F.monotonically_increasing_id())
+    told = rows.mapInArrow(_ask(spark.sparkContext.broadcast(model)), TOLD)
+    # a text's own row asks nothing; its number as key spreads these rows, and no table holds such a pair
+    asked = told.withColumns({"context": F.coalesce("context", "row"), "word": F.coalesce("word", F.xxhash64("row"))})
+    found = asked.join(answers(spark, model), ["context", "word"], "left")
+    times = F.coalesce(F.col("times"), F.lit(0))
+
+    def total(own: str, answered: str):
+        return F.sum(F.coalesce(own, F.lit(0.0)) + times * F.coalesce(answered, F.lit(0.0))).alias(own)
+
+    sums = found.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), total("n_known", "known"), total("told_base", "base"), total("score", "gain")
+    )
+    below = np.log10(model.tokens + model.distinct + 1)
+    return sums.select(
         "doc_id",
-        F.round("n_tokens").cast("bigint").alias("n_tokens"),
+        "n_tokens",
         F.round("n_known").cast("bigint").alias("n_known"),
-        F.lit(katz.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") - F.col("n_tokens") * F.lit(float(below))).alias("base_score"),
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        (F.col("told_base") - F.col("n_tokens") * F.lit(float(below))).alias("base_score"),
         "score",
     )
