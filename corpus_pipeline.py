@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from winback.llm import exact_dedup, mixing, near_dedup, packing, toxicity
-from winback.llm.common import stored, table
+from winback.llm.common import release, stored, table
 from winback.llm.queries import tokenizer_path
 
 #: shares of tokens for the domains high, low and toxic; the last, which the first stage removes, stays as it is
@@ -23,7 +23,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
-    judged = exact_dedup.deduplicate(docs, exact_dedup.DigestIndex.scratch(spark))
+    index = exact_dedup.DigestIndex.scratch(spark)
+    judged = exact_dedup.deduplicate(docs, index)
+    index.drop()
     return exact_dedup.keep_first(docs, judged)
 
 
@@ -52,10 +54,18 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written as parquet and read by the next."""
+    """All stages over ``documents``; what a stage returns is written as parquet and read by the next.
+
+    A null text counts as empty in every stage; rows without id, repeated rows, clashing ids and further columns are
+    treated as each operator states; an empty table gives no rows. What a stage has written goes when the next has ended.
+    """
     docs = table(spark, sf_dir, "documents")
+    written = None
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if written is not None:
+            release(written)
+        written = docs
     return docs
 
 
