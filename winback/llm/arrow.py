@@ -53,6 +53,19 @@ def give_back_memory() -> None:
         pass
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidied(run: Run) -> Run:
+    """``run`` of mapInArrow, after which the worker gives back what it does not use; it waits for other tasks beside a JVM."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back_memory()
+
+    return inner
+
+
 def kept_by_worker(key: Hashable, make: Callable[[], T]) -> T:
     """What a Python worker keeps between its tasks, made on first use; only one thing, the last asked for.
 
@@ -94,7 +107,7 @@ def map_texts(docs: DataFrame, schema: str, work: Callable[[list, list], dict[st
             columns = work(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(columns[field.name], field.type) for field in arrow], schema=arrow)
 
-    return small_batches(docs).select(*id_and_text()).mapInArrow(run, struct)
+    return small_batches(docs).select(*id_and_text()).mapInArrow(tidied(run), struct)
 
 
 def take_rows(docs: DataFrame, choose: Callable[..., np.ndarray], also: str | None = None) -> DataFrame:
@@ -111,4 +124,4 @@ def take_rows(docs: DataFrame, choose: Callable[..., np.ndarray], also: str | No
             more = [batch.column(at).to_pylist() for at in more_at]
             yield batch.take(pa.array(choose(batch.column(id_at).to_pylist(), texts, *more), pa.int64()))
 
-    return small_batches(docs).mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(tidied(run), docs.schema)

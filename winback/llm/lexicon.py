@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from winback.llm.arrow import sliced, small_batches
+from winback.llm.arrow import sliced, small_batches, tidied
 from winback.llm.common import id_and_text, stored
 
 #: runs of letters
@@ -77,7 +77,7 @@ def per_text(sample: DataFrame, schema: str, work: Callable[[list, list, list],
             columns = work(*(batch.column(name).to_pylist() for name in ("doc_id", "label", "text")))
             yield pa.RecordBatch.from_arrays([pa.array(columns[field.name], field.type) for field in arrow], schema=arrow)
 
-    return small_batches(sample).mapInArrow(run, struct)
+    return small_batches(sample).mapInArrow(tidied(run), struct)
 
 
 MULTIPLIERS = np.array([[2_654_435_761], [2_246_822_519], [3_266_489_917], [668_265_263]], np.uint64)
@@ -132,7 +132,7 @@ def texts_with_features(sample: DataFrame, words: Words, classes: int) -> tuple[
         columns = [np.append(label, np.arange(classes)), np.append(bucket, np.full(classes, BUCKETS)), np.append(seen[label, bucket], texts)]
         yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["label", "bucket", "texts"])
 
-    counted = small_batches(sample).mapInArrow(run, "label bigint, bucket bigint, texts bigint")
+    counted = small_batches(sample).mapInArrow(tidied(run), "label bigint, bucket bigint, texts bigint")
     table = np.zeros((classes, BUCKETS + 1))
     for row in counted.groupBy("label", "bucket").agg(F.sum("texts").alias("texts")).collect():  # a row per class and bucket at most
         table[row["label"], row["bucket"]] = row["texts"]

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from winback.llm.arrow import sliced_by_bytes
+from winback.llm.arrow import sliced_by_bytes, tidied
 from winback.llm.common import id_and_text, join_groups, stored, text_or_empty
 from winback.llm.words import word_hashes
 
@@ -130,7 +130,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 names=["doc_id", "text_key", "n_shingles", "set_id", "signature"],
             )
 
-    return docs.select(*id_and_text()).withColumn("text_key", F.xxhash64("text")).mapInArrow(run, SKETCH)
+    return docs.select(*id_and_text()).withColumn("text_key", F.xxhash64("text")).mapInArrow(tidied(run), SKETCH)
 
 
 # --- comparisons ----------------------------------------------------------------------------
@@ -176,7 +176,7 @@ def survivors(pairs: DataFrame, classes: DataFrame, limit: float) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(found))
 
     joined = pairs.join(sides[1], "b").join(sides[0], "a").select("a", "b", "signature_a", "signature_b")
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    return joined.mapInArrow(tidied(run), "a bigint, b bigint")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
@@ -202,7 +202,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
                 yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     joined = pairs.join(sides[1], "b").join(sides[0], "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    return joined.mapInArrow(tidied(run), "a bigint, b bigint")
 
 
 # --- groups ---------------------------------------------------------------------------------

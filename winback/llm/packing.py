@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from winback.llm.arrow import kept_by_worker, sliced, sliced_by_bytes, small_batches
+from winback.llm.arrow import give_back_memory, kept_by_worker, sliced, sliced_by_bytes, small_batches, tidied
 from winback.llm.common import id_and_text, stored
 
 CAPACITY = 1024
@@ -69,8 +69,8 @@ class Encoder:
 
     JOINED = 1000
     #: words and ids remembered, 32 bytes a word and 4 an id; beyond either all are forgotten
-    REMEMBERED = 1_500_000
-    REMEMBERED_IDS = 8_000_000
+    REMEMBERED = 1_000_000
+    REMEMBERED_IDS = 6_000_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -204,6 +204,8 @@ def tokenise(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
         encoder = kept_by_worker(("encoder", tokenizer), lambda: Encoder(tokenizer))
         for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
             ids, counts = encoder.texts(batch.column("text"))
+            # arrays that grew were copied; their old places would stay with the worker
+            give_back_memory()
             flat = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             document, number, start, length = cut(counts + 1, capacity)
             # pieces lie one after the other
@@ -216,7 +218,7 @@ def tokenise(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int64))))
             yield pa.RecordBatch.from_arrays([column.cast(field.type) for column, field in zip(columns, arrow, strict=True)], schema=arrow)
 
-    return small_batches(docs).select(*id_and_text()).mapInArrow(run, schema)
+    return small_batches(docs).select(*id_and_text()).mapInArrow(tidied(run), schema)
 
 
 # --- the plan -------------------------------------------------------------------------------
