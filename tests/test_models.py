@@ -184,12 +184,14 @@ def test_confusion_matrix(spark, predictions):
 
 
 def test_roc_points(predictions):
-    points = sorted((row["fpr"], row["tpr"]) for row in evaluate.roc_points(predictions).collect())
     third = 1 / 3
-    expected = [(0, 0), (0, third), (third, 2 * third), (third, 1), (2 * third, 1), (1, 1)]
-    assert np.allclose(points, expected)
-    area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:], strict=False))
-    assert area == pytest.approx(0.8333333333)
+    every = [(0, 0), (0, third), (third, 2 * third), (third, 1), (2 * third, 1), (1, 1)]
+    # the point between two equal steps to the right is left out
+    for inner, expected in ((True, every), (False, [*every[:4], every[5]])):
+        points = sorted((row["fpr"], row["tpr"]) for row in evaluate.roc_points(predictions, inner=inner).collect())
+        assert np.allclose(points, expected)
+        area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:], strict=False))
+        assert area == pytest.approx(0.8333333333)
 
 
 def test_roc_chart(predictions):

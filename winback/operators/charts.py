@@ -149,8 +149,9 @@ def confusion_matrix_table(y: DataFrame, actual: str = TARGET, predicted: str =
 
 
 def roc_curve_table(models: Mapping[str, PipelineModel], test: DataFrame, score_steps: int | None = None) -> DataFrame:
-    """ROC chart of fitted models on the test part."""
-    return roc_chart(stack_predictions(models, test), score_steps)
+    """ROC chart of fitted models on the test part; a model that gives no probabilities has no curve."""
+    drawn = {name: model for name, model in models.items() if "probability" in model.transform(test.limit(0)).columns}
+    return roc_chart(stack_predictions(drawn, test), score_steps)
 
 
 def coefficient_chart(coefficients: DataFrame, top_n: int = 15) -> DataFrame:

@@ -249,5 +249,6 @@ class NewtonBooster:
         gain[(left[..., 1] < self.least_curvature) | (right[..., 1] < self.least_curvature)] = -np.inf
         if not gain.size or gain.max() <= 1e-9:
             return None
-        feature, cut = np.unravel_index(gain.argmax(), gain.shape)
+        # of gains that differ by rounding alone the first feature's first cut counts
+        feature, cut = np.unravel_index(np.argmax(gain >= gain.max() * (1 - 1e-9)), gain.shape)
         return int(feature), int(cut), (float(left[feature, cut, 0]), float(left[feature, cut, 1]))

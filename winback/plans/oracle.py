@@ -501,7 +501,9 @@ sides AS (
   SELECT feature, v, 0.5 * (lq - lp) AS lg, 0.25 * (lq + lp) AS lh, 0.5 * (rq - rp) AS rg, 0.25 * (rq + rp) AS rh FROM cuts),
 gains AS (
   SELECT *, lg * lg / (lh + 1) + rg * rg / (rh + 1) AS gain FROM sides WHERE lh >= 1 AND rh >= 1),
-best AS (SELECT * FROM gains ORDER BY gain DESC, v LIMIT 1)""",
+best AS (SELECT * FROM gains ORDER BY round(gain, 9) DESC, list_position(["""
+            + ", ".join(f"'scaled_{name}'" for name in FEATURES)
+            + """], feature), v LIMIT 1)""",
         )
         + """SELECT replace(feature, 'scaled_', '') AS feature, round(v, 6) AS cut, round(-lg / (lh + 1), 6) AS left_leaf,
   round(-rg / (rh + 1), 6) AS right_leaf FROM best""",
