@@ -35,6 +35,10 @@ HEADLINE = [
     "churn_by_spend_service",
     "feature_drift_psi",
     "delivery_windows",
+    "features_from_csv",
+    "tree_stumps",
+    "exported_leads",
+    "churn_run_leads",
 ]
 
 
