@@ -126,7 +126,10 @@ def test_chances_add_up_to_one(spark):
     assert sum(words.values()) + model.unknown == pytest.approx(1)
     alphas = {row["context"]: row["alpha"] for row in spark.read.parquet(f"{model.path}/contexts").collect()}
     seen = {context: {} for context in alphas}
-    for row in katz.gained(spark, model.path, katz.F.lit(True), model.pairs, model.factors).collect():
+    several = {row["place"]: row["context"] for row in model.places.table(spark).collect()}
+    assert len(several) > len(model.places.contexts) > 10
+    for found in katz.gained(spark, model, katz.F.lit(True)).collect():
+        row = {**found.asDict(), "context": several.get(found["place"], found["place"])}
         # a gain is what the pair's logarithm is above that of backing off
         seen[row["context"]][row["word"]] = 10 ** row["gain"] * max(alphas[row["context"]], 1e-300) * words[row["word"]]
     assert len(seen) > 100
@@ -160,7 +163,8 @@ def test_query_beats_the_base_on_held_out_texts(spark):
 @pytest.mark.parametrize("cached", [2.5e-7, 0.004, 0.0009, 2.0])
 def test_every_word_has_its_own_pairs(spark, monkeypatch, cached):
     monkeypatch.setattr(katz, "CACHED", cached)
-    monkeypatch.setattr("winback.llm.katz.PARTS", 50)
+    monkeypatch.setattr("winback.llm.katz.SPREAD", 50)
+    monkeypatch.setattr("winback.llm.katz.HELD", 500)
     # w0 makes every other word rarer than a share of 2e-5; "seldom pair" still is a pair
     train = [*texts(60, 1), "w0 " * 150_000, "seldom pair", "seldom pair w3"]
     model = katz.train(docs_of(spark, enumerate(train)))

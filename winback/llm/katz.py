@@ -5,20 +5,23 @@ pairs. A text starts after BEGIN_HASH. Words are told apart by 64-bit hashes, pa
 
 * ``order=1``: each word's count, its Good-Turing discounted chance, and the backoff weight alpha of what follows it. What the
   discounts leave is the chance of an unknown word.
-* ``order=2``: each pair's count. Its gain, by how much the logarithm of its discounted chance exceeds that of backing off, is made
-  when it is read.
-* ``contexts``: each context's count, alpha, and what its discounted counts are divided by. What the discounts of a context leave
+* ``order=2``: each pair's count, bucketed by the place of its context. A context has one place, or several, among which its words
+  are dealt, if it has more than 1/SPREAD of all tokens; so no bucket holds a busy context, and all that is known of a context
+  meets its pairs without moving them. A pair's gain, by how much the logarithm of its discounted chance exceeds that of backing
+  off, is made when it is read.
+* ``contexts``: each context's alpha, and what its discounted counts are divided by. What the discounts of a context leave
   is shared by the words not seen after it, in proportion to their unigram chance; alpha follows from the exact
   sums, so chances add up to one.
 
 Chances are evaluated recursively: pair, else alpha(context) times the word's chance. A word that no training text has is
-followed by anything at its unigram chance. Joins of pairs with their words and contexts broadcast the rows of busy keys
-(times above 1/PARTS of the pairs) and go by key for all others.
+followed by anything at its unigram chance. Words with at least CACHED of all tokens, a bounded number, are broadcast to the tasks
+that count pairs, which write the word's count beside the pair; pairs of other words get their chance through a join by word.
 
-Scoring needs for each word and pair its row of the tables. Those with at least CACHED of all tokens, a bounded number, are
-broadcast. All others are asked for: in one pass over the texts a task emits what it knows of each text, and a row (text, context,
-word, times) for each question; these are joined with the tables by key and summed by text. No key that is asked for has more than
-CACHED of the tokens, so this join has no hot keys. Texts are told apart by a number of their row.
+Scoring needs for each word and pair its row of the tables. Those with at least CACHED of all tokens are
+broadcast. All others are asked for: in one pass over the texts a task emits what it knows of each text, and a row (text, place,
+word, times) for each question; these go to the buckets of the pairs, are answered there and summed by text. No key that is asked
+for has more than CACHED of the tokens, so this join has no hot keys. Texts are told apart by a number of their row. A question
+for a word alone has a place made from the word.
 
 Defined cases: a null text counts as empty and is an end alone; with no training text every word is unknown, and it and
 the end have chance 1; discounts that the counts of counts do not support (too few texts) are (r - 0.5) / r; a context whose discounts leave
@@ -29,14 +32,14 @@ like others; columns besides doc_id and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winback.llm.arrow import sliced_by_bytes, small_batches
+from winback.llm.arrow import sliced_by_bytes, small_batches, tidied
 from winback.llm.common import id_and_text, release, shared_path
 from winback.llm.words import word_hashes
 
@@ -47,14 +50,19 @@ DISCOUNTED = 5
 TEXT_BYTES = 8_000_000
 #: distinct keys a task holds before it hands its counts on
 HELD = 4_000_000
-#: a key with more than 1/PARTS of the pairs is broadcast
-PARTS = 200_000
+#: a context with more than 1/SPREAD of the tokens has several places
+SPREAD = 5000
+#: tokens of a bucket of pairs, and the most buckets Spark allows
+BUCKET_TOKENS, MOST_BUCKETS = 4_000_000, 100_000
 
 #: hash of the end token; no word is a line feed
 END_HASH = 0x9C0A5F1E3D7B2846
-#: hashes of the context of a text's first token, and of the context that asks for a word alone
+#: hash of the context of a text's first token
 BEGIN_HASH = 0x2B7E151628AED2A6
+#: from a word's hash to the place where it is asked for alone
 ALONE = 0x3C6EF372FE94F82B
+#: from one place of a context to the next; SPREAD + 1 of them stay below 2 ** 63
+STEP = 0x9E3779B97F4A
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -113,27 +121,71 @@ def looked_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, (keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool))
 
 
+@dataclass(frozen=True)
+class Places:
+    """The places of contexts: one, the context itself, or several for the busy ones."""
+
+    contexts: np.ndarray  # sorted, those with several places
+    numbers: np.ndarray
+
+    @classmethod
+    def of(cls, words: np.ndarray, counts: np.ndarray, tokens: int) -> Places:
+        """From the counts of all words with more than 1/SPREAD of the tokens, sorted by word."""
+        contexts = np.where(words == np.uint64(END_HASH).astype(np.int64), BEGIN_HASH, words)  # as many begins as ends
+        numbers = counts * SPREAD // max(tokens, 1) + 1
+        order = np.argsort(contexts, kind="stable")
+        order = order[numbers[order] > 1]
+        return cls(contexts[order], numbers[order])
+
+    def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The place of each pair."""
+        at, busy = looked_up(self.contexts, contexts)
+        places = contexts.copy()
+        places[busy] ^= (words[busy].view(np.uint64) % self.numbers[at[busy]].astype(np.uint64)).astype(np.int64) * STEP
+        return places
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """context and place of the busy ones; at most 2 * SPREAD rows."""
+        found = zip(self.contexts.tolist(), self.numbers.tolist(), strict=True)
+        rows = [(context, context ^ part * STEP) for context, number in found for part in range(number)]
+        return F.broadcast(spark.createDataFrame(rows, "context bigint, place bigint"))
+
+
 @dataclass(frozen=True)
 class Katz:
-    """A trained model: totals, bounded arrays of the broadcast rows (sorted by key), and the path of the tables."""
+    """A trained model: totals, bounded arrays of the broadcast rows (sorted by key), and where its tables are."""
 
     path: str
+    pairs: str  # name of the table of pairs
+    buckets: int
+    places: Places
     tokens: int
     distinct: int
+    total: float  # what discounted counts of words are divided by
     unknown: float
     begin_alpha: float
     least: float  # counts from here on are broadcast
-    pairs: int
-    factors: np.ndarray
+    word_factors: np.ndarray
+    pair_factors: np.ndarray
     word_keys: np.ndarray
     word_counts: np.ndarray
     word_chances: np.ndarray
     word_alphas: np.ndarray
-    pair_keys: np.ndarray  # contexts and words mixed
-    pair_contexts: np.ndarray
+    pair_keys: np.ndarray  # places and words mixed
+    pair_places: np.ndarray
     pair_words: np.ndarray
     pair_gains: np.ndarray
 
+    def drop(self, spark: SparkSession) -> None:
+        """Remove the tables and their files."""
+        _drop(spark, self.pairs, self.path)
+
+
+def _drop(spark: SparkSession, pairs: str, path: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {pairs}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
 
 def pairs_of(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The context of each token."""
@@ -142,10 +194,10 @@ def pairs_of(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return contexts
 
 
-def mixed(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+def mixed(places: np.ndarray, words: np.ndarray) -> np.ndarray:
     """One number for a pair; only a place to look at, both parts are compared."""
     with np.errstate(over="ignore"):
-        value = contexts.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        value = places.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return ((value ^ (value >> np.uint64(29))) + words.view(np.uint64)).view(np.int64)
 
 
@@ -155,35 +207,62 @@ def _tallied(**columns: np.ndarray) -> pa.Table:
     return pa.table(columns).group_by(names, use_threads=False).aggregate([([], "count_all")]).select([*names, "count_all"]).rename_columns([*names, "count"])
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
-        tokens, counts = tokens_of(batch.column("text"))
-        yield from _tallied(context=pairs_of(tokens, counts), word=tokens).to_batches()
+PAIRS = "place bigint, word bigint, count bigint, seen bigint"
 
 
-def discounted(count: Column, factors: np.ndarray) -> Column:
-    return count * F.element_at(F.array(*[F.lit(float(f)) for f in factors[1:]]), F.least(count, F.lit(DISCOUNTED + 1)).cast("int"))
+def _count_pairs(cached) -> object:
+    """A mapInArrow function: PAIRS, combined within the task; ``seen`` is the word's count, 0 if it is not broadcast."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, keys, counts = cached.value
 
-def _met(rows: DataFrame, groups: DataFrame, key: str, size: int) -> DataFrame:
-    """``rows`` (at most ``size``) with their row of ``groups``, whose ``times`` is at least the key's number of rows."""
-    busy = F.col("times") > size / PARTS
-    hot, rest = F.broadcast(groups.filter(busy).drop("times")), groups.filter(~busy).drop("times")
-    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rest, key))
+        def told(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            at, here = looked_up(keys, table.column("word").to_numpy())
+            seen = np.zeros(len(at), np.int64)
+            seen[here] = counts[at[here]]
+            yield from table.append_column("seen", pa.array(seen)).to_batches()
 
+        held, rows = [], 0
+        for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
+            tokens, lengths = tokens_of(batch.column("text"))
+            held.append(_tallied(place=places.find(pairs_of(tokens, lengths), tokens), word=tokens))
+            rows += held[-1].num_rows
+            if rows > HELD:
+                held = [pa.concat_tables(held).group_by(["place", "word"], use_threads=False).aggregate([("count", "sum")]).rename_columns(["place", "word", "count"])]
+                rows = held[0].num_rows
+                if rows > HELD // 2:
+                    yield from told(held[0])
+                    held, rows = [], 0
+        if held:
+            merged = pa.concat_tables(held).group_by(["place", "word"], use_threads=False).aggregate([("count", "sum")])
+            held = []
+            yield from told(merged.rename_columns(["place", "word", "count"]))
+
+    return tidied(run)
 
-def _chances(pairs: DataFrame, words: DataFrame, size: int, factors: np.ndarray) -> DataFrame:
-    """``pairs`` with the word's chance and the discounted count."""
-    of_word = words.select(F.col("key").alias("word"), F.col("count").alias("times"), "chance")
-    return _met(pairs, of_word, "word", size).withColumn("mass", discounted(F.col("count"), factors))
+
+def discounted(count: Column, factors: np.ndarray) -> Column:
+    return count * F.element_at(F.array(*[F.lit(float(f)) for f in factors[1:]]), F.least(count, F.lit(DISCOUNTED + 1)).cast("int"))
+
+
+def _with_chances(pairs: DataFrame, rare: DataFrame, buckets: int, factors: np.ndarray, total: float) -> DataFrame:
+    """``pairs`` with the chance of their word; ``rare`` has the chances of the words that are not broadcast."""
+    asked = pairs.filter(F.col("seen") == 0).select("place", "word").join(rare.select(F.col("key").alias("word"), "chance"), "word")
+    known = F.when(F.col("seen") > 0, discounted(F.greatest("seen", F.lit(1)), factors) / F.lit(total or 1.0))
+    met = pairs.join(asked.repartition(buckets, "place").hint("merge"), ["place", "word"], "left")
+    return met.withColumn("chance", F.coalesce(known, "chance"))
 
 
-def gained(spark: SparkSession, path: str, which: Column, size: int, factors: np.ndarray) -> DataFrame:
-    """context, word and gain of some pairs."""
-    pairs, words, contexts = (spark.read.parquet(f"{path}/{name}") for name in ("order=2", "order=1", "contexts"))
-    found = _met(_chances(pairs.filter(which), words, size, factors), contexts, "context", size)
-    gain = _log10(F.col("mass") / F.col("scale")) - _log10(F.col("alpha")) - _log10(F.col("chance"))
-    return found.select("context", "word", gain.alias("gain"))
+def gained(spark: SparkSession, model: Katz, which: Column) -> DataFrame:
+    """place, word and gain of some pairs, dealt as the pairs are."""
+    rare = spark.read.parquet(f"{model.path}/order=1").filter(F.col("count") < model.least)
+    found = _with_chances(spark.table(model.pairs).filter(which), rare, model.buckets, model.word_factors, model.total)
+    several = model.places.table(spark).groupBy("context").agg(F.collect_list("place").alias("places"))
+    contexts = spark.read.parquet(f"{model.path}/contexts").join(F.broadcast(several), "context", "left")
+    contexts = contexts.select(F.explode(F.coalesce("places", F.array("context"))).alias("place"), "scale", "alpha")
+    found = found.join(contexts.repartition(model.buckets, "place").hint("merge"), "place")
+    mass = discounted(F.col("count"), model.pair_factors)
+    return found.select("place", "word", (_log10(mass / F.col("scale")) - _log10(F.col("alpha")) - _log10(F.col("chance"))).alias("gain"))
 
 
 def train(docs: DataFrame) -> Katz:
@@ -191,33 +270,43 @@ def train(docs: DataFrame) -> Katz:
     spark, path = docs.sparkSession, shared_path(docs.sparkSession, "katz")
     texts = small_batches(docs).select(*id_and_text())
     # order 1: counts, then chances from the counts of counts
-    raw = texts.mapInArrow(_count_words, "key bigint, count bigint").groupBy("key").agg(F.sum("count").alias("count"))
+    raw = texts.mapInArrow(tidied(_count_words), "key bigint, count bigint").groupBy("key").agg(F.sum("count").alias("count"))
     raw.write.parquet(f"{path}/counts")
     words = spark.read.parquet(f"{path}/counts")
     tokens, distinct = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
-    factors = discounts(_counts_of_counts(words))
-    mass = words.agg(F.coalesce(F.sum(discounted(F.col("count"), factors)), F.lit(0.0))).first()[0]
+    word_factors = discounts(_counts_of_counts(words))
+    mass = words.agg(F.coalesce(F.sum(discounted(F.col("count"), word_factors)), F.lit(0.0))).first()[0]
     total = float(tokens) if mass < tokens - 1e-9 else float(tokens + 1)
     unknown = 1 - mass / total if tokens else 1.0
-    words = words.withColumn("chance", discounted(F.col("count"), factors) / F.lit(total or 1.0))
+    words = words.withColumn("chance", discounted(F.col("count"), word_factors) / F.lit(total or 1.0))
 
     # order 2
-    told = texts.mapInArrow(_count_pairs, "context bigint, word bigint, count bigint")
-    told.groupBy("context", "word").agg(F.sum("count").alias("count")).write.parquet(f"{path}/order=2")
+    least = max(CACHED * tokens, 1)
+    keys, counts = _numbers(words.filter(F.col("count") >= min(least, max(tokens / SPREAD, 1))).select("key", "count"))
+    places = Places.of(keys, counts, tokens)
+    kept = counts >= least
+    buckets = min(max(tokens // BUCKET_TOKENS, int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BUCKETS)
+    cached = spark.sparkContext.broadcast((places, keys[kept], counts[kept]))
+    told = texts.mapInArrow(_count_pairs(cached), PAIRS).repartition(buckets, "place")
+    name = "katz_pairs_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE TABLE {name} ({PAIRS}) USING parquet CLUSTERED BY (place) SORTED BY (place) INTO {buckets} BUCKETS LOCATION '{path}/order=2'")
+    told.groupBy("place", "word").agg(F.sum("count").alias("count"), F.max("seen").alias("seen")).write.insertInto(name)
     release()
-    pairs = spark.read.parquet(f"{path}/order=2")
-    factors = discounts(_counts_of_counts(pairs))
-    size = pairs.count()
+    cached.destroy()
+    pairs = spark.table(name)
+    pair_factors = discounts(_counts_of_counts(pairs))
 
     # what the discounts of a context leave is shared by the words not seen after it
-    sums = _chances(pairs, words, size, factors).groupBy("context")
+    rare = words.filter(F.col("count") < least)
+    sums = _with_chances(pairs, rare, buckets, word_factors, total).withColumn("mass", discounted(F.col("count"), pair_factors)).groupBy("place")
     sums = sums.agg(F.sum("count").alias("times"), F.sum("mass").alias("mass"), F.sum("chance").alias("lower"))
+    sums = sums.join(places.table(spark), "place", "left").groupBy(F.coalesce("context", "place").alias("context"))
+    sums = sums.agg(*[F.sum(name).alias(name) for name in ("times", "mass", "lower")])
     divide = F.when(F.col("times") - F.col("mass") > 1e-9, F.col("times")).otherwise(F.col("times") + 1).cast("double")
     unseen = 1 - F.col("lower")
     full = unseen <= 1e-12  # every word was seen: nothing to share
     sums.select(
         "context",
-        "times",
         F.when(full, F.col("mass")).otherwise(divide).alias("scale"),
         F.when(full, 0.0).otherwise((divide - F.col("mass")) / divide / unseen).alias("alpha"),
     ).write.parquet(f"{path}/contexts")
@@ -226,16 +315,16 @@ def train(docs: DataFrame) -> Katz:
     words.join(alphas, "key", "left").select("key", "count", "chance", F.coalesce("alpha", F.lit(1.0)).alias("alpha")).write.parquet(f"{path}/order=1")
     release(spark.read.parquet(f"{path}/counts"))
 
-    least = max(CACHED * tokens, 1)
     hot_words = _numbers(spark.read.parquet(f"{path}/order=1").filter(F.col("count") >= least))
-    context, word, gains = _numbers(gained(spark, path, F.col("count") >= least, size, factors))
-    release()
-    keys = mixed(context, word)
-    order = np.argsort(keys, kind="stable")
     begin = alphas.filter(F.col("key") == BEGIN_HASH).first()
     begin_alpha = begin["alpha"] if begin else 1.0
-    hot_pairs = (keys[order], context[order], word[order], gains[order])
-    return Katz(path, int(tokens), int(distinct), unknown, begin_alpha, least, size, factors, *hot_words, *hot_pairs)
+    nothing = [np.zeros(0, np.int64)] * 4
+    model = Katz(path, name, buckets, places, int(tokens), int(distinct), total, unknown, begin_alpha, least, word_factors, pair_factors, *hot_words, *nothing)
+    place, word, gains = _numbers(gained(spark, model, F.col("count") >= least))
+    release()
+    mix = mixed(place, word)
+    order = np.argsort(mix, kind="stable")
+    return replace(model, pair_keys=mix[order], pair_places=place[order], pair_words=word[order], pair_gains=gains[order])
 
 
 def _log10(value: Column) -> Column:
@@ -247,7 +336,8 @@ def _logs(values: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(values, 1e-300))
 
 
-TOLD = "row bigint, context bigint, word bigint, times bigint, doc_id bigint, n_tokens bigint, n_known double, told_base double, score double"
+OWN = "doc_id bigint, n_tokens bigint, n_known double, told_base double, score double"
+TOLD = f"row bigint, place bigint, word bigint, times bigint, own struct<{OWN.replace(' ', ':')}>".replace(",:", ", ")
 
 
 def _ask(model) -> object:
@@ -255,67 +345,64 @@ def _ask(model) -> object:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: Katz = model.value
-        names = [part.split()[0] for part in TOLD.split(", ")]
+        names = ["row", "place", "word", "times", "own"]
+        own_names = [part.split()[0] for part in OWN.split(", ")]
+        own_type = pa.struct(list(zip(own_names, [pa.int64()] * 2 + [pa.float64()] * 3, strict=True)))
         word_logs = _logs(kept.word_chances) + _logs(kept.word_alphas)
         count_logs = np.log10(kept.word_counts + 1.0)
         begin_log, unknown_log = _logs(np.array([kept.begin_alpha, kept.unknown]))
         for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
             tokens, counts = tokens_of(batch.column("text"))
             owner = np.repeat(np.arange(len(counts)), counts)
-            contexts = pairs_of(tokens, counts)
+            places = kept.places.find(pairs_of(tokens, counts), tokens)
             score, base = np.full(len(tokens), unknown_log), np.zeros(len(tokens))
             at, cached = looked_up(kept.word_keys, tokens)
             score[cached], base[cached] = word_logs[at[cached]], count_logs[at[cached]]
-            at, hot = looked_up(kept.pair_keys, mixed(contexts, tokens))
-            hot[hot] = (kept.pair_contexts[at[hot]] == contexts[hot]) & (kept.pair_words[at[hot]] == tokens[hot])
+            at, hot = looked_up(kept.pair_keys, mixed(places, tokens))
+            hot[hot] = (kept.pair_places[at[hot]] == places[hot]) & (kept.pair_words[at[hot]] == tokens[hot])
             score[hot] += kept.pair_gains[at[hot]]
             sums = [np.bincount(owner, values, len(counts)) for values in (cached.astype(float), base, score)]
             sums[2] += begin_log
+            # a text's own row asks nothing; its number as key spreads these rows, and no table holds such a pair
             row = batch.column("row")
-            none = pa.nulls(len(counts), pa.int64())
-            yield pa.RecordBatch.from_arrays([row, none, none, none, batch.column("doc_id"), pa.array(counts), *map(pa.array, sums)], names=names)
+            own = pa.StructArray.from_arrays([batch.column("doc_id"), pa.array(counts), *map(pa.array, sums)], names=own_names)
+            yield pa.RecordBatch.from_arrays([row, row, row, pa.array(np.zeros(len(row), np.int64)), own], names=names)
             # what is asked for, once per text with its number of times
             alone = ~cached
             asked = _tallied(
                 whose=np.concatenate([owner[~hot], owner[alone]]),
-                context=np.concatenate([contexts[~hot], np.full(alone.sum(), ALONE, np.int64)]),
+                place=np.concatenate([places[~hot], tokens[alone] ^ ALONE]),
                 word=np.concatenate([tokens[~hot], tokens[alone]]),
             ).combine_chunks()
-            context, word, times, whose = (pa.concat_arrays(asked.column(name).chunks or [pa.array([], pa.int64())]) for name in ("context", "word", "count", "whose"))
-            nothing = [pa.nulls(len(whose), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())]
-            yield pa.RecordBatch.from_arrays([row.take(whose), context, word, times, *nothing], names=names)
+            place, word, times, whose = (pa.concat_arrays(asked.column(name).chunks or [pa.array([], pa.int64())]) for name in ("place", "word", "count", "whose"))
+            yield pa.RecordBatch.from_arrays([row.take(whose), place, word, times, pa.nulls(len(whose), own_type)], names=names)
 
-    return run
+    return tidied(run)
 
 
-def answers(spark: SparkSession, model: Katz) -> DataFrame:
-    """context, word, and what the rows of the tables that are not broadcast add: known, base and gain."""
-    rare = F.col("count") < model.least
-    rare_words = spark.read.parquet(f"{model.path}/order=1").filter(rare)
+def words_alone(spark: SparkSession, model: Katz) -> DataFrame:
+    """place, word and what the words that are not broadcast add: base and more of score."""
+    rare = spark.read.parquet(f"{model.path}/order=1").filter(F.col("count") < model.least)
     # a word that is not broadcast was scored as unknown
-    gain = _log10(F.col("chance")) + _log10(F.col("alpha")) - _log10(F.lit(float(model.unknown)))
-    of_words = rare_words.select(
-        F.lit(ALONE).cast("bigint").alias("context"), F.col("key").alias("word"), F.lit(1.0).alias("known"), F.log10(F.col("count") + 1).alias("base"), gain.alias("gain")
-    )
-    of_pairs = gained(spark, model.path, rare, model.pairs, model.factors)
-    return of_words.unionByName(of_pairs.select("context", "word", F.lit(0.0).alias("known"), F.lit(0.0).alias("base"), "gain"))
+    more = _log10(F.col("chance")) + _log10(F.col("alpha")) - _log10(F.lit(float(model.unknown)))
+    return rare.select(F.col("key").bitwiseXOR(F.lit(ALONE)).alias("place"), F.col("key").alias("word"), F.log10(F.col("count") + 1).alias("base"), more.alias("more"))
 
 
 def score(docs: DataFrame, model: Katz) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 chances) of every document."""
     spark = docs.sparkSession
     rows = small_batches(docs).select(*id_and_text()).withColumn("row", F.monotonically_increasing_id())
-    told = rows.mapInArrow(_ask(spark.sparkContext.broadcast(model)), TOLD)
-    # a text's own row asks nothing; its number as key spreads these rows, and no table holds such a pair
-    asked = told.withColumns({"context": F.coalesce("context", "row"), "word": F.coalesce("word", F.xxhash64("row"))})
-    found = asked.join(answers(spark, model), ["context", "word"], "left")
-    times = F.coalesce(F.col("times"), F.lit(0))
+    asked = rows.mapInArrow(_ask(spark.sparkContext.broadcast(model)), TOLD).repartition(model.buckets, "place")
+    found = asked.join(gained(spark, model, F.col("count") < model.least).hint("merge"), ["place", "word"], "left")
+    found = found.join(words_alone(spark, model).repartition(model.buckets, "place").hint("merge"), ["place", "word"], "left")
 
-    def total(own: str, answered: str):
-        return F.sum(F.coalesce(own, F.lit(0.0)) + times * F.coalesce(answered, F.lit(0.0))).alias(own)
+    def total(own: str, answered: Column):
+        return F.sum(F.coalesce(f"own.{own}", F.lit(0.0)) + F.col("times") * answered).alias(own)
 
+    base, gain, more = (F.coalesce(name, F.lit(0.0)) for name in ("base", "gain", "more"))
+    known = F.col("base").isNotNull().cast("double")
     sums = found.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), total("n_known", "known"), total("told_base", "base"), total("score", "gain")
+        F.max("own.doc_id").alias("doc_id"), F.sum("own.n_tokens").alias("n_tokens"), total("n_known", known), total("told_base", base), total("score", gain + more)
     )
     below = np.log10(model.tokens + model.distinct + 1)
     return sums.select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.llm import exact_dedup, fingerprints, katz, mixing, near_dedup, ngram_join, packing, periodic, ranked_search, secrets, sharding, toxicity, url_filter
-from winback.llm.common import table, text_or_empty
+from winback.llm.common import stored, table, text_or_empty
 
 
 def tokenizer_path() -> str:
@@ -42,7 +42,8 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op4_katz(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = katz.train(docs.filter(~held_out(7)))
-    scored = katz.score(docs, model)
+    scored = stored(katz.score(docs, model), "katz-scores")
+    model.drop(spark)
     return scored.select("doc_id", held_out(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
