@@ -32,6 +32,7 @@ like others; columns besides doc_id and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.llm.arrow import sliced_by_bytes, small_batches, tidied
-from winback.llm.common import id_and_text, release, shared_path
+from winback.llm.common import id_and_text, release, shared_path, stored
 from winback.llm.words import word_hashes
 
 #: least share of all training tokens of a word or pair that is broadcast for scoring
@@ -53,7 +54,7 @@ HELD = 4_000_000
 #: a context with more than 1/SPREAD of the tokens has several places
 SPREAD = 5000
 #: tokens of a bucket of pairs, and the most buckets Spark allows
-BUCKET_TOKENS, MOST_BUCKETS = 4_000_000, 100_000
+BUCKET_TOKENS, MOST_BUCKETS = 2_000_000, 100_000
 
 #: hash of the end token; no word is a line feed
 END_HASH = 0x9C0A5F1E3D7B2846
@@ -207,6 +208,18 @@ def _tallied(**columns: np.ndarray) -> pa.Table:
     return pa.table(columns).group_by(names, use_threads=False).aggregate([([], "count_all")]).select([*names, "count_all"]).rename_columns([*names, "count"])
 
 
+@contextmanager
+def joined_in_place(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile joins by place and word take sides that are dealt by place alone as they are, without a shuffle."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 PAIRS = "place bigint, word bigint, count bigint, seen bigint"
 
 
@@ -249,7 +262,7 @@ def _with_chances(pairs: DataFrame, rare: DataFrame, buckets: int, factors: np.n
     """``pairs`` with the chance of their word; ``rare`` has the chances of the words that are not broadcast."""
     asked = pairs.filter(F.col("seen") == 0).select("place", "word").join(rare.select(F.col("key").alias("word"), "chance"), "word")
     known = F.when(F.col("seen") > 0, discounted(F.greatest("seen", F.lit(1)), factors) / F.lit(total or 1.0))
-    met = pairs.join(asked.repartition(buckets, "place").hint("merge"), ["place", "word"], "left")
+    met = pairs.join(asked.repartition(buckets, "place").hint("shuffle_hash"), ["place", "word"], "left")
     return met.withColumn("chance", F.coalesce(known, "chance"))
 
 
@@ -260,13 +273,18 @@ def gained(spark: SparkSession, model: Katz, which: Column) -> DataFrame:
     several = model.places.table(spark).groupBy("context").agg(F.collect_list("place").alias("places"))
     contexts = spark.read.parquet(f"{model.path}/contexts").join(F.broadcast(several), "context", "left")
     contexts = contexts.select(F.explode(F.coalesce("places", F.array("context"))).alias("place"), "scale", "alpha")
-    found = found.join(contexts.repartition(model.buckets, "place").hint("merge"), "place")
+    found = found.join(contexts.repartition(model.buckets, "place").hint("shuffle_hash"), "place")
     mass = discounted(F.col("count"), model.pair_factors)
     return found.select("place", "word", (_log10(mass / F.col("scale")) - _log10(F.col("alpha")) - _log10(F.col("chance"))).alias("gain"))
 
 
 def train(docs: DataFrame) -> Katz:
     """Count words and pairs of all texts, and derive chances and backoff weights."""
+    with joined_in_place(docs.sparkSession):
+        return _train(docs)
+
+
+def _train(docs: DataFrame) -> Katz:
     spark, path = docs.sparkSession, shared_path(docs.sparkSession, "katz")
     texts = small_batches(docs).select(*id_and_text())
     # order 1: counts, then chances from the counts of counts
@@ -389,12 +407,12 @@ def words_alone(spark: SparkSession, model: Katz) -> DataFrame:
 
 
 def score(docs: DataFrame, model: Katz) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 chances) of every document."""
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 chances) of every document, stored."""
     spark = docs.sparkSession
     rows = small_batches(docs).select(*id_and_text()).withColumn("row", F.monotonically_increasing_id())
     asked = rows.mapInArrow(_ask(spark.sparkContext.broadcast(model)), TOLD).repartition(model.buckets, "place")
-    found = asked.join(gained(spark, model, F.col("count") < model.least).hint("merge"), ["place", "word"], "left")
-    found = found.join(words_alone(spark, model).repartition(model.buckets, "place").hint("merge"), ["place", "word"], "left")
+    found = asked.join(gained(spark, model, F.col("count") < model.least).hint("shuffle_hash"), ["place", "word"], "left")
+    found = found.join(words_alone(spark, model).repartition(model.buckets, "place").hint("shuffle_hash"), ["place", "word"], "left")
 
     def total(own: str, answered: Column):
         return F.sum(F.coalesce(f"own.{own}", F.lit(0.0)) + F.col("times") * answered).alias(own)
@@ -405,7 +423,7 @@ def score(docs: DataFrame, model: Katz) -> DataFrame:
         F.max("own.doc_id").alias("doc_id"), F.sum("own.n_tokens").alias("n_tokens"), total("n_known", known), total("told_base", base), total("score", gain + more)
     )
     below = np.log10(model.tokens + model.distinct + 1)
-    return sums.select(
+    scores = sums.select(
         "doc_id",
         "n_tokens",
         F.round("n_known").cast("bigint").alias("n_known"),
@@ -413,3 +431,5 @@ def score(docs: DataFrame, model: Katz) -> DataFrame:
         (F.col("told_base") - F.col("n_tokens") * F.lit(float(below))).alias("base_score"),
         "score",
     )
+    with joined_in_place(spark):
+        return stored(scores, "katz-scores")
