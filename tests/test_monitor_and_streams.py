@@ -197,6 +197,17 @@ def test_amounts_without_their_order_are_not_scored_until_it_comes(spark, scorin
     assert scores(spark, store) == expected_scores(shop, model)
 
 
+def test_state_lies_on_disk_and_the_session_keeps_its_settings(spark, scoring, tmp_path):
+    shop, model = scoring
+    tables = keyed(shop)
+    store = stream_turns(spark, [tables, tables], model, tmp_path)
+    assert scores(spark, store) == expected_scores(shop, model)
+    for progress in ("increments-progress", "scores-progress"):
+        states = list((tmp_path / "store" / progress / "state").rglob("*"))
+        assert [file for file in states if file.suffix == ".changelog"] and not [file for file in states if file.suffix == ".delta"]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None
+
+
 def published(table):
     return sorted(tuple(row) for row in table.read().collect())
 
