@@ -120,6 +120,22 @@ def test_trees_do_not_depend_on_the_layout(spark):
     assert all(len(mine) < 16 for mine in models[0].cuts)
 
 
+def test_of_two_siblings_only_the_lighter_one_is_summed(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 3))
+    seen = []
+
+    class Watched(trees.NewtonBooster):
+        def _sums(self, placed, count):
+            seen.append(placed.count())
+            return super()._sums(placed, count)
+
+    model = Watched("weight", rounds=1, depth=3, bins=16).fit(frame_of(spark, x, (x[:, 0] > 0.5).astype(float), [1.0] * 400))
+    # equal weights have equal curvatures before the first tree
+    assert seen[0] == 400 and len(seen) == 3 and max(seen[1:]) <= 200
+    assert model.trees[0].features[0] == 0
+
+
 def test_boosting_without_anything_to_learn(spark):
     frame = frame_of(spark, [[1.0, 2.0]] * 20, [1] * 20, [1.0] * 20)
     scored = trees.NewtonBooster("weight", rounds=3, depth=2).fit(frame).transform(frame).first()

@@ -4,8 +4,8 @@
 both sides of every cut, so nothing but counts is shuffled and no feature is sorted in one task.
 
 ``NewtonBooster`` grows trees level by level. One grouped pass per level sums gradients and curvatures per (node, feature,
-bin); the driver sees at most ``2^level x features x bins`` sums and picks the splits. A leaf is worth -G / (H + penalty). The
-sums are whole numbers (fixed point, scaled to the total weight), so they do not depend on the order in which rows are
+bin), of two siblings only over the lighter one; the driver sees at most ``2^level x features x bins`` sums and picks the
+splits. A leaf is worth -G / (H + penalty). The sums are whole numbers (fixed point, scaled to the total weight), so they do not depend on the order in which rows are
 added: the same rows give the same trees, however they are divided.
 """
 
@@ -14,10 +14,12 @@ from __future__ import annotations
 import json
 import math
 import sys
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -203,30 +205,46 @@ class NewtonBooster:
             F.round(F.col("weight") * (F.col("p") - F.col("label")) * scale).cast("bigint").alias("g"),
             F.round(F.col("weight") * F.col("p") * (1 - F.col("p")) * scale).cast("bigint").alias("h"),
         )
+        moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._split(moved, scale, count)
+        finally:
+            moved.unpersist()
+
+    def _sums(self, placed: DataFrame, count: int) -> dict[int, np.ndarray]:
+        """Per node whole sums by (feature, bin, gradient or curvature)."""
+        tall = placed.select("node", "g", "h", F.posexplode("bins").alias("feature", "bin"))
+        found = tall.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
+        per_node: dict[int, np.ndarray] = defaultdict(lambda: np.zeros((count, self.bins, 2), dtype=np.int64))
+        for node, feature, bin_, g, h in found:
+            per_node[node][feature, bin_] = g, h
+        return per_node
+
+    def _split(self, moved: DataFrame, scale: float, count: int) -> Tree:
         features, cuts = [0] * (2**self.depth - 1), [NO_SPLIT] * (2**self.depth - 1)
         sums: dict[int, tuple[float, float]] = {}
+        parents: dict[int, np.ndarray] = {}
+        lighter = [1]
         for level in range(self.depth):
             placed = _descended(moved, features, cuts, level)
-            histogram = placed.select("node", "g", "h", F.posexplode("bins").alias("feature", "bin")).groupBy("node", "feature", "bin")
-            found = histogram.agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
-            nodes = sorted({row["node"] for row in found})
-            per_node = {node: np.zeros((count, self.bins, 2)) for node in nodes}
-            for row in found:
-                per_node[row["node"]][row["feature"], row["bin"]] = row["g"] / scale, row["h"] / scale
-            open_nodes = False
-            for node in nodes:
-                if node > 1 and cuts[node // 2 - 1] == NO_SPLIT:
-                    continue  # below a leaf
-                split = self._best(per_node[node])
-                g, h = per_node[node][0].sum(axis=0)
+            # of two siblings the lighter is summed, the other one is the rest of their parent
+            per_node = self._sums(placed.filter(F.array_contains(F.lit(lighter), F.col("node"))) if level else placed, count)
+            for node in lighter if level else []:
+                per_node[node ^ 1] = parents[node // 2] - per_node[node]
+            lighter = []
+            for node in sorted(per_node):
+                histogram = per_node[node] / scale
+                split = self._best(histogram)
+                g, h = histogram[0].sum(axis=0)
                 sums[node] = (g, h)
                 if split is not None:
                     feature, cut, left = split
                     features[node - 1], cuts[node - 1] = feature, cut
                     sums[2 * node], sums[2 * node + 1] = left, (g - left[0], h - left[1])
-                    open_nodes = True
-            if not open_nodes:
+                    lighter.append(2 * node if left[1] <= h - left[1] else 2 * node + 1)
+            if not lighter:
                 break
+            parents = per_node
         leaves = []
         for leaf in range(2**self.depth, 2 ** (self.depth + 1)):
             node = leaf
