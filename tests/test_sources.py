@@ -7,12 +7,13 @@ import datetime as dt
 import logging
 
 import pytest
-from conftest import EXPECTED_FEATURES, CUSTOMERS, ORDERS, PAYMENTS, REVIEWS, feature_rows
+from conftest import EXPECTED_FEATURES, CUSTOMERS, ORDERS, PAYMENTS, REVIEWS, TABLES, feature_rows
 
 from pyspark.sql import functions as F
 
 from winback import build_features, load_and_clean_data, load_tables, save_tables, write_leads
 from winback.operators import leads
+from winback.plans import registry
 from winback.sources import csv_rejects
 
 
@@ -175,3 +176,25 @@ def test_lead_list_sink(spark, tmp_path):
     assert part.read_text().splitlines() == ["customer_unique_id,churn_probability", "U1,0.9", "U2,0.8"]
     write_leads(leads, str(tmp_path / "parquet"))
     assert spark.read.parquet(str(tmp_path / "parquet")).count() == 2
+
+
+def test_broken_payments_are_written_by_many_tasks(spark, tmp_path):
+    registry._broken_payments(spark.range(600).withColumnRenamed("id", "order_id").repartition(3), str(tmp_path))
+    files = sorted(tmp_path.glob("shop2_order_payments_dataset.csv/part-*.csv"))
+    lines = [file.read_text().splitlines() for file in files]
+    assert len(files) == 3 and {first for first, *_ in lines} == {"order_id,payment_installments,payment_value"}
+    assert {line for _, *rest in lines for line in rest} == {
+        f"{n},1,{['x12', '12,ab', 'NA'][n % 3]}" for n in range(0, 600, 2)
+    }
+    counts = csv_rejects(spark, str(tmp_path)).groupBy("reason").count().collect()
+    assert {tuple(row) for row in counts} == {("malformed line", 200), ("no number: payment_value", 200)}
+
+
+def test_replayed_csv_files_are_short(spark, monkeypatch):
+    monkeypatch.setattr(registry, "ROWS_PER_FILE", 40)
+    shop = registry._csv_shop(spark, TABLES)
+    files = spark.read.text(f"{shop}/*_order_reviews_dataset.csv").groupBy(F.input_file_name()).count()
+    # two lines a review and the header
+    assert files.count() > 2 and files.agg(F.max("count")).first()[0] <= 81
+    rows = load_and_clean_data(spark, shop).reviews
+    assert rows.count() == registry.reviews_scan(spark, TABLES).count()
