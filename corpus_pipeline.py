@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from winback.llm import exact_dedup, mixing, near_dedup, packing, toxicity
-from winback.llm.common import release, stored, table
+from winback.llm.common import few_files, release, stored, table
 from winback.llm.queries import tokenizer_path
 
 #: shares of tokens for the domains high, low and toxic; the last, which the first stage removes, stays as it is
@@ -26,12 +26,12 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     index = exact_dedup.DigestIndex.scratch(spark)
     judged = exact_dedup.deduplicate(docs, index)
     index.drop()
-    return exact_dedup.keep_first(docs, judged)
+    return few_files(exact_dedup.keep_first(docs, judged))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays."""
-    return near_dedup.keep_one(docs)
+    return few_files(near_dedup.keep_one(docs))
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 1024 tokens."""
-    return packing.pack(docs, tokenizer_path())
+    return few_files(packing.pack(docs, tokenizer_path()))
 
 
 STAGES: list[tuple[str, Stage]] = [

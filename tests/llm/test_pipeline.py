@@ -12,8 +12,8 @@ import pytest
 from test_near_dedup import plain_groups
 from test_packing import check_packed
 
-from winback.llm import mixing
-from winback.llm.common import shared_path
+from winback.llm import common, mixing
+from winback.llm.common import shared_path, stored
 from winback.llm.near_dedup import Rule
 
 #: the columns of documents, and some that operators use themselves
@@ -151,3 +151,21 @@ def test_an_empty_table(spark):
     spark.createDataFrame([], DOCS).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], LABELS).write.parquet(f"{folder}/labels.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_small_tables_have_few_files_however_wide_their_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(common, "FILES_A_CORE", 2)
+    cores = spark.sparkContext.defaultParallelism
+    path = shared_path(spark, "few files=é")  # a folder whose name is written otherwise in a URI
+    spark.range(5000).selectExpr("id % 700 AS key", "id").repartition(3).write.parquet(path)
+    wide = spark.read.parquet(path).repartition(90, "key").withColumn("number", common.F.monotonically_increasing_id())
+    files = lambda df: len(df.inputFiles())
+    kept = stored(wide, "few")
+    assert files(kept) == 2 * cores
+    assert kept.select("key", "id").exceptAll(spark.read.parquet(path)).isEmpty()
+    assert kept.count() == kept.select("number").distinct().count() == 5000
+    # a large table keeps its partitions, and so does one whose size is not known
+    monkeypatch.setattr(common, "FILE_BYTES", 10)
+    assert files(stored(wide, "few")) == 90
+    monkeypatch.undo()
+    assert files(stored(spark.range(5000).repartition(90, "id"), "few")) == 90

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from winback.session import ensure_checkpoint_dir
 
 LOWEST_LONG = -(2**63)
+#: bytes read for each file of a small table, and files for each core that it may have whatever it reads
+FILE_BYTES, FILES_A_CORE = 4_000_000, 3
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,10 +24,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """The same rows, for writing: no more partitions than one for each FILE_BYTES of the files read, or some for each core.
+
+    Where a small table comes out of a wide shuffle, each of its partitions would be a file. On a local file system without
+    Hadoop's native library every new file has its permissions set by processes that the executor starts. A table that
+    reads no files, so that its size is not known, stays as it is.
+    """
+    context = df.sparkSession.sparkContext
+    jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    if not folders:
+        return df
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder)) for folder in folders]
+    read = sum(path.getFileSystem(conf).getContentSummary(path).getLength() for path in paths)
+    return df.coalesce(max(FILES_A_CORE * context.defaultParallelism, read // FILE_BYTES))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once as parquet in the shared folder and read back: cuts lineage, survives lost executors."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    few_files(df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
