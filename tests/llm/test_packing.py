@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from functools import cache
@@ -66,6 +67,42 @@ def test_words_are_forgotten_and_learned_again(monkeypatch):
         assert (np.diff(encoder.high.astype(object)) >= 0).all() and len(encoder.numbers) == len(encoder.counts)
 
 
+def test_learning_many_words_holds_no_second_copy_of_what_is_known():
+    random.seed(3)
+
+    def text(words):
+        return " ".join("".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(words))
+
+    encoder = packing.Encoder(tokenizer_path())
+    for _ in range(3):
+        encoder.texts(pa.array([text(100_000)]))
+    slice_ = pa.array([text(1000) for _ in range(packing.TEXT_BYTES // 7000)])
+    tracemalloc.start()
+    try:
+        encoder.texts(slice_)
+        assert tracemalloc.get_traced_memory()[1] < 130e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_texts_encoded_whole_go_to_the_tokenizer_a_few_at_a_time(monkeypatch):
+    encoder = packing.Encoder(tokenizer_path())
+    monkeypatch.setattr(encoder, "ENCODED", 50)
+    sizes, own = [], encoder.tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            sizes.append(len(texts))
+            return own.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(encoder, "tokenizer", Watched())
+    texts = [f"two  blanks\tand number {at}" for at in range(40)] + ["", "  " * 100]
+    ids, counts = encoder.whole(texts)
+    ends = np.cumsum(counts)
+    assert [ids[end - count : end].tolist() for end, count in zip(ends, counts, strict=True)] == [list(whole(text))[:-1] for text in texts]
+    assert max(sizes) == 3 and sum(sizes) == len(texts)  # the third text of over 20 characters reaches 50
+
+
 def test_equal_pieces_are_numbered_in_many_buckets(spark):
     docs = docs_of(spark, [(None, "one text that all rows share")] * 4000)
     pieces = packing.tokenise(docs, tokenizer_path(), 64).withColumn("row", packing.F.monotonically_increasing_id())

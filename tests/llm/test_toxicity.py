@@ -6,6 +6,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -109,6 +110,24 @@ def test_copies_count_once():
     assert lexicon.without_copies(reversed(keys)) == [0, 2, 3]
 
 
+def test_ids_kept_are_handed_on_without_workers_for_python_objects(spark, monkeypatch):
+    given = []
+    make = type(spark).createDataFrame
+
+    def watched(self, data, *args, **options):
+        given.append(type(data))
+        return make(self, data, *args, **options)
+
+    rows = [(1, 0, "one two three four"), (2, 0, "one two three four"), (3, 1, "five six seven eight"), (-(2**62), 1, "nine")]
+    sample = spark.createDataFrame(rows, "doc_id bigint, label int, text string")
+    none = sample.limit(0)
+    monkeypatch.setattr(type(spark), "createDataFrame", watched)
+    kept = lexicon.distinct_texts(sample, str.split)
+    assert sorted(map(tuple, kept.collect())) == [(-(2**62), 1, "nine"), (1, 0, "one two three four"), (3, 1, "five six seven eight")]
+    assert kept.columns == ["doc_id", "label", "text"] and lexicon.distinct_texts(none, str.split).count() == 0
+    assert given == [pa.Table, pa.Table]
+
+
 def test_passages_late_in_a_text_are_learned(spark):
     """Toxic words stand after word 10,000 of every toxic text, and nowhere else."""
     random.seed(9)

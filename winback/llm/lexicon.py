@@ -113,7 +113,8 @@ def distinct_texts(sample: DataFrame, words: Words) -> DataFrame:
 
     found = per_text(sample, "doc_id bigint, keys array<bigint>", work).collect()
     kept = without_copies((row["doc_id"], row["keys"]) for row in found)
-    ids = sample.sparkSession.createDataFrame([(doc_id,) for doc_id in kept], "doc_id bigint")
+    # rows given as Python objects would start workers of another kind on the executors, beside those that are there
+    ids = sample.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(kept, pa.int64())}))
     return stored(sample.join(F.broadcast(ids), "doc_id", "left_semi"), "labelled")
 
 

@@ -35,7 +35,7 @@ from winback.llm.common import id_and_text, stored
 CAPACITY = 1024
 END_ID = 2
 #: bytes of text that a task handles at a time (one text at least)
-TEXT_BYTES = 4_000_000
+TEXT_BYTES = 2_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
@@ -55,6 +55,14 @@ ODD_SPACE = (
 AFTER_BLANK = np.uint64(0x9E3779B97F4A7C15)
 
 
+def digests(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit digests of words, as their high and low halves."""
+    from xxhash import xxh3_128_digest
+
+    high, low = np.frombuffer(b"".join(map(xxh3_128_digest, words)), ">u8").astype(np.uint64).reshape(-1, 2).T
+    return high, low
+
+
 class Encoder:
     """Ids of whole texts, each distinct word encoded once.
 
@@ -64,11 +72,14 @@ class Encoder:
     line feeds, and told apart by the line feed's id. Any other text is encoded as a whole.
 
     What is remembered lies in flat arrays, without an object per word: the ids of all words one after the other, where
-    each word's begin, and the words' 128-bit digests in order.
+    each word's begin, and the words' 128-bit digests in order. The line feed is the word numbered 0. New words are put
+    into one array after the other, so that at no time all arrays are there twice.
     """
 
     JOINED = 1000
-    #: words and ids remembered, 32 bytes a word and 4 an id; beyond either all are forgotten
+    #: characters from which on whole texts go to the tokenizer
+    ENCODED = 100_000
+    #: words and ids remembered, 28 bytes a word and 4 an id; beyond either all are forgotten
     REMEMBERED = 1_000_000
     REMEMBERED_IDS = 6_000_000
 
@@ -81,21 +92,28 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.ids = np.zeros(0, np.uint32)
-        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.array([self.feed], np.uint32)
+        self.starts, self.counts = np.zeros(1, np.int32), np.ones(1, np.int32)
         # digests in order, and the number of the word each belongs to
-        self.high, self.low = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.numbers = np.zeros(0, np.int64)
+        self.high, self.low = digests([b"\n"])
+        self.numbers = np.zeros(1, np.int32)
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the number of ids of each text."""
-        parts = [np.array(encoded.ids, np.uint32) for encoded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.concatenate([np.zeros(0, np.uint32), *parts]), np.array([len(part) for part in parts], np.int64)
+        """All ids one after the other, and the number of ids of each text.
+
+        The tokenizer holds over a hundred bytes a token until they are read, so it gets few texts at a time.
+        """
+        parts, held, size = [np.zeros(0, np.uint32)], [], 0
+        for at, text in enumerate(texts):
+            held.append(text)
+            size += len(text)
+            if size >= self.ENCODED or at == len(texts) - 1:
+                parts += [np.array(encoded.ids, np.uint32) for encoded in self.tokenizer.encode_batch_fast(held, add_special_tokens=False)]
+                held, size = [], 0
+        return np.concatenate(parts), np.array([len(part) for part in parts[1:]], np.int64)
 
     def _find(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
         """The numbers of known words, -1 for others."""
-        if not len(self.high):
-            return np.full(len(high), -1)
         at = np.minimum(np.searchsorted(self.high, high), len(self.high) - 1)
         return np.where((self.high[at] == high) & (self.low[at] == low), self.numbers[at], -1)
 
@@ -110,22 +128,19 @@ class Encoder:
             ends = np.flatnonzero(ids == self.feed)
             counts.append(np.diff(ends, prepend=-1) - 1)
             parts.append(ids[ids != self.feed])
-        number = len(self.counts)
+        number, counts = len(self.counts), np.concatenate(counts)
+        self.starts = np.concatenate([self.starts, (len(self.ids) + np.cumsum(counts) - counts).astype(np.int32)])
+        self.counts = np.concatenate([self.counts, counts.astype(np.int32)])
         self.ids = np.concatenate(parts)
-        self.counts = np.concatenate([self.counts, *counts])
-        self.starts = np.cumsum(self.counts) - self.counts
-        high, low = np.concatenate([self.high, high]), np.concatenate([self.low, low])
-        numbers = np.concatenate([self.numbers, np.arange(number, len(self.counts))])
         order = np.argsort(high, kind="stable")
-        self.high, self.low, self.numbers = high[order], low[order], numbers[order]
+        at = np.searchsorted(self.high, high[order])
+        self.high, self.low = np.insert(self.high, at, high[order]), np.insert(self.low, at, low[order])
+        self.numbers = np.insert(self.numbers, at, (number + order).astype(np.int32))
 
     def words(self, words: list[bytes], after_blank: bool) -> np.ndarray:
         """The numbers of words without white space, as they stand or with a blank before them."""
-        from xxhash import xxh3_128_digest
-
+        high, low = digests(words)
         # a seed for the form would not do: short words differ by it as little as by a letter
-        digests = b"".join(map(xxh3_128_digest, words))
-        high, low = np.frombuffer(digests, ">u8").astype(np.uint64).reshape(-1, 2).T
         high = high ^ (AFTER_BLANK if after_blank else np.uint64(0))
         found = self._find(high, low)
         new = np.flatnonzero(found < 0)
@@ -153,35 +168,36 @@ class Encoder:
         lines = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " \n"), " ")
         coded = lines.values.dictionary_encode()
         offsets = lines.offsets.to_numpy() - lines.offsets[0].as_py()
-        used = coded.indices.to_numpy().astype(np.int64)
+        used = coded.indices.to_numpy()
         heads = offsets[:-1]
         # each distinct word in two forms: as it stands, and after a blank
         fed = pc.starts_with(coded.dictionary, "\n").to_numpy(zero_copy_only=False)
         plain = fed.copy()
         plain[used[heads]] = True
         bare = pc.utf8_ltrim(coded.dictionary, "\n").cast(pa.large_binary())
-        form = np.zeros((2, len(fed)), np.int64)
+        form = np.zeros((2, len(fed)), np.int32)
         for kind, chosen in enumerate((plain, ~fed)):
             form[kind, chosen] = self.words(bare.filter(pa.array(chosen)).to_pylist(), bool(kind))
         first = np.zeros(len(used), bool)
         first[heads] = True
         after_feed = fed[used]
         forms = np.where(first | after_feed, form[0][used], form[1][used])
-        # a line feed stands before each word that follows one; it takes the number after all words
-        lead = after_feed.astype(np.int64)
-        sequence = np.full(len(used) + int(lead.sum()), len(self.counts))
-        sequence[np.cumsum(1 + lead) - 1] = forms
-        totals = np.concatenate([[0], np.cumsum(self.counts[forms] + lead)])
-        ids = np.append(self.ids, np.uint32(self.feed))
-        starts, counts = np.append(self.starts, len(self.ids)), np.append(self.counts, 1)
-        return gathered(ids, starts, counts, sequence), np.diff(totals[offsets])
+        # a line feed, number 0, stands before each word that follows one
+        sequence = np.zeros(len(used) + int(after_feed.sum()), np.int32)
+        sequence[np.cumsum(1 + after_feed.astype(np.int32)) - 1] = forms
+        totals = np.concatenate([[0], np.cumsum(self.counts[forms] + after_feed)])
+        return gathered(self.ids, self.starts, self.counts, sequence), np.diff(totals[offsets])
 
 
 def gathered(values: np.ndarray, starts: np.ndarray, counts: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Runs of ``values`` (run i begins at ``starts[i]`` and has ``counts[i]`` of them) in the given order."""
     taken = counts[order]
     ends = np.cumsum(taken)
-    return values[np.repeat(starts[order] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)]
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(len(values), total) < 2**31 else np.int64  # of the largest arrays here
+    at = np.repeat((starts[order] - (ends - taken)).astype(kind), taken)
+    at += np.arange(total, dtype=kind)
+    return values[at]
 
 
 def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
