@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import TABLES
 
@@ -175,3 +176,31 @@ def test_every_word_has_its_own_pairs(spark, monkeypatch, cached):
         n, known, base, score = plain.score(text)
         assert got[doc_id][:4] == (doc_id, n, known, plain.n)
         assert got[doc_id][4:] == pytest.approx((base, score), rel=1e-9, abs=1e-5)  # sums of 150,000 terms
+
+
+def test_rows_are_handed_on_by_place(monkeypatch):
+    monkeypatch.setattr(katz, "TOLD_ROWS", 7)
+    random.seed(5)
+    rows = [(random.choice([-(2**63), -1, 0, 5, 2**63 - 1]), at, random.randint(1, 9)) for at in range(100)]
+    columns = zip(*rows, strict=True)
+    table = pa.concat_tables([pa.table(dict(zip(("place", "word", "count"), map(list, columns), strict=True)))] * 2)
+    parts = list(katz.by_place(table))
+    assert max(part.num_rows for part in parts) == 7
+    told = [tuple(row.values()) for part in parts for row in part.to_pylist()]
+    assert [row[0] for row in told] == sorted(row[0] for row in told) and sorted(told) == sorted(rows * 2)
+    assert list(katz.by_place(table.slice(0, 0))) == []
+
+
+def test_places_come_as_an_arrow_table(spark, monkeypatch):
+    given, make = [], type(spark).createDataFrame
+
+    def watched(self, data, *args, **options):
+        given.append(type(data))
+        return make(self, data, *args, **options)
+
+    monkeypatch.setattr(type(spark), "createDataFrame", watched)
+    places = katz.Places(np.array([-(2**62), 7]), np.array([2, 3]))
+    expected = [(-(2**62), -(2**62)), (-(2**62), -(2**62) ^ katz.STEP), (7, 7), (7, 7 ^ katz.STEP), (7, 7 ^ 2 * katz.STEP)]
+    assert sorted(map(tuple, places.table(spark).collect())) == sorted(expected)
+    empty = katz.Places(np.zeros(0, np.int64), np.zeros(0, np.int64)).table(spark)
+    assert empty.count() == 0 and empty.columns == ["context", "place"] and set(given) == {pa.Table}

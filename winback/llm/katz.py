@@ -51,6 +51,8 @@ DISCOUNTED = 5
 TEXT_BYTES = 8_000_000
 #: distinct keys a task holds before it hands its counts on
 HELD = 4_000_000
+#: rows that a task hands on at a time
+TOLD_ROWS = 200_000
 #: a context with more than 1/SPREAD of the tokens has several places
 SPREAD = 5000
 #: tokens of a bucket of pairs, and the most buckets Spark allows
@@ -149,7 +151,9 @@ class Places:
         """context and place of the busy ones; at most 2 * SPREAD rows."""
         found = zip(self.contexts.tolist(), self.numbers.tolist(), strict=True)
         rows = [(context, context ^ part * STEP) for context, number in found for part in range(number)]
-        return F.broadcast(spark.createDataFrame(rows, "context bigint, place bigint"))
+        contexts, places = zip(*rows, strict=True) if rows else ((), ())
+        # rows given as Python objects would start workers of another kind on the executors
+        return F.broadcast(spark.createDataFrame(pa.table({"context": pa.array(contexts, pa.int64()), "place": pa.array(places, pa.int64())})))
 
 
 @dataclass(frozen=True)
@@ -208,6 +212,14 @@ def _tallied(**columns: np.ndarray) -> pa.Table:
     return pa.table(columns).group_by(names, use_threads=False).aggregate([([], "count_all")]).select([*names, "count_all"]).rename_columns([*names, "count"])
 
 
+def by_place(table: pa.Table) -> Iterator[pa.Table]:
+    """The rows in order of ``place``, some at a time; a shuffle packs rows closer when their places repeat."""
+    table = table.combine_chunks()
+    order = np.argsort(table.column("place").to_numpy(), kind="stable")
+    for start in range(0, len(order), TOLD_ROWS):
+        yield table.take(pa.array(order[start : start + TOLD_ROWS]))
+
+
 @contextmanager
 def joined_in_place(spark: SparkSession) -> Iterator[None]:
     """Meanwhile joins by place and word take sides that are dealt by place alone as they are, without a shuffle."""
@@ -230,10 +242,11 @@ def _count_pairs(cached) -> object:
         places, keys, counts = cached.value
 
         def told(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            at, here = looked_up(keys, table.column("word").to_numpy())
-            seen = np.zeros(len(at), np.int64)
-            seen[here] = counts[at[here]]
-            yield from table.append_column("seen", pa.array(seen)).to_batches()
+            for part in by_place(table):
+                at, here = looked_up(keys, part.column("word").to_numpy())
+                seen = np.zeros(len(at), np.int64)
+                seen[here] = counts[at[here]]
+                yield from part.append_column("seen", pa.array(seen)).to_batches()
 
         held, rows = [], 0
         for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
@@ -391,9 +404,10 @@ def _ask(model) -> object:
                 whose=np.concatenate([owner[~hot], owner[alone]]),
                 place=np.concatenate([places[~hot], tokens[alone] ^ ALONE]),
                 word=np.concatenate([tokens[~hot], tokens[alone]]),
-            ).combine_chunks()
-            place, word, times, whose = (pa.concat_arrays(asked.column(name).chunks or [pa.array([], pa.int64())]) for name in ("place", "word", "count", "whose"))
-            yield pa.RecordBatch.from_arrays([row.take(whose), place, word, times, pa.nulls(len(whose), own_type)], names=names)
+            )
+            for part in by_place(asked):
+                place, word, times, whose = (part.column(name).combine_chunks() for name in ("place", "word", "count", "whose"))
+                yield pa.RecordBatch.from_arrays([row.take(whose), place, word, times, pa.nulls(len(whose), own_type)], names=names)
 
     return tidied(run)
 
