@@ -67,6 +67,50 @@ def test_words_are_forgotten_and_learned_again(monkeypatch):
         assert (np.diff(encoder.high.astype(object)) >= 0).all() and len(encoder.numbers) == len(encoder.counts)
 
 
+def test_a_mark_after_a_word_is_a_word_of_its_own():
+    encoder = packing.Encoder(tokenizer_path())
+    random.seed(11)
+    ends = [".", ",", ";", ":", "!", "?", "..", "'", "'s.", "*", ".x", "\u0301."]
+    stems = ["word", "z", "Z", "é", "ÿ", "÷", "×", "naïve", "ĳ", "ж", "9", "x9", "²", "'", "'s", "", "@", "[", "`", "{", "\u0183", "ǃ", "日本"]
+    texts = [" ".join(random.choice(stems) + random.choice(ends) for _ in range(6)) + random.choice(["", "\nword.\nword,", "\n."]) for _ in range(800)]
+    ids, counts = encoder.texts(pa.array(texts))
+    for text, end, count in zip(texts, np.cumsum(counts), counts, strict=True):
+        assert ids[end - count : end].tolist() == list(whole(text))[:-1], repr(text)
+    encoder = packing.Encoder(tokenizer_path())
+    encoder.texts(pa.array(["one two, two. two! three, three. three"]))
+    assert len(encoder.counts) == 8  # the line feed, the first word in both forms, two words and three marks
+    words = ["word.", "é,", "a!", ".", "", "x9.", "×.", "w..", "ж?", "w"]
+    for given in (words, ["left out", *words]):
+        array = pa.array([word.encode() for word in given], pa.large_binary())[len(given) - len(words) :]
+        assert packing.marked(array).tolist() == [True] * 3 + [False] * 7
+    assert packing.marked(pa.array([], pa.large_binary())).tolist() == []
+
+
+def test_words_met_again_are_not_forgotten(monkeypatch):
+    encoder = packing.Encoder(tokenizer_path())
+    monkeypatch.setattr(encoder, "REMEMBERED", 40)
+    learned, learn = Counter(), encoder._learn
+
+    def watched(words, high, low, lead):
+        learned.update((lead, word) for word in words)
+        learn(words, high, low, lead)
+
+    monkeypatch.setattr(encoder, "_learn", watched)
+    for at in range(30):
+        texts = ["often alpha, beta\ngamma", " ".join(f"x{chr(97 + at)}{chr(97 + i)}" for i in range(15))]
+        ids, counts = encoder.texts(pa.array(texts))
+        assert ids.tolist() == [i for text in texts for i in list(whole(text))[:-1]]
+        assert len(encoder.numbers) == len(encoder.counts) == len(encoder.again) <= 40 + 20
+        assert sorted(encoder.numbers.tolist()) == list(range(len(encoder.counts)))
+    assert all(learned[word] == 1 for word in ((b"", b"often"), (b" ", b"alpha"), (b" ", b"beta"), (b"", b"gamma"), (b"", b",")))
+    assert len(learned) > 400  # so many that memory was full several times
+    # where all words are met again, none stays
+    encoder.again[:] = True
+    monkeypatch.setattr(encoder, "REMEMBERED", 4)
+    encoder.forget_rare()
+    assert encoder.numbers.tolist() == [0] and encoder.ids.tolist() == [encoder.feed]
+
+
 def test_learning_many_words_holds_no_second_copy_of_what_is_known():
     random.seed(3)
 

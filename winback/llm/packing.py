@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from winback.llm.arrow import give_back_memory, kept_by_worker, sliced, sliced_by_bytes, small_batches, tidied
+from winback.llm.arrow import kept_by_worker, return_freed, sliced, sliced_by_bytes, small_batches, tidied
 from winback.llm.common import id_and_text, stored
 
 CAPACITY = 1024
@@ -55,6 +55,29 @@ ODD_SPACE = (
 AFTER_BLANK = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: marks that a word often ends in, and the letters of two bytes that all begin with LATIN
+MARKS, LATIN, NO_LETTERS = np.frombuffer(b".,;:!?", np.uint8), 0xC3, np.array([0x97, 0xB7], np.uint8)
+
+
+def marked(words: pa.LargeBinaryArray) -> np.ndarray:
+    """Which words are a letter, or more that ends in one, and one mark after it.
+
+    The pre-tokeniser always cuts between the two. Letters are those of ASCII and Latin-1 here; other words stay whole.
+    """
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    text = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    lengths, ends = np.diff(ends), ends[1:]
+    found = np.flatnonzero(lengths > 1)
+    found = found[np.isin(text[ends[found] - 1], MARKS)]
+    last = text[ends[found] - 2]
+    letter = ((last | 0x20) >= ord("a")) & ((last | 0x20) <= ord("z"))
+    long_ = lengths[found] > 2
+    latin = (text[ends[found] - 2 - long_] == LATIN) & long_ & ~np.isin(last, NO_LETTERS) & (last >= 0x80)
+    result = np.zeros(len(words), bool)
+    result[found[letter | latin]] = True
+    return result
+
+
 def digests(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """128-bit digests of words, as their high and low halves."""
     from xxhash import xxh3_128_digest
@@ -71,15 +94,18 @@ class Encoder:
     feeds can be taken apart there and its ids are those of its words. Words are encoded many at a time, joined by
     line feeds, and told apart by the line feed's id. Any other text is encoded as a whole.
 
+    A mark after a word, such as a comma, is a word of its own, so that the word is the same with and without it.
+
     What is remembered lies in flat arrays, without an object per word: the ids of all words one after the other, where
     each word's begin, and the words' 128-bit digests in order. The line feed is the word numbered 0. New words are put
-    into one array after the other, so that at no time all arrays are there twice.
+    into one array after the other, so that at no time all arrays are there twice. When too many are remembered, those
+    stay that were met again.
     """
 
     JOINED = 1000
     #: characters from which on whole texts go to the tokenizer
     ENCODED = 100_000
-    #: words and ids remembered, 28 bytes a word and 4 an id; beyond either all are forgotten
+    #: words and ids remembered, 29 bytes a word and 4 an id; beyond either those not met again are forgotten
     REMEMBERED = 1_000_000
     REMEMBERED_IDS = 6_000_000
 
@@ -97,6 +123,22 @@ class Encoder:
         # digests in order, and the number of the word each belongs to
         self.high, self.low = digests([b"\n"])
         self.numbers = np.zeros(1, np.int32)
+        self.again = np.zeros(1, bool)  # by number: met in a later slice of texts than the one that brought it
+
+    def forget_rare(self) -> None:
+        """Forget the words that were not met again, and all if that leaves more than half of what may be remembered."""
+        self.again[0] = True
+        kept = np.flatnonzero(self.again)
+        if len(kept) > self.REMEMBERED // 2 or self.counts[kept].sum() > self.REMEMBERED_IDS // 2:
+            self.forget()
+            return
+        self.ids = gathered(self.ids, self.starts, self.counts, kept)
+        self.counts = self.counts[kept]
+        self.starts = (np.cumsum(self.counts) - self.counts).astype(np.int32)
+        stays = self.again[self.numbers]
+        self.high, self.low = self.high[stays], self.low[stays]
+        self.numbers = (np.cumsum(self.again) - 1).astype(np.int32)[self.numbers[stays]]
+        self.again = np.zeros(len(kept), bool)
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text.
@@ -136,6 +178,7 @@ class Encoder:
         at = np.searchsorted(self.high, high[order])
         self.high, self.low = np.insert(self.high, at, high[order]), np.insert(self.low, at, low[order])
         self.numbers = np.insert(self.numbers, at, (number + order).astype(np.int32))
+        self.again = np.concatenate([self.again, np.zeros(len(words), bool)])
 
     def words(self, words: list[bytes], after_blank: bool) -> np.ndarray:
         """The numbers of words without white space, as they stand or with a blank before them."""
@@ -144,6 +187,7 @@ class Encoder:
         high = high ^ (AFTER_BLANK if after_blank else np.uint64(0))
         found = self._find(high, low)
         new = np.flatnonzero(found < 0)
+        self.again[found[found >= 0]] = True
         if len(new):
             once, first, back = np.unique(np.stack([high[new], low[new]]), axis=1, return_index=True, return_inverse=True)
             number = len(self.counts)
@@ -164,7 +208,7 @@ class Encoder:
 
     def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.counts) > self.REMEMBERED or len(self.ids) > self.REMEMBERED_IDS:
-            self.forget()
+            self.forget_rare()
         lines = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " \n"), " ")
         coded = lines.values.dictionary_encode()
         offsets = lines.offsets.to_numpy() - lines.offsets[0].as_py()
@@ -175,17 +219,30 @@ class Encoder:
         plain = fed.copy()
         plain[used[heads]] = True
         bare = pc.utf8_ltrim(coded.dictionary, "\n").cast(pa.large_binary())
-        form = np.zeros((2, len(fed)), np.int32)
-        for kind, chosen in enumerate((plain, ~fed)):
-            form[kind, chosen] = self.words(bare.filter(pa.array(chosen)).to_pylist(), bool(kind))
+        has_mark = marked(bare)
+        marks = pc.binary_slice(bare.filter(pa.array(has_mark)), -1).to_pylist()
+        mark = np.zeros(len(fed), np.int32)
+        mark[has_mark] = self.words(marks, False)
+        stems = pc.if_else(pa.array(has_mark), pc.binary_slice(bare, 0, -1), bare).dictionary_encode()
+        stem = stems.indices.to_numpy()
+        form = np.zeros((2, len(stems.dictionary)), np.int32)
+        for kind, asked in enumerate((plain, ~fed)):
+            chosen = np.zeros(form.shape[1], bool)
+            chosen[stem[asked]] = True
+            form[kind, chosen] = self.words(stems.dictionary.filter(pa.array(chosen)).to_pylist(), bool(kind))
         first = np.zeros(len(used), bool)
         first[heads] = True
-        after_feed = fed[used]
-        forms = np.where(first | after_feed, form[0][used], form[1][used])
-        # a line feed, number 0, stands before each word that follows one
-        sequence = np.zeros(len(used) + int(after_feed.sum()), np.int32)
-        sequence[np.cumsum(1 + after_feed.astype(np.int32)) - 1] = forms
-        totals = np.concatenate([[0], np.cumsum(self.counts[forms] + after_feed)])
+        after_feed, before_mark = fed[used], has_mark[used]
+        forms = np.where(first | after_feed, form[0][stem][used], form[1][stem][used])
+        # a line feed, number 0, stands before each word that follows one, a mark after its word
+        ends = np.cumsum(1 + after_feed.astype(np.int32) + before_mark)
+        sequence = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
+        sequence[ends - 1 - before_mark] = forms
+        marks = mark[used[before_mark]]
+        sequence[ends[before_mark] - 1] = marks
+        taken = self.counts[forms] + after_feed
+        taken[before_mark] += self.counts[marks]
+        totals = np.concatenate([[0], np.cumsum(taken)])
         return gathered(self.ids, self.starts, self.counts, sequence), np.diff(totals[offsets])
 
 
@@ -221,7 +278,7 @@ def tokenise(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
         for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
             ids, counts = encoder.texts(batch.column("text"))
             # arrays that grew were copied; their old places would stay with the worker
-            give_back_memory()
+            return_freed()
             flat = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             document, number, start, length = cut(counts + 1, capacity)
             # pieces lie one after the other
