@@ -23,6 +23,10 @@ word, times) for each question; these go to the buckets of the pairs, are answer
 for has more than CACHED of the tokens, so this join has no hot keys. Texts are told apart by a number of their row. A question
 for a word alone has a place made from the word.
 
+Questions take more room than texts, so they are asked in several parts, one after the other, each with the files of its own
+questions only: a part is a range of places, and all places of a context lie in the range of the context itself. Texts are read
+once for each part; the sums of the parts meet by doc_id and a hash of the text, so a table need not give its rows in the same order again.
+
 Defined cases: a null text counts as empty and is an end alone; with no training text every word is unknown, and it and
 the end have chance 1; discounts that the counts of counts do not support (too few texts) are (r - 0.5) / r; a context whose discounts leave
 nothing gives its count one more, unseen, event; repeated rows are scored one by one; a null doc_id is an id
@@ -42,7 +46,7 @@ from pyspark.sql import functions as F
 
 from winback.llm.arrow import sliced_by_bytes, small_batches, tidied
 from winback.llm.common import id_and_text, release, shared_path, stored
-from winback.llm.words import word_hashes
+from winback.llm.words import coded_words
 
 #: least share of all training tokens of a word or pair that is broadcast for scoring
 CACHED = 2.5e-7
@@ -50,7 +54,7 @@ CACHED = 2.5e-7
 DISCOUNTED = 5
 TEXT_BYTES = 8_000_000
 #: distinct keys a task holds before it hands its counts on
-HELD = 4_000_000
+HELD = 3_000_000
 #: rows that a task hands on at a time
 TOLD_ROWS = 200_000
 #: a context with more than 1/SPREAD of the tokens has several places
@@ -66,12 +70,25 @@ BEGIN_HASH = 0x2B7E151628AED2A6
 ALONE = 0x3C6EF372FE94F82B
 #: from one place of a context to the next; SPREAD + 1 of them stay below 2 ** 63
 STEP = 0x9E3779B97F4A
+#: the least place of each part of the questions, multiples of 2 ** 61 (steps change no bit from 2 ** 60 on)
+PARTS = (-(2**63), 0)
+
+
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words and of the end, which of them all tokens are, and the number of tokens of each text."""
+    words, codes, counts = coded_words(texts)
+    keys = np.append(words, np.uint64(END_HASH)).view(np.int64)
+    return keys, np.insert(codes, np.cumsum(counts), len(words)), counts + 1
+
+
+def part_of(places: np.ndarray) -> np.ndarray:
+    """The part of the questions that places, or contexts, belong to."""
+    return np.searchsorted(np.array(PARTS), places, side="right") - 1
 
 
-def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens, ends included, and the number of tokens of each text."""
-    words, counts = word_hashes(texts)
-    return np.insert(words, np.cumsum(counts), np.uint64(END_HASH)).view(np.int64), counts + 1
+def in_part(place: Column, part: int) -> Column:
+    above = place >= F.lit(PARTS[part])
+    return above & (place < F.lit(PARTS[part + 1])) if part + 1 < len(PARTS) else above
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +99,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "count"])
 
     for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
-        new, times = np.unique(tokens_of(batch.column("text"))[0], return_counts=True)
+        new, tokens, _ = tokens_of(batch.column("text"))
+        times = np.bincount(tokens, minlength=len(new))
+        new, times = new[times > 0], times[times > 0]
         merged, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
         counts = np.bincount(at, np.concatenate([counts, times]), len(merged)).astype(np.int64)
         keys = merged
@@ -140,11 +159,14 @@ class Places:
         order = order[numbers[order] > 1]
         return cls(contexts[order], numbers[order])
 
-    def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """The place of each pair."""
-        at, busy = looked_up(self.contexts, contexts)
-        places = contexts.copy()
-        places[busy] ^= (words[busy].view(np.uint64) % self.numbers[at[busy]].astype(np.uint64)).astype(np.int64) * STEP
+    def find(self, keys: np.ndarray, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The place of each pair; contexts and words are numbers of ``keys``."""
+        at, several = looked_up(self.contexts, keys)
+        numbers = np.ones(len(keys), np.uint64)
+        numbers[several] = self.numbers[at[several]]
+        places = keys[contexts]
+        busy = np.flatnonzero(several[contexts])
+        places[busy] ^= (keys[words[busy]].view(np.uint64) % numbers[contexts[busy]]).astype(np.int64) * STEP
         return places
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -192,11 +214,12 @@ def _drop(spark: SparkSession, pairs: str, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def pairs_of(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The context of each token."""
+def pairs_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of distinct tokens and BEGIN_HASH, which of them all tokens and their contexts are, and the tokens of each text."""
+    keys, tokens, counts = tokens_of(texts)
     contexts = np.roll(tokens, 1)
-    contexts[np.cumsum(counts) - counts] = BEGIN_HASH
-    return contexts
+    contexts[np.cumsum(counts) - counts] = len(keys)
+    return np.append(keys, BEGIN_HASH), tokens, contexts, counts
 
 
 def mixed(places: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -232,7 +255,8 @@ def joined_in_place(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-PAIRS = "place bigint, word bigint, count bigint, seen bigint"
+# what most rows have alike stands at the end, next to the place of the row after it: a shuffle packs that closer
+PAIRS = "place bigint, word bigint, seen bigint, count bigint"
 
 
 def _count_pairs(cached) -> object:
@@ -246,12 +270,12 @@ def _count_pairs(cached) -> object:
                 at, here = looked_up(keys, part.column("word").to_numpy())
                 seen = np.zeros(len(at), np.int64)
                 seen[here] = counts[at[here]]
-                yield from part.append_column("seen", pa.array(seen)).to_batches()
+                yield from part.add_column(2, "seen", pa.array(seen)).to_batches()
 
         held, rows = [], 0
         for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
-            tokens, lengths = tokens_of(batch.column("text"))
-            held.append(_tallied(place=places.find(pairs_of(tokens, lengths), tokens), word=tokens))
+            distinct, tokens, contexts, _ = pairs_of(batch.column("text"))
+            held.append(_tallied(place=places.find(distinct, contexts, tokens), word=distinct[tokens]))
             rows += held[-1].num_rows
             if rows > HELD:
                 held = [pa.concat_tables(held).group_by(["place", "word"], use_threads=False).aggregate([("count", "sum")]).rename_columns(["place", "word", "count"])]
@@ -279,12 +303,15 @@ def _with_chances(pairs: DataFrame, rare: DataFrame, buckets: int, factors: np.n
     return met.withColumn("chance", F.coalesce(known, "chance"))
 
 
-def gained(spark: SparkSession, model: Katz, which: Column) -> DataFrame:
-    """place, word and gain of some pairs, dealt as the pairs are."""
+def gained(spark: SparkSession, model: Katz, which: Column, part: int | None = None) -> DataFrame:
+    """place, word and gain of some pairs, of one part or all, dealt as the pairs are."""
     rare = spark.read.parquet(f"{model.path}/order=1").filter(F.col("count") < model.least)
-    found = _with_chances(spark.table(model.pairs).filter(which), rare, model.buckets, model.word_factors, model.total)
+    pairs, contexts = spark.table(model.pairs).filter(which), spark.read.parquet(f"{model.path}/contexts")
+    if part is not None:
+        pairs, contexts = pairs.filter(in_part(F.col("place"), part)), contexts.filter(in_part(F.col("context"), part))
+    found = _with_chances(pairs, rare, model.buckets, model.word_factors, model.total)
     several = model.places.table(spark).groupBy("context").agg(F.collect_list("place").alias("places"))
-    contexts = spark.read.parquet(f"{model.path}/contexts").join(F.broadcast(several), "context", "left")
+    contexts = contexts.join(F.broadcast(several), "context", "left")
     contexts = contexts.select(F.explode(F.coalesce("places", F.array("context"))).alias("place"), "scale", "alpha")
     found = found.join(contexts.repartition(model.buckets, "place").hint("shuffle_hash"), "place")
     mass = discounted(F.col("count"), model.pair_factors)
@@ -321,7 +348,7 @@ def _train(docs: DataFrame) -> Katz:
     told = texts.mapInArrow(_count_pairs(cached), PAIRS).repartition(buckets, "place")
     name = "katz_pairs_" + path.rsplit("-", 1)[1]
     spark.sql(f"CREATE TABLE {name} ({PAIRS}) USING parquet CLUSTERED BY (place) SORTED BY (place) INTO {buckets} BUCKETS LOCATION '{path}/order=2'")
-    told.groupBy("place", "word").agg(F.sum("count").alias("count"), F.max("seen").alias("seen")).write.insertInto(name)
+    told.groupBy("place", "word").agg(F.max("seen").alias("seen"), F.sum("count").alias("count")).write.insertInto(name)
     release()
     cached.destroy()
     pairs = spark.table(name)
@@ -367,47 +394,56 @@ def _logs(values: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(values, 1e-300))
 
 
-OWN = "doc_id bigint, n_tokens bigint, n_known double, told_base double, score double"
-TOLD = f"row bigint, place bigint, word bigint, times bigint, own struct<{OWN.replace(' ', ':')}>".replace(",:", ", ")
+OWN = "doc_id bigint, mark bigint, n_tokens bigint, n_known double, told_base double, score double"
+TOLD = f"place bigint, word bigint, row bigint, times bigint, own struct<{OWN.replace(' ', ':')}>".replace(",:", ", ")
 
 
-def _ask(model) -> object:
-    """A mapInArrow function: a row of what is known of each text, and rows of words and pairs to be asked for."""
+def _ask(model, part: int) -> object:
+    """A mapInArrow function: a row of what is known of each text, and rows of words and pairs to be asked for, of one part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: Katz = model.value
-        names = ["row", "place", "word", "times", "own"]
-        own_names = [part.split()[0] for part in OWN.split(", ")]
-        own_type = pa.struct(list(zip(own_names, [pa.int64()] * 2 + [pa.float64()] * 3, strict=True)))
+        names = ["place", "word", "row", "times", "own"]
+        own_names = [field.split()[0] for field in OWN.split(", ")]
+        own_type = pa.struct(list(zip(own_names, [pa.int64()] * 3 + [pa.float64()] * 3, strict=True)))
         word_logs = _logs(kept.word_chances) + _logs(kept.word_alphas)
         count_logs = np.log10(kept.word_counts + 1.0)
         begin_log, unknown_log = _logs(np.array([kept.begin_alpha, kept.unknown]))
         for batch in sliced_by_bytes(batches, "text", TEXT_BYTES):
-            tokens, counts = tokens_of(batch.column("text"))
+            keys, tokens, contexts, counts = pairs_of(batch.column("text"))
             owner = np.repeat(np.arange(len(counts)), counts)
-            places = kept.places.find(pairs_of(tokens, counts), tokens)
-            score, base = np.full(len(tokens), unknown_log), np.zeros(len(tokens))
-            at, cached = looked_up(kept.word_keys, tokens)
+            # words, by the place where they are asked for alone
+            mine = (part_of(keys ^ ALONE) == part)[tokens]
+            words, whose = tokens[mine], owner[mine]
+            at, cached = looked_up(kept.word_keys, keys)
+            score, base = np.full(len(keys), unknown_log), np.zeros(len(keys))
             score[cached], base[cached] = word_logs[at[cached]], count_logs[at[cached]]
-            at, hot = looked_up(kept.pair_keys, mixed(places, tokens))
-            hot[hot] = (kept.pair_places[at[hot]] == places[hot]) & (kept.pair_words[at[hot]] == tokens[hot])
-            score[hot] += kept.pair_gains[at[hot]]
-            sums = [np.bincount(owner, values, len(counts)) for values in (cached.astype(float), base, score)]
-            sums[2] += begin_log
+            # of no numbers at all the sums would be integers
+            sums = [np.bincount(whose, values[words], len(counts)).astype(float) for values in (cached, base, score)]
+            alone = ~cached[words]
+            whose, alone = whose[alone], keys[words[alone]]
+            # pairs, by their context
+            mine = (part_of(keys) == part)[contexts]
+            tokens, contexts, owner = tokens[mine], contexts[mine], owner[mine]
+            places, words = kept.places.find(keys, contexts, tokens), keys[tokens]
+            at, hot = looked_up(kept.pair_keys, mixed(places, words))
+            hot[hot] = (kept.pair_places[at[hot]] == places[hot]) & (kept.pair_words[at[hot]] == words[hot])
+            sums[2] += np.bincount(owner[hot], kept.pair_gains[at[hot]], len(counts))
+            if part == 0:
+                sums[2] += begin_log
             # a text's own row asks nothing; its number as key spreads these rows, and no table holds such a pair
             row = batch.column("row")
-            own = pa.StructArray.from_arrays([batch.column("doc_id"), pa.array(counts), *map(pa.array, sums)], names=own_names)
+            own = pa.StructArray.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(counts), *map(pa.array, sums)], names=own_names)
             yield pa.RecordBatch.from_arrays([row, row, row, pa.array(np.zeros(len(row), np.int64)), own], names=names)
             # what is asked for, once per text with its number of times
-            alone = ~cached
             asked = _tallied(
-                whose=np.concatenate([owner[~hot], owner[alone]]),
-                place=np.concatenate([places[~hot], tokens[alone] ^ ALONE]),
-                word=np.concatenate([tokens[~hot], tokens[alone]]),
+                whose=np.concatenate([owner[~hot], whose]),
+                place=np.concatenate([places[~hot], alone ^ ALONE]),
+                word=np.concatenate([words[~hot], alone]),
             )
-            for part in by_place(asked):
-                place, word, times, whose = (part.column(name).combine_chunks() for name in ("place", "word", "count", "whose"))
-                yield pa.RecordBatch.from_arrays([row.take(whose), place, word, times, pa.nulls(len(whose), own_type)], names=names)
+            for told in by_place(asked):
+                place, word, times, whose = (told.column(name).combine_chunks() for name in ("place", "word", "count", "whose"))
+                yield pa.RecordBatch.from_arrays([place, word, row.take(whose), times, pa.nulls(len(whose), own_type)], names=names)
 
     return tidied(run)
 
@@ -420,22 +456,46 @@ def words_alone(spark: SparkSession, model: Katz) -> DataFrame:
     return rare.select(F.col("key").bitwiseXOR(F.lit(ALONE)).alias("place"), F.col("key").alias("word"), F.log10(F.col("count") + 1).alias("base"), more.alias("more"))
 
 
-def score(docs: DataFrame, model: Katz) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 chances) of every document, stored."""
-    spark = docs.sparkSession
-    rows = small_batches(docs).select(*id_and_text()).withColumn("row", F.monotonically_increasing_id())
-    asked = rows.mapInArrow(_ask(spark.sparkContext.broadcast(model)), TOLD).repartition(model.buckets, "place")
-    found = asked.join(gained(spark, model, F.col("count") < model.least).hint("shuffle_hash"), ["place", "word"], "left")
-    found = found.join(words_alone(spark, model).repartition(model.buckets, "place").hint("shuffle_hash"), ["place", "word"], "left")
+SUMS = ("n_known", "told_base", "score")
+
+
+def _summed(rows: DataFrame, model: Katz, shared, part: int) -> DataFrame:
+    """doc_id, mark, n_tokens and SUMS of every text over one part of the questions, stored."""
+    spark = rows.sparkSession
+    asked = rows.mapInArrow(_ask(shared, part), TOLD).repartition(model.buckets, "place")
+    found = asked.join(gained(spark, model, F.col("count") < model.least, part).hint("shuffle_hash"), ["place", "word"], "left")
+    alone = words_alone(spark, model).filter(in_part(F.col("place"), part))
+    found = found.join(alone.repartition(model.buckets, "place").hint("shuffle_hash"), ["place", "word"], "left")
 
     def total(own: str, answered: Column):
         return F.sum(F.coalesce(f"own.{own}", F.lit(0.0)) + F.col("times") * answered).alias(own)
 
     base, gain, more = (F.coalesce(name, F.lit(0.0)) for name in ("base", "gain", "more"))
     known = F.col("base").isNotNull().cast("double")
-    sums = found.groupBy("row").agg(
-        F.max("own.doc_id").alias("doc_id"), F.sum("own.n_tokens").alias("n_tokens"), total("n_known", known), total("told_base", base), total("score", gain + more)
-    )
+    totals = [total(name, answered) for name, answered in zip(SUMS, (known, base, gain + more), strict=True)]
+    own = [F.max(f"own.{name}").alias(name) for name in ("doc_id", "mark", "n_tokens")]
+    with joined_in_place(spark):
+        return stored(found.groupBy("row").agg(*own, *totals).drop("row"), "katz-sums")
+
+
+def score(docs: DataFrame, model: Katz) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 chances) of every document, stored."""
+    spark = docs.sparkSession
+    rows = small_batches(docs).select(*id_and_text())
+    rows = rows.select("*", F.xxhash64("doc_id", "text").alias("mark"), F.monotonically_increasing_id().alias("row"))
+    shared = spark.sparkContext.broadcast(model)
+    parts = []
+    for part in range(len(PARTS)):
+        parts.append(_summed(rows, model, shared, part))
+        release()
+    shared.destroy()
+    sums = parts[0]
+    for other in parts[1:]:
+        # rows with the same id and text have the same sums
+        once = other.groupBy("doc_id", "mark").agg(*[F.max(name).alias(f"other_{name}") for name in SUMS])
+        once = once.withColumnsRenamed({"doc_id": "other_id", "mark": "other_mark"})
+        sums = sums.join(once, F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("mark") == F.col("other_mark")))
+        sums = sums.select("doc_id", "mark", "n_tokens", *[(F.col(name) + F.col(f"other_{name}")).alias(name) for name in SUMS])
     below = np.log10(model.tokens + model.distinct + 1)
     scores = sums.select(
         "doc_id",
@@ -445,5 +505,6 @@ def score(docs: DataFrame, model: Katz) -> DataFrame:
         (F.col("told_base") - F.col("n_tokens") * F.lit(float(below))).alias("base_score"),
         "score",
     )
-    with joined_in_place(spark):
-        return stored(scores, "katz-scores")
+    scores = stored(scores, "katz-scores")
+    release(*parts)
+    return scores

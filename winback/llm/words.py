@@ -12,8 +12,8 @@ import pyarrow.compute as pc
 import xxhash
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words one after the other, and how many each text has (null: none)."""
+def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words, which of them stand one after the other, and how many each text has (null: none)."""
     # a copy of its own: Arrow lowers a slice that was cast to large strings from the wrong place
     texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string()), "")
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
@@ -24,4 +24,10 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     codes = coded.indices.to_numpy()
     owners = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
     real = filled[codes] if len(distinct) else np.zeros(0, bool)
-    return hashes[codes[real]], np.bincount(owners[real], minlength=len(texts)).astype(np.int64)
+    return hashes, codes[real], np.bincount(owners[real], minlength=len(texts)).astype(np.int64)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words one after the other, and how many each text has (null: none)."""
+    hashes, codes, counts = coded_words(texts)
+    return hashes[codes], counts
