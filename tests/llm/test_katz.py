@@ -178,6 +178,56 @@ def test_every_word_has_its_own_pairs(spark, monkeypatch, cached):
         assert got[doc_id][4:] == pytest.approx((base, score), rel=1e-9, abs=1e-5)  # sums of 150,000 terms
 
 
+@pytest.mark.parametrize("lows", [(-4, 0), (-4, -1, 2), (-4, -3, -2, -1, 0, 1, 2, 3), (-4,)])
+def test_questions_are_asked_in_parts(spark, monkeypatch, lows):
+    monkeypatch.setattr(katz, "PARTS", tuple(low * 2**61 for low in lows))
+    monkeypatch.setattr(katz, "SPREAD", 50)
+    monkeypatch.setattr(katz, "CACHED", 0.004)
+    train = [*texts(150, 1), "w0 " * 3000]
+    model = katz.train(docs_of(spark, enumerate(train)))
+
+    class Shared:
+        value = model
+
+    rows = list(enumerate([*train, *texts(20, 2), None, "", "seldom"]))
+    columns = {"doc_id": [row[0] for row in rows], "text": [row[1] or "" for row in rows], "mark": [0] * len(rows), "row": [row[0] for row in rows]}
+    asked = []
+    for part, low in enumerate(katz.PARTS):
+        told = [row for batch in katz._ask(Shared, part)(iter([pa.record_batch(columns)])) for row in batch.to_pylist()]
+        assert sum(row["own"] is not None for row in told) == len(rows)
+        asked.append({(row["row"], row["place"], row["word"]) for row in told if row["own"] is None})
+        high = katz.PARTS[part + 1] if part + 1 < len(lows) else 2**63
+        assert asked[-1] and all(low <= place < high for _, place, _ in asked[-1])
+    assert max(map(len, asked)) < 1.6 * sum(map(len, asked)) * max(np.diff([*lows, 4])) / 8
+    # busy contexts keep to the part of the context, on both sides
+    assert len(model.places.table(spark).collect()) > len(model.places.contexts) > 3
+    for row in model.places.table(spark).collect():
+        assert katz.part_of(np.array([row["place"]])) == katz.part_of(np.array([row["context"]]))
+    plain = Plain(train, 0)
+    again = [*rows, (3, train[3]), (3, train[3]), (3, "other text of the id"), (None, train[3]), (None, train[3]), (None, None)]
+    got = sorted(tuple(row) for row in katz.score(docs_of(spark, again), model).na.fill({"doc_id": -1}).collect())
+    wanted = sorted((-1 if doc_id is None else doc_id, n, known, plain.n, base, score) for doc_id, text in again for n, known, base, score in [plain.score(text)])
+    assert [row[:4] for row in got] == [row[:4] for row in wanted]
+    for mine, want in zip(got, wanted, strict=True):
+        assert mine[4:] == pytest.approx(want[4:], rel=1e-9, abs=1e-6)
+    model.drop(spark)
+    assert not spark.catalog.tableExists(model.pairs) and not spark.catalog.tableExists(katz.rare_of(model.pairs))
+
+
+def test_counts_of_rare_words_are_stored_once(spark, monkeypatch):
+    monkeypatch.setattr(katz, "CACHED", 0.004)
+    model = katz.train(docs_of(spark, enumerate(texts(150, 1))))
+    counts = {row["key"]: row["count"] for row in spark.read.parquet(f"{model.path}/order=1").collect()}
+    pairs = spark.table(model.pairs).collect()
+    rare = {(row["place"], row["word"]): row["seen"] for row in spark.table(katz.rare_of(model.pairs)).collect()}
+    assert rare == {(row["place"], row["word"]): counts[row["word"]] for row in pairs if row["seen"] == 0} and rare
+    assert all(row["seen"] in (0, counts[row["word"]]) for row in pairs)
+    with katz.joined_in_place(spark):
+        # pairs and the rare ones meet as they lie: only the contexts are moved
+        plan = katz.gained(spark, model, katz.F.lit(True), 0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(place") == 1, plan
+
+
 def test_rows_are_handed_on_by_place(monkeypatch):
     monkeypatch.setattr(katz, "TOLD_ROWS", 7)
     random.seed(5)
@@ -204,3 +254,21 @@ def test_places_come_as_an_arrow_table(spark, monkeypatch):
     assert sorted(map(tuple, places.table(spark).collect())) == sorted(expected)
     empty = katz.Places(np.zeros(0, np.int64), np.zeros(0, np.int64)).table(spark)
     assert empty.count() == 0 and empty.columns == ["context", "place"] and set(given) == {pa.Table}
+
+
+def test_files_are_released_again_and_again(monkeypatch):
+    from time import sleep
+    from types import SimpleNamespace
+
+    from winback.llm import common
+
+    calls = []
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(_jvm=SimpleNamespace(System=SimpleNamespace(gc=lambda: calls.append(1)))))
+    monkeypatch.setattr(common, "RELEASED_SECONDS", 0.01)
+    with pytest.raises(ValueError, match="ends"), common.releasing(spark):
+        sleep(0.3)
+        raise ValueError("ends")
+    called = len(calls)
+    assert called > 2
+    sleep(0.1)
+    assert len(calls) == called

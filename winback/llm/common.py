@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from threading import Event, Thread
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from winback.session import ensure_checkpoint_dir
 LOWEST_LONG = -(2**63)
 #: bytes read for each file of a small table, and files for each core that it may have whatever it reads
 FILE_BYTES, FILES_A_CORE = 4_000_000, 3
+RELEASED_SECONDS = 3
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +64,28 @@ def release(*frames: DataFrame) -> None:
     jvm.System.gc()
 
 
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile let Spark delete shuffle files nobody refers to, every few seconds.
+
+    Spark's listeners refer to a query for a while after it has ended, the longer the more tasks it had, so a single call of
+    ``release`` may come too early.
+    """
+    ended, jvm = Event(), spark.sparkContext._jvm
+
+    def run() -> None:
+        while not ended.wait(RELEASED_SECONDS):
+            jvm.System.gc()
+
+    thread = Thread(target=run, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        ended.set()
+        thread.join()
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -5,7 +5,7 @@ pairs. A text starts after BEGIN_HASH. Words are told apart by 64-bit hashes, pa
 
 * ``order=1``: each word's count, its Good-Turing discounted chance, and the backoff weight alpha of what follows it. What the
   discounts leave is the chance of an unknown word.
-* ``order=2``: each pair's count, bucketed by the place of its context. A context has one place, or several, among which its words
+* ``order=2``: each pair's count, and in ``rare`` the counts of its words that are not broadcast, both bucketed by the place of its context. A context has one place, or several, among which its words
   are dealt, if it has more than 1/SPREAD of all tokens; so no bucket holds a busy context, and all that is known of a context
   meets its pairs without moving them. A pair's gain, by how much the logarithm of its discounted chance exceeds that of backing
   off, is made when it is read.
@@ -15,7 +15,7 @@ pairs. A text starts after BEGIN_HASH. Words are told apart by 64-bit hashes, pa
 
 Chances are evaluated recursively: pair, else alpha(context) times the word's chance. A word that no training text has is
 followed by anything at its unigram chance. Words with at least CACHED of all tokens, a bounded number, are broadcast to the tasks
-that count pairs, which write the word's count beside the pair; pairs of other words get their chance through a join by word.
+that count pairs, which write the word's count beside the pair; pairs of other words get it through a join by word, once.
 
 Scoring needs for each word and pair its row of the tables. Those with at least CACHED of all tokens are
 broadcast. All others are asked for: in one pass over the texts a task emits what it knows of each text, and a row (text, place,
@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winback.llm.arrow import sliced_by_bytes, small_batches, tidied
-from winback.llm.common import id_and_text, release, shared_path, stored
+from winback.llm.common import id_and_text, release, releasing, shared_path, stored
 from winback.llm.words import coded_words
 
 #: least share of all training tokens of a word or pair that is broadcast for scoring
@@ -54,7 +54,7 @@ CACHED = 2.5e-7
 DISCOUNTED = 5
 TEXT_BYTES = 8_000_000
 #: distinct keys a task holds before it hands its counts on
-HELD = 3_000_000
+HELD = 2_000_000
 #: rows that a task hands on at a time
 TOLD_ROWS = 200_000
 #: a context with more than 1/SPREAD of the tokens has several places
@@ -208,8 +208,14 @@ class Katz:
         _drop(spark, self.pairs, self.path)
 
 
+def rare_of(pairs: str) -> str:
+    """The table of counts of the words that are not broadcast, for each pair that ends in one."""
+    return pairs + "_rare"
+
+
 def _drop(spark: SparkSession, pairs: str, path: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {pairs}")
+    for name in (pairs, rare_of(pairs)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -257,6 +263,7 @@ def joined_in_place(spark: SparkSession) -> Iterator[None]:
 
 # what most rows have alike stands at the end, next to the place of the row after it: a shuffle packs that closer
 PAIRS = "place bigint, word bigint, seen bigint, count bigint"
+RARE = "place bigint, word bigint, seen bigint"
 
 
 def _count_pairs(cached) -> object:
@@ -295,21 +302,23 @@ def discounted(count: Column, factors: np.ndarray) -> Column:
     return count * F.element_at(F.array(*[F.lit(float(f)) for f in factors[1:]]), F.least(count, F.lit(DISCOUNTED + 1)).cast("int"))
 
 
-def _with_chances(pairs: DataFrame, rare: DataFrame, buckets: int, factors: np.ndarray, total: float) -> DataFrame:
-    """``pairs`` with the chance of their word; ``rare`` has the chances of the words that are not broadcast."""
-    asked = pairs.filter(F.col("seen") == 0).select("place", "word").join(rare.select(F.col("key").alias("word"), "chance"), "word")
-    known = F.when(F.col("seen") > 0, discounted(F.greatest("seen", F.lit(1)), factors) / F.lit(total or 1.0))
-    met = pairs.join(asked.repartition(buckets, "place").hint("shuffle_hash"), ["place", "word"], "left")
-    return met.withColumn("chance", F.coalesce(known, "chance"))
+def _bucketed(spark: SparkSession, name: str, schema: str, buckets: int, path: str) -> None:
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (place) SORTED BY (place) INTO {buckets} BUCKETS LOCATION '{path}'")
 
 
-def gained(spark: SparkSession, model: Katz, which: Column, part: int | None = None) -> DataFrame:
-    """place, word and gain of some pairs, of one part or all, dealt as the pairs are."""
-    rare = spark.read.parquet(f"{model.path}/order=1").filter(F.col("count") < model.least)
-    pairs, contexts = spark.table(model.pairs).filter(which), spark.read.parquet(f"{model.path}/contexts")
-    if part is not None:
-        pairs, contexts = pairs.filter(in_part(F.col("place"), part)), contexts.filter(in_part(F.col("context"), part))
-    found = _with_chances(pairs, rare, model.buckets, model.word_factors, model.total)
+def _with_chances(pairs: DataFrame, rare: DataFrame, factors: np.ndarray, total: float) -> DataFrame:
+    """``pairs`` with the chance of their word; ``rare`` has the counts of words that are not broadcast, by pair."""
+    met = pairs.join(rare.withColumnRenamed("seen", "seldom").hint("shuffle_hash"), ["place", "word"], "left")
+    seen = F.greatest(F.coalesce("seldom", "seen"), F.lit(1))
+    return met.withColumn("chance", discounted(seen, factors) / F.lit(total or 1.0)).drop("seldom")
+
+
+def gained(spark: SparkSession, model: Katz, which: Column, part: int | None = None, seldom: bool = True) -> DataFrame:
+    """place, word and gain of some pairs, of one part or all, dealt as the pairs are; not ``seldom``: none ends in a word that is not broadcast."""
+    tables = spark.table(model.pairs).filter(which), spark.table(rare_of(model.pairs)), spark.read.parquet(f"{model.path}/contexts")
+    # the place or the context comes first in each
+    pairs, rare, contexts = tables if part is None else (table.filter(in_part(F.col(table.columns[0]), part)) for table in tables)
+    found = _with_chances(pairs, rare.filter(F.lit(seldom)), model.word_factors, model.total)
     several = model.places.table(spark).groupBy("context").agg(F.collect_list("place").alias("places"))
     contexts = contexts.join(F.broadcast(several), "context", "left")
     contexts = contexts.select(F.explode(F.coalesce("places", F.array("context"))).alias("place"), "scale", "alpha")
@@ -320,7 +329,7 @@ def gained(spark: SparkSession, model: Katz, which: Column, part: int | None = N
 
 def train(docs: DataFrame) -> Katz:
     """Count words and pairs of all texts, and derive chances and backoff weights."""
-    with joined_in_place(docs.sparkSession):
+    with joined_in_place(docs.sparkSession), releasing(docs.sparkSession):
         return _train(docs)
 
 
@@ -347,16 +356,20 @@ def _train(docs: DataFrame) -> Katz:
     cached = spark.sparkContext.broadcast((places, keys[kept], counts[kept]))
     told = texts.mapInArrow(_count_pairs(cached), PAIRS).repartition(buckets, "place")
     name = "katz_pairs_" + path.rsplit("-", 1)[1]
-    spark.sql(f"CREATE TABLE {name} ({PAIRS}) USING parquet CLUSTERED BY (place) SORTED BY (place) INTO {buckets} BUCKETS LOCATION '{path}/order=2'")
+    _bucketed(spark, name, PAIRS, buckets, f"{path}/order=2")
     told.groupBy("place", "word").agg(F.max("seen").alias("seen"), F.sum("count").alias("count")).write.insertInto(name)
     release()
     cached.destroy()
     pairs = spark.table(name)
     pair_factors = discounts(_counts_of_counts(pairs))
+    rare = words.filter(F.col("count") < least).select(F.col("key").alias("word"), F.col("count").alias("seen"))
+    rare = pairs.filter(F.col("seen") == 0).select("place", "word").join(rare, "word").select("place", "word", "seen")
+    _bucketed(spark, rare_of(name), RARE, buckets, f"{path}/rare")
+    rare.repartition(buckets, "place").write.insertInto(rare_of(name))
+    release()
 
     # what the discounts of a context leave is shared by the words not seen after it
-    rare = words.filter(F.col("count") < least)
-    sums = _with_chances(pairs, rare, buckets, word_factors, total).withColumn("mass", discounted(F.col("count"), pair_factors)).groupBy("place")
+    sums = _with_chances(pairs, spark.table(rare_of(name)), word_factors, total).withColumn("mass", discounted(F.col("count"), pair_factors)).groupBy("place")
     sums = sums.agg(F.sum("count").alias("times"), F.sum("mass").alias("mass"), F.sum("chance").alias("lower"))
     sums = sums.join(places.table(spark), "place", "left").groupBy(F.coalesce("context", "place").alias("context"))
     sums = sums.agg(*[F.sum(name).alias(name) for name in ("times", "mass", "lower")])
@@ -378,7 +391,7 @@ def _train(docs: DataFrame) -> Katz:
     begin_alpha = begin["alpha"] if begin else 1.0
     nothing = [np.zeros(0, np.int64)] * 4
     model = Katz(path, name, buckets, places, int(tokens), int(distinct), total, unknown, begin_alpha, least, word_factors, pair_factors, *hot_words, *nothing)
-    place, word, gains = _numbers(gained(spark, model, F.col("count") >= least))
+    place, word, gains = _numbers(gained(spark, model, F.col("count") >= least, seldom=False))
     release()
     mix = mixed(place, word)
     order = np.argsort(mix, kind="stable")
@@ -484,10 +497,8 @@ def score(docs: DataFrame, model: Katz) -> DataFrame:
     rows = small_batches(docs).select(*id_and_text())
     rows = rows.select("*", F.xxhash64("doc_id", "text").alias("mark"), F.monotonically_increasing_id().alias("row"))
     shared = spark.sparkContext.broadcast(model)
-    parts = []
-    for part in range(len(PARTS)):
-        parts.append(_summed(rows, model, shared, part))
-        release()
+    with releasing(spark):
+        parts = [_summed(rows, model, shared, part) for part in range(len(PARTS))]
     shared.destroy()
     sums = parts[0]
     for other in parts[1:]:
