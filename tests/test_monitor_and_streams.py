@@ -18,7 +18,7 @@ from winback.operators.prepare import RobustScale
 from winback.sources.snapshots import PublishedTable
 from winback.streaming.deliveries import delivery_window_stream, watch_deliveries
 from winback.streaming.drift import replay_drift
-from winback.streaming.scoring import ScoringModel, ShopStreams, latest_scores, linear_score, score_shop
+from winback.streaming.scoring import ScoringModel, ShopStreams, latest_scores, linear_score, score_shop, state_partitions
 
 
 def numbers(spark, values):
@@ -208,6 +208,58 @@ def test_state_lies_on_disk_and_the_session_keeps_its_settings(spark, scoring, t
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None
 
 
+def test_state_is_kept_once_in_few_stores_however_wide_shuffles_are(spark, scoring, tmp_path):
+    shop, model = scoring
+    tables = keyed(shop)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        store = stream_turns(spark, [tables, tables], model, tmp_path)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64" and state_partitions(spark) == 8
+        spark.conf.set("spark.winback.state.partitions", "3")
+        assert state_partitions(spark) == 3
+    finally:
+        spark.conf.unset("spark.winback.state.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert scores(spark, store) == expected_scores(shop, model)
+    # three times repeats, the join of orders with customers, the join of amounts with orders; a store for each and partition
+    logs = [file for file in (tmp_path / "store/increments-progress/state").rglob("1.changelog")]
+    assert sorted({file.relative_to(tmp_path / "store/increments-progress/state").parts[0] for file in logs}) == list("01234")
+    assert len(logs) == 5 * 8
+
+
+def test_bulk_runs_store_state_as_files(spark, scoring, tmp_path):
+    shop, model = scoring
+    tables = keyed(shop)
+    half = F.substring("order_id", 2, 2).cast("int") % 2 == 0
+    turns = [{**tables, "orders": tables["orders"].filter(half)}, {**tables, "orders": tables["orders"].filter(~half)}, tables]
+    for turn in turns:
+        for name, rows in turn.items():
+            rows.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        incoming = {name: spark.readStream.schema(tables[name].schema).parquet(str(tmp_path / name)) for name in STREAMED}
+        streams = ShopStreams(**incoming, payment_key="payment_sequential", review_key="review_id")
+        for query in score_shop(streams, model, str(tmp_path / "store"), None, bulk=True, availableNow=True):
+            query.awaitTermination()
+    assert scores(spark, str(tmp_path / "store")) == expected_scores(shop, model)
+    for progress in ("increments-progress", "scores-progress"):
+        states = {file.suffix for file in (tmp_path / "store" / progress / "state").rglob("*") if file.is_file()}
+        assert ".zip" in states and ".changelog" not in states
+    assert spark.conf.get("spark.sql.streaming.stateStore.unloadOnCommit", None) is None
+
+
+def test_payments_without_a_key_are_all_counted(spark, scoring, tmp_path):
+    shop, model = scoring
+    tables = keyed(shop)
+    for name in STREAMED:
+        tables[name].coalesce(1).write.parquet(str(tmp_path / name))
+    incoming = {name: spark.readStream.schema(tables[name].schema).parquet(str(tmp_path / name)) for name in STREAMED}
+    twice = {**incoming, "payments": incoming["payments"].unionByName(incoming["payments"])}
+    for query in score_shop(ShopStreams(**twice, review_key="review_id"), model, str(tmp_path / "store"), None, availableNow=True):
+        query.awaitTermination()
+    paid = {r["customer_unique_id"]: r["monetary_value"] for r in latest_scores(spark, str(tmp_path / "store")).collect()}
+    known = {r["customer_unique_id"]: 2 * r["monetary_value"] for r in build_features(shop).filter("frequency >= 2").collect()}
+    assert paid == pytest.approx(known)
+
+
 def published(table):
     return sorted(tuple(row) for row in table.read().collect())
 
